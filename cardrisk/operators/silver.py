@@ -16,7 +16,9 @@ from ..functions.columns import (
     norm_upper,
 )
 
-DEDUP_ORDER = (F.col("ingested_at").desc(), F.col("kafka_partition").desc(), F.col("kafka_offset").desc())
+
+def dedup_order():
+    return (F.col("ingested_at").desc(), F.col("kafka_partition").desc(), F.col("kafka_offset").desc())
 
 
 def valid(df: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
@@ -37,14 +39,14 @@ def valid(df: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
     )
 
 
-def dedup_latest(df: DataFrame, key: str = "transaction_id", order=DEDUP_ORDER) -> DataFrame:
+def dedup_latest(df: DataFrame, key: str = "transaction_id", order=None) -> DataFrame:
     """Keep the latest delivery per key (ties broken by partition, offset).
 
     ``row_number() = 1`` is planned by Catalyst as a WindowGroupLimit, which
     keeps one row per key on the map side before the shuffle, so a replayed
     key does not pile up in one task.
     """
-    w = Window.partitionBy(key).orderBy(*order)
+    w = Window.partitionBy(key).orderBy(*(order or dedup_order()))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

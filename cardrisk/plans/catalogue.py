@@ -251,3 +251,144 @@ def composite_history(spark, sf_dir):
     return df.select(*SCORE_COLS, "user_30d_n", r4("amount_zscore"), r2("score_amount_velocity"), "tx_count_10min",
                      r2("score_tx_frequency"), "score_off_hours", "score_cross_border", "score_high_risk_mcc",
                      "anomaly_score", "risk_level", "triggered_rules")
+
+
+# -- storage --------------------------------------------------------------------
+
+@query
+def silver_upsert(spark, sf_dir):
+    """IO8 + J4: first run built silver from the deliveries before the cut;
+    the next run merges the rows above the high-water mark on the key."""
+    bt = bronze_typed_rows(spark, sf_dir)
+    target = SV.to_silver(bt.filter(F.col("ingested_at") < _ts(CUT_TS)))
+    incoming = B.incremental_new_rows(SV.to_silver(bt), target)
+    return SV.upsert(target, incoming).select("transaction_id", "ingested_at", "kafka_offset", "kafka_partition",
+                                              "amount")
+
+
+@query
+def schema_evolution(spark, sf_dir):
+    """IO10 (+IO6, IO9): an old-schema layer gains columns on append; read
+    back with mergeSchema, old rows hold NULL in the new columns."""
+    from ..session import scratch_path
+    from ..sources import storage
+
+    sv = silver_rows(spark, sf_dir)
+    path = scratch_path(spark, "schema-evolution")
+    old = sv.filter(F.col("event_timestamp") < _ts(CUT_TS)).drop("tx_week", "tx_month", "kafka_latency_ms")
+    storage.write_layer(old, path, mode="overwrite", partition_by=None)
+    storage.write_layer(sv.filter(F.col("event_timestamp") >= _ts(CUT_TS)), path, mode="append", partition_by=None)
+    return storage.read_layer(spark, path, merge_schema=True).select(
+        "transaction_id", "event_timestamp", "tx_week", "tx_month", "kafka_latency_ms")
+
+
+# -- features -------------------------------------------------------------------
+
+from ..operators import features as FT  # noqa: E402
+from ..operators import gold as G  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import reports as RP  # noqa: E402
+
+
+@query
+def card_sliding_features(spark, sf_dir):
+    df = FT.card_sliding_features(silver_rows(spark, sf_dir))
+    return df.select("card_id", "window_start", "window_end", "tx_count_window", r2("amount_sum_window"),
+                     "amount_max_window", "countries_in_window")
+
+
+@query
+def user_stats_30d(spark, sf_dir):
+    df = FT.user_stats(silver_rows(spark, sf_dir))
+    return df.select("user_id", "stats_date", "user_30d_n", r2("user_30d_sum"), r4("user_30d_std"))
+
+
+@query
+def score_with_user_stats(spark, sf_dir):
+    sv = silver_rows(spark, sf_dir)
+    df = FT.score_with_user_stats(sv, FT.user_stats(sv))
+    return df.select("transaction_id", "user_30d_n", r4("user_30d_std"), r4("amount_zscore"),
+                     r2("score_amount_velocity"))
+
+
+@query
+def cross_border_pairs(spark, sf_dir):
+    return FT.cross_border_pairs(silver_rows(spark, sf_dir))
+
+
+# -- gold and reports -------------------------------------------------------------
+
+def gold_rows(spark, sf_dir, order: bool = True):
+    sv = silver_rows(spark, sf_dir)
+    return G.gold_anomalies(sv, scored_rows(spark, sf_dir), DEFAULT, order=order)
+
+
+@query
+def gold_anomalies(spark, sf_dir):
+    return gold_rows(spark, sf_dir)
+
+
+@query
+def risk_counts(spark, sf_dir):
+    return RP.risk_counts(gold_rows(spark, sf_dir, order=False))
+
+
+@query
+def minute_summary(spark, sf_dir):
+    df = RP.minute_summary(scored_rows(spark, sf_dir))
+    return df.select("window_start", "window_end", "merchant_category", "risk_level", "country", "tx_count",
+                     r2("total_amount"), F.round("avg_anomaly_score", 6).alias("avg_anomaly_score"))
+
+
+@query
+def daily_summary(spark, sf_dir):
+    return RP.daily_summary(scored_rows(spark, sf_dir))
+
+
+@query
+def anomaly_rate_5m(spark, sf_dir):
+    df = RP.anomaly_rate(scored_rows(spark, sf_dir))
+    return df.select("window_start", "window_end", "tx_count", "flagged_count", r4("anomaly_rate_pct"))
+
+
+@query
+def score_by_hour(spark, sf_dir):
+    return RP.score_by_hour(scored_rows(spark, sf_dir))
+
+
+@query
+def tx_rate_by_category(spark, sf_dir):
+    df = RP.tx_rate_by_category(scored_rows(spark, sf_dir))
+    return df.select("window_start", "window_end", "merchant_category", "tx_count",
+                     F.round("tx_per_sec", 6).alias("tx_per_sec"))
+
+
+@query
+def latest_100(spark, sf_dir):
+    return RP.latest(scored_rows(spark, sf_dir), 100).select(
+        "transaction_id", "event_timestamp", "card_id", "amount", "anomaly_score", "risk_level")
+
+
+@query
+def top_flagged_cards(spark, sf_dir):
+    return RP.top_flagged_cards(scored_rows(spark, sf_dir), 10)
+
+
+@query
+def alert_timeline(spark, sf_dir):
+    return RP.alert_timeline(scored_rows(spark, sf_dir))
+
+
+@query
+def alert_payload(spark, sf_dir):
+    return RP.alert_payload(scored_rows(spark, sf_dir))
+
+
+@query
+def quality_report(spark, sf_dir):
+    layers = {
+        "bronze": bronze_typed_rows(spark, sf_dir),
+        "silver": silver_rows(spark, sf_dir),
+        "gold": gold_rows(spark, sf_dir, order=False),
+    }
+    return Q.quality_report(layers)

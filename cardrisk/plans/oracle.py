@@ -225,3 +225,109 @@ def w(*ctes: str) -> str:
 
 
 BASE = (TX, BRONZE, SILVER)
+
+GOLD = f"""
+sc AS (
+  SELECT transaction_id, round(anomaly_score, 2) AS anomaly_score, risk_level, triggered_rules,
+         round(amount_zscore, 4) AS amount_zscore,
+         round(score_amount_velocity, 2) AS score_amount_velocity,
+         round(score_tx_frequency, 2) AS score_tx_frequency,
+         round(score_off_hours, 2) AS score_off_hours,
+         round(score_cross_border, 2) AS score_cross_border,
+         round(score_high_risk_mcc, 2) AS score_high_risk_mcc,
+         scored_at
+  FROM scored WHERE risk_level IN ('MEDIUM', 'HIGH')
+),
+sc1 AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY scored_at DESC, anomaly_score DESC) AS rn
+    FROM sc) WHERE rn = 1
+),
+gold AS (
+  SELECT t.transaction_id, t.card_id, t.user_id, t.merchant_id, t.merchant_name, t.merchant_category,
+         t.amount, t.currency, t.amount_bucket, t.country, t.city, t.is_international, t.is_foreign_country,
+         t.card_present, t.is_cnp, t.device_type, t.event_timestamp, t.tx_hour, t.tx_day_of_week,
+         CAST(t.tx_date AS VARCHAR) AS tx_date, t.is_off_hours, t.is_high_risk_mcc,
+         s.anomaly_score, s.risk_level, s.triggered_rules, s.amount_zscore, s.score_amount_velocity,
+         s.score_tx_frequency, s.score_off_hours, s.score_cross_border, s.score_high_risk_mcc,
+         CASE WHEN s.anomaly_score >= 70 THEN '🚨 ANOMALY' WHEN s.anomaly_score >= 40 THEN '⚠️  SUSPICIOUS'
+              ELSE '✅ NORMAL' END AS risk_label,
+         s.scored_at,
+         date_diff('millisecond', t.event_timestamp, s.scored_at) AS end_to_end_latency_ms
+  FROM silver t JOIN sc1 s ON t.transaction_id = s.transaction_id
+)"""
+
+JSON_OK = "(json_valid({v}) AND json_type(CASE WHEN json_valid({v}) THEN {v} END) = 'OBJECT')"
+
+WIRE = f"""
+wire0 AS (
+  SELECT *, CAST(substr(transaction_id, 5) AS BIGINT) AS eid FROM tx
+),
+wire1 AS (
+  SELECT *, CASE WHEN eid % 101 = 1 THEN 'garbage' WHEN eid % 103 = 2 THEN 'truncated'
+                 WHEN eid % 107 = 3 THEN 'amount_text' WHEN eid % 109 = 4 THEN 'missing_id'
+                 WHEN eid % 113 = 5 THEN 'negative_amount' WHEN eid % 127 = 6 THEN 'bad_timestamp'
+                 WHEN eid % 131 = 7 THEN 'extra_field' END AS kind
+  FROM wire0
+),
+wire2 AS (
+  SELECT *, CAST(json_object(
+      'transaction_id', CASE WHEN kind = 'missing_id' THEN NULL ELSE transaction_id END,
+      'card_id', card_id, 'user_id', user_id, 'merchant_id', merchant_id, 'merchant_name', merchant_name,
+      'merchant_category', merchant_category,
+      'amount', CASE WHEN kind = 'negative_amount' THEN -amount ELSE amount END,
+      'currency', currency, 'country', country, 'city', city,
+      'timestamp', CASE WHEN kind = 'bad_timestamp' THEN 'not-a-time' ELSE "timestamp" END,
+      'is_international', is_international, 'card_present', card_present, 'device_type', device_type,
+      '_is_injected_anomaly', _is_injected_anomaly) AS VARCHAR) AS js
+  FROM wire1
+),
+raw AS (
+  SELECT CASE kind
+           WHEN 'amount_text' THEN regexp_replace(js, '"amount":[-0-9.Ee]+', '"amount":"abc"')
+           WHEN 'extra_field' THEN regexp_replace(js, '^\\{{', '{{"promo_code":"X1",')
+           WHEN 'truncated' THEN substr(js, 1, 40)
+           WHEN 'garbage' THEN 'not json at all ' || transaction_id
+           ELSE js END AS value,
+         kafka_offset, kafka_partition, kafka_ingest_time, ingested_at
+  FROM wire2
+),
+p1 AS (
+  SELECT value AS raw_payload, kafka_offset, kafka_partition, kafka_ingest_time, ingested_at,
+         {JSON_OK.format(v='value')} AS ok_json,
+         CASE WHEN json_valid(value) THEN value END AS j
+  FROM raw
+),
+parsed AS (
+  SELECT raw_payload, kafka_offset, kafka_partition, kafka_ingest_time, ingested_at,
+    json_extract_string(j, '$.transaction_id') AS transaction_id,
+    json_extract_string(j, '$.card_id') AS card_id,
+    json_extract_string(j, '$.user_id') AS user_id,
+    json_extract_string(j, '$.merchant_id') AS merchant_id,
+    json_extract_string(j, '$.merchant_name') AS merchant_name,
+    json_extract_string(j, '$.merchant_category') AS merchant_category,
+    CASE WHEN json_type(j, '$.amount') IN ('DOUBLE', 'UBIGINT', 'BIGINT')
+         THEN CAST(json_extract(j, '$.amount') AS DOUBLE) END AS amount,
+    json_extract_string(j, '$.currency') AS currency,
+    json_extract_string(j, '$.country') AS country,
+    json_extract_string(j, '$.city') AS city,
+    json_extract_string(j, '$.timestamp') AS "timestamp",
+    CASE WHEN json_type(j, '$.is_international') = 'BOOLEAN'
+         THEN CAST(json_extract(j, '$.is_international') AS BOOLEAN) END AS is_international,
+    CASE WHEN json_type(j, '$.card_present') = 'BOOLEAN'
+         THEN CAST(json_extract(j, '$.card_present') AS BOOLEAN) END AS card_present,
+    json_extract_string(j, '$.device_type') AS device_type,
+    CASE WHEN json_type(j, '$._is_injected_anomaly') = 'BOOLEAN'
+         THEN CAST(json_extract(j, '$._is_injected_anomaly') AS BOOLEAN) END AS _is_injected_anomaly,
+    {PARSE_TS.format(c="json_extract_string(j, '$.timestamp')")} AS event_time,
+    CASE WHEN raw_payload IS NULL THEN 'null_payload'
+         WHEN NOT ok_json THEN 'malformed_json'
+         WHEN json_extract_string(j, '$.transaction_id') IS NULL THEN 'missing_transaction_id'
+         WHEN json_extract_string(j, '$.card_id') IS NULL THEN 'missing_card_id'
+         WHEN json_type(j, '$.amount') NOT IN ('DOUBLE', 'UBIGINT', 'BIGINT') OR json_type(j, '$.amount') IS NULL
+           THEN 'missing_or_bad_amount'
+         WHEN isnan(CAST(json_extract(j, '$.amount') AS DOUBLE)) THEN 'nan_amount'
+         WHEN CAST(json_extract(j, '$.amount') AS DOUBLE) <= 0 THEN 'non_positive_amount'
+    END AS reject_reason
+  FROM p1
+)"""

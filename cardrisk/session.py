@@ -28,6 +28,7 @@ def build_session(master: str | None = None, app: str = "cardrisk", shuffle_part
     conf = dict(LIBRARY_CONF)
     conf.update({
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
