@@ -392,3 +392,110 @@ def quality_report(spark, sf_dir):
         "gold": gold_rows(spark, sf_dir, order=False),
     }
     return Q.quality_report(layers)
+
+
+# -- streams --------------------------------------------------------------------
+# Each stream key stages the raw deliveries derived from ``events`` as
+# time-ordered files in a fresh folder under the shared directory, runs the
+# streaming queries with ``availableNow`` and returns the sink read back.
+
+STREAM_SLICES = 6
+STREAM_CONTENT = ["transaction_id", "card_id", "user_id", "merchant_category", "amount", "currency", "country",
+                  "event_timestamp", "amount_bucket", "is_high_risk_mcc", "is_off_hours"]
+
+
+def _stream_dirs(spark, name):
+    from ..session import scratch_path
+    base = scratch_path(spark, name)
+    return base, f"{base}/raw", f"{base}/ckpt", f"{base}/out"
+
+
+def _raw(spark, sf_dir):
+    pin_utc(spark)
+    return fixture.wire_records(fixture.read_table(spark, sf_dir, "events"))
+
+
+def _silver_from(spark, raw_path, max_files=None):
+    from ..streaming import pipeline as P
+    bronze, _dead = P.bronze_stream(P.read_raw_stream(spark, raw_path, max_files))
+    return P.silver_stream(bronze)
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """ST5 + IO2: watermark dedup of redelivered records, append sink; one
+    file slice per micro-batch."""
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    base, raw, ckpt, out = _stream_dirs(spark, "stream-dedup")
+    staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
+    silver = _silver_from(spark, raw, max_files=1).drop(P.ET)
+    P.start_append(silver, out, f"{ckpt}/silver").awaitTermination()
+    return spark.read.parquet(out).select(*STREAM_CONTENT)
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """IO11 + IO1 + ST6: run on the first half of the slices, stop, deliver
+    the rest, restart from the same checkpoint; every record lands once."""
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    base, raw, ckpt, out = _stream_dirs(spark, "stream-restart")
+    rows = _raw(spark, sf_dir)
+    half = STREAM_SLICES // 2
+    staging.stage(rows, raw, STREAM_SLICES, only=range(0, half))
+    P.start_append(_silver_from(spark, raw, max_files=1).drop(P.ET), out, f"{ckpt}/silver").awaitTermination()
+    staging.stage(rows, raw, STREAM_SLICES, only=range(half, STREAM_SLICES))
+    P.start_append(_silver_from(spark, raw, max_files=1).drop(P.ET), out, f"{ckpt}/silver").awaitTermination()
+    return spark.read.parquet(out).select(*STREAM_CONTENT)
+
+
+def _scored_stream_run(spark, sf_dir, name):
+    """One source query, one foreachBatch fan-out (the whole staged input is
+    one micro-batch, so batch-relative scores equal a one-batch run)."""
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    base, raw, ckpt, out = _stream_dirs(spark, name)
+    staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
+    sinks = P.Sinks(out)
+    P.start_scoring(_silver_from(spark, raw), sinks, f"{ckpt}/score").awaitTermination()
+    return base, sinks
+
+
+@query
+def stream_scored_fanout(spark, sf_dir):
+    """ST7 + ST9 + IO3 + IO5: the gold-anomalies branch of the fan-out."""
+    _, sinks = _scored_stream_run(spark, sf_dir, "stream-fanout")
+    return spark.read.parquet(sinks.path("gold_anomalies")).select(
+        "transaction_id", "card_id", "amount", "anomaly_score", "risk_level", "triggered_rules")
+
+
+@query
+def stream_minute_summary(spark, sf_dir):
+    """ST1 + ST2 + IO4: minute summary over the scored stream, append mode;
+    only windows the watermark has closed are emitted."""
+    from ..streaming import pipeline as P
+    base, sinks = _scored_stream_run(spark, sf_dir, "stream-summary")
+    scored_path = sinks.path("scored")
+    schema = spark.read.parquet(scored_path).schema
+    scored = spark.readStream.schema(schema).parquet(scored_path)
+    summary = P.minute_summary_stream(scored)
+    out = f"{base}/summary"
+    P.start_append(summary, out, f"{base}/ckpt/summary").awaitTermination()
+    df = spark.read.parquet(out)
+    return df.select("window_start", "window_end", "merchant_category", "risk_level", "country", "tx_count",
+                     r2("total_amount"), F.round("avg_anomaly_score", 6).alias("avg_anomaly_score"))
+
+
+@query
+def stream_sliding(spark, sf_dir):
+    """ST3: sliding 10/1-minute card windows over the deduplicated stream."""
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    base, raw, ckpt, out = _stream_dirs(spark, "stream-sliding")
+    staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
+    partials = P.sliding_stream(_silver_from(spark, raw, max_files=1))
+    P.start_append(partials, out, f"{ckpt}/sliding").awaitTermination()
+    df = P.fold_sliding(spark.read.parquet(out))
+    return df.select("card_id", "window_start", "window_end", "tx_count_window", r2("amount_sum_window"),
+                     "amount_max_window", "countries_in_window")

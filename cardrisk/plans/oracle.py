@@ -147,12 +147,12 @@ TRIGGERS = ("concat_ws(',', CASE WHEN score_amount_velocity >= 50 THEN 'amount_v
             "CASE WHEN score_high_risk_mcc > 0 THEN 'high_risk_mcc' END)")
 
 # as-coded scoring: R1 over all of a user's rows, R2 per card and hour
-SCORED = f"""
+SCORED_T = f"""
 stats AS (
   SELECT *,
     avg(amount) OVER (PARTITION BY user_id) AS user_batch_mean,
     stddev_samp(amount) OVER (PARTITION BY user_id) AS user_batch_std,
-    count(*) OVER (PARTITION BY card_id, date_trunc('hour', event_timestamp)) AS tx_count_batch
+    count(*) OVER (PARTITION BY {{card_part}}) AS tx_count_batch
   FROM silver
 ),
 z AS (
@@ -177,6 +177,9 @@ scored AS (
   FROM comp
 )"""
 
+SCORED = SCORED_T.replace("{card_part}", "card_id, date_trunc('hour', event_timestamp)")
+SCORED_BATCH = SCORED_T.replace("{card_part}", "card_id")   # the whole (micro-)batch is the scope
+
 US = "epoch_us(event_timestamp)"
 HISTORY = f"""
 h1 AS (
@@ -331,3 +334,12 @@ parsed AS (
     END AS reject_reason
   FROM p1
 )"""
+
+# the stream's bronze: parsed deliveries that carry an event time
+STREAM_BRONZE = f"""
+bronze AS (
+  SELECT transaction_id, card_id, user_id, merchant_id, merchant_name, merchant_category, amount, currency,
+         country, city, event_time AS event_timestamp, is_international, card_present, device_type,
+         ingested_at, kafka_ingest_time, kafka_offset, kafka_partition, '1.0.0' AS pipeline_version
+  FROM parsed WHERE reject_reason IS NULL AND event_time IS NOT NULL
+)"""

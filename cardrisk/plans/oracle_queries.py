@@ -279,3 +279,39 @@ def _check_sql(layer, column, test, cond):
 
 sql("quality_report", GO + "SELECT layer, column_name, test, CAST(violations AS BIGINT) AS violations, "
     "violations = 0 AS passed FROM (\n" + "\nUNION ALL ".join(_check_sql(*c) for c in _CHECKS) + ")")
+
+from .oracle import SCORED_BATCH, SILVER, STREAM_BRONZE  # noqa: E402
+
+STREAM_S = w(TX, WIRE, STREAM_BRONZE, SILVER)
+STREAM_SC = w(TX, WIRE, STREAM_BRONZE, SILVER, SCORED_BATCH)
+_CONTENT = ("transaction_id, card_id, user_id, merchant_category, amount, currency, country, event_timestamp, "
+            "amount_bucket, is_high_risk_mcc, is_off_hours")
+
+sql("stream_dedup", STREAM_S + f"SELECT {_CONTENT} FROM silver")
+sql("stream_restart", STREAM_S + f"SELECT {_CONTENT} FROM silver")
+sql("stream_scored_fanout", STREAM_SC + """SELECT transaction_id, card_id, amount, anomaly_score, risk_level,
+  triggered_rules FROM scored WHERE risk_level IN ('MEDIUM', 'HIGH')""")
+sql("stream_minute_summary", STREAM_SC + """
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL 1 MINUTE, event_timestamp) AS window_start,
+         time_bucket(INTERVAL 1 MINUTE, event_timestamp) + INTERVAL 1 MINUTE AS window_end,
+         merchant_category, risk_level, country, count(*) AS tx_count, round(sum(amount), 2) AS total_amount,
+         round(avg(anomaly_score), 6) AS avg_anomaly_score
+  FROM scored GROUP BY ALL)
+WHERE window_end <= (SELECT max(event_timestamp) FROM scored) - INTERVAL 10 MINUTE""")
+sql("stream_sliding", STREAM_S + """
+, win AS (
+  SELECT card_id, country, amount,
+         time_bucket(INTERVAL 1 MINUTE, event_timestamp) - to_minutes(k) AS window_start
+  FROM silver, range(10) AS r(k)
+),
+per_country AS (
+  SELECT card_id, window_start, country, count(*) AS n, sum(amount) AS s, max(amount) AS m
+  FROM win GROUP BY ALL
+)
+SELECT card_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
+       sum(n)::BIGINT AS tx_count_window, round(sum(s), 2) AS amount_sum_window, max(m) AS amount_max_window,
+       coalesce(string_agg(country || ':' || CAST(n AS VARCHAR), ',' ORDER BY country || ':' || CAST(n AS VARCHAR)), '')
+         AS countries_in_window
+FROM per_country GROUP BY card_id, window_start
+HAVING window_start + INTERVAL 10 MINUTE <= (SELECT max(event_timestamp) FROM silver) - INTERVAL 10 MINUTE""")
