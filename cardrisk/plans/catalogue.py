@@ -499,3 +499,23 @@ def stream_sliding(spark, sf_dir):
     df = P.fold_sliding(spark.read.parquet(out))
     return df.select("card_id", "window_start", "window_end", "tx_count_window", r2("amount_sum_window"),
                      "amount_max_window", "countries_in_window")
+
+
+@query
+def stream_stateful_rules(spark, sf_dir):
+    """ST8: R2h, R4h, R5h and day-granular 30-day stats kept in keyed state
+    (transformWithState), one micro-batch per staged slice."""
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    from ..streaming import state as ST
+    ST.ensure_rocksdb(spark)
+    base, raw, ckpt, out = _stream_dirs(spark, "stream-state")
+    staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES, order=staging.event_order())
+    silver = _silver_from(spark, raw, max_files=1)
+    P.start_append(ST.card_history(silver), f"{out}/card", f"{ckpt}/card").awaitTermination()
+    silver = _silver_from(spark, raw, max_files=1)
+    P.start_append(ST.user_history(silver), f"{out}/user", f"{ckpt}/user").awaitTermination()
+    df = ST.history_scores(spark.read.parquet(f"{out}/card"), spark.read.parquet(f"{out}/user"))
+    return df.select("transaction_id", "tx_count_10min", "countries_60min_multi", "user_30d_n",
+                     r4("user_30d_std"), "is_first_high_risk", "score_tx_frequency", "score_cross_border",
+                     "score_high_risk_mcc")

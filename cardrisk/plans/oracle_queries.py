@@ -315,3 +315,16 @@ SELECT card_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
          AS countries_in_window
 FROM per_country GROUP BY card_id, window_start
 HAVING window_start + INTERVAL 10 MINUTE <= (SELECT max(event_timestamp) FROM silver) - INTERVAL 10 MINUTE""")
+
+sql("stream_stateful_rules", w(TX, WIRE, STREAM_BRONZE, SILVER, HISTORY) + """
+, days AS (SELECT DISTINCT user_id, tx_date FROM silver),
+st AS (
+  SELECT d.user_id, d.tx_date, count(s.amount) AS n, stddev_samp(s.amount) AS std
+  FROM days d LEFT JOIN silver s
+    ON s.user_id = d.user_id AND s.tx_date >= d.tx_date - INTERVAL 30 DAY AND s.tx_date <= d.tx_date - INTERVAL 1 DAY
+  GROUP BY d.user_id, d.tx_date
+)
+SELECT h.transaction_id, h.tx_count_10min, h.countries_60min_multi, st.n AS user_30d_n,
+       round(st.std, 4) AS user_30d_std, h.is_first_high_risk, round(h.score_tx_frequency, 2) AS score_tx_frequency,
+       h.score_cross_border, h.score_high_risk_mcc
+FROM hist h JOIN st ON h.user_id = st.user_id AND h.tx_date = st.tx_date""")

@@ -14,17 +14,24 @@ from pyspark.sql import functions as F
 from ..functions.columns import epoch_micros
 
 
-def slice_index(raw: DataFrame, slices: int, order_col: str = "kafka_ingest_time") -> DataFrame:
-    t = epoch_micros(order_col)
+def slice_index(raw: DataFrame, slices: int, order=None) -> DataFrame:
+    t = epoch_micros(order if order is not None else F.col("kafka_ingest_time"))
     bounds = raw.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     width = max(1, (hi - lo) // slices + 1)
     return raw.withColumn("_slice", F.floor((t - F.lit(lo)) / F.lit(width)).cast("int"))
 
 
-def stage(raw: DataFrame, path: str, slices: int, only: range | None = None) -> None:
+def event_order():
+    """Slice by the event time carried in the payload (delivery time when
+    the payload has none), so that each card's rows arrive in event order."""
+    ts = F.try_to_timestamp(F.get_json_object("value", "$.timestamp")).cast("timestamp_ntz")
+    return F.coalesce(ts, F.col("kafka_ingest_time"))
+
+
+def stage(raw: DataFrame, path: str, slices: int, only: range | None = None, order=None) -> None:
     """Append slices (all, or the ``only`` range) to ``path`` in time order."""
-    indexed = slice_index(raw, slices).persist()
+    indexed = slice_index(raw, slices, order).persist()
     try:
         for i in (only if only is not None else range(slices)):
             (indexed.filter(F.col("_slice") == i).drop("_slice")
