@@ -46,14 +46,20 @@ def daily_summary(scored: DataFrame, top_k: int = 5) -> DataFrame:
     plans as a WindowGroupLimit: each map task keeps its k best per day before
     the shuffle, so a busy day does not gather all its cards in one task.
     """
-    totals = scored.groupBy("tx_date").agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.count_if(F.col("risk_level") == "HIGH").alias("high_risk_count"),
-        F.count_if(F.col("risk_level") == "MEDIUM").alias("medium_risk_count"),
-        F.count_if(F.col("risk_level") == "LOW").alias("low_risk_count"),
+    # one aggregate per (day, card) feeds both the day totals and the ranking
+    per_card = scored.groupBy("tx_date", "card_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("risk_level") == "HIGH").alias("high"),
+        F.count_if(F.col("risk_level") == "MEDIUM").alias("medium"),
+        F.count_if(F.col("risk_level") == "LOW").alias("low"),
+    ).withColumn("flagged", F.col("high") + F.col("medium"))
+    totals = per_card.groupBy("tx_date").agg(
+        F.sum("n").alias("total_transactions"),
+        F.sum("high").alias("high_risk_count"),
+        F.sum("medium").alias("medium_risk_count"),
+        F.sum("low").alias("low_risk_count"),
     )
-    per_card = (scored.filter(is_flagged()).groupBy("tx_date", "card_id")
-                      .agg(F.count(F.lit(1)).alias("flagged")))
+    per_card = per_card.filter(F.col("flagged") > 0)
     w = Window.partitionBy("tx_date").orderBy(F.col("flagged").desc(), F.col("card_id"))
     top = (per_card.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k)
                    .groupBy("tx_date")

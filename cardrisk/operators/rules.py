@@ -105,6 +105,24 @@ def cross_border_history(df: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_us:
                .drop("_cmin", "_cmax"))
 
 
+def card_history(df: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_us: int | None = None) -> DataFrame:
+    """R2h and R4h together: both partition by card and time bucket, so one
+    shuffle and one sorted window pass serve the 10- and 60-minute frames."""
+    f10 = cfg.freq_window_minutes * MICROS_PER_MINUTE
+    f60 = cfg.cross_border_window_minutes * MICROS_PER_MINUTE
+    out = trailing(df, ["card_id"], TS, max(f10, f60),
+                   {"tx_count_10min": lambda w: F.count(F.lit(1)).over(w),
+                    "_cmin": lambda w: F.min("country").over(w),
+                    "_cmax": lambda w: F.max("country").over(w)},
+                   bucket_us or max(f10, f60) * cfg.bucket_frames, ctx_cols=("country",),
+                   frames={"tx_count_10min": f10, "_cmin": f60, "_cmax": f60})
+    multi = F.coalesce(F.col("_cmin") != F.col("_cmax"), F.lit(False))
+    return (out.withColumn("score_tx_frequency", frequency_score("tx_count_10min", cfg))
+               .withColumn("countries_60min_multi", multi)
+               .withColumn("score_cross_border", flag_score("countries_60min_multi"))
+               .drop("_cmin", "_cmax"))
+
+
 def high_risk_mcc(df: DataFrame) -> DataFrame:
     return df.withColumn("score_high_risk_mcc", flag_score("is_high_risk_mcc"))
 

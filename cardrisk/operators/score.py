@@ -34,9 +34,8 @@ def score_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT, scored_at: Co
     """The five rules as documented: 30-day velocity, 10-minute frequency,
     off-hours, two countries in 60 minutes, first use of a high-risk category."""
     df = rules.amount_velocity_history(silver, cfg)
-    df = rules.tx_frequency_history(df, cfg)
+    df = rules.card_history(df, cfg)              # R2h + R4h in one window pass
     df = rules.off_hours(df)
-    df = rules.cross_border_history(df, cfg)
     df = rules.first_high_risk_use(df)
     triggers = triggered_rules(
         F.col("score_amount_velocity") >= cfg.velocity_tag_score,

@@ -35,13 +35,17 @@ _SELF = "_self"
 
 def trailing(df: DataFrame, keys: list[str], ts_col: str, frame_us: int,
              outputs: dict[str, Callable[[Window], Column]], bucket_us: int | None = None,
-             ctx_cols: tuple[str, ...] = ()) -> DataFrame:
+             ctx_cols: tuple[str, ...] = (), frames: dict[str, int] | None = None) -> DataFrame:
     """Add ``outputs`` computed over each row's frame ``[ts - frame, ts]``
     (RANGE semantics: rows with equal ts are included) within ``keys``.
 
     ``outputs`` maps a column name to ``fn(window_spec) -> Column``;
-    ``ctx_cols`` are the inputs those aggregates read.
+    ``ctx_cols`` are the inputs those aggregates read. ``frames`` may give an
+    output its own (shorter) frame: all outputs share one partitioning and
+    order, so they are computed in the same window pass.
     """
+    frames = frames or {}
+    frame_us = max([frame_us, *frames.values()])
     bucket_us = bucket_us or frame_us * 6
     if bucket_us < frame_us:
         raise ValueError("bucket must be at least as long as the frame")
@@ -51,8 +55,9 @@ def trailing(df: DataFrame, keys: list[str], ts_col: str, frame_us: int,
     ctx = (base.filter(F.col(_T) >= (F.col(_B) + 1) * F.lit(bucket_us) - F.lit(frame_us))
                .select(*keys, _T, (F.col(_B) + 1).alias(_B), F.lit(False).alias(_SELF), *ctx_cols))
     u = base.unionByName(ctx, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, _B).orderBy(_T).rangeBetween(-frame_us, 0)
-    u = u.select("*", *[fn(w).alias(name) for name, fn in outputs.items()])
+    spec = Window.partitionBy(*keys, _B).orderBy(_T)
+    u = u.select("*", *[fn(spec.rangeBetween(-frames.get(name, frame_us), 0)).alias(name)
+                        for name, fn in outputs.items()])
     return u.filter(F.col(_SELF)).drop(_T, _B, _SELF)
 
 

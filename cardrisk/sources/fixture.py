@@ -38,6 +38,10 @@ def transactions(events: DataFrame, with_duplicates: bool = True) -> DataFrame:
     """Bronze-layer rows (wire fields + source metadata + ingest columns)."""
     k = F.get_json_object("props", "$.k").cast("int")
     eid = F.col("event_id")
+    # Producer retries: every DUPLICATE_EVERY-th record is delivered twice
+    # (later ingest, later offset). One scan; the copy comes from explode.
+    copies = (F.when(eid % DUPLICATE_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+              if with_duplicates else F.array(F.lit(0)))
     base = events.select(
         eid.alias("_eid"),
         k.alias("_k"),
@@ -45,6 +49,7 @@ def transactions(events: DataFrame, with_duplicates: bool = True) -> DataFrame:
         F.col("user_id").alias("_uid"),
         "event_type",
         "value",
+        F.explode(copies).alias("_copy"),
     )
     k = F.col("_k")
     eid = F.col("_eid")
@@ -73,20 +78,14 @@ def transactions(events: DataFrame, with_duplicates: bool = True) -> DataFrame:
         F.when(F.col("event_type") == "click", " Mobile")
          .when(F.col("event_type") == "view", "desktop").otherwise("POS ").alias("device_type"),
         (k % INJECT_EVERY == 0).alias("_is_injected_anomaly"),
-        F.floor(eid / 3).cast("bigint").alias("kafka_offset"),
+        (F.floor(eid / 3) + F.col("_copy") * DUPLICATE_OFFSET).cast("bigint").alias("kafka_offset"),
         (eid % 3).cast("bigint").alias("kafka_partition"),
         F.timestamp_add("MILLISECOND", k * 10, "event_time").alias("kafka_ingest_time"),
         "event_time",
-        F.timestamp_add("SECOND", F.lit(2), "event_time").alias("ingested_at"),
+        F.timestamp_add("SECOND", 2 + F.col("_copy") * DUPLICATE_DELAY_S, "event_time").alias("ingested_at"),
         F.lit(PIPELINE_VERSION).alias("pipeline_version"),
     )
-    if not with_duplicates:
-        return out
-    # Producer retries: a second delivery of the same record, later offset.
-    dups = (out.filter(F.substring("transaction_id", 5, 12).cast("bigint") % DUPLICATE_EVERY == 0)
-            .withColumn("ingested_at", F.timestamp_add("SECOND", F.lit(DUPLICATE_DELAY_S), "ingested_at"))
-            .withColumn("kafka_offset", F.col("kafka_offset") + DUPLICATE_OFFSET))
-    return out.unionByName(dups)
+    return out
 
 
 def load_transactions(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> DataFrame:
