@@ -51,6 +51,14 @@ def append_new(spark: SparkSession, source: DataFrame, target_path: str, exists:
     return new
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # noqa: BLE001 - not written yet
+        return False
+
+
 def current_version(spark: SparkSession, base: str) -> int | None:
     try:
         row = spark.read.parquet(f"{base}/{LOG}").agg(F.max("version")).first()
