@@ -23,7 +23,15 @@ INJECT_EVERY = 20               # k mod 20 = 0 is a labelled anomaly (amount x 1
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan a table. A table stored as fewer splits than the cluster has
+    cores (a small file with one row group) is spread round-robin first, so
+    the narrow work after the scan is not left to one task; a large table
+    already has enough splits and is read as is."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _pad(c: Column, n: int) -> Column:
