@@ -87,6 +87,31 @@ def off_hours(df: DataFrame) -> DataFrame:
     return df.withColumn("score_off_hours", flag_score("is_off_hours"))
 
 
+# Representative zone per country for the local-time variant (a parameter,
+# not a reference value); unknown countries fall back to UTC.
+COUNTRY_ZONES = {
+    "US": "America/New_York", "CA": "America/Toronto", "GB": "Europe/London", "DE": "Europe/Berlin",
+    "FR": "Europe/Paris", "AU": "Australia/Sydney", "CN": "Asia/Shanghai", "RU": "Europe/Moscow",
+    "NG": "Africa/Lagos", "BR": "America/Sao_Paulo", "MX": "America/Mexico_City",
+}
+
+
+def off_hours_local(df: DataFrame, cfg: ScoringConfig = DEFAULT, zones: dict | None = None) -> DataFrame:
+    """R3h (D8): off-hours by the local clock of the transaction's country.
+
+    The zone table is a literal map in the expression (fixed, tiny: no join,
+    no broadcast); the conversion is the built-in ``from_utc_timestamp``.
+    """
+    z = zones or COUNTRY_ZONES
+    zone_map = F.create_map(*[F.lit(x) for kv in z.items() for x in kv])
+    zone = F.coalesce(F.element_at(zone_map, F.col("country")), F.lit("UTC"))
+    local = F.from_utc_timestamp(F.col(TS).cast("timestamp"), zone)
+    hour = F.hour(local)
+    flag = F.coalesce((hour >= cfg.off_hours_start) & (hour < cfg.off_hours_end), F.lit(False))
+    return (df.withColumn("local_hour", hour).withColumn("is_off_hours_local", flag)
+              .withColumn("score_off_hours", flag_score("is_off_hours_local")))
+
+
 def cross_border(df: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
     return df.withColumn("score_cross_border", cross_border_score("is_international", "amount", cfg))
 

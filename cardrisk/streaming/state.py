@@ -14,8 +14,12 @@ Rows of one key within a micro-batch are handled as one pandas frame, sorted
 by (event time, id); per-row work is numpy over that frame. On in-order input
 the outputs equal the batch plans.
 
-Scale note: keyed state puts a hot key's micro-batch rows in one task; state
-per key stays bounded (60 minutes of a card, 31 day-partials of a user).
+Scale note: keyed state puts a hot key's micro-batch rows in one task. What
+that task holds is bounded by configuration, not by the data: the micro-batch
+is capped by the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``,
+ST6), so a key holding a third of the traffic brings at most a third of one
+capped batch; its state is 60 minutes of the card's (time, country) pairs or
+at most 31 day-partials and three categories of a user.
 """
 
 from __future__ import annotations

@@ -116,3 +116,11 @@ def test_triggered_rules_and_counts(spark):
     counts = {r.rule: r.fired for r in S.rule_counts(out).collect()}
     assert counts == {t: 1 for t in ("amount_velocity", "tx_frequency", "off_hours", "cross_border",
                                      "high_risk_mcc")}
+
+
+def test_off_hours_by_local_clock(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("US", dt.datetime(2024, 1, 1, 3, 0)), ("GB", dt.datetime(2024, 1, 1, 3, 0)),
+                                ("ZZ", dt.datetime(2024, 1, 1, 4, 59))], "country string, event_timestamp timestamp_ntz")
+    got = {r.country: (r.local_hour, r.score_off_hours) for r in R.off_hours_local(df).collect()}
+    assert got == {"US": (22, 0.0), "GB": (3, 100.0), "ZZ": (4, 100.0)}

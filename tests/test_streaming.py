@@ -87,3 +87,18 @@ def test_fan_out_replay_is_idempotent(spark):
     assert first == again and len(first) == silver.count()
     assert spark.read.parquet(sinks.path("gold_anomalies")).filter(~F.col("risk_level").isin("MEDIUM", "HIGH")) \
         .count() == 0
+
+
+def test_bronze_and_dead_letter_from_one_read(spark):
+    base = scratch_path(spark, "bronze-dl")
+    raw = f"{base}/raw"
+    write_batch(spark, raw, [(1, T0), (2, T0 + dt.timedelta(minutes=1))])
+    bad = spark.createDataFrame([("not json", 9, 0, T0, T0), (None, 10, 0, T0, T0)],
+                                "value string, kafka_offset bigint, kafka_partition bigint, "
+                                "kafka_ingest_time timestamp_ntz, ingested_at timestamp_ntz")
+    bad.coalesce(1).write.mode("append").parquet(raw)
+    sinks = P.Sinks(f"{base}/out")
+    P.start_bronze(P.read_raw_stream(spark, raw, 1), sinks, f"{base}/ck").awaitTermination()
+    assert spark.read.parquet(sinks.path("bronze")).count() == 2
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(sinks.path("dead_letter")).collect())
+    assert reasons == ["malformed_json", "null_payload"]
