@@ -65,14 +65,26 @@ def silver_rows(spark, sf_dir) -> DataFrame:
     return SV.to_silver(bronze_typed_rows(spark, sf_dir))
 
 
-def scored_rows(spark, sf_dir) -> DataFrame:
+def silver_table(spark, sf_dir) -> DataFrame:
+    """Silver written once to the shared folder and scanned back -- the
+    layer the models materialise. Plans that read silver in several branches
+    (rows + per-key statistics joined back, window context rows, the gold
+    join, three layers of checks) scan it with pruned columns instead of
+    repeating the fixture scan and the dedup shuffle once per branch."""
+    from ..sources import storage
+
+    return storage.materialize(spark, silver_rows(spark, sf_dir), "silver")
+
+
+def scored_rows(spark, sf_dir, silver: DataFrame | None = None) -> DataFrame:
     """As-coded scores; R1 over all of a user's rows, R2 per card and hour."""
-    return S.score_as_coded(silver_rows(spark, sf_dir), DEFAULT, user_scope=None,
+    sv = silver if silver is not None else silver_table(spark, sf_dir)
+    return S.score_as_coded(sv, DEFAULT, user_scope=None,
                             card_scope=F.date_trunc("hour", "event_timestamp"), scored_at=scored_at())
 
 
 def history_rows(spark, sf_dir) -> DataFrame:
-    return S.score_history(silver_rows(spark, sf_dir), DEFAULT, scored_at=scored_at())
+    return S.score_history(silver_table(spark, sf_dir), DEFAULT, scored_at=scored_at())
 
 
 def r2(c):
@@ -165,27 +177,27 @@ def silver_full(spark, sf_dir):
 
 @query
 def rule_velocity_batch(spark, sf_dir):
-    df = R.amount_velocity(silver_rows(spark, sf_dir), DEFAULT)
+    df = R.amount_velocity(silver_table(spark, sf_dir), DEFAULT)
     return df.select("transaction_id", "user_id", "amount", r4("user_batch_std"),
                      r4("amount_zscore"), r2("score_amount_velocity"))
 
 
 @query
 def rule_velocity_30d(spark, sf_dir):
-    df = R.amount_velocity_history(silver_rows(spark, sf_dir), DEFAULT)
+    df = R.amount_velocity_history(silver_table(spark, sf_dir), DEFAULT)
     return df.select("transaction_id", "user_id", "amount", "user_30d_n", r4("user_30d_std"),
                      r4("amount_zscore"), r2("score_amount_velocity"))
 
 
 @query
 def rule_frequency_batch(spark, sf_dir):
-    df = R.tx_frequency(silver_rows(spark, sf_dir), DEFAULT, F.date_trunc("hour", "event_timestamp"))
+    df = R.tx_frequency(silver_table(spark, sf_dir), DEFAULT, F.date_trunc("hour", "event_timestamp"))
     return df.select("transaction_id", "card_id", "tx_count_batch", r2("score_tx_frequency"))
 
 
 @query
 def rule_frequency_10m(spark, sf_dir):
-    df = R.tx_frequency_history(silver_rows(spark, sf_dir), DEFAULT)
+    df = R.tx_frequency_history(silver_table(spark, sf_dir), DEFAULT)
     return df.select("transaction_id", "card_id", "tx_count_10min", r2("score_tx_frequency"))
 
 
@@ -203,7 +215,7 @@ def rule_cross_border_flag(spark, sf_dir):
 
 @query
 def rule_cross_border_60m(spark, sf_dir):
-    df = R.cross_border_history(silver_rows(spark, sf_dir), DEFAULT)
+    df = R.cross_border_history(silver_table(spark, sf_dir), DEFAULT)
     return df.select("transaction_id", "card_id", "country", "countries_60min_multi", "score_cross_border")
 
 
@@ -215,7 +227,7 @@ def rule_high_risk_mcc(spark, sf_dir):
 
 @query
 def rule_first_mcc(spark, sf_dir):
-    df = R.first_high_risk_use(silver_rows(spark, sf_dir))
+    df = R.first_high_risk_use(silver_table(spark, sf_dir))
     return df.select("transaction_id", "user_id", "merchant_category", "is_first_high_risk", "score_high_risk_mcc")
 
 
@@ -273,7 +285,7 @@ def schema_evolution(spark, sf_dir):
     from ..session import scratch_path
     from ..sources import storage
 
-    sv = silver_rows(spark, sf_dir)
+    sv = silver_table(spark, sf_dir)
     path = scratch_path(spark, "schema-evolution")
     old = sv.filter(F.col("event_timestamp") < _ts(CUT_TS)).drop("tx_week", "tx_month", "kafka_latency_ms")
     storage.write_layer(old, path, mode="overwrite", partition_by=None)
@@ -305,7 +317,7 @@ def user_stats_30d(spark, sf_dir):
 
 @query
 def score_with_user_stats(spark, sf_dir):
-    sv = silver_rows(spark, sf_dir)
+    sv = silver_table(spark, sf_dir)
     df = FT.score_with_user_stats(sv, FT.user_stats(sv))
     return df.select("transaction_id", "user_30d_n", r4("user_30d_std"), r4("amount_zscore"),
                      r2("score_amount_velocity"))
@@ -313,14 +325,14 @@ def score_with_user_stats(spark, sf_dir):
 
 @query
 def cross_border_pairs(spark, sf_dir):
-    return FT.cross_border_pairs(silver_rows(spark, sf_dir))
+    return FT.cross_border_pairs(silver_table(spark, sf_dir))
 
 
 # -- gold and reports -------------------------------------------------------------
 
-def gold_rows(spark, sf_dir, order: bool = True):
-    sv = silver_rows(spark, sf_dir)
-    return G.gold_anomalies(sv, scored_rows(spark, sf_dir), DEFAULT, order=order)
+def gold_rows(spark, sf_dir, order: bool = True, silver: DataFrame | None = None):
+    sv = silver if silver is not None else silver_table(spark, sf_dir)
+    return G.gold_anomalies(sv, scored_rows(spark, sf_dir, sv), DEFAULT, order=order)
 
 
 @query
@@ -342,7 +354,11 @@ def minute_summary(spark, sf_dir):
 
 @query
 def daily_summary(spark, sf_dir):
-    return RP.daily_summary(scored_rows(spark, sf_dir))
+    """A5 reads the scored layer (written once): its per-(day, card)
+    aggregate feeds both the day totals and the ranking."""
+    from ..sources import storage
+
+    return RP.daily_summary(storage.materialize(spark, scored_rows(spark, sf_dir), "scored"))
 
 
 @query
@@ -386,10 +402,13 @@ def alert_payload(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
+    from ..sources import storage
+
+    silver = silver_table(spark, sf_dir)
     layers = {
         "bronze": bronze_typed_rows(spark, sf_dir),
-        "silver": silver_rows(spark, sf_dir),
-        "gold": gold_rows(spark, sf_dir, order=False),
+        "silver": silver,
+        "gold": storage.materialize(spark, gold_rows(spark, sf_dir, order=False, silver=silver), "gold"),
     }
     return Q.quality_report(layers)
 
