@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, MICROS_PER_DAY, MICROS_PER_MINUTE, ScoringConfig
+from ..config import DEFAULT, MICROS_PER_DAY, MICROS_PER_HOUR, MICROS_PER_MINUTE, ScoringConfig
 from ..functions.columns import (
     cross_border_score,
     flag_score,
@@ -50,9 +50,13 @@ def amount_velocity(df: DataFrame, cfg: ScoringConfig = DEFAULT, scope: Column |
 
 
 def amount_velocity_history(df: DataFrame, cfg: ScoringConfig = DEFAULT,
-                            bucket_us: int = MICROS_PER_DAY) -> DataFrame:
+                            bucket_us: int = MICROS_PER_HOUR) -> DataFrame:
     """R1h: z against the user's prior ``history_days`` (current row and
-    same-instant rows excluded); fewer than ``min_history_rows`` -> 0."""
+    same-instant rows excluded); fewer than ``min_history_rows`` -> 0.
+
+    Hour buckets: the running window over raw rows is partitioned by
+    (user, hour), so a hot user's rows spread over one task per hour; the
+    30-day part sums at most 720 hourly partials per user."""
     out = prior_moments(df, "user_id", TS, "amount", cfg.history_days * MICROS_PER_DAY, bucket_us,
                         prefix="user_30d")
     enough = F.col("user_30d_n") >= cfg.min_history_rows
