@@ -447,8 +447,8 @@ def stream_dedup(spark, sf_dir):
     from ..streaming import pipeline as P
     from ..streaming import staging
     base, raw, ckpt, out = _stream_dirs(spark, "stream-dedup")
-    staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
-    silver = _silver_from(spark, raw, max_files=1).drop(P.ET)
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
+    silver = _silver_from(spark, raw, max_files=files).drop(P.ET)
     P.start_append(silver, out, f"{ckpt}/silver").awaitTermination()
     return spark.read.parquet(out).select(*STREAM_CONTENT)
 
@@ -462,10 +462,10 @@ def stream_restart(spark, sf_dir):
     base, raw, ckpt, out = _stream_dirs(spark, "stream-restart")
     rows = _raw(spark, sf_dir)
     half = STREAM_SLICES // 2
-    staging.stage(rows, raw, STREAM_SLICES, only=range(0, half))
-    P.start_append(_silver_from(spark, raw, max_files=1).drop(P.ET), out, f"{ckpt}/silver").awaitTermination()
-    staging.stage(rows, raw, STREAM_SLICES, only=range(half, STREAM_SLICES))
-    P.start_append(_silver_from(spark, raw, max_files=1).drop(P.ET), out, f"{ckpt}/silver").awaitTermination()
+    files = staging.stage(rows, raw, STREAM_SLICES, only=range(0, half))
+    P.start_append(_silver_from(spark, raw, max_files=files).drop(P.ET), out, f"{ckpt}/silver").awaitTermination()
+    staging.stage(rows, raw, STREAM_SLICES, only=range(half, STREAM_SLICES), files_per_slice=files)
+    P.start_append(_silver_from(spark, raw, max_files=files).drop(P.ET), out, f"{ckpt}/silver").awaitTermination()
     return spark.read.parquet(out).select(*STREAM_CONTENT)
 
 
@@ -512,8 +512,8 @@ def stream_sliding(spark, sf_dir):
     from ..streaming import pipeline as P
     from ..streaming import staging
     base, raw, ckpt, out = _stream_dirs(spark, "stream-sliding")
-    staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
-    partials = P.sliding_stream(_silver_from(spark, raw, max_files=1))
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
+    partials = P.sliding_stream(_silver_from(spark, raw, max_files=files))
     P.start_append(partials, out, f"{ckpt}/sliding").awaitTermination()
     df = P.fold_sliding(spark.read.parquet(out))
     return df.select("card_id", "window_start", "window_end", "tx_count_window", r2("amount_sum_window"),
@@ -529,10 +529,10 @@ def stream_stateful_rules(spark, sf_dir):
     from ..streaming import state as ST
     ST.ensure_rocksdb(spark)
     base, raw, ckpt, out = _stream_dirs(spark, "stream-state")
-    staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES, order=staging.event_order())
-    silver = _silver_from(spark, raw, max_files=1)
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES, order=staging.event_order())
+    silver = _silver_from(spark, raw, max_files=files)
     P.start_append(ST.card_history(silver), f"{out}/card", f"{ckpt}/card").awaitTermination()
-    silver = _silver_from(spark, raw, max_files=1)
+    silver = _silver_from(spark, raw, max_files=files)
     P.start_append(ST.user_history(silver), f"{out}/user", f"{ckpt}/user").awaitTermination()
     df = ST.history_scores(spark.read.parquet(f"{out}/card"), spark.read.parquet(f"{out}/user"))
     return df.select("transaction_id", "tx_count_10min", "countries_60min_multi", "user_30d_n",

@@ -2,13 +2,16 @@
 
 A stand-in for a broker in tests and catalogue runs: the raw records
 (payload + source metadata) derived from ``events`` are cut into slices by
-delivery time and each slice is appended as its own file set, so the file
-source (oldest first, ``maxFilesPerTrigger``) replays them in order.
+delivery time and each slice is appended as its own set of files, so the
+file source (oldest first) replays them in order. Every slice is written by
+as many tasks as the cluster has cores, as exactly ``files_per_slice``
+files; reading with ``maxFilesPerTrigger = files_per_slice`` makes one slice
+one micro-batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros
@@ -29,12 +32,34 @@ def event_order():
     return F.coalesce(ts, F.col("kafka_ingest_time"))
 
 
-def stage(raw: DataFrame, path: str, slices: int, only: range | None = None, order=None) -> None:
-    """Append slices (all, or the ``only`` range) to ``path`` in time order."""
+def data_files(spark: SparkSession, path: str) -> int:
+    """Number of data files under ``path`` (a metadata listing on the driver)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return 0
+    return sum(1 for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
+
+
+def stage(raw: DataFrame, path: str, slices: int, only: range | None = None, order=None,
+          files_per_slice: int | None = None) -> int:
+    """Append slices (all, or the ``only`` range) to ``path`` in time order.
+
+    Returns the number of files per slice, the ``maxFilesPerTrigger`` that
+    reads one slice per micro-batch. A slice with fewer rows than files is
+    padded with empty files so that every slice has the same count.
+    """
+    spark = raw.sparkSession
+    f = files_per_slice or spark.sparkContext.defaultParallelism
     indexed = slice_index(raw, slices, order).persist()
     try:
         for i in (only if only is not None else range(slices)):
+            before = data_files(spark, path)
             (indexed.filter(F.col("_slice") == i).drop("_slice")
-                    .coalesce(1).write.mode("append").parquet(path))
+                    .repartition(f).write.mode("append").parquet(path))
+            for _ in range(f - (data_files(spark, path) - before)):
+                spark.createDataFrame([], raw.schema).write.mode("append").parquet(path)
     finally:
         indexed.unpersist()
+    return f
