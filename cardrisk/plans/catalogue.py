@@ -207,6 +207,13 @@ def rule_off_hours(spark, sf_dir):
     return df.select("transaction_id", "tx_hour", "is_off_hours", "score_off_hours")
 
 
+@query
+def rule_off_hours_local(spark, sf_dir):
+    """R3h (D8): off-hours by the local clock of the transaction's country."""
+    df = R.off_hours_local(silver_rows(spark, sf_dir), DEFAULT)
+    return df.select("transaction_id", "country", "tx_hour", "local_hour", "is_off_hours_local", "score_off_hours")
+
+
 @query
 def rule_cross_border_flag(spark, sf_dir):
     df = R.cross_border(silver_rows(spark, sf_dir), DEFAULT)

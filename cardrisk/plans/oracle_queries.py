@@ -53,6 +53,18 @@ sql("rule_frequency_batch", SC + """SELECT transaction_id, card_id, tx_count_bat
 sql("rule_frequency_10m", HI + """SELECT transaction_id, card_id, tx_count_10min,
   round(score_tx_frequency, 2) AS score_tx_frequency FROM hist""")
 sql("rule_off_hours", SC + "SELECT transaction_id, tx_hour, is_off_hours, score_off_hours FROM scored")
+def _zone_case() -> str:
+    from ..operators.rules import COUNTRY_ZONES
+    whens = " ".join(f"WHEN '{c}' THEN '{z}'" for c, z in COUNTRY_ZONES.items())
+    return f"CASE country {whens} ELSE 'UTC' END"
+
+
+sql("rule_off_hours_local", S_ + f"""SELECT transaction_id, country, tx_hour, local_hour,
+  coalesce(local_hour >= 0 AND local_hour < 5, false) AS is_off_hours_local,
+  CASE WHEN coalesce(local_hour >= 0 AND local_hour < 5, false) THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END
+    AS score_off_hours
+FROM (SELECT *, CAST(hour(timezone({_zone_case()}, event_timestamp AT TIME ZONE 'UTC')) AS INTEGER) AS local_hour
+      FROM silver)""")
 sql("rule_cross_border_flag", SC + "SELECT transaction_id, is_international, amount, score_cross_border FROM scored")
 sql("rule_cross_border_60m", HI + """SELECT transaction_id, card_id, country, countries_60min_multi,
   score_cross_border FROM hist""")
