@@ -106,26 +106,48 @@ class Sinks:
         return f"{self.base}/{name}"
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write one micro-batch's rows as partition ``batch_id=N`` (dynamic
+    overwrite: a replayed batch replaces its own partition, D20)."""
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """Scan partition ``batch_id=N`` alone (no listing of other batches);
+    None when the batch wrote no rows."""
+    part = f"{path}/batch_id={batch_id}"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(part)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.parquet(part).withColumn("batch_id", F.lit(batch_id))
+
+
 def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=None, card_scope=None):
-    """The ``foreachBatch`` function: persist, score, write every output."""
+    """The ``foreachBatch`` function: write silver, score it, write every output.
+
+    Each step reads the rows the previous step wrote. The micro-batch (and
+    the stateful dedup upstream of it) runs exactly once, in the silver
+    write; scoring joins per-user / per-card statistics back to rows of the
+    written partition, so no branch re-runs the stream's plan. (Persisting
+    the micro-batch does not serve here: the statistics branches of the
+    self-join do not match the cached plan and would re-run the dedup.)
+    Written partitions also survive a lost executor, where cached blocks
+    would be recomputed. A batch without rows writes nothing further.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.drop(ET).persist()
-        try:
-            scored = S.score_as_coded(batch, cfg, user_scope, card_scope).withColumn("batch_id", F.lit(batch_id))
-            scored = scored.persist()
-            out = {
-                "silver": batch.withColumn("batch_id", F.lit(batch_id)),
-                "scored": scored,
-                "gold_anomalies": G.flagged(scored),
-                "alerts": RP.alert_payload(scored).withColumn("batch_id", F.lit(batch_id)),
-            }
-            for name, df in out.items():
-                (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                   .partitionBy("batch_id").parquet(sinks.path(name)))
-            scored.unpersist()
-        finally:
-            batch.unpersist()
+        spark = batch.sparkSession
+        write_batch(batch.drop(ET), sinks.path("silver"), batch_id)
+        silver = read_batch(spark, sinks.path("silver"), batch_id)
+        if silver is None:
+            return
+        scored = S.score_as_coded(silver.drop("batch_id"), cfg, user_scope, card_scope)
+        write_batch(scored, sinks.path("scored"), batch_id)
+        scored = read_batch(spark, sinks.path("scored"), batch_id)
+        write_batch(G.flagged(scored).drop("batch_id"), sinks.path("gold_anomalies"), batch_id)
+        write_batch(RP.alert_payload(scored), sinks.path("alerts"), batch_id)
 
     return run
 

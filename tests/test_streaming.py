@@ -102,3 +102,21 @@ def test_bronze_and_dead_letter_from_one_read(spark):
     assert spark.read.parquet(sinks.path("bronze")).count() == 2
     reasons = sorted(r.reject_reason for r in spark.read.parquet(sinks.path("dead_letter")).collect())
     assert reasons == ["malformed_json", "null_payload"]
+
+
+def test_fan_out_runs_the_stream_plan_once_per_batch(spark):
+    """The stateful dedup upstream of the fan-out executes once per
+    micro-batch: its state holds exactly the rows written to silver (a
+    scoring branch re-running the stream plan would multiply the count)."""
+    from cardrisk.plans import catalogue as C
+    from cardrisk.streaming import staging
+    base, raw, ckpt, out = C._stream_dirs(spark, "fanout-once")
+    staging.stage(C._raw(spark, SF_SMALL), raw, 1)
+    sinks = P.Sinks(out)
+    q = P.start_scoring(C._silver_from(spark, raw), sinks, f"{ckpt}/score")
+    q.awaitTermination()
+    first = q.recentProgress[0]
+    silver_rows = spark.read.parquet(sinks.path("silver")).count()
+    assert first["stateOperators"][0]["numRowsTotal"] == silver_rows > 0
+    # the closing batch has no rows and writes no partition
+    assert spark.read.parquet(sinks.path("silver")).select("batch_id").distinct().count() == 1
