@@ -477,12 +477,13 @@ def stream_restart(spark, sf_dir):
 
 
 def _scored_stream_run(spark, sf_dir, name):
-    """One source query, one foreachBatch fan-out (the whole staged input is
-    one micro-batch, so batch-relative scores equal a one-batch run)."""
+    """One source query, one foreachBatch fan-out. The source has no rate
+    cap here, so the whole delivery is one micro-batch (batch-relative scores
+    equal a one-batch run); it is staged as one slice."""
     from ..streaming import pipeline as P
     from ..streaming import staging
     base, raw, ckpt, out = _stream_dirs(spark, name)
-    staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
+    staging.stage(_raw(spark, sf_dir), raw, 1)
     sinks = P.Sinks(out)
     P.start_scoring(_silver_from(spark, raw), sinks, f"{ckpt}/score").awaitTermination()
     return base, sinks
