@@ -133,3 +133,22 @@ def alert_payload(scored: DataFrame) -> DataFrame:
               else F.col(f) for f in ALERT_FIELDS]
     return (scored.filter(F.col("risk_level") == "HIGH")
                   .select(F.col("card_id").alias("key"), F.to_json(F.struct(*fields)).alias("value")))
+
+
+def label_quality(scored: DataFrame, labels: DataFrame, rule_set: str) -> DataFrame:
+    """Injected-anomaly labels against the flags (MEDIUM/HIGH) of one rule set:
+    counts, precision and recall -- the check the labels were injected for.
+
+    ``labels`` is (transaction_id, label); redelivered copies carry the same
+    label, so it is reduced to one row per id (map-side partial max), joined
+    on the id, and folded by one global aggregate (partial per task).
+    """
+    lab = labels.groupBy("transaction_id").agg(F.max("label").alias("label"))
+    j = scored.select("transaction_id", is_flagged().alias("flagged")).join(lab, "transaction_id", "left")
+    lbl, flg = F.coalesce(F.col("label"), F.lit(False)), F.col("flagged")
+    agg = j.agg(F.count(F.lit(1)).alias("tx_count"), F.count_if(lbl).alias("labelled_count"),
+                F.count_if(flg).alias("flagged_count"), F.count_if(lbl & flg).alias("true_positives"))
+    tp, fl, lb = F.col("true_positives"), F.col("flagged_count"), F.col("labelled_count")
+    return agg.select(F.lit(rule_set).alias("rule_set"), "tx_count", "labelled_count", "flagged_count",
+                      "true_positives", F.when(fl > 0, tp / fl).alias("flag_precision"),
+                      F.when(lb > 0, tp / lb).alias("flag_recall"))

@@ -407,6 +407,19 @@ def alert_payload(spark, sf_dir):
     return RP.alert_payload(scored_rows(spark, sf_dir))
 
 
+@query
+def label_quality(spark, sf_dir):
+    """Injected labels vs flags for the as-coded and the documented rules
+    (one silver table scored both ways; labels from the deliveries)."""
+    sv = silver_table(spark, sf_dir)
+    labels = bronze_rows(spark, sf_dir).select("transaction_id", F.col("_is_injected_anomaly").alias("label"))
+    as_coded = RP.label_quality(scored_rows(spark, sf_dir, sv), labels, "as_coded")
+    history = RP.label_quality(S.score_history(sv, DEFAULT, scored_at=scored_at()), labels, "history")
+    return as_coded.unionByName(history).select(
+        "rule_set", "tx_count", "labelled_count", "flagged_count", "true_positives",
+        F.round("flag_precision", 6).alias("flag_precision"), F.round("flag_recall", 6).alias("flag_recall"))
+
+
 @query
 def quality_report(spark, sf_dir):
     from ..sources import storage

@@ -197,8 +197,8 @@ sql("minute_summary", SC + """SELECT time_bucket(INTERVAL 1 MINUTE, event_timest
 FROM scored GROUP BY ALL""")
 sql("daily_summary", SC + """
 , totals AS (
-  SELECT tx_date, count(*) AS total_transactions, count_if(risk_level = 'HIGH') AS high_risk_count,
-         count_if(risk_level = 'MEDIUM') AS medium_risk_count, count_if(risk_level = 'LOW') AS low_risk_count
+  SELECT tx_date, count(*) AS total_transactions, CAST(count_if(risk_level = 'HIGH') AS BIGINT) AS high_risk_count,
+         CAST(count_if(risk_level = 'MEDIUM') AS BIGINT) AS medium_risk_count, CAST(count_if(risk_level = 'LOW') AS BIGINT) AS low_risk_count
   FROM scored GROUP BY tx_date
 ),
 pc AS (
@@ -220,7 +220,7 @@ sql("anomaly_rate_5m", SC + """
   FROM scored, range(5) AS r(k)
 )
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS tx_count,
-       count_if(risk_level IN ('MEDIUM', 'HIGH')) AS flagged_count,
+       CAST(count_if(risk_level IN ('MEDIUM', 'HIGH')) AS BIGINT) AS flagged_count,
        round(count_if(risk_level IN ('MEDIUM', 'HIGH')) * 100.0::DOUBLE / count(*), 4) AS anomaly_rate_pct
 FROM win GROUP BY window_start""")
 sql("score_by_hour", SC + """SELECT tx_hour, CAST(least(floor(anomaly_score / 10), 9) * 10 AS INTEGER) AS score_bin,
@@ -230,7 +230,7 @@ sql("tx_rate_by_category", SC + """SELECT time_bucket(INTERVAL 1 MINUTE, event_t
   count(*) AS tx_count, round(count(*) / 60.0::DOUBLE, 6) AS tx_per_sec FROM scored GROUP BY ALL""")
 sql("latest_100", SC + """SELECT transaction_id, event_timestamp, card_id, amount, anomaly_score, risk_level
   FROM scored ORDER BY event_timestamp DESC, transaction_id DESC LIMIT 100""")
-sql("top_flagged_cards", SC + """SELECT card_id, count_if(risk_level IN ('MEDIUM', 'HIGH')) AS flagged_count,
+sql("top_flagged_cards", SC + """SELECT card_id, CAST(count_if(risk_level IN ('MEDIUM', 'HIGH')) AS BIGINT) AS flagged_count,
   max(anomaly_score) AS max_score, count(*) AS tx_count FROM scored GROUP BY card_id
   ORDER BY flagged_count DESC, max_score DESC, card_id LIMIT 10""")
 sql("alert_timeline", SC + """SELECT event_timestamp, transaction_id, card_id, risk_level, anomaly_score,
@@ -286,7 +286,7 @@ def _check_sql(layer, column, test, cond):
              f"GROUP BY {column} HAVING count(*) > 1))")
         return f"SELECT '{layer}' AS layer, '{column}' AS column_name, '{test}' AS test, {v} AS violations"
     return (f"SELECT '{layer}' AS layer, '{column}' AS column_name, '{test}' AS test, "
-            f"count_if({cond}) AS violations FROM {layer}")
+            f"CAST(count_if({cond}) AS BIGINT) AS violations FROM {layer}")
 
 
 sql("quality_report", GO + "SELECT layer, column_name, test, CAST(violations AS BIGINT) AS violations, "
@@ -340,3 +340,20 @@ SELECT h.transaction_id, h.tx_count_10min, h.countries_60min_multi, st.n AS user
        round(st.std, 4) AS user_30d_std, h.is_first_high_risk, round(h.score_tx_frequency, 2) AS score_tx_frequency,
        h.score_cross_border, h.score_high_risk_mcc
 FROM hist h JOIN st ON h.user_id = st.user_id AND h.tx_date = st.tx_date""")
+
+sql("label_quality", w(*BASE, SCORED, HISTORY) + """
+, labels AS (SELECT transaction_id, max(_is_injected_anomaly) AS label FROM tx GROUP BY transaction_id),
+lq AS (
+  SELECT 'as_coded' AS rule_set, s.risk_level IN ('MEDIUM', 'HIGH') AS is_flag, coalesce(l.label, false) AS is_label
+  FROM scored s LEFT JOIN labels l USING (transaction_id)
+  UNION ALL
+  SELECT 'history', h.risk_level IN ('MEDIUM', 'HIGH'), coalesce(l.label, false)
+  FROM hist h LEFT JOIN labels l USING (transaction_id)
+)
+SELECT rule_set, count(*) AS tx_count, CAST(count_if(is_label) AS BIGINT) AS labelled_count, CAST(count_if(is_flag) AS BIGINT) AS flagged_count,
+  CAST(count_if(is_label AND is_flag) AS BIGINT) AS true_positives,
+  round(CASE WHEN count_if(is_flag) > 0 THEN count_if(is_label AND is_flag) / count_if(is_flag) END, 6)
+    AS flag_precision,
+  round(CASE WHEN count_if(is_label) > 0 THEN count_if(is_label AND is_flag) / count_if(is_label) END, 6)
+    AS flag_recall
+FROM lq GROUP BY rule_set""")

@@ -10,7 +10,11 @@ from conftest import SF_SMALL
 
 FAST = ["silver_full", "composite_score", "composite_history", "rule_velocity_30d", "rule_first_mcc",
         "cross_border_pairs", "user_stats_30d", "gold_anomalies", "daily_summary", "quality_report",
-        "bronze_parse_json", "bronze_dead_letter", "silver_upsert", "card_sliding_features", "alert_payload"]
+        "bronze_parse_json", "bronze_dead_letter", "silver_upsert", "card_sliding_features", "alert_payload",
+        "rule_off_hours_local", "label_quality", "top_flagged_cards", "anomaly_rate_5m"]
+
+ARROW = {"string": "string", "bigint": "int64", "int": "int32", "double": "double", "boolean": "bool",
+         "timestamp_ntz": "timestamp[us]"}
 
 
 @pytest.fixture(scope="module")
@@ -45,3 +49,14 @@ def test_every_key_has_a_plan_and_entry_runs(spark):
     from __spark_entry__ import entry, oracle_sql, queries
     assert set(oracle_sql()) <= set(queries())
     assert entry(spark).count() >= 0
+
+
+@pytest.mark.parametrize("key", FAST)
+def test_column_types_match_duckdb(spark, con, key):
+    """Same names and the same types on both sides (counts are BIGINT, not
+    DuckDB's wide integer; dates leave as ISO text)."""
+    from __spark_entry__ import oracle_sql, queries
+    got = {f.name: ARROW.get(f.dataType.simpleString(), f.dataType.simpleString())
+           for f in queries()[key](spark, SF_SMALL).schema}
+    want = {f.name: str(f.type) for f in con.sql(oracle_sql()[key]).to_arrow_table().schema}
+    assert got == want
