@@ -19,7 +19,7 @@ from ..operators import rules as R
 from ..operators import score as S
 from ..operators import silver as SV
 from ..session import pin_utc
-from ..sources import fixture
+from ..sources import fixture, storage
 from .oracle import CUT_TS, RUN_ID, RUN_TS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,8 +71,6 @@ def silver_table(spark, sf_dir) -> DataFrame:
     (rows + per-key statistics joined back, window context rows, the gold
     join, three layers of checks) scan it with pruned columns instead of
     repeating the fixture scan and the dedup shuffle once per branch."""
-    from ..sources import storage
-
     return storage.materialize(spark, silver_rows(spark, sf_dir), "silver")
 
 
@@ -290,8 +288,6 @@ def schema_evolution(spark, sf_dir):
     """IO10 (+IO6, IO9): an old-schema layer gains columns on append; read
     back with mergeSchema, old rows hold NULL in the new columns."""
     from ..session import scratch_path
-    from ..sources import storage
-
     sv = silver_table(spark, sf_dir)
     path = scratch_path(spark, "schema-evolution")
     old = sv.filter(F.col("event_timestamp") < _ts(CUT_TS)).drop("tx_week", "tx_month", "kafka_latency_ms")
@@ -363,8 +359,6 @@ def minute_summary(spark, sf_dir):
 def daily_summary(spark, sf_dir):
     """A5 reads the scored layer (written once): its per-(day, card)
     aggregate feeds both the day totals and the ranking."""
-    from ..sources import storage
-
     return RP.daily_summary(storage.materialize(spark, scored_rows(spark, sf_dir), "scored"))
 
 
@@ -422,8 +416,6 @@ def label_quality(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    from ..sources import storage
-
     silver = silver_table(spark, sf_dir)
     layers = {
         "bronze": bronze_typed_rows(spark, sf_dir),
