@@ -55,10 +55,13 @@ def run_layers(spark: SparkSession, bronze_rows: DataFrame, base: str | None = N
     bronze = storage.read_layer(spark, bronze_path)
     reports.append(_check(bronze, "bronze", gated))
 
-    # silver: dedup over all bronze, merged as a new version
-    silver_all = SV.to_silver(bronze, cfg)
+    # silver: the model dedups all bronze and keeps rows above silver's mark.
+    # A key's latest delivery is above the mark whenever any of its
+    # deliveries is (the mark is strict and new deliveries are later), so the
+    # mark is applied first: each run shuffles the new bronze rows, not the
+    # whole history. Merged on the key into a new version.
     current = storage.read_current(spark, silver_base)
-    incoming = B.incremental_new_rows(silver_all, current)
+    incoming = SV.to_silver(B.incremental_new_rows(bronze, current), cfg)
     version = storage.merge_version(spark, incoming, silver_base)
     silver = storage.read_current(spark, silver_base)
     reports.append(_check(silver, "silver", gated))

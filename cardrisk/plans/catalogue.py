@@ -275,10 +275,13 @@ def composite_history(spark, sf_dir):
 @query
 def silver_upsert(spark, sf_dir):
     """IO8 + J4: first run built silver from the deliveries before the cut;
-    the next run merges the rows above the high-water mark on the key."""
+    the next run merges the rows above the high-water mark on the key. The
+    mark filters bronze before the dedup (same rows as dedup-then-mark: a
+    key's latest delivery is above the mark whenever any of its deliveries
+    is), so a run shuffles only the new deliveries."""
     bt = bronze_typed_rows(spark, sf_dir)
     target = SV.to_silver(bt.filter(F.col("ingested_at") < _ts(CUT_TS)))
-    incoming = B.incremental_new_rows(SV.to_silver(bt), target)
+    incoming = SV.to_silver(B.incremental_new_rows(bt, target))
     return SV.upsert(target, incoming).select("transaction_id", "ingested_at", "kafka_offset", "kafka_partition",
                                               "amount")
 
