@@ -27,8 +27,18 @@ LOG = "_versions"
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = "auto") -> None:
+    """Write a layer; partitioned by ``tx_date`` when it has one.
+
+    Rows reach a partitioned write hashed by some other key (transaction,
+    user, card), so every task would hold every date and write one small
+    file per date: tasks x dates files. The ``rebalance`` hint shuffles by
+    the partition column and lets AQE split a large date into advisory-sized
+    pieces and merge small ones -- files of a useful size, per date.
+    """
     if partition_by == "auto":
         partition_by = "tx_date" if "tx_date" in df.columns else None
+    if partition_by:
+        df = df.hint("rebalance", partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
