@@ -86,6 +86,9 @@ class ScoringConfig:
     # skew control for trailing windows: rows are split into time buckets
     # of this many frame-lengths; a hot card/user is processed by many tasks.
     bucket_frames: int = 6
+    # card history rules (R2h, R4h): windows run per (card, bucket) of this
+    # many minutes; both frames must be whole numbers of it.
+    history_bucket_minutes: int = 1
 
     def with_(self, **kw) -> "ScoringConfig":
         return replace(self, **kw)

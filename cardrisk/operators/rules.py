@@ -24,7 +24,7 @@ from ..functions.columns import (
     velocity_score,
     zscore,
 )
-from .windows import prior_moments, trailing
+from .windows import bucketed_frames, prior_moments
 
 TS = "event_timestamp"
 
@@ -78,10 +78,8 @@ def tx_frequency(df: DataFrame, cfg: ScoringConfig = DEFAULT, scope: Column | No
 
 def tx_frequency_history(df: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_us: int | None = None) -> DataFrame:
     """R2h: the card's rows in the trailing window, current row included."""
-    frame = cfg.freq_window_minutes * MICROS_PER_MINUTE
-    out = trailing(df, ["card_id"], TS, frame,
-                   {"tx_count_10min": lambda w: F.count(F.lit(1)).over(w)},
-                   bucket_us or frame * cfg.bucket_frames)
+    out = bucketed_frames(df, "card_id", TS, bucket_us or cfg.history_bucket_minutes * MICROS_PER_MINUTE,
+                          count_frame_us=cfg.freq_window_minutes * MICROS_PER_MINUTE, count_name="tx_count_10min")
     return out.withColumn("score_tx_frequency", frequency_score("tx_count_10min", cfg))
 
 
@@ -120,36 +118,33 @@ def cross_border(df: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
     return df.withColumn("score_cross_border", cross_border_score("is_international", "amount", cfg))
 
 
-def cross_border_history(df: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_us: int | None = None) -> DataFrame:
-    """R4h: 100 when the card's trailing window (current row included) holds
-    two or more countries. min <> max needs no set of countries in memory."""
-    frame = cfg.cross_border_window_minutes * MICROS_PER_MINUTE
-    out = trailing(df, ["card_id"], TS, frame,
-                   {"_cmin": lambda w: F.min("country").over(w),
-                    "_cmax": lambda w: F.max("country").over(w)},
-                   bucket_us or frame * cfg.bucket_frames, ctx_cols=("country",))
+def _multi_country(out: DataFrame) -> DataFrame:
+    # two or more countries in the frame: its smallest and largest differ
     multi = F.coalesce(F.col("_cmin") != F.col("_cmax"), F.lit(False))
     return (out.withColumn("countries_60min_multi", multi)
                .withColumn("score_cross_border", flag_score("countries_60min_multi"))
                .drop("_cmin", "_cmax"))
 
 
+def cross_border_history(df: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_us: int | None = None) -> DataFrame:
+    """R4h: 100 when the card's trailing window (current row included) holds
+    two or more countries. min <> max needs no set of countries in memory."""
+    out = bucketed_frames(df, "card_id", TS, bucket_us or cfg.history_bucket_minutes * MICROS_PER_MINUTE,
+                          minmax_col="country", minmax_frame_us=cfg.cross_border_window_minutes * MICROS_PER_MINUTE,
+                          min_name="_cmin", max_name="_cmax")
+    return _multi_country(out)
+
+
 def card_history(df: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_us: int | None = None) -> DataFrame:
-    """R2h and R4h together: both partition by card and time bucket, so one
-    shuffle and one sorted window pass serve the 10- and 60-minute frames."""
-    f10 = cfg.freq_window_minutes * MICROS_PER_MINUTE
-    f60 = cfg.cross_border_window_minutes * MICROS_PER_MINUTE
-    out = trailing(df, ["card_id"], TS, max(f10, f60),
-                   {"tx_count_10min": lambda w: F.count(F.lit(1)).over(w),
-                    "_cmin": lambda w: F.min("country").over(w),
-                    "_cmax": lambda w: F.max("country").over(w)},
-                   bucket_us or max(f10, f60) * cfg.bucket_frames, ctx_cols=("country",),
-                   frames={"tx_count_10min": f10, "_cmin": f60, "_cmax": f60})
-    multi = F.coalesce(F.col("_cmin") != F.col("_cmax"), F.lit(False))
-    return (out.withColumn("score_tx_frequency", frequency_score("tx_count_10min", cfg))
-               .withColumn("countries_60min_multi", multi)
-               .withColumn("score_cross_border", flag_score("countries_60min_multi"))
-               .drop("_cmin", "_cmax"))
+    """R2h and R4h together: one set of (card, bucket) partitions and one
+    window pass serve the 10- and the 60-minute frames. Buckets are a minute
+    by default, so a hot card is spread over one task per minute of its
+    traffic (``windows.bucketed_frames``)."""
+    out = bucketed_frames(df, "card_id", TS, bucket_us or cfg.history_bucket_minutes * MICROS_PER_MINUTE,
+                          count_frame_us=cfg.freq_window_minutes * MICROS_PER_MINUTE, count_name="tx_count_10min",
+                          minmax_col="country", minmax_frame_us=cfg.cross_border_window_minutes * MICROS_PER_MINUTE,
+                          min_name="_cmin", max_name="_cmax")
+    return _multi_country(out.withColumn("score_tx_frequency", frequency_score("tx_count_10min", cfg)))
 
 
 def high_risk_mcc(df: DataFrame) -> DataFrame:

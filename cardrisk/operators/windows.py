@@ -117,3 +117,87 @@ def prior_moments(df: DataFrame, key: str, ts_col: str, x_col: str, window_us: i
     drop = [_T, _B, _SELF, tt, "_s", "_ss", "_pn", "_ps", "_pss", "_cn", "_cs", "_css",
             "_fn", "_fs", "_fss", "_en", "_es", "_ess"]
     return u.drop(*drop)
+
+
+def bucketed_frames(df: DataFrame, key: str, ts_col: str, bucket_us: int,
+                    count_frame_us: int | None = None, count_name: str = "frame_count",
+                    minmax_col: str | None = None, minmax_frame_us: int | None = None,
+                    min_name: str = "frame_min", max_name: str = "frame_max") -> DataFrame:
+    """Row count over ``[ts - count_frame, ts]`` and min/max of ``minmax_col``
+    over ``[ts - minmax_frame, ts]`` within ``key`` (RANGE semantics: equal
+    timestamps included), with no partition larger than one bucket of a key.
+
+    Each frame is the union of three parts, all at bucket granularity (the
+    frames must be whole numbers of buckets):
+
+    * the fully covered buckets before the current one -- a per-(key, bucket)
+      aggregate (combined map-side) and a sliding window over those rows,
+      one row per key and bucket;
+    * the current bucket up to ``ts`` -- a running window in partition
+      (key, bucket);
+    * the oldest, partly covered bucket -- its rows are copied forward by the
+      frame length (narrow: time and value only) into the partition of the
+      current bucket, where a forward frame keeps those at or after ``ts``.
+
+    A key holding a third of the data is spread over one task per bucket
+    (a minute by default for the card rules) instead of one task per key.
+    """
+    if count_frame_us is None and minmax_col is None:
+        raise ValueError("nothing to compute")
+    for f in (count_frame_us, minmax_frame_us if minmax_col else None):
+        if f is not None and (f % bucket_us or f < bucket_us):
+            raise ValueError("frames must be whole numbers of buckets")
+    base = (df.withColumn(_T, epoch_micros(ts_col))
+              .withColumn(_B, F.floor(F.col(_T) / F.lit(bucket_us))))
+    kc = count_frame_us // bucket_us if count_frame_us is not None else None
+    km = minmax_frame_us // bucket_us if minmax_col else None
+
+    # fully covered buckets: per-bucket partials, then a window over buckets
+    part_aggs = []
+    if kc is not None:
+        part_aggs.append(F.count(F.lit(1)).alias("_pn"))
+    if km is not None:
+        part_aggs += [F.min(minmax_col).alias("_pmin"), F.max(minmax_col).alias("_pmax")]
+    parts = base.groupBy(key, _B).agg(*part_aggs)
+    wb = Window.partitionBy(key).orderBy(_B)
+    full = [parts[key], parts[_B]]
+    if kc is not None:
+        full.append((F.sum("_pn").over(wb.rangeBetween(-(kc - 1), -1)) if kc > 1 else F.lit(None)).alias("_fn"))
+    if km is not None:
+        fr = wb.rangeBetween(-(km - 1), -1) if km > 1 else None
+        full += [(F.min("_pmin").over(fr) if fr is not None else F.lit(None)).alias("_fmin"),
+                 (F.max("_pmax").over(fr) if fr is not None else F.lit(None)).alias("_fmax")]
+    full = parts.select(*full)
+
+    # own rows, plus the oldest bucket's rows moved forward by each frame
+    order, kind = "_o", "_kind"
+    u = base.withColumn(order, F.col(_T)).withColumn(kind, F.lit(0))
+    if kc is not None:
+        u = u.unionByName(base.select(key, (F.col(_B) + kc).alias(_B), (F.col(_T) + count_frame_us).alias(order),
+                                      F.lit(1).alias(kind)), allowMissingColumns=True)
+    if km is not None:
+        u = u.unionByName(base.filter(F.col(minmax_col).isNotNull())
+                              .select(key, (F.col(_B) + km).alias(_B), (F.col(_T) + minmax_frame_us).alias(order),
+                                      F.lit(2).alias(kind), F.col(minmax_col).alias("_mv")),
+                          allowMissingColumns=True)
+    w = Window.partitionBy(key, _B).orderBy(order)
+    upto = w.rangeBetween(Window.unboundedPreceding, 0)
+    onward = w.rangeBetween(0, Window.unboundedFollowing)
+    own = F.col(kind) == 0
+    extra = []
+    if kc is not None:
+        extra += [F.count(F.when(own, F.lit(1))).over(upto).alias("_rn"),
+                  F.count(F.when(F.col(kind) == 1, F.lit(1))).over(onward).alias("_en")]
+    if km is not None:
+        extra += [F.min(F.when(own, F.col(minmax_col))).over(upto).alias("_rmin"),
+                  F.max(F.when(own, F.col(minmax_col))).over(upto).alias("_rmax"),
+                  F.min(F.when(F.col(kind) == 2, F.col("_mv"))).over(onward).alias("_emin"),
+                  F.max(F.when(F.col(kind) == 2, F.col("_mv"))).over(onward).alias("_emax")]
+    u = u.select("*", *extra).filter(own).join(full, on=[key, _B], how="left")
+    if kc is not None:
+        u = u.withColumn(count_name, F.coalesce("_fn", F.lit(0)) + F.col("_rn") + F.col("_en"))
+    if km is not None:
+        u = (u.withColumn(min_name, F.least("_fmin", "_rmin", "_emin"))
+              .withColumn(max_name, F.greatest("_fmax", "_rmax", "_emax")))
+    names = ([count_name] if kc is not None else []) + ([min_name, max_name] if km is not None else [])
+    return u.select(*df.columns, *names)
