@@ -15,7 +15,12 @@ task is the job. These helpers split each key by *time bucket* instead:
   before the current row, and the part of the oldest bucket still inside
   the frame, come from one running window over (key, bucket).
 
-Both are compositions of built-in operators (aggregate, window, union,
+* ``bucketed_frames`` -- counts and min/max over trailing frames with
+  buckets much shorter than the frame (a minute for the card rules), from
+  per-bucket partials, a running window in the current bucket and the oldest
+  bucket's rows copied forward; used by R2h and R4h.
+
+All are compositions of built-in operators (aggregate, window, union,
 join); the results equal the single-partition RANGE frame exactly.
 """
 
