@@ -83,11 +83,13 @@ def cross_border_pairs(silver: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_m
     The latest earlier row of another country is the row just before the
     current run of same-country rows, so it comes from ``lag`` and a carried
     ``last`` over the card's time order; no pairs are materialised. Cards are
-    split into time buckets, each with the previous bucket's last window of
-    rows as context (see ``windows.trailing``).
+    split into time buckets of one frame (an hour), each with the previous
+    bucket as context (see ``windows.trailing``): the rows here are narrow
+    (card, id, time, country), so copying each once is cheap, and a hot card
+    is spread over one task per hour of its traffic.
     """
     frame = cfg.cross_border_window_minutes * MICROS_PER_MINUTE
-    bucket = (bucket_minutes * MICROS_PER_MINUTE) if bucket_minutes else frame * cfg.bucket_frames
+    bucket = (bucket_minutes * MICROS_PER_MINUTE) if bucket_minutes else frame
     base = (silver.filter(F.col("country").isNotNull())
                   .select("card_id", "transaction_id", "event_timestamp", "country")
                   .withColumn("_t", epoch_micros("event_timestamp"))

@@ -98,3 +98,23 @@ def test_bucketed_frames_spread_a_hot_key(spark):
     specs = re.findall(r"Arguments: \[[^\n]*?\], \[([^\]]*)\], \[([^\]]*)\]", buf.getvalue())
     parts = [[c.strip().split("#")[0] for c in p.split(",")] for p, _ in specs]
     assert ["k", "_bkt"] in parts
+
+
+@pytest.mark.parametrize("bucket_min", [60, 120, 360])
+def test_cross_border_partner_equals_brute_force(spark, bucket_min):
+    """J3 (latest earlier row of another country within 60 minutes) at any
+    bucket size equals a brute-force self-join on the small fixture."""
+    from cardrisk.operators.features import cross_border_pairs
+    df = frame(spark, 11).select(F.col("k").alias("card_id"), F.col("id").alias("transaction_id"),
+                                 F.col("ts").alias("event_timestamp"), F.col("c").alias("country"))
+    got = {r.transaction_id: r.partner_transaction_id
+           for r in cross_border_pairs(df, bucket_minutes=bucket_min).collect()}
+    a = df.toDF("card_a", "id_a", "ts_a", "c_a")
+    b = df.toDF("card_b", "id_b", "ts_b", "c_b")
+    earlier = (F.col("ts_b") < F.col("ts_a")) | ((F.col("ts_b") == F.col("ts_a")) & (F.col("id_b") < F.col("id_a")))
+    cond = ((F.col("card_a") == F.col("card_b")) & (F.col("c_a") != F.col("c_b")) & earlier
+            & (F.col("ts_b") >= F.col("ts_a") - F.expr("INTERVAL 60 MINUTES")))
+    brute = (a.join(b, cond).groupBy("id_a").agg(F.max(F.struct("ts_b", "id_b")).alias("p"))
+              .select("id_a", F.col("p.id_b").alias("partner")))
+    want = {r.id_a: r.partner for r in brute.collect()}
+    assert got == want and len(want) > 10
