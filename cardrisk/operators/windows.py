@@ -177,14 +177,18 @@ def bucketed_frames(df: DataFrame, key: str, ts_col: str, bucket_us: int,
     # own rows, plus the oldest bucket's rows moved forward by each frame
     order, kind = "_o", "_kind"
     u = base.withColumn(order, F.col(_T)).withColumn(kind, F.lit(0))
+    copies = []        # (bucket, order, kind, value) of each forward copy; one scan emits all
+    mv_type = base.schema[minmax_col].dataType if km is not None else "string"
     if kc is not None:
-        u = u.unionByName(base.select(key, (F.col(_B) + kc).alias(_B), (F.col(_T) + count_frame_us).alias(order),
-                                      F.lit(1).alias(kind)), allowMissingColumns=True)
+        copies.append(F.struct((F.col(_B) + kc).alias(_B), (F.col(_T) + count_frame_us).alias(order),
+                               F.lit(1).alias(kind), F.lit(None).cast(mv_type).alias("_mv")))
     if km is not None:
-        u = u.unionByName(base.filter(F.col(minmax_col).isNotNull())
-                              .select(key, (F.col(_B) + km).alias(_B), (F.col(_T) + minmax_frame_us).alias(order),
-                                      F.lit(2).alias(kind), F.col(minmax_col).alias("_mv")),
-                          allowMissingColumns=True)
+        copies.append(F.struct((F.col(_B) + km).alias(_B), (F.col(_T) + minmax_frame_us).alias(order),
+                               F.lit(2).alias(kind), F.col(minmax_col).alias("_mv")))
+    fwd = base.select(key, F.inline(F.array(*copies)))
+    if km is not None:      # a NULL value cannot change a min/max: no copy
+        fwd = fwd.filter((F.col(kind) != 2) | F.col("_mv").isNotNull())
+    u = u.unionByName(fwd, allowMissingColumns=True)
     w = Window.partitionBy(key, _B).orderBy(order)
     upto = w.rangeBetween(Window.unboundedPreceding, 0)
     onward = w.rangeBetween(0, Window.unboundedFollowing)
