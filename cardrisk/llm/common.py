@@ -7,6 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Rows per Arrow batch. Texts may be megabytes long, so the default of 10,000
 # rows would let a batch outgrow a Python worker.
@@ -38,3 +39,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = x ^ (x >> np.uint64(32))
         x = x * np.uint64(0xD6E8FEB86659FD93)
         return x ^ (x >> np.uint64(29))
+
+
+# ---- joins that no hot key can overload -----------------------------------
+
+HOT_KEYS = 1024
+
+
+def join_sized(rows: DataFrame, sized: DataFrame, key: str, n_rows: int, size: str = "n") -> DataFrame:
+    """``rows`` inner-joined with ``sized``, which has one row per ``key`` and in
+    ``size`` the number of rows of ``rows`` that have it.
+
+    Keys with at least 1/HOT_KEYS of all ``n_rows`` rows -- there can be no more
+    than HOT_KEYS of them, hence the broadcast -- are looked up where their rows
+    are; all others go through a join on the key, where none is large.
+    """
+    least = max(2, -(-n_rows // HOT_KEYS))
+    hot = F.broadcast(sized.filter(F.col(size) >= least).drop(size))
+    cold = sized.filter(F.col(size) < least).drop(size)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))

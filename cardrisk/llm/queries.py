@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, mixture, quality_crf, secret_scan, shard_packing, warc_zstd
+from . import bpe, chat_format, lsh_forest, mixture, quality_crf, secret_scan, shard_packing, warc_zstd
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -22,6 +22,10 @@ def op1_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.judge_documents(spark, docs, chain)
 
 
+def op3_lsh_forest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(spark, table(spark, sf_dir, "documents"), width=2).drop("th")
+
+
 def op4_token_efficiency_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(spark, table(spark, sf_dir, "documents"), vocabulary_path(),
                                     public_tokenizers.PATTERN)
@@ -74,6 +78,7 @@ def op10_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_crf_quality": op1_line_crf_quality,
     "op2_zstd_warc": op2_zstd_warc,
+    "op3_lsh_forest_dedup": op3_lsh_forest_dedup,
     "op4_token_efficiency_secrets": op4_token_efficiency_secrets,
     "op5_two_tier_bpe": op5_two_tier_bpe,
     "op8_hierarchical_mixture": op8_hierarchical_mixture,
