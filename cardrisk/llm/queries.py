@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, lsh_forest, mixture, quality_crf, secret_scan, shard_packing, warc_zstd
+from . import ann_partitions, bpe, chat_format, lsh_forest, mixture, quality_crf, secret_scan, shard_packing, warc_zstd
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -39,6 +39,10 @@ def op2_zstd_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op7_learned_partition_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_partitions.search(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 # The tree that the sources are mixed over: the large crawl and the smaller
 # collections as domains, then language, then source.
 BULK_SOURCE = "src0"
@@ -81,6 +85,7 @@ QUERIES = {
     "op3_lsh_forest_dedup": op3_lsh_forest_dedup,
     "op4_token_efficiency_secrets": op4_token_efficiency_secrets,
     "op5_two_tier_bpe": op5_two_tier_bpe,
+    "op7_learned_partition_ann": op7_learned_partition_ann,
     "op8_hierarchical_mixture": op8_hierarchical_mixture,
     "op9_prefix_target_chat": op9_prefix_target_chat,
     "op10_vector_shards": op10_vector_shards,
