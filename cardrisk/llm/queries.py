@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_partitions, bpe, chat_format, lsh_forest, mixture, quality_crf, secret_scan, shard_packing, warc_zstd
+from . import ann_partitions, bpe, chat_format, lsh_forest, mixture, quality_crf, secret_scan, shard_packing, suffix_dedup, warc_zstd
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -39,6 +39,10 @@ def op2_zstd_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op6_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_learned_partition_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_partitions.search(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -85,6 +89,7 @@ QUERIES = {
     "op3_lsh_forest_dedup": op3_lsh_forest_dedup,
     "op4_token_efficiency_secrets": op4_token_efficiency_secrets,
     "op5_two_tier_bpe": op5_two_tier_bpe,
+    "op6_difference_cover_dedup": op6_difference_cover_dedup,
     "op7_learned_partition_ann": op7_learned_partition_ann,
     "op8_hierarchical_mixture": op8_hierarchical_mixture,
     "op9_prefix_target_chat": op9_prefix_target_chat,
