@@ -209,19 +209,25 @@ def codec_of(shared, pattern: str) -> Codec:
 
 
 def tokenize_documents(spark: SparkSession, docs: DataFrame, vocab_path: str, pattern: str) -> DataFrame:
-    """Per document the encoded ids (array of int) and the bytes they decode to."""
+    """Per document the encoded ids (array of int), their number, and whether they decode to the text again."""
     small_batches(spark)
     shared = spark.sparkContext.broadcast(read_ranks(vocab_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared, pattern)
         for b in batches:
-            ids = codec.encode_texts(texts_of(b.column(1)))
+            texts = texts_of(b.column(1))
+            joined = codec.encode_texts(texts)
+            ids = [np.fromstring(s, np.int32, sep=" ") for s in joined]
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            same = [codec.decode_joined(s) == t.encode("utf-8", "surrogatepass") for s, t in zip(joined, texts)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([[int(x) for x in s.split(" ")] if s else [] for s in ids], pa.list_(pa.int32())),
-                 pa.array([codec.decode_joined(s) for s in ids], pa.binary())], ["doc_id", "ids", "decoded"])
+                [b.column(0), pa.array(np.diff(ends), pa.int64()),
+                 pa.ListArray.from_arrays(ends, np.concatenate(ids) if ids else np.zeros(0, np.int32)),
+                 pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids", "decodes_back"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids array<int>, decodes_back boolean")
 
 
 def tokenize_digests(spark: SparkSession, docs: DataFrame, vocab_path: str, pattern: str) -> DataFrame:
