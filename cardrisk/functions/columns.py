@@ -33,11 +33,6 @@ def epoch_micros(ts) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), col(ts))
 
 
-def to_naive_utc(ts) -> Column:
-    """Zoned timestamp -> naive UTC wall clock (session zone is pinned to UTC)."""
-    return col(ts).cast("timestamp_ntz")
-
-
 def parse_event_time(s) -> Column:
     """ISO-8601 text -> naive UTC timestamp; junk -> NULL (ANSI-safe)."""
     return F.try_to_timestamp(col(s)).cast("timestamp_ntz")

@@ -3,11 +3,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, MICROS_PER_MINUTE, ScoringConfig
 from ..functions.columns import epoch_micros, velocity_score, zscore
+from ..functions.moments import CENTS, cents, mean_of, squared, std_of
+
+
+def covering_windows(start: Column, length: str, slide: str) -> Column:
+    """One row per sliding window that covers the cell [start, start + slide):
+    the windows of ``F.window(ts, length, slide)`` as structs (start, end).
+    ``length`` must be a whole number of slides."""
+    n = F.lit(seconds(length) // seconds(slide))
+    step, span = seconds(slide), seconds(length)
+    if span % step:
+        raise ValueError("length must be a whole number of slides")
+    back = lambda k: F.timestamp_add("SECOND", k * (-step), start)
+    return F.explode(F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(
+        back(k).alias("start"), F.timestamp_add("SECOND", F.lit(span), back(k)).alias("end"))))
+
+
+def seconds(interval: str) -> int:
+    """Whole seconds of an interval such as '10 minutes'."""
+    count, unit = interval.split()
+    return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
 
 def card_sliding_features(silver: DataFrame, length: str = "10 minutes", slide: str = "1 minute",
@@ -17,13 +37,16 @@ def card_sliding_features(silver: DataFrame, length: str = "10 minutes", slide:
     The reference collects the country of every row into a list. Here the
     list is kept as its multiset, ``country:count`` pairs in country order:
     the same information, bounded by the number of countries rather than by
-    the number of rows a hot card produces in a window. The first aggregate
-    (card, window, country) is combined map-side; the second only sees one
-    row per country.
+    the number of rows a hot card produces in a window. Rows are combined
+    map-side into cells of one slide (card, minute, country) first; only these
+    cells are copied to the windows that cover them.
     """
-    per_country = (silver.groupBy("card_id", F.window(ts, length, slide).alias("window"), "country")
-                         .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"),
-                              F.max("amount").alias("m")))
+    per_slide = (silver.groupBy("card_id", F.window(ts, slide).alias("cell"), "country")
+                       .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"), F.max("amount").alias("m")))
+    per_country = (per_slide.select("card_id", "country", "n", "s", "m",
+                                    covering_windows(F.col("cell.start"), length, slide).alias("window"))
+                            .groupBy("card_id", "window", "country")
+                            .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("m").alias("m")))
     pair = F.when(F.col("country").isNotNull(), F.concat(F.col("country"), F.lit(":"), F.col("n").cast("string")))
     out = per_country.groupBy("card_id", "window").agg(
         F.sum("n").alias("tx_count_window"),
@@ -36,21 +59,18 @@ def card_sliding_features(silver: DataFrame, length: str = "10 minutes", slide:
 
 
 def user_daily_partials(silver: DataFrame) -> DataFrame:
-    """Mergeable per-(user, day) partials: count, sum, sum of squares."""
-    a = F.col("amount")
+    """Mergeable per-(user, day) partials in whole cents: count, sum, sum of squares."""
+    a = cents(F.col("amount"))
     return silver.groupBy("user_id", "tx_date").agg(F.count(a).alias("n"), F.sum(a).alias("s"),
-                                                   F.sum(a * a).alias("ss"))
+                                                   F.sum(squared(a)).alias("ss"))
 
 
 def _moments(n, s, ss, prefix: str):
-    mean = F.when(n > 0, s / n)
-    m2 = ss - s * s / n
-    m2 = F.when(m2 <= F.lit(1e-12) * ss, F.lit(0.0)).otherwise(m2)
-    return [n.alias(f"{prefix}_n"), s.alias(f"{prefix}_sum"), mean.alias(f"{prefix}_mean"),
-            F.when(n >= 2, F.sqrt(m2 / (n - 1))).alias(f"{prefix}_std")]
+    return [n.alias(f"{prefix}_n"), (s / CENTS).alias(f"{prefix}_sum"), mean_of(n, s).alias(f"{prefix}_mean"),
+            std_of(n, s, ss).alias(f"{prefix}_std")]
 
 
-def user_stats(silver: DataFrame, cfg: ScoringConfig = DEFAULT, partials: DataFrame | None = None) -> DataFrame:
+def user_stats(silver: DataFrame | None, cfg: ScoringConfig = DEFAULT, partials: DataFrame | None = None) -> DataFrame:
     """A4: per user and day d, statistics over days d-30 .. d-1.
 
     Built from daily partials (written once per day, merged here) so the
@@ -61,8 +81,8 @@ def user_stats(silver: DataFrame, cfg: ScoringConfig = DEFAULT, partials: DataFr
     day = F.unix_date("tx_date")
     w = Window.partitionBy("user_id").orderBy(day).rangeBetween(-cfg.history_days, -1)
     n = F.coalesce(F.sum("n").over(w), F.lit(0))
-    s = F.coalesce(F.sum("s").over(w), F.lit(0.0))
-    ss = F.coalesce(F.sum("ss").over(w), F.lit(0.0))
+    s = F.coalesce(F.sum("s").over(w), F.lit(0))
+    ss = F.coalesce(F.sum("ss").over(w), F.lit(0))
     return p.select("user_id", F.col("tx_date").alias("stats_date"), *_moments(n, s, ss, "user_30d"))
 
 

@@ -3,7 +3,7 @@ latency (S10), risk filter (B9) and ordering (T1)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ScoringConfig
@@ -40,7 +40,7 @@ def latest_score(scores: DataFrame) -> DataFrame:
 
 
 def gold_anomalies(silver: DataFrame, scores: DataFrame, cfg: ScoringConfig = DEFAULT,
-                   dedup_scores: bool = True, order: bool = True) -> DataFrame:
+                   dedup_scores: bool = True, order: bool = True, loaded_at: Column | None = None) -> DataFrame:
     """Silver INNER JOIN flagged scores on transaction_id.
 
     Both sides are large at scale: a sort-merge join on the key, with the
@@ -58,6 +58,11 @@ def gold_anomalies(silver: DataFrame, scores: DataFrame, cfg: ScoringConfig = DE
     out = t.join(s, on="transaction_id", how="inner")
     out = (out.withColumn("risk_label", risk_label("anomaly_score", cfg))
               .withColumn("end_to_end_latency_ms", ms_between("event_timestamp", "scored_at")))
-    if order:
-        out = out.orderBy(F.col("anomaly_score").desc(), F.col("event_timestamp").desc())
-    return out
+    if loaded_at is not None:
+        out = out.withColumn("dbt_loaded_at", loaded_at)
+    return out.orderBy(*gold_order()) if order else out
+
+
+def gold_order() -> tuple[Column, Column]:
+    """T1."""
+    return F.col("anomaly_score").desc(), F.col("event_timestamp").desc()

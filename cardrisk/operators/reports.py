@@ -11,11 +11,13 @@ with a limit filter (WindowGroupLimit, map-side), never a collected group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .features import covering_windows
 from .gold import FLAGGED
 
+
 def is_flagged():
     return F.col("risk_level").isin(*FLAGGED)
 
@@ -71,19 +73,29 @@ def daily_summary(scored: DataFrame, top_k: int = 5) -> DataFrame:
                   .withColumn("top_flagged_cards", F.coalesce("top_flagged_cards", F.lit(""))))
 
 
-def daily_summary_payload(summary: DataFrame, run_id: str) -> DataFrame:
-    """A5 as the published record: one JSON value per day."""
-    return summary.select(F.to_json(F.struct(
-        F.col("tx_date").cast("string").alias("report_date"), F.lit(run_id).alias("pipeline_run"),
-        "total_transactions", "high_risk_count", "medium_risk_count", "low_risk_count",
-        F.split(F.col("top_flagged_cards"), ",").alias("top_flagged_cards"))).alias("value"))
+SUMMARY_FIELDS = ("report_date", "pipeline_run", "total_transactions", "high_risk_count", "medium_risk_count",
+                  "low_risk_count", "top_flagged_cards", "generated_at")   # the published record
+
+
+def daily_summary_payload(summary: DataFrame, run_id: str, generated_at: Column) -> DataFrame:
+    """A5 as the published record: one JSON value of ``SUMMARY_FIELDS`` per day;
+    the cards by rank, an empty list on a day without flags."""
+    cards = F.transform(F.filter(F.split("top_flagged_cards", ","), lambda x: x != ""),
+                        lambda x: F.substring_index(x, ":", 1))
+    record = {"report_date": F.col("tx_date").cast("string"), "pipeline_run": F.lit(run_id), "top_flagged_cards": cards,
+              "generated_at": generated_at}
+    return summary.select(F.col("tx_date").cast("string").alias("key"), F.to_json(F.struct(
+        *[record.get(f, F.col(f)).alias(f) for f in SUMMARY_FIELDS])).alias("value"))
 
 
 def anomaly_rate(scored: DataFrame, length: str = "5 minutes", slide: str = "1 minute",
                  ts: str = "event_timestamp") -> DataFrame:
-    """Share of flagged rows over a sliding window."""
-    out = (scored.groupBy(F.window(ts, length, slide))
-                 .agg(F.count(F.lit(1)).alias("tx_count"), F.count_if(is_flagged()).alias("flagged_count")))
+    """Share of flagged rows over a sliding window; rows are combined into
+    cells of one slide before the cells are copied to the windows that cover them."""
+    cells = (scored.groupBy(F.window(ts, slide).alias("cell"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_flagged()).alias("f")))
+    out = (cells.select("n", "f", covering_windows(F.col("cell.start"), length, slide).alias("window"))
+                .groupBy("window").agg(F.sum("n").alias("tx_count"), F.sum("f").alias("flagged_count")))
     out = out.withColumn("anomaly_rate_pct", F.col("flagged_count") * 100.0 / F.col("tx_count"))
     return _window_cols(out)
 
@@ -139,12 +151,10 @@ def label_quality(scored: DataFrame, labels: DataFrame, rule_set: str) -> DataFr
     """Injected-anomaly labels against the flags (MEDIUM/HIGH) of one rule set:
     counts, precision and recall -- the check the labels were injected for.
 
-    ``labels`` is (transaction_id, label); redelivered copies carry the same
-    label, so it is reduced to one row per id (map-side partial max), joined
-    on the id, and folded by one global aggregate (partial per task).
+    ``labels`` is (transaction_id, label), one row per id (``labels_by_id``);
+    the result is one global aggregate (partial per task).
     """
-    lab = labels.groupBy("transaction_id").agg(F.max("label").alias("label"))
-    j = scored.select("transaction_id", is_flagged().alias("flagged")).join(lab, "transaction_id", "left")
+    j = scored.select("transaction_id", is_flagged().alias("flagged")).join(labels, "transaction_id", "left")
     lbl, flg = F.coalesce(F.col("label"), F.lit(False)), F.col("flagged")
     agg = j.agg(F.count(F.lit(1)).alias("tx_count"), F.count_if(lbl).alias("labelled_count"),
                 F.count_if(flg).alias("flagged_count"), F.count_if(lbl & flg).alias("true_positives"))
@@ -152,3 +162,8 @@ def label_quality(scored: DataFrame, labels: DataFrame, rule_set: str) -> DataFr
     return agg.select(F.lit(rule_set).alias("rule_set"), "tx_count", "labelled_count", "flagged_count",
                       "true_positives", F.when(fl > 0, tp / fl).alias("flag_precision"),
                       F.when(lb > 0, tp / lb).alias("flag_recall"))
+
+
+def labels_by_id(labels: DataFrame) -> DataFrame:
+    """One label per transaction; redelivered copies carry the same one (map-side partial max)."""
+    return labels.groupBy("transaction_id").agg(F.max("label").alias("label"))

@@ -3,9 +3,11 @@
 As coded (R1, R2) the statistics are taken over a *scope* -- a micro-batch in
 the stream, or a grouping column in batch. They are computed as a grouped
 aggregate (partial aggregation on the map side, so a hot user or card is
-combined before the shuffle) joined back on the key; AQE broadcasts the
-statistics side at run time when it is small and splits skewed partitions
-otherwise.
+combined before the shuffle), written once and joined back on the key. The
+written table is what lets AQE act on a hot key: it broadcasts a small
+statistics side, and where it is large both sides of the join are plain
+shuffles, whose skewed partitions it splits (a join straight on the aggregate
+would reuse the aggregate's shuffle, which it cannot split).
 
 History forms (R1h, R2h, R4h, R5h) follow the documented rules with trailing
 time frames; see ``windows.py`` for how hot keys are split by time.
@@ -24,6 +26,7 @@ from ..functions.columns import (
     velocity_score,
     zscore,
 )
+from ..sources.scratch import materialize
 from .windows import bucketed_frames, prior_moments
 
 TS = "event_timestamp"
@@ -35,6 +38,10 @@ def _scoped(df: DataFrame, name: str, scope: Column | None) -> tuple[DataFrame,
     return df.withColumn(name, scope), [name]
 
 
+def _written(stats: DataFrame, name: str) -> DataFrame:
+    return materialize(stats.sparkSession, stats, name)
+
+
 # -- R1 / R1h: amount velocity -------------------------------------------------
 
 def amount_velocity(df: DataFrame, cfg: ScoringConfig = DEFAULT, scope: Column | None = None) -> DataFrame:
@@ -43,7 +50,7 @@ def amount_velocity(df: DataFrame, cfg: ScoringConfig = DEFAULT, scope: Column |
     df, sk = _scoped(df, "_scope_u", scope)
     stats = df.groupBy("user_id", *sk).agg(F.avg("amount").alias("user_batch_mean"),
                                            F.stddev("amount").alias("user_batch_std"))
-    out = df.join(stats, on=["user_id", *sk], how="left")
+    out = df.join(_written(stats, "user-stats"), on=["user_id", *sk], how="left")
     out = out.withColumn("amount_zscore", zscore("amount", "user_batch_mean", "user_batch_std"))
     out = out.withColumn("score_amount_velocity", velocity_score("amount_zscore", cfg))
     return out.drop(*sk)
@@ -71,7 +78,7 @@ def tx_frequency(df: DataFrame, cfg: ScoringConfig = DEFAULT, scope: Column | No
     """R2: the card's row count in the scope / threshold * 100, capped."""
     df, sk = _scoped(df, "_scope_c", scope)
     counts = df.groupBy("card_id", *sk).agg(F.count(F.lit(1)).alias("tx_count_batch"))
-    out = df.join(counts, on=["card_id", *sk], how="left")
+    out = df.join(_written(counts, "card-counts"), on=["card_id", *sk], how="left")
     out = out.withColumn("score_tx_frequency", frequency_score("tx_count_batch", cfg))
     return out.drop(*sk)
 
@@ -155,14 +162,16 @@ def first_high_risk_use(df: DataFrame) -> DataFrame:
     """R5h: 100 on the user's first row in a high-risk category.
 
     First = smallest (event time, transaction id) -- a min() aggregate per
-    (user, category) over high-risk rows only, combined map-side, joined back.
+    (user, category) over high-risk rows only, combined map-side and joined
+    back to those rows; all others score 0 without a shuffle.
     """
     order = F.struct(F.col(TS).alias("t"), F.col("transaction_id").alias("id"))
-    firsts = (df.filter(F.col("is_high_risk_mcc"))
-                .groupBy("user_id", "merchant_category")
-                .agg(F.min(order).alias("_first")))
-    out = df.join(firsts, on=["user_id", "merchant_category"], how="left")
-    is_first = F.coalesce(F.col("is_high_risk_mcc") & (order == F.col("_first")), F.lit(False))
-    return (out.withColumn("is_first_high_risk", is_first)
-               .withColumn("score_high_risk_mcc", flag_score("is_first_high_risk"))
-               .drop("_first"))
+    risky = F.coalesce(F.col("is_high_risk_mcc"), F.lit(False))
+    keys = ["user_id", "merchant_category"]
+    high = df.filter(risky)
+    firsts = _written(high.groupBy(*keys).agg(F.min(order).alias("_first")), "first-use")
+    high = high.join(firsts, on=keys, how="left").withColumn(
+        "is_first_high_risk", F.coalesce(order == F.col("_first"), F.lit(False)))
+    out = high.select(*df.columns, "is_first_high_risk").unionByName(
+        df.filter(~risky).withColumn("is_first_high_risk", F.lit(False)))
+    return out.withColumn("score_high_risk_mcc", flag_score("is_first_high_risk"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ScoringConfig
 from ..functions.columns import composite_score, default_triggers, risk_level, triggered_rules
-from . import rules
+from . import features, rules
 
 
 def finish(df: DataFrame, cfg: ScoringConfig = DEFAULT, triggers: Column | None = None,
@@ -30,6 +30,15 @@ def score_as_coded(silver: DataFrame, cfg: ScoringConfig = DEFAULT, user_scope:
     return finish(df, cfg, scored_at=scored_at)
 
 
+def score_with_stats(silver: DataFrame, stats: DataFrame, cfg: ScoringConfig = DEFAULT,
+                     card_scope: Column | None = None, scored_at: Column | None = None) -> DataFrame:
+    """As coded, but the velocity rule reads stored user statistics."""
+    df = features.score_with_user_stats(silver, stats, cfg)
+    df = rules.tx_frequency(df, cfg, card_scope)
+    df = rules.high_risk_mcc(rules.cross_border(rules.off_hours(df), cfg))
+    return finish(df, cfg, scored_at=scored_at)
+
+
 def score_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT, scored_at: Column | None = None) -> DataFrame:
     """The five rules as documented: 30-day velocity, 10-minute frequency,
     off-hours, two countries in 60 minutes, first use of a high-risk category."""
@@ -37,14 +46,18 @@ def score_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT, scored_at: Co
     df = rules.card_history(df, cfg)              # R2h + R4h in one window pass
     df = rules.off_hours(df)
     df = rules.first_high_risk_use(df)
-    triggers = triggered_rules(
+    return finish(df, cfg, triggers=history_triggers(cfg), scored_at=scored_at)
+
+
+def history_triggers(cfg: ScoringConfig = DEFAULT) -> Column:
+    """The rules that fired, as documented (the count itself is tested for R2h)."""
+    return triggered_rules(
         F.col("score_amount_velocity") >= cfg.velocity_tag_score,
         F.col("tx_count_10min") > cfg.freq_threshold,
         F.col("score_off_hours") > 0,
         F.col("score_cross_border") > 0,
         F.col("score_high_risk_mcc") > 0,
     )
-    return finish(df, cfg, triggers=triggers, scored_at=scored_at)
 
 
 def rule_counts(scored: DataFrame) -> DataFrame:

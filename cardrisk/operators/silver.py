@@ -101,8 +101,3 @@ def upsert(target: DataFrame, incoming: DataFrame, key: str = "transaction_id")
     the result is written to a new version, never over the path being read."""
     kept = target.join(incoming.select(key), on=key, how="left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
-
-
-def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
-    """IO10: append with new columns; old rows get NULL in them."""
-    return old.unionByName(new, allowMissingColumns=True)

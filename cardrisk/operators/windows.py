@@ -4,11 +4,6 @@ A plain ``Window.partitionBy(card).orderBy(ts).rangeBetween(...)`` sends all
 rows of one card to one task; with a card holding a third of the data that
 task is the job. These helpers split each key by *time bucket* instead:
 
-* ``trailing`` -- frames no longer than a bucket. Every row is processed in
-  partition (key, bucket); the rows of the previous bucket that can fall in
-  some frame (the last ``frame`` of it) are copied in as context rows. The
-  copy is ``frame / bucket`` of the data (1/6 by default) and a hot key is
-  spread over as many tasks as it has buckets.
 * ``prior_moments`` -- long frames (30 days) of additive statistics. Per
   (key, bucket) partial sums are aggregated map-side; a window over those
   few rows per key sums the fully covered buckets; rows of the same bucket
@@ -26,46 +21,17 @@ join); the results equal the single-partition RANGE frame exactly.
 
 from __future__ import annotations
 
-from typing import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros
+from ..functions.moments import cents, mean_of, squared, std_of
 
 _T = "_t_us"
 _B = "_bkt"
 _SELF = "_self"
 
 
-def trailing(df: DataFrame, keys: list[str], ts_col: str, frame_us: int,
-             outputs: dict[str, Callable[[Window], Column]], bucket_us: int | None = None,
-             ctx_cols: tuple[str, ...] = (), frames: dict[str, int] | None = None) -> DataFrame:
-    """Add ``outputs`` computed over each row's frame ``[ts - frame, ts]``
-    (RANGE semantics: rows with equal ts are included) within ``keys``.
-
-    ``outputs`` maps a column name to ``fn(window_spec) -> Column``;
-    ``ctx_cols`` are the inputs those aggregates read. ``frames`` may give an
-    output its own (shorter) frame: all outputs share one partitioning and
-    order, so they are computed in the same window pass.
-    """
-    frames = frames or {}
-    frame_us = max([frame_us, *frames.values()])
-    bucket_us = bucket_us or frame_us * 6
-    if bucket_us < frame_us:
-        raise ValueError("bucket must be at least as long as the frame")
-    base = (df.withColumn(_T, epoch_micros(ts_col))
-              .withColumn(_B, F.floor(F.col(_T) / F.lit(bucket_us)))
-              .withColumn(_SELF, F.lit(True)))
-    ctx = (base.filter(F.col(_T) >= (F.col(_B) + 1) * F.lit(bucket_us) - F.lit(frame_us))
-               .select(*keys, _T, (F.col(_B) + 1).alias(_B), F.lit(False).alias(_SELF), *ctx_cols))
-    u = base.unionByName(ctx, allowMissingColumns=True)
-    spec = Window.partitionBy(*keys, _B).orderBy(_T)
-    u = u.select("*", *[fn(spec.rangeBetween(-frames.get(name, frame_us), 0)).alias(name)
-                        for name, fn in outputs.items()])
-    return u.filter(F.col(_SELF)).drop(_T, _B, _SELF)
-
-
 def prior_moments(df: DataFrame, key: str, ts_col: str, x_col: str, window_us: int, bucket_us: int,
                   prefix: str = "hist") -> DataFrame:
     """Add ``{prefix}_n``, ``{prefix}_mean``, ``{prefix}_std`` (sample) of
@@ -73,14 +39,14 @@ def prior_moments(df: DataFrame, key: str, ts_col: str, x_col: str, window_us: i
     if window_us % bucket_us:
         raise ValueError("window must be a whole number of buckets")
     k = window_us // bucket_us
-    x = F.col(x_col)
-    base = (df.withColumn(_T, epoch_micros(ts_col))
+    x = F.col("_cents")
+    base = (df.withColumn(_T, epoch_micros(ts_col)).withColumn("_cents", cents(F.col(x_col)))
               .withColumn(_B, F.floor(F.col(_T) / F.lit(bucket_us))))
 
     # (key, bucket) partial sums, then sums over the fully covered buckets
     # b-k+1 .. b-1 and the totals of the boundary bucket b-k.
     parts = base.groupBy(key, _B).agg(F.count(x).alias("n"), F.sum(x).alias("s"),
-                                      F.sum(x * x).alias("ss"))
+                                      F.sum(squared(x)).alias("ss"))
     wb = Window.partitionBy(key).orderBy(_B)
     full = wb.rangeBetween(-(k - 1), -1) if k > 1 else None
     edge = wb.rangeBetween(-k, -k)
@@ -95,31 +61,26 @@ def prior_moments(df: DataFrame, key: str, ts_col: str, x_col: str, window_us: i
     tt = "_tt"
     own = base.withColumn(tt, F.col(_T)).withColumn(_SELF, F.lit(True))
     ctx = base.filter(x.isNotNull()).select(key, (F.col(_B) + k).alias(_B), (F.col(_T) + window_us).alias(tt),
-                                            F.lit(False).alias(_SELF), x.alias(x_col))
+                                            F.lit(False).alias(_SELF), x)
     u = own.unionByName(ctx, allowMissingColumns=True)
     w = Window.partitionBy(key, _B).orderBy(tt).rangeBetween(Window.unboundedPreceding, -1)
     sx = F.when(F.col(_SELF), x)
     cx = F.when(~F.col(_SELF), x)
     u = u.select("*",
-                 F.count(sx).over(w).alias("_pn"), F.sum(sx).over(w).alias("_ps"), F.sum(sx * sx).over(w).alias("_pss"),
-                 F.count(cx).over(w).alias("_cn"), F.sum(cx).over(w).alias("_cs"), F.sum(cx * cx).over(w).alias("_css"))
+                 F.count(sx).over(w).alias("_pn"), F.sum(sx).over(w).alias("_ps"), F.sum(squared(sx)).over(w).alias("_pss"),
+                 F.count(cx).over(w).alias("_cn"), F.sum(cx).over(w).alias("_cs"), F.sum(squared(cx)).over(w).alias("_css"))
     u = u.filter(F.col(_SELF)).join(buckets, on=[key, _B], how="left")
 
-    z = F.lit(0.0)
+    z = F.lit(0)
     n = (F.coalesce("_fn", F.lit(0)) + F.coalesce("_pn", F.lit(0)) + F.coalesce("_en", F.lit(0))
          - F.coalesce("_cn", F.lit(0)))
     s = (F.coalesce("_fs", z) + F.coalesce("_ps", z) + F.coalesce("_es", z) - F.coalesce("_cs", z))
     ss = (F.coalesce("_fss", z) + F.coalesce("_pss", z) + F.coalesce("_ess", z) - F.coalesce("_css", z))
     u = u.withColumn(f"{prefix}_n", n).withColumn("_s", s).withColumn("_ss", ss)
     nn = F.col(f"{prefix}_n")
-    mean = F.when(nn > 0, F.col("_s") / nn)
-    m2 = F.col("_ss") - F.col("_s") * F.col("_s") / nn
-    # Power sums carry rounding noise; a spread below 1e-12 of the mean
-    # square is treated as none (an all-equal history has std exactly 0).
-    m2 = F.when(m2 <= F.lit(1e-12) * F.col("_ss"), F.lit(0.0)).otherwise(m2)
-    std = F.when(nn >= 2, F.sqrt(m2 / (nn - 1)))
-    u = u.withColumn(f"{prefix}_mean", mean).withColumn(f"{prefix}_std", std)
-    drop = [_T, _B, _SELF, tt, "_s", "_ss", "_pn", "_ps", "_pss", "_cn", "_cs", "_css",
+    u = (u.withColumn(f"{prefix}_mean", mean_of(nn, F.col("_s")))
+          .withColumn(f"{prefix}_std", std_of(nn, F.col("_s"), F.col("_ss"))))
+    drop = ["_cents", _T, _B, _SELF, tt, "_s", "_ss", "_pn", "_ps", "_pss", "_cn", "_cs", "_css",
             "_fn", "_fs", "_fss", "_en", "_es", "_ess"]
     return u.drop(*drop)
 
@@ -142,7 +103,10 @@ def bucketed_frames(df: DataFrame, key: str, ts_col: str, bucket_us: int,
       (key, bucket);
     * the oldest, partly covered bucket -- its rows are copied forward by the
       frame length (narrow: time and value only) into the partition of the
-      current bucket, where a forward frame keeps those at or after ``ts``.
+      current bucket. Those at or after ``ts`` are still inside: their count is
+      the bucket's total less a running count of the copies before ``ts``,
+      their min/max a running one over the descending order. All frames are
+      running ones, so a bucket costs time in proportion to its rows.
 
     A key holding a third of the data is spread over one task per bucket
     (a minute by default for the card rules) instead of one task per key.
@@ -168,6 +132,7 @@ def bucketed_frames(df: DataFrame, key: str, ts_col: str, bucket_us: int,
     full = [parts[key], parts[_B]]
     if kc is not None:
         full.append((F.sum("_pn").over(wb.rangeBetween(-(kc - 1), -1)) if kc > 1 else F.lit(None)).alias("_fn"))
+        full.append(F.sum("_pn").over(wb.rangeBetween(-kc, -kc)).alias("_en"))
     if km is not None:
         fr = wb.rangeBetween(-(km - 1), -1) if km > 1 else None
         full += [(F.min("_pmin").over(fr) if fr is not None else F.lit(None)).alias("_fmin"),
@@ -191,12 +156,13 @@ def bucketed_frames(df: DataFrame, key: str, ts_col: str, bucket_us: int,
     u = u.unionByName(fwd, allowMissingColumns=True)
     w = Window.partitionBy(key, _B).orderBy(order)
     upto = w.rangeBetween(Window.unboundedPreceding, 0)
-    onward = w.rangeBetween(0, Window.unboundedFollowing)
+    before = w.rangeBetween(Window.unboundedPreceding, -1)
+    onward = Window.partitionBy(key, _B).orderBy(F.col(order).desc()).rangeBetween(Window.unboundedPreceding, 0)
     own = F.col(kind) == 0
     extra = []
     if kc is not None:
         extra += [F.count(F.when(own, F.lit(1))).over(upto).alias("_rn"),
-                  F.count(F.when(F.col(kind) == 1, F.lit(1))).over(onward).alias("_en")]
+                  F.count(F.when(F.col(kind) == 1, F.lit(1))).over(before).alias("_gone")]
     if km is not None:
         extra += [F.min(F.when(own, F.col(minmax_col))).over(upto).alias("_rmin"),
                   F.max(F.when(own, F.col(minmax_col))).over(upto).alias("_rmax"),
@@ -204,7 +170,8 @@ def bucketed_frames(df: DataFrame, key: str, ts_col: str, bucket_us: int,
                   F.max(F.when(F.col(kind) == 2, F.col("_mv"))).over(onward).alias("_emax")]
     u = u.select("*", *extra).filter(own).join(full, on=[key, _B], how="left")
     if kc is not None:
-        u = u.withColumn(count_name, F.coalesce("_fn", F.lit(0)) + F.col("_rn") + F.col("_en"))
+        u = u.withColumn(count_name, F.coalesce("_fn", F.lit(0)) + F.col("_rn")
+                         + F.coalesce("_en", F.lit(0)) - F.col("_gone"))
     if km is not None:
         u = (u.withColumn(min_name, F.least("_fmin", "_rmin", "_emin"))
               .withColumn(max_name, F.greatest("_fmax", "_rmax", "_emax")))

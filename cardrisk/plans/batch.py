@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ScoringConfig
@@ -37,20 +37,35 @@ class BatchResult:
     counts: dict = field(default_factory=dict)
 
 
+# Redeliveries and raw currencies are part of the bronze layer by design (the
+# silver model removes them), so these two declared checks cannot hold there:
+# they are reported, and the gate tests the others.
+REPORTED_ONLY = (("bronze", "transaction_id", "unique"), ("bronze", "currency", "accepted_values"))
+
+
+def hour_scope() -> Column:
+    """R2 counts a card's rows per hour when a whole layer is scored at once."""
+    return F.date_trunc("hour", "event_timestamp")
+
+
 def run_layers(spark: SparkSession, bronze_rows: DataFrame, base: str | None = None,
-               cfg: ScoringConfig = DEFAULT, gated: tuple[str, ...] = ("silver", "gold"),
-               history_rules: bool = False, run_id: str = "manual", scored_at=None) -> BatchResult:
+               cfg: ScoringConfig = DEFAULT, gated: tuple[str, ...] = ("bronze", "silver", "gold"),
+               history_rules: bool = False, run_id: str = "manual", scored_at=None, run_ts: Column | None = None,
+               card_scope: Column | None = None) -> BatchResult:
     """Run the chain over ``bronze_rows`` (stream-bronze shaped records).
 
-    ``scored_at`` defaults to the clock; a replay of old data passes an
-    expression (the latency check of the gold layer assumes live data)."""
+    ``scored_at`` and ``run_ts`` (the audit columns' load time) default to the
+    clock; a replay of old data passes an expression (the latency check of the
+    gold layer assumes live data)."""
     pin_utc(spark)
     base = (base or f"{shared_dir(spark)}/layers").rstrip("/")
     bronze_path, silver_base, gold_path = f"{base}/bronze", f"{base}/silver", f"{base}/gold"
     reports = []
+    run_ts = F.localtimestamp() if run_ts is None else run_ts
+    card_scope = hour_scope() if card_scope is None else card_scope
 
     # bronze: typed projection, appended above the high-water mark
-    typed = B.typed_projection(bronze_rows, run_ts=F.localtimestamp(), run_id=run_id)
+    typed = B.typed_projection(bronze_rows, run_ts=run_ts, run_id=run_id)
     storage.append_new(spark, typed, bronze_path, exists=storage.exists(spark, bronze_path))
     bronze = storage.read_layer(spark, bronze_path)
     reports.append(_check(bronze, "bronze", gated))
@@ -61,17 +76,19 @@ def run_layers(spark: SparkSession, bronze_rows: DataFrame, base: str | None = N
     # mark is applied first: each run shuffles the new bronze rows, not the
     # whole history. Merged on the key into a new version.
     current = storage.read_current(spark, silver_base)
-    incoming = SV.to_silver(B.incremental_new_rows(bronze, current), cfg)
+    incoming = SV.to_silver(B.incremental_new_rows(bronze, current), cfg, loaded_at=run_ts)
     version = storage.merge_version(spark, incoming, silver_base)
     silver = storage.read_current(spark, silver_base)
     reports.append(_check(silver, "silver", gated))
 
-    # gold: scores joined back to silver, full refresh
-    scorer = S.score_history if history_rules else S.score_as_coded
-    scored = scorer(silver, cfg, scored_at=scored_at)
+    # gold: scores joined back to silver, full refresh, written in its order
+    if history_rules:
+        scored = S.score_history(silver, cfg, scored_at=scored_at)
+    else:
+        scored = S.score_as_coded(silver, cfg, card_scope=card_scope, scored_at=scored_at)
     storage.write_layer(scored, f"{base}/scored")
     scored = storage.read_layer(spark, f"{base}/scored")
-    storage.write_layer(G.gold_anomalies(silver, scored, cfg, order=False), gold_path)
+    storage.write_ordered(G.gold_anomalies(silver, scored, cfg, order=False, loaded_at=run_ts), gold_path, *G.gold_order())
     gold = storage.read_layer(spark, gold_path)
     reports.append(_check(gold, "gold", gated))
 
@@ -81,7 +98,11 @@ def run_layers(spark: SparkSession, bronze_rows: DataFrame, base: str | None = N
 
 
 def _check(df: DataFrame, layer: str, gated: tuple[str, ...]) -> DataFrame:
-    rep = Q.check_layer(df, layer, Q.layer_checks()[layer])
+    # written: a check is a scan of the layer, and both the gate and the caller read the result
+    rep = storage.materialize(df.sparkSession, Q.check_layer(df, layer, Q.layer_checks()[layer]), "quality")
     if layer in gated:
-        Q.gate(rep, layer)
+        known = F.lit(False)
+        for at, column, test in REPORTED_ONLY:
+            known = known | ((F.col("layer") == at) & (F.col("column_name") == column) & (F.col("test") == test))
+        Q.gate(rep.filter(~known), layer)
     return rep

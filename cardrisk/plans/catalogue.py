@@ -280,7 +280,7 @@ def silver_upsert(spark, sf_dir):
     key's latest delivery is above the mark whenever any of its deliveries
     is), so a run shuffles only the new deliveries."""
     bt = bronze_typed_rows(spark, sf_dir)
-    target = SV.to_silver(bt.filter(F.col("ingested_at") < _ts(CUT_TS)))
+    target = storage.materialize(spark, SV.to_silver(bt.filter(F.col("ingested_at") < _ts(CUT_TS))), "silver-target")
     incoming = SV.to_silver(B.incremental_new_rows(bt, target))
     return SV.upsert(target, incoming).select("transaction_id", "ingested_at", "kafka_offset", "kafka_partition",
                                               "amount")
@@ -365,6 +365,26 @@ def daily_summary(spark, sf_dir):
     return RP.daily_summary(storage.materialize(spark, scored_rows(spark, sf_dir), "scored"))
 
 
+@query
+def daily_summary_payload(spark, sf_dir):
+    """A5 as published: one JSON record of eight fields per day."""
+    summary = RP.daily_summary(storage.materialize(spark, scored_rows(spark, sf_dir), "scored"))
+    return RP.daily_summary_payload(summary, RUN_ID, F.lit(RUN_TS))
+
+
+@query
+def gold_layer(spark, sf_dir):
+    """T1 + B7: the gold layer as the chain writes it -- in order, with its load
+    time -- after bronze and silver passed their gates; read back with its place."""
+    from ..session import scratch_path
+    from . import batch
+    base = scratch_path(spark, "layers")
+    batch.run_layers(spark, bronze_rows(spark, sf_dir), base, run_id=RUN_ID, run_ts=_ts(RUN_TS), scored_at=scored_at())
+    return spark.read.parquet(f"{base}/gold").select(
+        "transaction_id", "anomaly_score", "risk_level", "triggered_rules", "event_timestamp",
+        F.col("dbt_loaded_at").cast("timestamp_ntz").alias("loaded_at"))
+
+
 @query
 def anomaly_rate_5m(spark, sf_dir):
     df = RP.anomaly_rate(scored_rows(spark, sf_dir))
@@ -410,6 +430,7 @@ def label_quality(spark, sf_dir):
     (one silver table scored both ways; labels from the deliveries)."""
     sv = silver_table(spark, sf_dir)
     labels = bronze_rows(spark, sf_dir).select("transaction_id", F.col("_is_injected_anomaly").alias("label"))
+    labels = storage.materialize(spark, RP.labels_by_id(labels), "labels")
     as_coded = RP.label_quality(scored_rows(spark, sf_dir, sv), labels, "as_coded")
     history = RP.label_quality(S.score_history(sv, DEFAULT, scored_at=scored_at()), labels, "history")
     return as_coded.unionByName(history).select(
@@ -433,7 +454,7 @@ def quality_report(spark, sf_dir):
 # time-ordered files in a fresh folder under the shared directory, runs the
 # streaming queries with ``availableNow`` and returns the sink read back.
 
-STREAM_SLICES = 6
+STREAM_SLICE_DAYS = 5      # a micro-batch is a span of delivery time, so their number grows with the data's span
 STREAM_CONTENT = ["transaction_id", "card_id", "user_id", "merchant_category", "amount", "currency", "country",
                   "event_timestamp", "amount_bucket", "is_high_risk_mcc", "is_off_hours"]
 
@@ -462,7 +483,7 @@ def stream_dedup(spark, sf_dir):
     from ..streaming import pipeline as P
     from ..streaming import staging
     base, raw, ckpt, out = _stream_dirs(spark, "stream-dedup")
-    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICE_DAYS)
     silver = _silver_from(spark, raw, max_files=files).drop(P.ET)
     P.start_append(silver, out, f"{ckpt}/silver").awaitTermination()
     return spark.read.parquet(out).select(*STREAM_CONTENT)
@@ -476,23 +497,24 @@ def stream_restart(spark, sf_dir):
     from ..streaming import staging
     base, raw, ckpt, out = _stream_dirs(spark, "stream-restart")
     rows = _raw(spark, sf_dir)
-    half = STREAM_SLICES // 2
-    files = staging.stage(rows, raw, STREAM_SLICES, only=range(0, half))
+    slices = staging.slice_count(rows, STREAM_SLICE_DAYS)
+    half = slices // 2
+    files = staging.stage(rows, raw, STREAM_SLICE_DAYS, only=range(0, half))
     P.start_append(_silver_from(spark, raw, max_files=files).drop(P.ET), out, f"{ckpt}/silver").awaitTermination()
-    staging.stage(rows, raw, STREAM_SLICES, only=range(half, STREAM_SLICES), files_per_slice=files)
+    staging.stage(rows, raw, STREAM_SLICE_DAYS, only=range(half, slices), files_per_slice=files)
     P.start_append(_silver_from(spark, raw, max_files=files).drop(P.ET), out, f"{ckpt}/silver").awaitTermination()
     return spark.read.parquet(out).select(*STREAM_CONTENT)
 
 
-def _scored_stream_run(spark, sf_dir, name):
+def _scored_stream_run(spark, sf_dir, name, sink: dict | None = None):
     """One source query, one foreachBatch fan-out. The source has no rate
     cap here, so the whole delivery is one micro-batch (batch-relative scores
     equal a one-batch run); it is staged as one slice."""
     from ..streaming import pipeline as P
     from ..streaming import staging
     base, raw, ckpt, out = _stream_dirs(spark, name)
-    staging.stage(_raw(spark, sf_dir), raw, 1)
-    sinks = P.Sinks(out)
+    staging.stage(_raw(spark, sf_dir), raw, None)
+    sinks = P.Sinks(out, **(sink or {}))
     P.start_scoring(_silver_from(spark, raw), sinks, f"{ckpt}/score").awaitTermination()
     return base, sinks
 
@@ -528,7 +550,7 @@ def stream_sliding(spark, sf_dir):
     from ..streaming import pipeline as P
     from ..streaming import staging
     base, raw, ckpt, out = _stream_dirs(spark, "stream-sliding")
-    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES)
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICE_DAYS)
     partials = P.sliding_stream(_silver_from(spark, raw, max_files=files))
     P.start_append(partials, out, f"{ckpt}/sliding").awaitTermination()
     df = P.fold_sliding(spark.read.parquet(out))
@@ -545,12 +567,41 @@ def stream_stateful_rules(spark, sf_dir):
     from ..streaming import state as ST
     ST.ensure_rocksdb(spark)
     base, raw, ckpt, out = _stream_dirs(spark, "stream-state")
-    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICES, order=staging.event_order())
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICE_DAYS, order=staging.event_order())
     silver = _silver_from(spark, raw, max_files=files)
     P.start_append(ST.card_history(silver), f"{out}/card", f"{ckpt}/card").awaitTermination()
     silver = _silver_from(spark, raw, max_files=files)
     P.start_append(ST.user_history(silver), f"{out}/user", f"{ckpt}/user").awaitTermination()
     df = ST.history_scores(spark.read.parquet(f"{out}/card"), spark.read.parquet(f"{out}/user"))
     return df.select("transaction_id", "tx_count_10min", "countries_60min_multi", "user_30d_n",
-                     r4("user_30d_std"), "is_first_high_risk", "score_tx_frequency", "score_cross_border",
-                     "score_high_risk_mcc")
+                     r4("user_30d_std"), r4("amount_zscore"), "is_first_high_risk", r2("score_amount_velocity"),
+                     r2("score_tx_frequency"), "score_off_hours", "score_cross_border", "score_high_risk_mcc",
+                     "anomaly_score", "risk_level", "triggered_rules")
+
+
+@query
+def stream_user_stats(spark, sf_dir):
+    """J2 + A4 online: daily partials stored per micro-batch, merged and
+    joined to the batch's rows inside ``foreachBatch``."""
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    base, raw, ckpt, out = _stream_dirs(spark, "stream-user-stats")
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICE_DAYS, order=staging.event_order())
+    sinks = P.Sinks(out)
+    P.start_scoring(_silver_from(spark, raw, max_files=files), sinks, f"{ckpt}/score", user_stats=True).awaitTermination()
+    return spark.read.parquet(sinks.path("scored")).select(
+        "transaction_id", "user_30d_n", r4("user_30d_std"), r4("amount_zscore"), r2("score_amount_velocity"))
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    """IO5: the alert branch of the fan-out through a sink chosen by format and
+    options (JSON files here), read back; the clock field is left out."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "alerts")
+    _scored_stream_run(spark, sf_dir, "stream-alerts", {"alert_format": "json", "alert_options": {"path": path}})
+    value = lambda f: F.get_json_object("value", f"$.{f}")
+    return spark.read.schema("key string, value string").json(path).select(
+        "key", value("transaction_id").alias("transaction_id"), value("amount").cast("double").alias("amount"),
+        value("anomaly_score").cast("double").alias("anomaly_score"), value("risk_level").alias("risk_level"),
+        value("triggered_rules").alias("triggered_rules"))

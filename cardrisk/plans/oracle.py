@@ -11,8 +11,8 @@ from __future__ import annotations
 from ..config import (
     ACCEPTED_CURRENCIES,
     HIGH_RISK_CATEGORIES,
-    ORDINARY_CATEGORIES,
 )
+from ..sources.fixture import FIXTURE_CATEGORIES
 
 RUN_TS = "2024-02-01 00:00:00"
 RUN_ID = "run-00000001"
@@ -27,7 +27,7 @@ def _in(xs) -> str:
     return "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 
 
-CATS = _list(ORDINARY_CATEGORIES + HIGH_RISK_CATEGORIES)
+CATS = _list(FIXTURE_CATEGORIES + HIGH_RISK_CATEGORIES)
 CURS = _list(ACCEPTED_CURRENCIES)
 HIGH = _in(HIGH_RISK_CATEGORIES)
 CURS_IN = _in(ACCEPTED_CURRENCIES)

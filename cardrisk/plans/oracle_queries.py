@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import BASE, CUT_TS, HISTORY, RUN_ID, RUN_TS, SCORED, TX, BRONZE, w
+from .oracle import BASE, CURS_IN, CUT_TS, HISTORY, RUN_ID, RUN_TS, SCORED, TX, BRONZE, w
 
 ORACLE: dict[str, str] = {}
 
@@ -242,7 +242,7 @@ sql("alert_payload", SC + """SELECT card_id AS key, CAST(json_object('transactio
   FROM scored WHERE risk_level = 'HIGH'""")
 
 # declared column tests per layer: (layer, column, test, condition-or-None)
-_CUR = "('USD', 'EUR', 'GBP', 'CAD', 'JPY', 'AUD')"
+_CUR = CURS_IN
 _CHECKS = [
     ("bronze", "transaction_id", "not_null", "transaction_id IS NULL"),
     ("bronze", "transaction_id", "unique", None),
@@ -292,7 +292,7 @@ def _check_sql(layer, column, test, cond):
 sql("quality_report", GO + "SELECT layer, column_name, test, CAST(violations AS BIGINT) AS violations, "
     "violations = 0 AS passed FROM (\n" + "\nUNION ALL ".join(_check_sql(*c) for c in _CHECKS) + ")")
 
-from .oracle import SCORED_BATCH, SILVER, STREAM_BRONZE  # noqa: E402
+from .oracle import COMPOSITE, D, LEVEL, SCORED_BATCH, SILVER, STREAM_BRONZE, TRIGGERS, VEL  # noqa: E402
 
 STREAM_S = w(TX, WIRE, STREAM_BRONZE, SILVER)
 STREAM_SC = w(TX, WIRE, STREAM_BRONZE, SILVER, SCORED_BATCH)
@@ -328,18 +328,56 @@ SELECT card_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
 FROM per_country GROUP BY card_id, window_start
 HAVING window_start + INTERVAL 10 MINUTE <= (SELECT max(event_timestamp) FROM silver) - INTERVAL 10 MINUTE""")
 
-sql("stream_stateful_rules", w(TX, WIRE, STREAM_BRONZE, SILVER, HISTORY) + """
+DAILY_STATS = """
 , days AS (SELECT DISTINCT user_id, tx_date FROM silver),
 st AS (
-  SELECT d.user_id, d.tx_date, count(s.amount) AS n, stddev_samp(s.amount) AS std
+  SELECT d.user_id, d.tx_date, count(s.amount) AS n, avg(s.amount) AS mean, stddev_samp(s.amount) AS std
   FROM days d LEFT JOIN silver s
     ON s.user_id = d.user_id AND s.tx_date >= d.tx_date - INTERVAL 30 DAY AND s.tx_date <= d.tx_date - INTERVAL 1 DAY
   GROUP BY d.user_id, d.tx_date
-)
-SELECT h.transaction_id, h.tx_count_10min, h.countries_60min_multi, st.n AS user_30d_n,
-       round(st.std, 4) AS user_30d_std, h.is_first_high_risk, round(h.score_tx_frequency, 2) AS score_tx_frequency,
-       h.score_cross_border, h.score_high_risk_mcc
-FROM hist h JOIN st ON h.user_id = st.user_id AND h.tx_date = st.tx_date""")
+)"""
+_Z = f"CASE WHEN st.n >= 2 AND st.std > 0 THEN (x.amount - st.mean) / st.std ELSE 0.0{D} END"
+
+# the documented rules, with the velocity of the days before
+sql("stream_stateful_rules", w(TX, WIRE, STREAM_BRONZE, SILVER, HISTORY) + DAILY_STATS + f"""
+, z AS (
+  SELECT x.* EXCLUDE (user_30d_n, user_30d_mean, user_30d_std, amount_zscore, score_amount_velocity, anomaly_score, risk_level,
+                      triggered_rules),
+         st.n AS user_30d_n, st.std AS user_30d_std, {_Z} AS amount_zscore
+  FROM hist x JOIN st ON x.user_id = st.user_id AND x.tx_date = st.tx_date),
+v AS (SELECT *, {VEL} AS score_amount_velocity FROM z),
+c AS (SELECT *, {COMPOSITE} AS anomaly_score FROM v)
+SELECT transaction_id, tx_count_10min, countries_60min_multi, user_30d_n, round(user_30d_std, 4) AS user_30d_std,
+       round(amount_zscore, 4) AS amount_zscore, is_first_high_risk, round(score_amount_velocity, 2) AS score_amount_velocity,
+       round(score_tx_frequency, 2) AS score_tx_frequency, score_off_hours, score_cross_border, score_high_risk_mcc,
+       anomaly_score, {LEVEL} AS risk_level, {TRIGGERS.format(freq_fired='tx_count_10min > 5')} AS triggered_rules
+FROM c""")
+
+sql("stream_user_stats", w(TX, WIRE, STREAM_BRONZE, SILVER) + DAILY_STATS + f"""
+, z AS (
+  SELECT x.transaction_id, st.n AS user_30d_n, st.std AS user_30d_std, {_Z} AS amount_zscore
+  FROM silver x JOIN st ON x.user_id = st.user_id AND x.tx_date = st.tx_date)
+SELECT transaction_id, user_30d_n, round(user_30d_std, 4) AS user_30d_std, round(amount_zscore, 4) AS amount_zscore,
+       round({VEL}, 2) AS score_amount_velocity FROM z""")
+
+sql("stream_alerts", STREAM_SC + """SELECT card_id AS key, transaction_id, amount, anomaly_score, risk_level,
+  triggered_rules FROM scored WHERE risk_level = 'HIGH'""")
+
+sql("gold_layer", GO + f"""
+SELECT transaction_id, anomaly_score, risk_level, triggered_rules, event_timestamp, TIMESTAMP '{RUN_TS}' AS loaded_at FROM gold""")
+
+sql("daily_summary_payload", SC + f"""
+, pc AS (SELECT tx_date, card_id, count(*) AS flagged FROM scored WHERE risk_level IN ('MEDIUM', 'HIGH') GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tx_date ORDER BY flagged DESC, card_id) AS rk FROM pc),
+top AS (SELECT tx_date, list(card_id ORDER BY rk) AS cards FROM ranked WHERE rk <= 5 GROUP BY tx_date),
+totals AS (
+  SELECT tx_date, count(*) AS n, CAST(count_if(risk_level = 'HIGH') AS BIGINT) AS h,
+         CAST(count_if(risk_level = 'MEDIUM') AS BIGINT) AS m, CAST(count_if(risk_level = 'LOW') AS BIGINT) AS l
+  FROM scored GROUP BY tx_date)
+SELECT CAST(tx_date AS VARCHAR) AS key, CAST(json_object('report_date', CAST(tx_date AS VARCHAR), 'pipeline_run', '{RUN_ID}',
+  'total_transactions', n, 'high_risk_count', h, 'medium_risk_count', m, 'low_risk_count', l,
+  'top_flagged_cards', coalesce(cards, []), 'generated_at', '{RUN_TS}') AS VARCHAR) AS value
+FROM totals LEFT JOIN top USING (tx_date)""")
 
 sql("label_quality", w(*BASE, SCORED, HISTORY) + """
 , labels AS (SELECT transaction_id, max(_is_injected_anomaly) AS label FROM tx GROUP BY transaction_id),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,13 +52,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and staged tables.
 
     Read from ``spark.checkpoint.dir`` (the setting a cluster provides). Only
-    when it is unset -- tests and local runs -- a fresh local folder is
-    created and registered on the session.
+    on a local master, where driver and executors are one process, is a fresh
+    local folder made when it is unset; on a cluster each executor would write
+    to its own disk, so there the setting is required.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cardrisk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -68,15 +71,15 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Spark's own file access, for any store it can read."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:")
 
-
-def ensure_dir(p: str) -> None:
-    if is_local_path(p):
-        os.makedirs(p.replace("file:", ""), exist_ok=True)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared folder, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    fs, p = hadoop_path(spark, path)
+    fs.deleteOnExit(p)
+    return path

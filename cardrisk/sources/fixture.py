@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ACCEPTED_CURRENCIES, HIGH_RISK_CATEGORIES, ORDINARY_CATEGORIES, PIPELINE_VERSION
+from ..config import ACCEPTED_CURRENCIES, HIGH_RISK_CATEGORIES, PIPELINE_VERSION
 
 # Fixed mapping parameters (see FIXTURES.md section 5).
+FIXTURE_CATEGORIES = tuple(f"CATEGORY_{i}" for i in range(1, 10))   # without a rule of their own
 CARDS_PER_USER_MOD = 5          # card = user_id mod 5: shared cards
 DUPLICATE_EVERY = 40            # event_id mod 40 = 0 is delivered twice
 DUPLICATE_DELAY_S = 60
@@ -23,15 +24,8 @@ INJECT_EVERY = 20               # k mod 20 = 0 is a labelled anomaly (amount x 1
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a table. A table stored as fewer splits than the cluster has
-    cores (a small file with one row group) is spread round-robin first, so
-    the narrow work after the scan is not left to one task; a large table
-    already has enough splits and is read as is."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """Scan a table as its files are split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pad(c: Column, n: int) -> Column:
@@ -39,7 +33,7 @@ def _pad(c: Column, n: int) -> Column:
 
 
 def _categories() -> Column:
-    return F.array(*[F.lit(c) for c in ORDINARY_CATEGORIES + HIGH_RISK_CATEGORIES])
+    return F.array(*[F.lit(c) for c in FIXTURE_CATEGORIES + HIGH_RISK_CATEGORIES])
 
 
 def transactions(events: DataFrame, with_duplicates: bool = True) -> DataFrame:

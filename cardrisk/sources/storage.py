@@ -1,16 +1,19 @@
-"""Layer storage over parquet (IO6-IO10).
+"""Layer storage (IO6-IO10), parquet by default.
 
 * ``write_layer`` / ``read_layer`` -- full-refresh tables (IO9) and scans
   (IO6); layers with ``tx_date`` are partitioned by it so date filters prune
-  files.
+  files. ``fmt`` names the table format.
 * ``append_new`` -- incremental append above a high-water mark (IO7).
 * ``merge_version`` -- keyed upsert (IO8) without MERGE: the merged table is
   written as a new version directory and a one-row entry is appended to the
   layer's version log; readers take the latest committed version. The path
   being read is never overwritten, and a job that dies mid-write leaves the
   previous version current.
-* schema evolution (IO10) -- parquet files with added columns read together
-  with ``mergeSchema``; old rows read NULL in the new columns.
+* schema evolution (IO10) -- files with added columns read together with
+  ``mergeSchema``; old rows read NULL in the new columns.
+
+Whether a layer or its log is there is asked of the file system. What is there
+but cannot be read raises: an unreadable log must not look like an empty layer.
 
 Paths live under the cluster's shared folder (``spark.checkpoint.dir``).
 """
@@ -22,11 +25,14 @@ from pyspark.sql import functions as F
 
 from ..operators.bronze import incremental_new_rows
 from ..operators.silver import upsert
+from ..session import hadoop_path
+from .scratch import materialize  # noqa: F401 - part of this module's interface
 
 LOG = "_versions"
 
 
-def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = "auto") -> None:
+def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = "auto",
+                fmt: str = "parquet") -> None:
     """Write a layer; partitioned by ``tx_date`` when it has one.
 
     Rows reach a partitioned write hashed by some other key (transaction,
@@ -39,71 +45,65 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         partition_by = "tx_date" if "tx_date" in df.columns else None
     if partition_by:
         df = df.hint("rebalance", partition_by)
-    w = df.write.mode(mode)
+    w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
-    w.parquet(path)
+    w.save(path)
 
 
-def read_layer(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    r = spark.read
-    if merge_schema:
-        r = r.option("mergeSchema", "true")
-    return r.parquet(path)
+def write_ordered(df: DataFrame, path: str, *order, fmt: str = "parquet") -> None:
+    """Full refresh of a layer that keeps its order (T1): a range sort over all
+    tasks, so files, read by name, and the rows in each follow it."""
+    df.orderBy(*order).write.format(fmt).mode("overwrite").save(path)
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to a fresh path under the shared folder and scan it.
+def read_layer(spark: SparkSession, path: str, merge_schema: bool = True, fmt: str = "parquet") -> DataFrame:
+    r = spark.read.format(fmt)
+    if merge_schema:
+        r = r.option("mergeSchema", "true")
+    return r.load(path)
 
-    For plans that read one input in several branches (rows, per-key
-    statistics joined back, context rows of a time window, the gold join):
-    each branch scans the written table with its own pruned columns instead
-    of re-running the input's lineage (scan, explode, dedup shuffle) per
-    branch, and a lost executor costs a re-read, not the whole chain.
-    """
-    from ..session import scratch_path
 
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether something was written at ``path``; an error of the file system rises."""
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
 
 
 def append_new(spark: SparkSession, source: DataFrame, target_path: str, exists: bool,
-               col: str = "ingested_at") -> DataFrame:
+               col: str = "ingested_at", fmt: str = "parquet") -> DataFrame:
     """IO7: append the source rows newer than the target's mark; returns them."""
-    target = read_layer(spark, target_path) if exists else None
+    target = read_layer(spark, target_path, fmt=fmt) if exists else None
     new = incremental_new_rows(source, target, col)
-    write_layer(new, target_path, mode="append")
+    write_layer(new, target_path, mode="append", fmt=fmt)
     return new
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - not written yet
-        return False
-
-
 def current_version(spark: SparkSession, base: str) -> int | None:
-    try:
-        row = spark.read.parquet(f"{base}/{LOG}").agg(F.max("version")).first()
-    except Exception:  # noqa: BLE001 - no log yet
+    """The latest committed version; None before the first. A log that cannot be read raises."""
+    if not exists(spark, f"{base}/{LOG}"):
         return None
-    return row[0]
+    return spark.read.parquet(f"{base}/{LOG}").agg(F.max("version")).first()[0]
 
 
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
+def read_current(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame | None:
     v = current_version(spark, base)
-    return None if v is None else read_layer(spark, f"{base}/v{v:06d}")
+    return None if v is None else read_layer(spark, f"{base}/v{v:06d}", fmt=fmt)
+
 
+def merge_version(spark: SparkSession, incoming: DataFrame, base: str, key: str = "transaction_id",
+                  fmt: str = "parquet") -> int:
+    """IO8: merge ``incoming`` into the current version on ``key``; commit a new one.
 
-def merge_version(spark: SparkSession, incoming: DataFrame, base: str, key: str = "transaction_id") -> int:
-    """IO8: merge ``incoming`` into the current version on ``key``; commit a new one."""
+    Written to the first version number whose directory is not there yet, so
+    what a job that died left behind is never overwritten, nor is a version.
+    """
     v = current_version(spark, base)
-    merged = incoming if v is None else upsert(read_layer(spark, f"{base}/v{v:06d}"), incoming, key)
+    merged = incoming if v is None else upsert(read_layer(spark, f"{base}/v{v:06d}", fmt=fmt), incoming, key)
     nv = 1 if v is None else v + 1
-    write_layer(merged, f"{base}/v{nv:06d}")
+    while exists(spark, f"{base}/v{nv:06d}"):
+        nv += 1
+    write_layer(merged, f"{base}/v{nv:06d}", mode="errorifexists", fmt=fmt)
     spark.range(1).select(F.lit(nv).alias("version"), F.localtimestamp().alias("committed_at")) \
         .write.mode("append").parquet(f"{base}/{LOG}")
     return nv

@@ -16,17 +16,19 @@ The same column functions as the batch plans are used throughout.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ScoringConfig
 from ..operators import bronze as B
+from ..operators import features as FT
 from ..operators import gold as G
 from ..operators import reports as RP
 from ..operators import score as S
 from ..operators import silver as SV
+from ..session import hadoop_path
 from ..sources.schema import RAW_SCHEMA
 
 ET = "event_time_ltz"   # zoned copy of the event time: what withWatermark needs
@@ -53,14 +55,16 @@ def read_kafka_stream(spark: SparkSession, servers: str, topic: str, max_offsets
                       F.localtimestamp().alias("ingested_at"))
 
 
+def _parsed(raw: DataFrame, cfg: ScoringConfig) -> DataFrame:
+    """Parsed records. Rows without an event time cannot be placed against the
+    watermark; in the stream they go to the dead letter."""
+    no_time = F.when(F.col("event_time").isNull(), F.lit("missing_event_time"))
+    return B.parse_records(raw, cfg).withColumn("reject_reason", F.coalesce(F.col("reject_reason"), no_time))
+
+
 def bronze_stream(raw: DataFrame, cfg: ScoringConfig = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """(accepted, dead letter) of one parse. Rows without an event time cannot
-    be placed against the watermark; in the stream they go to the dead letter."""
-    parsed = B.parse_records(raw, cfg)
-    parsed = parsed.withColumn(
-        "reject_reason",
-        F.coalesce(F.col("reject_reason"),
-                   F.when(F.col("event_time").isNull(), F.lit("missing_event_time"))))
+    """(accepted, dead letter) of one parse."""
+    parsed = _parsed(raw, cfg)
     return B.accepted(parsed), B.dead_letter(parsed)
 
 
@@ -69,10 +73,7 @@ def bronze_fan_out(sinks: "Sinks", cfg: ScoringConfig = DEFAULT):
     split into the bronze layer and the dead letter (keyed by batch_id)."""
 
     def run(raw_batch: DataFrame, batch_id: int) -> None:
-        parsed = B.parse_records(raw_batch, cfg).withColumn(
-            "reject_reason", F.coalesce(F.col("reject_reason"),
-                                        F.when(F.col("event_time").isNull(), F.lit("missing_event_time"))))
-        parsed = parsed.persist()
+        parsed = _parsed(raw_batch, cfg).persist()
         try:
             for name, df in (("bronze", B.accepted(parsed)), ("dead_letter", B.dead_letter(parsed))):
                 (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
@@ -100,7 +101,15 @@ def silver_stream(bronze: DataFrame, cfg: ScoringConfig = DEFAULT, dedup: bool =
 
 @dataclass
 class Sinks:
+    """Where a stream's outputs go: layers under ``base``, alerts to any format.
+
+    ``alert_format`` other than None names a Spark sink for the alert records
+    (key, value), e.g. ``kafka`` with ``topic`` and ``kafka.bootstrap.servers``
+    in ``alert_options``; by default alerts are a layer like the others."""
+
     base: str
+    alert_format: str | None = None
+    alert_options: dict = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -117,14 +126,31 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | Non
     """Scan partition ``batch_id=N`` alone (no listing of other batches);
     None when the batch wrote no rows."""
     part = f"{path}/batch_id={batch_id}"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(part)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    fs, p = hadoop_path(spark, part)
+    if not fs.exists(p):
         return None
     return spark.read.parquet(part).withColumn("batch_id", F.lit(batch_id))
 
 
-def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=None, card_scope=None):
+def publish(records: DataFrame, sinks: Sinks, batch_id: int) -> None:
+    """IO5: write key/value records to the alert sink; a batch without any writes nothing."""
+    if sinks.alert_format is None:
+        write_batch(records, sinks.path("alerts"), batch_id)
+    elif not records.isEmpty():
+        (records.select("key", "value").write.format(sinks.alert_format).options(**sinks.alert_options)
+                .mode("append").save())
+
+
+def stored_user_stats(spark: SparkSession, path: str, batch_id: int, cfg: ScoringConfig) -> DataFrame:
+    """A4 from the stored table: daily partials of all batches up to this one,
+    merged per (user, day), with the statistics of the days before each."""
+    parts = spark.read.parquet(path).filter(F.col("batch_id") <= batch_id)
+    merged = parts.groupBy("user_id", "tx_date").agg(*[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in ("n", "s", "ss")])
+    return FT.user_stats(None, cfg, partials=merged)
+
+
+def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=None, card_scope=None,
+                      user_stats: bool = False):
     """The ``foreachBatch`` function: write silver, score it, write every output.
 
     Each step reads the rows the previous step wrote. The micro-batch (and
@@ -135,6 +161,10 @@ def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=Non
     self-join do not match the cached plan and would re-run the dedup.)
     Written partitions also survive a lost executor, where cached blocks
     would be recomputed. A batch without rows writes nothing further.
+
+    With ``user_stats`` the velocity rule reads the stored user statistics
+    (A4, J2) instead of the batch's own: the batch's daily partials are stored
+    under its id first, then the statistics of the rows' days are joined.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -143,11 +173,17 @@ def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=Non
         silver = read_batch(spark, sinks.path("silver"), batch_id)
         if silver is None:
             return
-        scored = S.score_as_coded(silver.drop("batch_id"), cfg, user_scope, card_scope)
+        silver = silver.drop("batch_id")
+        if user_stats:
+            write_batch(FT.user_daily_partials(silver), sinks.path("user_partials"), batch_id)
+            stats = stored_user_stats(spark, sinks.path("user_partials"), batch_id, cfg)
+            scored = S.score_with_stats(silver, stats, cfg, card_scope)
+        else:
+            scored = S.score_as_coded(silver, cfg, user_scope, card_scope)
         write_batch(scored, sinks.path("scored"), batch_id)
         scored = read_batch(spark, sinks.path("scored"), batch_id)
         write_batch(G.flagged(scored).drop("batch_id"), sinks.path("gold_anomalies"), batch_id)
-        write_batch(RP.alert_payload(scored), sinks.path("alerts"), batch_id)
+        publish(RP.alert_payload(scored), sinks, batch_id)
 
     return run
 
@@ -167,8 +203,12 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
 
 
 def minute_summary_stream(scored: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
-    """ST2: A2 over a stream of scored rows, append mode behind the watermark."""
+    """ST2: A2 over a stream of scored rows, append mode behind the watermark.
+
+    A scored batch that is written again after a failure arrives here as new
+    files; its transactions are dropped within the watermark before they count."""
     s = scored.withColumn(ET, F.col("event_timestamp").cast("timestamp")).withWatermark(ET, cfg.watermark)
+    s = s.dropDuplicatesWithinWatermark(["transaction_id"])
     out = RP.minute_summary(s, ts=ET)
     return (out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
                .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))

@@ -14,15 +14,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import MICROS_PER_DAY
 from ..functions.columns import epoch_micros
+from ..session import hadoop_path, scratch_path
 
 
-def slice_index(raw: DataFrame, slices: int, order=None) -> DataFrame:
-    t = epoch_micros(order if order is not None else F.col("kafka_ingest_time"))
-    bounds = raw.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    width = max(1, (hi - lo) // slices + 1)
-    return raw.withColumn("_slice", F.floor((t - F.lit(lo)) / F.lit(width)).cast("int"))
+def _time(order):
+    return epoch_micros(order if order is not None else F.col("kafka_ingest_time"))
+
+
+def _bounds(raw: DataFrame, order=None) -> tuple[int, int]:
+    r = raw.agg(F.min(_time(order)).alias("lo"), F.max(_time(order)).alias("hi")).first()
+    return r["lo"], r["hi"]
+
+
+def slice_count(raw: DataFrame, days: int | None, order=None) -> int:
+    """Slices of ``days`` each that the deliveries span (one for None)."""
+    lo, hi = _bounds(raw, order)
+    return 1 if days is None or lo is None else (hi - lo) // (days * MICROS_PER_DAY) + 1
 
 
 def event_order():
@@ -34,32 +43,43 @@ def event_order():
 
 def data_files(spark: SparkSession, path: str) -> int:
     """Number of data files under ``path`` (a metadata listing on the driver)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = hadoop_path(spark, path)
     if not fs.exists(p):
         return 0
     return sum(1 for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
 
 
-def stage(raw: DataFrame, path: str, slices: int, only: range | None = None, order=None,
+def stage(raw: DataFrame, path: str, days: int | None, only: range | None = None, order=None,
           files_per_slice: int | None = None) -> int:
-    """Append slices (all, or the ``only`` range) to ``path`` in time order.
+    """Append slices of ``days`` each (all, or the ``only`` range; None: one
+    slice of everything) to ``path`` in time order.
 
     Returns the number of files per slice, the ``maxFilesPerTrigger`` that
-    reads one slice per micro-batch. A slice with fewer rows than files is
-    padded with empty files so that every slice has the same count.
+    reads one slice per micro-batch. The rows are written once, by slice, and
+    each slice is copied from its own folder; a slice with fewer rows than
+    files gets the rest as empty files.
     """
     spark = raw.sparkSession
     f = files_per_slice or spark.sparkContext.defaultParallelism
-    indexed = slice_index(raw, slices, order).persist()
-    try:
-        for i in (only if only is not None else range(slices)):
-            before = data_files(spark, path)
-            (indexed.filter(F.col("_slice") == i).drop("_slice")
-                    .repartition(f).write.mode("append").parquet(path))
-            for _ in range(f - (data_files(spark, path) - before)):
-                spark.createDataFrame([], raw.schema).write.mode("append").parquet(path)
-    finally:
-        indexed.unpersist()
+    lo, _ = _bounds(raw, order)
+    width = None if days is None else days * MICROS_PER_DAY
+    index = F.lit(0) if width is None else F.floor((_time(order) - F.lit(lo)) / F.lit(width)).cast("int")
+    by_slice = scratch_path(spark, "slices")
+    raw.withColumn("_slice", index).write.partitionBy("_slice").parquet(by_slice)
+    rows = spark.read.schema(raw.schema)
+    for i in (only if only is not None else range(slice_count(raw, days, order))):
+        before = data_files(spark, path)
+        fs, p = hadoop_path(spark, f"{by_slice}/_slice={i}")
+        if fs.exists(p):
+            rows.parquet(f"{by_slice}/_slice={i}").repartition(f).write.mode("append").parquet(path)
+        missing = f - (data_files(spark, path) - before)
+        if missing:
+            _empty_files(spark, raw, path, missing)
     return f
+
+
+def _empty_files(spark: SparkSession, raw: DataFrame, path: str, n: int) -> None:
+    """Append ``n`` files without rows, in one job."""
+    empty = raw.limit(0)
+    spark.createDataFrame(spark.sparkContext.parallelize([], n), raw.schema).select(empty.columns) \
+        .write.mode("append").parquet(path)

@@ -1,25 +1,27 @@
 """ST8: the documented history rules online, with ``transformWithStateInPandas``.
 
 * ``CardHistory`` (key: card) -- R2h count in the trailing 10 minutes and R4h
-  "two countries within 60 minutes". State: the card's (time, country) rows
-  of the last 60 minutes behind its newest row, pruned on every batch; an
-  event-time timer clears an idle card.
+  "two countries within 60 minutes". State: the card's rows by minute (MapState),
+  of the frame length plus the watermark behind its newest row, as a row that
+  late may still come; a batch reads and writes only the minutes it touches
+  or looks back on. An event-time timer clears an idle card.
 * ``UserHistory`` (key: user) -- R5h first use of a high-risk category
   (MapState of categories seen: at most three per user, no expiry) and the
   30-day amount statistics at day granularity (MapState day -> count, sum,
-  sum of squares; days older than the look-back are dropped): the stats of
-  days d-30 .. d-1, as ``user_stats`` computes them in batch (A4/J2).
-
-Rows of one key within a micro-batch are handled as one pandas frame, sorted
-by (event time, id); per-row work is numpy over that frame. On in-order input
-the outputs equal the batch plans.
-
-Scale note: keyed state puts a hot key's micro-batch rows in one task. What
-that task holds is bounded by configuration, not by the data: the micro-batch
-is capped by the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``,
-ST6), so a key holding a third of the traffic brings at most a third of one
-capped batch; its state is 60 minutes of the card's (time, country) pairs or
-at most 31 day-partials and three categories of a user.
+  sum of squares in whole cents): the stats of days d-30 .. d-1, as
+  ``user_stats`` computes them in batch (A4/J2). Days are kept as long as a
+  late row can still refer to them.
+
+A row is scored on the rows that arrived before it or with it: on in-order
+input the outputs equal the batch plans, and a late row is scored as in batch
+on all that has arrived by then.
+
+Scale note: keyed state puts a hot key's micro-batch rows in one task. What a
+batch brings is bounded by the source (``maxOffsetsPerTrigger`` /
+``maxFilesPerTrigger``, ST6), so a key holding a third of the traffic brings
+at most a third of one capped batch; its state is 70 minutes of the card's
+(time, country) pairs or at most 32 day-partials and three categories of a
+user.
 """
 
 from __future__ import annotations
@@ -32,12 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..config import DEFAULT, HIGH_RISK_CATEGORIES, MICROS_PER_DAY, MICROS_PER_MINUTE, ScoringConfig
-from ..functions.columns import epoch_micros
+from ..config import DEFAULT, HIGH_RISK_CATEGORIES, MICROS_PER_DAY, MICROS_PER_MINUTE, MICROS_PER_SECOND, ScoringConfig
+from ..functions.columns import epoch_micros, flag_score, frequency_score, velocity_score, zscore
+from ..functions.moments import CENTS
+from ..operators.features import seconds
+from ..operators.score import finish, history_triggers
 
 CARD_OUT = "transaction_id string, tx_count_10min long, countries_60min_multi boolean"
 USER_OUT = ("transaction_id string, user_30d_n long, user_30d_mean double, user_30d_std double, "
-            "is_first_high_risk boolean")
+            "is_first_high_risk boolean, amount double, is_off_hours boolean")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -45,29 +50,60 @@ def _ms(us: int) -> int:
     return int(us // 1000)
 
 
+def watermark_us(cfg: ScoringConfig) -> int:
+    """The watermark delay in microseconds."""
+    return seconds(cfg.watermark) * MICROS_PER_SECOND
+
+
 class CardHistory(StatefulProcessor):
-    def __init__(self, freq_us: int = 10 * MICROS_PER_MINUTE, border_us: int = 60 * MICROS_PER_MINUTE):
+    """R2h and R4h facts of a card, from minute cells and the latest rows.
+
+    A row up to ``late_us`` behind the newest may still come, and its frame
+    reaches back another frame length, so that much is kept: times of the rows
+    in the count frame (for the exact count at its edges), and per country the
+    times that a 60-minute frame can start or end on.
+    """
+
+    def __init__(self, freq_us: int = 10 * MICROS_PER_MINUTE, border_us: int = 60 * MICROS_PER_MINUTE,
+                 late_us: int = 10 * MICROS_PER_MINUTE):
         self.freq_us = freq_us
         self.border_us = border_us
+        self.late_us = late_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.recent = handle.getListState("recent", "t long, country string")
+        # minute -> its rows as (time in the minute, country) packed in order
+        self.minutes = handle.getMapState("minutes", "minute long", "t array<long>, country array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "transaction_id"], kind="stable")
-        old = pd.DataFrame(list(self.recent.get()) if self.recent.exists() else [], columns=["t", "country"])
-        allr = pd.concat([old[["t", "country"]], new[["t", "country"]]], ignore_index=True)
-        allr = allr.sort_values("t", kind="stable").reset_index(drop=True)
-        t_all = allr["t"].to_numpy(dtype=np.int64)
         t_new = new["t"].to_numpy(dtype=np.int64)
-        hi = np.searchsorted(t_all, t_new, side="right")
-        lo10 = np.searchsorted(t_all, t_new - self.freq_us, side="left")
+        lowest = (int(t_new.min()) - self.border_us) // MICROS_PER_MINUTE
+        held: dict[int, list] = {}
+        newest = int(t_new.max())
+        if self.minutes.exists():
+            for k in list(self.minutes.keys()):
+                m = int(k[0])
+                newest = max(newest, m * MICROS_PER_MINUTE)
+                if m >= lowest:
+                    v = self.minutes.getValue((m,))
+                    held[m] = [list(v[0]), list(v[1])]
+        touched = set()
+        for t, c in zip(t_new.tolist(), new["country"].tolist()):
+            m = t // MICROS_PER_MINUTE
+            cell = held.setdefault(m, [[], []])
+            cell[0].append(t)
+            cell[1].append(c if isinstance(c, str) else None)
+            touched.add(m)
+        t_all = np.array([t for cell in held.values() for t in cell[0]], np.int64)
+        country = np.array([c for cell in held.values() for c in cell[1]], object)
+        order = np.argsort(t_all, kind="stable")
+        t_all, country = t_all[order], country[order]
+        count = np.searchsorted(t_all, t_new, side="right") - np.searchsorted(t_all, t_new - self.freq_us, side="left")
         # two countries in [t - 60 min, t]: a change of country between the
         # first and last non-null country rows of the range
-        nn = allr[allr["country"].notna()]
-        t_nn = nn["t"].to_numpy(dtype=np.int64)
-        codes = pd.factorize(nn["country"])[0]
+        known = np.array([c is not None for c in country], bool)
+        t_nn, codes = t_all[known], pd.factorize(country[known])[0]
         changes = np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])]) if len(codes) else np.zeros(0, int)
         a = np.searchsorted(t_nn, t_new - self.border_us, side="left")
         b = np.searchsorted(t_nn, t_new, side="right") - 1
@@ -75,18 +111,21 @@ class CardHistory(StatefulProcessor):
         ok = b > a
         if len(codes):
             multi[ok] = changes[b[ok]] - changes[a[ok]] > 0
-        newest = int(t_all.max())
-        keep = allr[allr["t"] >= newest - self.border_us]
-        self.recent.put([(int(t), c) for t, c in zip(keep["t"], keep["country"])])
+        for m in touched:                       # only the minutes that changed are written
+            self.minutes.updateValue((m,), (held[m][0], held[m][1]))
+        keep = (newest - self.border_us - self.late_us) // MICROS_PER_MINUTE
+        for k in list(self.minutes.keys()):
+            if int(k[0]) < keep:
+                self.minutes.removeKey((int(k[0]),))
         for ts in list(self.handle.listTimers()):
             self.handle.deleteTimer(ts)
-        self.handle.registerTimer(_ms(newest + self.border_us) + 1)
+        self.handle.registerTimer(_ms(newest + self.border_us + self.late_us) + 1)
         yield pd.DataFrame({"transaction_id": new["transaction_id"].to_numpy(),
-                            "tx_count_10min": (hi - lo10).astype("int64"),
+                            "tx_count_10min": count.astype("int64"),
                             "countries_60min_multi": multi})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.recent.clear()
+        self.minutes.clear()
         return iter([])
 
     def close(self) -> None:
@@ -94,14 +133,19 @@ class CardHistory(StatefulProcessor):
 
 
 class UserHistory(StatefulProcessor):
-    def __init__(self, days: int = 30, high_risk: tuple = HIGH_RISK_CATEGORIES):
+    """R5h first use and the exact 30-day statistics of a user, at day granularity."""
+
+    def __init__(self, days: int = 30, high_risk: tuple = HIGH_RISK_CATEGORIES,
+                 late_us: int = 10 * MICROS_PER_MINUTE):
         self.days = days
         self.high_risk = set(high_risk)
+        self.late_days = -(-late_us // MICROS_PER_DAY)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.seen = handle.getMapState("seen", "category string", "first_t long")
-        self.daily = handle.getMapState("daily", "day int", "n long, s double, ss double")
+        # whole cents: exact, whatever the order; squares as decimal digits, as they outgrow a long
+        self.daily = handle.getMapState("daily", "day int", "n long, s long, ss string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "transaction_id"], kind="stable")
@@ -116,39 +160,36 @@ class UserHistory(StatefulProcessor):
                 first[i] = True
                 self.seen.updateValue((cat,), (int(new.at[i, "t"]),))
         # 30-day stats at day granularity: partials of days d-30 .. d-1
-        parts = {int(k[0]): v for k, v in self.daily.iterator()} if self.daily.exists() else {}
+        parts = {int(k[0]): (int(v[0]), int(v[1]), int(v[2])) for k, v in self.daily.iterator()} if self.daily.exists() else {}
         day = (new["t"].to_numpy(dtype=np.int64) // MICROS_PER_DAY).astype(np.int64)
-        x = new["amount"].to_numpy(dtype=float)
+        x = np.rint(new["amount"].to_numpy(dtype=float) * CENTS)
         n_out = np.zeros(len(new), dtype=np.int64)
         mean_out = np.full(len(new), np.nan)
         std_out = np.full(len(new), np.nan)
         for d in np.unique(day):
             hist = [parts[k] for k in parts if d - self.days <= k <= d - 1]
-            n = sum(p[0] for p in hist)
-            s = sum(p[1] for p in hist)
-            ss = sum(p[2] for p in hist)
+            n, s, ss = (sum(p[j] for p in hist) for j in range(3))
             idx = day == d
             n_out[idx] = n
             if n > 0:
-                mean_out[idx] = s / n
+                mean_out[idx] = s / n / CENTS
             if n >= 2:
-                m2 = ss - s * s / n
-                m2 = 0.0 if m2 <= 1e-12 * ss else m2
-                std_out[idx] = np.sqrt(m2 / (n - 1))
-            xs = x[idx & ~np.isnan(x)]
-            p = parts.get(int(d), (0, 0.0, 0.0))
-            parts[int(d)] = (p[0] + len(xs), p[1] + float(xs.sum()), p[2] + float((xs * xs).sum()))
-        newest_day = int(day.max())
+                std_out[idx] = ((n * ss - s * s) / (n * (n - 1))) ** 0.5 / CENTS
+            xs = [int(v) for v in x[idx & ~np.isnan(x)]]
+            p = parts.get(int(d), (0, 0, 0))
+            parts[int(d)] = (p[0] + len(xs), p[1] + sum(xs), p[2] + sum(v * v for v in xs))
+        newest_day = max(max(parts), int(day.max()))
         for k in list(parts):
-            if k < newest_day - self.days:
+            if k < newest_day - self.days - self.late_days:
                 self.daily.removeKey((k,))
             else:
-                self.daily.updateValue((k,), parts[k])
+                self.daily.updateValue((k,), (parts[k][0], parts[k][1], str(parts[k][2])))
         for ts in list(self.handle.listTimers()):
             self.handle.deleteTimer(ts)
-        self.handle.registerTimer(_ms((newest_day + self.days + 1) * MICROS_PER_DAY))
+        self.handle.registerTimer(_ms((newest_day + self.days + self.late_days + 1) * MICROS_PER_DAY))
         yield pd.DataFrame({"transaction_id": new["transaction_id"].to_numpy(), "user_30d_n": n_out,
-                            "user_30d_mean": mean_out, "user_30d_std": std_out, "is_first_high_risk": first})
+                            "user_30d_mean": mean_out, "user_30d_std": std_out, "is_first_high_risk": first,
+                            "amount": new["amount"].to_numpy(dtype=float), "is_off_hours": new["is_off_hours"].to_numpy(dtype=bool)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # keep first-use memory (bounded); drop stale day partials
@@ -169,23 +210,29 @@ def card_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
     rows = silver.select("card_id", "transaction_id", "country", "event_time_ltz",
                          epoch_micros("event_timestamp").alias("t"))
     return rows.groupBy("card_id").transformWithStateInPandas(
-        CardHistory(cfg.freq_window_minutes * MICROS_PER_MINUTE, cfg.cross_border_window_minutes * MICROS_PER_MINUTE),
+        CardHistory(cfg.freq_window_minutes * MICROS_PER_MINUTE, cfg.cross_border_window_minutes * MICROS_PER_MINUTE,
+                    watermark_us(cfg)),
         CARD_OUT, "append", "EventTime")
 
 
 def user_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
-    rows = silver.select("user_id", "transaction_id", "merchant_category", "amount", "event_time_ltz",
+    rows = silver.select("user_id", "transaction_id", "merchant_category", "amount", "is_off_hours", "event_time_ltz",
                          epoch_micros("event_timestamp").alias("t"))
     return rows.groupBy("user_id").transformWithStateInPandas(
-        UserHistory(cfg.history_days, tuple(cfg.high_risk_categories)), USER_OUT, "append", "EventTime")
+        UserHistory(cfg.history_days, tuple(cfg.high_risk_categories), watermark_us(cfg)), USER_OUT, "append", "EventTime")
 
 
 def history_scores(card: DataFrame, user: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
-    """Join the two processors' outputs (read back) into rule scores."""
-    from ..functions.columns import flag_score, frequency_score
+    """Join the two processors' outputs (read back) and score the documented
+    rules to the end: five scores, composite, level and triggered rules."""
     j = card.join(user, "transaction_id")
     for c in ("user_30d_mean", "user_30d_std"):        # pandas NaN -> SQL NULL
         j = j.withColumn(c, F.when(~F.isnan(c), F.col(c)))
-    return (j.withColumn("score_tx_frequency", frequency_score("tx_count_10min", cfg))
-             .withColumn("score_cross_border", flag_score("countries_60min_multi"))
-             .withColumn("score_high_risk_mcc", flag_score("is_first_high_risk")))
+    enough = F.col("user_30d_n") >= cfg.min_history_rows
+    j = j.withColumn("amount_zscore", F.when(enough, zscore("amount", "user_30d_mean", "user_30d_std")).otherwise(F.lit(0.0)))
+    j = (j.withColumn("score_amount_velocity", velocity_score("amount_zscore", cfg))
+          .withColumn("score_tx_frequency", frequency_score("tx_count_10min", cfg))
+          .withColumn("score_off_hours", flag_score("is_off_hours"))
+          .withColumn("score_cross_border", flag_score("countries_60min_multi"))
+          .withColumn("score_high_risk_mcc", flag_score("is_first_high_risk")))
+    return finish(j, cfg, triggers=history_triggers(cfg))

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cardrisk.functions.columns import epoch_micros
-from cardrisk.operators.windows import bucketed_frames, prior_moments, trailing
+from cardrisk.operators.windows import bucketed_frames, prior_moments
 
 T0 = dt.datetime(2024, 1, 1)
 MIN = 60_000_000
@@ -27,19 +27,6 @@ def frame(spark, seed, n=600, span_min=600):
     return spark.createDataFrame(rows, "id string, k string, ts timestamp_ntz, x double, c string")
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("bucket_min", [10, 25, 60])
-def test_trailing_equals_range_frame(spark, seed, bucket_min):
-    df = frame(spark, seed)
-    got = trailing(df, ["k"], "ts", 10 * MIN,
-                   {"n": lambda w: F.count(F.lit(1)).over(w), "mn": lambda w: F.min("c").over(w),
-                    "mx": lambda w: F.max("c").over(w)}, bucket_us=bucket_min * MIN, ctx_cols=("c",))
-    w = Window.partitionBy("k").orderBy(epoch_micros("ts")).rangeBetween(-10 * MIN, 0)
-    want = df.select("id", F.count(F.lit(1)).over(w).alias("n"), F.min("c").over(w).alias("mn"),
-                     F.max("c").over(w).alias("mx"))
-    assert sorted(got.select("id", "n", "mn", "mx").collect()) == sorted(want.collect())
-
-
 @pytest.mark.parametrize("seed", [3, 4])
 def test_prior_moments_equals_range_frame(spark, seed):
     df = frame(spark, seed, n=500, span_min=3000)
@@ -118,3 +105,56 @@ def test_cross_border_partner_equals_brute_force(spark, bucket_min):
               .select("id_a", F.col("p.id_b").alias("partner")))
     want = {r.id_a: r.partner for r in brute.collect()}
     assert got == want and len(want) > 10
+
+
+def test_small_spread_around_a_large_mean_is_kept(spark):
+    """40 amounts alternating by five cents, then a jump: the spread is real,
+    so the jump scores 100; equal amounts have a spread of exactly 0."""
+    from cardrisk.operators.features import score_with_user_stats, user_stats
+    from cardrisk.operators.rules import amount_velocity_history
+    rows = [("u", f"t{i:02d}", T0 + dt.timedelta(hours=i), 50_000.0 + 0.05 * (i % 2)) for i in range(40)]
+    rows.append(("u", "t99", T0 + dt.timedelta(days=5), 60_000.0))
+    rows += [("v", f"v{i}", T0 + dt.timedelta(hours=i), 33.33) for i in range(5)]
+    df = spark.createDataFrame(rows, "user_id string, transaction_id string, event_timestamp timestamp_ntz, amount double")
+    got = {r.transaction_id: r for r in amount_velocity_history(df).collect()}
+    assert got["t99"].user_30d_std == pytest.approx(0.025318, rel=1e-4) and got["t99"].score_amount_velocity == 100.0
+    assert got["v4"].user_30d_std == 0.0 and got["v4"].score_amount_velocity == 0.0
+    df = df.withColumn("tx_date", F.to_date("event_timestamp"))
+    daily = {r.transaction_id: r for r in score_with_user_stats(df, user_stats(df)).collect()}
+    assert daily["t99"].score_amount_velocity == 100.0
+
+
+def test_a_dense_minute_of_one_card_is_linear_and_exact(spark):
+    """50,000 rows of one card in one minute (and neighbours that enter and
+    leave the frames) equal the plain RANGE frames, in seconds."""
+    import time
+    n = 50_000
+    at = lambda minute, k: F.expr(f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, {minute}, 0)") + \
+        F.expr(f"make_dt_interval(0, 0, 0, cast((id % {k}) / {k}.0 * 60 as decimal(18,6)))")
+    parts = [spark.range(m).select(F.concat(F.lit(f"{minute}-"), F.col("id").cast("string")).alias("id"),
+                                   F.lit("hot").alias("k"), at(minute, m).alias("ts"),
+                                   F.when(F.col("id") % 7 == 0, "CA").otherwise("US").alias("c"))
+             for minute, m in ((0, 300), (10, n), (11, 50), (70, 300))]
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
+    t = time.time()
+    got = {r.id: tuple(r) for r in bucketed_frames(
+        df, "k", "ts", MIN, count_frame_us=10 * MIN, count_name="n", minmax_col="c", minmax_frame_us=60 * MIN,
+        min_name="mn", max_name="mx").select("id", "n", "mn", "mx").collect()}
+    assert time.time() - t < 60
+    us = epoch_micros("ts")
+    w10 = Window.partitionBy("k").orderBy(us).rangeBetween(-10 * MIN, 0)
+    rows = df.select("id", us.alias("t"), "c", F.count(F.lit(1)).over(w10).alias("n")).collect()
+    assert len(got) == len(rows) and all(got[r.id][1] == r.n for r in rows)
+    assert all(got[r.id][2:] == ("CA", "US") for r in rows if r.id.startswith(("10-", "11-")))
+
+
+def test_no_frame_runs_to_the_end_of_a_partition(spark):
+    import contextlib
+    import io
+    out = bucketed_frames(frame(spark, 9), "k", "ts", MIN, count_frame_us=10 * MIN, minmax_col="c", minmax_frame_us=60 * MIN)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain("extended")
+    assert "unboundedfollowing" not in buf.getvalue().lower()
