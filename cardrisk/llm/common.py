@@ -41,6 +41,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
+# ---- tasks by rows --------------------------------------------------------
+
+ROWS_PER_TASK = 25_000
+
+
+def task_sized(df: DataFrame, n_rows: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` in no more tasks than its narrow rows need; large tables keep theirs."""
+    return df.coalesce(max(1, -(-n_rows // rows_per_task)))
+
+
 # ---- joins that no hot key can overload -----------------------------------
 
 HOT_KEYS = 1024

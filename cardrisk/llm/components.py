@@ -5,7 +5,8 @@ larger neighbours, then its smaller ones, at the smallest node it sees, until
 the links are stars around the smallest node of each component (a number of
 rounds logarithmic in the diameter). Rounds are written to the shared folder,
 so a lost executor costs a re-read; only a count and a checksum reach the
-driver.
+driver. Rounds work on far fewer rows than the tables they come from, so their
+tasks are sized by rows rather than by the session's shuffle partitions.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .common import join_sized
+from .common import join_sized, task_sized
 
 
-def _star(links: DataFrame, n: int) -> DataFrame:
+def _star(spark: SparkSession, links: DataFrame, n: int) -> DataFrame:
     """(u, v, m): every link (u, v) with the smallest of u and its neighbours."""
     least = links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    return join_sized(links, least.select("u", F.least("u", "m").alias("m"), "n"), "u", n)
+    least = materialize(spark, task_sized(least.select("u", F.least("u", "m").alias("m"), "n"), n), "links-least")
+    return task_sized(join_sized(links, least, "u", n), n)
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -37,10 +39,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = tuple(state)
+        n = seen[0]
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both, 2 * seen[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(spark, large, "links")
-        small = _star(large, seen[0])
+        large = _star(spark, both, 2 * n).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialize(spark, task_sized(large.distinct(), n), "links")
+        small = _star(spark, large, n)
         links = small.select("u", F.col("m").alias("v")).unionByName(
-            small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        links = materialize(spark, links, "links")
+            small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        links = materialize(spark, task_sized(links.distinct(), n), "links")

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .common import join_sized, mix64, small_batches, texts_of
+from .common import join_sized, mix64, small_batches, task_sized, texts_of
 from .components import components
 from .shingles import set_digest, shingle_set, signature
 
@@ -126,25 +126,28 @@ def candidate_links(spark: SparkSession, classes: DataFrame, threshold: float) -
                                               pa.array([x[1] for x in links], pa.binary())], ["u", "v"])
 
     places = classes.select("cls", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
-    found = None
+    found, n_places = None, TREES * classes.count()
     for depth in DEPTHS:
         keyed = places.select("cls", "tree", F.xxhash64("tree", tree_key(F.col("tree"), depth)).alias("region"))
         sizes = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sizes = materialize(spark, sizes, "regions")
+        sizes = materialize(spark, task_sized(sizes, n_places), "regions")
         small = keyed.join(sizes.filter(F.col("n") <= REGION), "region").select("cls", "region")
         regions = (small.join(classes.select("cls", F.substring("sig", N_HASHES + 1, N_HASHES).alias("low")), "cls")
                         .groupBy("region").agg(F.collect_list(F.struct("cls", "low")).alias("members")))
-        links = regions.select("members").mapInArrow(run, "u binary, v binary").distinct()
+        links = regions.select("members").mapInArrow(run, "u binary, v binary")
         large = sizes.filter(F.col("n") > REGION)
         # Few regions are this large; they are at most 1/REGION of the places.
-        crowded = materialize(spark, keyed.join(large.select("region"), "region").select("cls", "tree", "region"), "crowded")
+        n_crowded = large.agg(F.sum("n")).first()[0] or 0
+        if not n_crowded:
+            return links if found is None else found.unionByName(links)
+        crowded = keyed.join(large.select("region"), "region").select("cls", "tree", "region")
+        crowded = materialize(spark, task_sized(crowded, n_places), "crowded")
         if depth == DEPTHS[-1]:
             first = crowded.groupBy("region").agg(F.min("cls").alias("v"), F.count(F.lit(1)).alias("n"))
             links = links.unionByName(join_sized(crowded.select(F.col("cls").alias("u"), "region"), first, "region",
-                                                 crowded.count()).select("u", "v"))
+                                                 n_crowded).select("u", "v"))
         found = links if found is None else found.unionByName(links)
-        if not crowded.limit(1).count():
-            break
+        n_places = n_crowded
         places = crowded.select("cls", "tree").join(classes.select("cls", "sig"), "cls")
     return found
 
@@ -197,11 +200,13 @@ def confirmed_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, gr
     small_batches(spark)
     members = groups.withColumnRenamed("node", "cls").join(
         classes.select("cls", "rep_id", "rep_th", "n_shingles"), "cls")
-    members = materialize(spark, members, "group-members")
+    n_members = groups.count()
+    members = materialize(spark, task_sized(members, n_members), "group-members")
     sizes = members.groupBy("root").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
         F.count(F.lit(1)).alias("n"))
-    members = join_sized(members, materialize(spark, sizes, "group-sizes"), "root", members.count())
+    sizes = materialize(spark, task_sized(sizes, n_members), "group-sizes")
+    members = task_sized(join_sized(members, sizes, "root", n_members), n_members)
     texts = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     rows = texts.join(members, texts["doc_id"].eqNullSafe(members["rep_id"]) & (texts["th"] == members["rep_th"]))
     mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
@@ -237,21 +242,24 @@ def confirmed_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, gr
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and the text's hash ``th`` of every row of ``docs``."""
     signed = materialize(spark, sign_documents(spark, docs, width), "signed")
+    n_rows = signed.count()
+    sized = lambda df: task_sized(df, n_rows)
     full = signed.filter(F.col("cls").isNotNull())
     classes = full.groupBy("cls").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "n_shingles", "sig")).alias("rep"),
         F.count(F.lit(1)).alias("n")).select(
         "cls", "n", "rep.n_shingles", "rep.sig", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
-    classes = materialize(spark, classes, "classes")
-    groups = components(spark, materialize(spark, candidate_links(spark, classes, percent / 100), "candidates"))
-    links = materialize(spark, confirmed_links(spark, docs, classes, groups, width, percent), "confirmed")
-    roots = components(spark, links)
+    classes = materialize(spark, sized(classes), "classes")
+    groups = components(spark, candidate_links(spark, classes, percent / 100))
+    groups = materialize(spark, groups, "groups")
+    roots = components(spark, confirmed_links(spark, docs, classes, groups, width, percent))
     named = classes.select("cls", "n", "rep_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    named = materialize(spark, named.withColumn("root", F.coalesce("root", "cls")), "named")
+    named = materialize(spark, sized(named.withColumn("root", F.coalesce("root", "cls"))), "named")
     names = named.groupBy("root").agg(F.min("rep_id").alias("component_id"), F.count(F.lit(1)).alias("m"))
-    names = materialize(spark, names, "names")
+    names = materialize(spark, sized(names), "names")
     named = join_sized(named.select("cls", "n", "root"), names, "root", named.count(), "m").drop("root")
-    out = join_sized(full.drop("sig"), materialize(spark, named, "class-names"), "cls", full.count())
+    named = materialize(spark, sized(named), "class-names")
+    out = sized(join_sized(full.drop("sig"), named, "cls", n_rows))
     alone = signed.filter(F.col("cls").isNull()).withColumn("component_id", F.col("doc_id"))
     return out.unionByName(alone.drop("sig")).select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "th")
