@@ -34,12 +34,18 @@ PIECES = 64      # pieces of a shard: no group of more than 1/64 of a shard is p
 FINE = 16
 
 
-def place(vectors: np.ndarray, n_shards: int) -> np.ndarray:
-    """Shard of each item; ``vectors`` holds shares of the total of each measure."""
+def place(vectors: np.ndarray, n_shards: int, level: float = 0.125) -> np.ndarray:
+    """Shard of each item; ``vectors`` holds shares of the total of each measure.
+
+    The smallest ``level`` of the items, a far smaller share of the total, fill
+    the shard with the most room in the first measure, whose law is kept.
+    """
     load = np.zeros((n_shards, vectors.shape[1]))
     out = np.zeros(len(vectors), np.int64)
-    for i in np.argsort(-vectors.max(1, initial=0), kind="stable"):
-        s = int(np.argmax((1.0 / n_shards - load) @ vectors[i]))
+    order = np.argsort(-vectors.max(1, initial=0), kind="stable")
+    for rank, i in enumerate(order):
+        room = 1.0 / n_shards - load
+        s = int(np.argmax(room @ vectors[i] if rank < (1 - level) * len(order) else room[:, 0]))
         out[i] = s
         load[s] += vectors[i]
     return out
