@@ -11,6 +11,8 @@ one micro-batch.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,7 +81,12 @@ def stage(raw: DataFrame, path: str, days: int | None, only: range | None = None
 
 
 def _empty_files(spark: SparkSession, raw: DataFrame, path: str, n: int) -> None:
-    """Append ``n`` files without rows, in one job."""
-    empty = raw.limit(0)
-    spark.createDataFrame(spark.sparkContext.parallelize([], n), raw.schema).select(empty.columns) \
-        .write.mode("append").parquet(path)
+    """Append ``n`` files without rows: one is written, the others are copies of it."""
+    one = scratch_path(spark, "empty")
+    spark.createDataFrame([], raw.schema).write.parquet(one)
+    fs, folder = hadoop_path(spark, one)
+    (source,) = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+    copy, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy, spark.sparkContext._jsc.hadoopConfiguration()
+    for _ in range(n):
+        to_fs, to = hadoop_path(spark, f"{path}/part-{uuid.uuid4().hex}.parquet")
+        copy(fs, source, to_fs, to, False, conf)

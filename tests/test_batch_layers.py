@@ -33,3 +33,30 @@ def test_gate_stops_chain_on_live_latency_bound(spark):
     rows = C.bronze_rows(spark, SF_SMALL)
     with pytest.raises(QualityGateError, match="end_to_end_latency_ms"):
         batch.run_layers(spark, rows, scratch_path(spark, "layers-live"))   # scored now: years of latency
+
+
+def test_written_gold_equals_the_catalogue_and_keeps_its_order(spark):
+    rows = C.bronze_rows(spark, SF_SMALL)
+    base = scratch_path(spark, "layers-gold")
+    batch.run_layers(spark, rows, base, scored_at=C.scored_at())
+    gold = spark.read.parquet(f"{base}/gold")
+    cols = [c for c in gold.columns if c not in ("dbt_loaded_at", "tx_date")]
+    want = C.QUERIES["gold_anomalies"](spark, SF_SMALL)
+    assert sorted(map(repr, gold.select(cols).collect())) == sorted(map(repr, want.select(cols).collect()))
+    # files by name, rows within each: anomaly score, then time, descending
+    import glob
+    import pyarrow.parquet as pq
+    files = sorted(glob.glob(f"{base}/gold/part-*.parquet"))
+    placed = [r for f in files for r in pq.read_table(f, columns=["anomaly_score", "event_timestamp"]).to_pylist()]
+    assert placed == sorted(placed, key=lambda r: (r["anomaly_score"], r["event_timestamp"]), reverse=True) and placed
+    silver = spark.read.parquet(f"{base}/silver/v000001")
+    assert "dbt_loaded_at" in silver.columns and "dbt_loaded_at" in gold.columns
+
+
+def test_bronze_gate_stops_the_chain(spark):
+    import pytest
+    from cardrisk.operators.quality import QualityGateError
+    rows = C.bronze_rows(spark, SF_SMALL).withColumn("card_id", F.when(F.col("kafka_offset") != 1, F.col("card_id")))
+    rows = rows.withColumn("amount", F.when(F.col("kafka_offset") == 2, F.lit(5e6)).otherwise(F.col("amount")))
+    with pytest.raises(QualityGateError, match="bronze"):
+        batch.run_layers(spark, rows, scratch_path(spark, "layers-bad"), scored_at=C.scored_at())

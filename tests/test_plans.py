@@ -82,11 +82,46 @@ def test_stage_writes_equal_files_per_slice(spark, tmp_path):
 
     raw = C._raw(spark, SF_SMALL)
     path = str(tmp_path / "raw")
-    f = staging.stage(raw, path, 3, files_per_slice=4)
+    f = staging.stage(raw, path, 10, files_per_slice=4)
+    assert staging.slice_count(raw, 10) == 3 and staging.slice_count(raw, None) == 1
     assert f == 4 and staging.data_files(spark, path) == 12
     assert spark.read.parquet(path).count() == raw.count()
     # a slice with fewer rows than files is padded with empty files
     tiny = spark.createDataFrame(raw.orderBy("kafka_ingest_time", "kafka_offset").limit(2).collect(), raw.schema)
     path2 = str(tmp_path / "tiny")
-    staging.stage(tiny, path2, 1, files_per_slice=5)
+    staging.stage(tiny, path2, None, files_per_slice=5)
     assert staging.data_files(spark, path2) == 5 and spark.read.parquet(path2).count() == 2
+
+
+def test_a_hot_user_is_split_in_the_statistics_join(spark):
+    """With broadcast off and 40 % of rows on one user, AQE splits the hot
+    partition of the join of rows and statistics (R1), and of R5h."""
+    from pyspark.sql import functions as F
+    from cardrisk.operators import rules as R
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    hot = F.when(F.col("id") % 5 < 2, "hot").otherwise(F.concat(F.lit("u"), (F.col("id") % 997).cast("string")))
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.concat(F.lit("t"), F.col("id").cast("string"), F.lit("x" * 40)).alias("transaction_id"), hot.alias("user_id"),
+        (F.col("id") % 1000 / 10).alias("amount"), F.lit("GAMBLING").alias("merchant_category"), F.lit(True).alias("is_high_risk_mcc"),
+        F.timestamp_seconds(F.col("id") + 1_700_000_000).cast("timestamp_ntz").alias("event_timestamp"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for rule in (R.amount_velocity, R.first_high_risk_use):
+            out = rule(rows)
+            assert out.count() == 200_000
+            df = out.drop("event_timestamp")
+            df.toPandas()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), rule
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sliding_windows_are_expanded_above_the_first_aggregate(spark):
+    for key in ("card_sliding_features", "anomaly_rate_5m"):
+        head = q(spark, key).split("\n\n(1)")[0]
+        top = head.index("Generate")
+        assert "HashAggregate" in head[top:], key          # the plan's leaves come last

@@ -39,3 +39,37 @@ def test_versioned_merge_and_incremental_append(spark, tmp_path):
     new = storage.append_new(spark, src, tgt, exists=True)
     assert [r.id for r in new.collect()] == ["z"]
     assert spark.read.parquet(tgt).count() == 3
+
+
+def test_a_damaged_version_log_raises_and_destroys_nothing(spark, tmp_path):
+    from cardrisk.sources import storage
+    base = str(tmp_path / "silver")
+    a = spark.createDataFrame([("a", 1), ("b", 1)], "transaction_id string, v int")
+    storage.merge_version(spark, a, base)
+    storage.merge_version(spark, a, base)
+    for f in (tmp_path / "silver" / storage.LOG).glob("*.parquet"):
+        f.write_bytes(b"damaged")
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception):
+        storage.merge_version(spark, a.limit(1), base)
+    assert spark.read.parquet(f"{base}/v000001").count() == spark.read.parquet(f"{base}/v000002").count() == 2
+    assert not storage.exists(spark, f"{base}/v000003")
+
+
+def test_a_left_over_version_is_not_overwritten(spark, tmp_path):
+    from cardrisk.sources import storage
+    base = str(tmp_path / "silver")
+    a = spark.createDataFrame([("a", 1)], "transaction_id string, v int")
+    a.write.parquet(f"{base}/v000001")                   # a job died before it committed
+    assert storage.merge_version(spark, a.selectExpr("'b' AS transaction_id", "v"), base) == 2
+    assert [r.transaction_id for r in storage.read_current(spark, base).collect()] == ["b"]
+    assert [r.transaction_id for r in spark.read.parquet(f"{base}/v000001").collect()] == ["a"]
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+    from cardrisk import session
+    conf = SimpleNamespace(get=lambda k, d=None: None)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(SimpleNamespace(conf=conf, sparkContext=context))

@@ -31,7 +31,7 @@ def write_batch(spark, path, rows):
 
 
 @pytest.mark.parametrize("key", ["stream_dedup", "stream_restart", "stream_scored_fanout", "stream_sliding",
-                                 "stream_minute_summary", "stream_stateful_rules"])
+                                 "stream_minute_summary", "stream_stateful_rules", "stream_user_stats", "stream_alerts"])
 def test_stream_keys_match_duckdb(spark, key):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[key](spark, SF_SMALL)
@@ -111,7 +111,7 @@ def test_fan_out_runs_the_stream_plan_once_per_batch(spark):
     from cardrisk.plans import catalogue as C
     from cardrisk.streaming import staging
     base, raw, ckpt, out = C._stream_dirs(spark, "fanout-once")
-    staging.stage(C._raw(spark, SF_SMALL), raw, 1)
+    staging.stage(C._raw(spark, SF_SMALL), raw, None)
     sinks = P.Sinks(out)
     q = P.start_scoring(C._silver_from(spark, raw), sinks, f"{ckpt}/score")
     q.awaitTermination()
@@ -120,3 +120,75 @@ def test_fan_out_runs_the_stream_plan_once_per_batch(spark):
     assert first["stateOperators"][0]["numRowsTotal"] == silver_rows > 0
     # the closing batch has no rows and writes no partition
     assert spark.read.parquet(sinks.path("silver")).select("batch_id").distinct().count() == 1
+
+
+def test_replayed_scoring_batch_counts_once(spark):
+    """A batch that is written again after a failure reaches the summary as new
+    files; its rows are counted once."""
+    from cardrisk.plans import catalogue as C
+    base = scratch_path(spark, "replay")
+    sinks = P.Sinks(f"{base}/out")
+    rows = C.silver_rows(spark, SF_SMALL).withColumn("event_timestamp", F.lit(T0).cast("timestamp_ntz")).limit(1)
+    later = rows.withColumn("transaction_id", F.lit("late")).withColumn("event_timestamp", F.lit(T0 + dt.timedelta(hours=2)).cast("timestamp_ntz"))
+    run = P.score_and_fan_out(sinks)
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    later = spark.createDataFrame(later.collect(), later.schema)
+    run(rows, 0)
+    schema = spark.read.parquet(sinks.path("scored")).schema
+
+    def summarise():
+        scored = spark.readStream.schema(schema).parquet(sinks.path("scored"))
+        P.start_append(P.minute_summary_stream(scored), f"{base}/summary", f"{base}/ck").awaitTermination()
+    summarise()
+    run(rows, 0)                                         # delivered and written again
+    run(later, 1)                                        # moves the watermark on
+    summarise()
+    got = spark.read.parquet(f"{base}/summary").collect()
+    assert [r.tx_count for r in got] == [1]
+
+
+def _state_rows(spark, path, rows):
+    """Silver-shaped rows (id, card, user, minutes after T0, country, category, amount) as one file."""
+    data = [(i, c, u, T0 + dt.timedelta(minutes=m), k, g, a, False) for i, c, u, m, k, g, a in rows]
+    spark.createDataFrame(data, "transaction_id string, card_id string, user_id string, event_timestamp timestamp_ntz, country string, "
+                          "merchant_category string, amount double, is_off_hours boolean").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_late_rows_inside_the_watermark_are_scored_as_in_batch(spark):
+    """A row that comes late still sees all rows its frames reach back to: the
+    state outlives the frame by the watermark, for minutes and for days."""
+    from cardrisk.operators import features as FT
+    from cardrisk.operators import rules as R
+    from cardrisk.streaming import state as ST
+    ST.ensure_rocksdb(spark)
+    base = scratch_path(spark, "late-state")
+    raw, day = f"{base}/raw", 24 * 60
+    midnight = 31 * day - 12 * 60                        # T0 is at noon
+    for b in ([("a", "c", "u", 0, "US", "X", 10.0)], [("b", "c", "u", 61, "CA", "X", 20.0)], [("late", "c", "u", 55, "CA", "X", 30.0)]):
+        _state_rows(spark, raw, b)
+    users = f"{base}/users"
+    for b in ([("d0", "z", "v", -60, "US", "X", 5.0)], [("d1", "z", "v", day, "US", "X", 7.0)], [("d31", "z", "v", midnight + 1, "US", "X", 9.0)],
+              [("d30", "z", "v", midnight - 1, "US", "X", 11.0)]):
+        _state_rows(spark, users, b)
+
+    def stream(path):
+        schema = spark.read.parquet(path).schema
+        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+        return s.withColumn(P.ET, F.col("event_timestamp").cast("timestamp")).withWatermark(P.ET, "10 minutes")
+    P.start_append(ST.card_history(stream(raw)), f"{base}/card", f"{base}/ck1").awaitTermination()
+    P.start_append(ST.user_history(stream(users)), f"{base}/user", f"{base}/ck2").awaitTermination()
+    card = {r.transaction_id: r for r in spark.read.parquet(f"{base}/card").collect()}
+    want = {r.transaction_id: r for r in R.card_history(spark.read.parquet(raw)).collect()}
+    assert card["late"].countries_60min_multi is True and want["late"].countries_60min_multi is True
+    assert card["late"].tx_count_10min == want["late"].tx_count_10min == 1
+    user = {r.transaction_id: r for r in spark.read.parquet(f"{base}/user").collect()}
+    silver = spark.read.parquet(users).withColumn("tx_date", F.to_date("event_timestamp"))
+    stats = {r.transaction_id: r.user_30d_n for r in FT.score_with_user_stats(silver, FT.user_stats(silver)).collect()}
+    assert user["d30"].user_30d_n == stats["d30"] == 2   # days 0 and 1
+
+
+def test_no_alert_writes_nothing(spark):
+    sinks = P.Sinks("unused", "json", {"path": scratch_path(spark, "no-alerts")})
+    P.publish(spark.createDataFrame([], "key string, value string"), sinks, 0)
+    from cardrisk.sources import storage
+    assert not storage.exists(spark, sinks.alert_options["path"])
