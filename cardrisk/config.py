@@ -36,7 +36,8 @@ MICROS_PER_DAY = 24 * MICROS_PER_HOUR
 
 @dataclass(frozen=True)
 class ScoringConfig:
-    # composite weights (sum to 1)
+    # Fixed values that must equal the reference for identical results: weights
+    # (they sum to 1), rule parameters and classification thresholds.
     w_amount_velocity: float = 0.35
     w_tx_frequency: float = 0.25
     w_off_hours: float = 0.15

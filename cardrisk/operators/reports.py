@@ -135,6 +135,7 @@ def alert_timeline(scored: DataFrame) -> DataFrame:
                   .orderBy("event_timestamp", "transaction_id"))
 
 
+# Fixed: the alert record's fields.
 ALERT_FIELDS = ("transaction_id", "card_id", "user_id", "amount", "anomaly_score", "risk_level",
                 "triggered_rules", "merchant_category", "country", "scored_at")
 
