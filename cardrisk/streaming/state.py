@@ -81,13 +81,12 @@ class CardHistory(StatefulProcessor):
         lowest = (int(t_new.min()) - self.border_us) // MICROS_PER_MINUTE
         held: dict[int, list] = {}
         newest = int(t_new.max())
-        if self.minutes.exists():
-            for k in list(self.minutes.keys()):
-                m = int(k[0])
-                newest = max(newest, m * MICROS_PER_MINUTE)
-                if m >= lowest:
-                    v = self.minutes.getValue((m,))
-                    held[m] = [list(v[0]), list(v[1])]
+        stored = [int(k[0]) for k in self.minutes.keys()] if self.minutes.exists() else []
+        for m in stored:
+            newest = max(newest, m * MICROS_PER_MINUTE)
+            if m >= lowest:
+                v = self.minutes.getValue((m,))
+                held[m] = [list(v[0]), list(v[1])]
         touched = set()
         for t, c in zip(t_new.tolist(), new["country"].tolist()):
             m = t // MICROS_PER_MINUTE
@@ -111,12 +110,13 @@ class CardHistory(StatefulProcessor):
         ok = b > a
         if len(codes):
             multi[ok] = changes[b[ok]] - changes[a[ok]] > 0
-        for m in touched:                       # only the minutes that changed are written
-            self.minutes.updateValue((m,), (held[m][0], held[m][1]))
         keep = (newest - self.border_us - self.late_us) // MICROS_PER_MINUTE
-        for k in list(self.minutes.keys()):
-            if int(k[0]) < keep:
-                self.minutes.removeKey((int(k[0]),))
+        for m in touched:                       # only minutes that changed and are still needed are written
+            if m >= keep:
+                self.minutes.updateValue((m,), (held[m][0], held[m][1]))
+        for m in stored:
+            if m < keep:
+                self.minutes.removeKey((m,))
         for ts in list(self.handle.listTimers()):
             self.handle.deleteTimer(ts)
         self.handle.registerTimer(_ms(newest + self.border_us + self.late_us) + 1)
@@ -161,6 +161,7 @@ class UserHistory(StatefulProcessor):
                 self.seen.updateValue((cat,), (int(new.at[i, "t"]),))
         # 30-day stats at day granularity: partials of days d-30 .. d-1
         parts = {int(k[0]): (int(v[0]), int(v[1]), int(v[2])) for k, v in self.daily.iterator()} if self.daily.exists() else {}
+        stored = list(parts)
         day = (new["t"].to_numpy(dtype=np.int64) // MICROS_PER_DAY).astype(np.int64)
         x = np.rint(new["amount"].to_numpy(dtype=float) * CENTS)
         n_out = np.zeros(len(new), dtype=np.int64)
@@ -179,11 +180,13 @@ class UserHistory(StatefulProcessor):
             p = parts.get(int(d), (0, 0, 0))
             parts[int(d)] = (p[0] + len(xs), p[1] + sum(xs), p[2] + sum(v * v for v in xs))
         newest_day = max(max(parts), int(day.max()))
-        for k in list(parts):
-            if k < newest_day - self.days - self.late_days:
-                self.daily.removeKey((k,))
-            else:
+        keep, now = newest_day - self.days - self.late_days, {int(d) for d in day}
+        for k in now:                           # only days that changed and are still needed are written
+            if k >= keep:
                 self.daily.updateValue((k,), (parts[k][0], parts[k][1], str(parts[k][2])))
+        for k in stored:
+            if k < keep:
+                self.daily.removeKey((k,))
         for ts in list(self.handle.listTimers()):
             self.handle.deleteTimer(ts)
         self.handle.registerTimer(_ms((newest_day + self.days + self.late_days + 1) * MICROS_PER_DAY))
