@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 
 import numpy as np
@@ -9,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import hadoop_path
+
 # Rows per Arrow batch. Texts may be megabytes long, so the default of 10,000
 # rows would let a batch outgrow a Python worker.
 ARROW_ROWS = 256
@@ -41,6 +44,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
+# ---- disk -----------------------------------------------------------------
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished jobs now.
+
+    It acts when the driver's JVM has found their plans unreachable, otherwise
+    at its next periodic collection, half an hour away by default.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table that this module wrote to the shared folder and has read for the last time."""
+    for folder in {f.rpartition("/")[0] for f in written.inputFiles()}:
+        fs, path = hadoop_path(written.sparkSession, folder)
+        fs.delete(path, True)
+
+
 # ---- tasks by rows --------------------------------------------------------
 
 ROWS_PER_TASK = 25_000

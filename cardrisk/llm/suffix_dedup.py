@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .common import mix64, sha256_hex, small_batches, texts_of
+from .common import discard, free_shuffles, mix64, sha256_hex, small_batches, texts_of
 from .shingles import word_hashes
 
 WINDOW = 100
@@ -84,6 +84,9 @@ def rolling_names(data: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
         step += 1
 
 
+STRIP = 1 << 15           # window starts worked on at a time, so that intermediates stay in a core's cache
+
+
 def anchors(data: np.ndarray) -> np.ndarray:
     """For every window start the smallest name of an ANCHOR-byte string in the
     window (upper 40 bits) and where it stands, modulo 2^24 (lower 24).
@@ -92,17 +95,18 @@ def anchors(data: np.ndarray) -> np.ndarray:
     so the anchor also stands at the same place in equal windows. Neighbouring
     windows mostly share an anchor.
     """
-    names = mix64(rolling_names(data, ANCHOR))
-    names = (names & ~PLACE) | (np.arange(len(names), dtype=np.uint64) & PLACE)
     width = WINDOW - ANCHOR + 1
-    n = len(data) - WINDOW + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    low, span = names, 1
-    while 2 * span <= width:
-        low = np.minimum(low[:-span], low[span:])
-        span *= 2
-    return np.minimum(low[:n], low[width - span:width - span + n])
+    out = np.empty(max(0, len(data) - WINDOW + 1), np.uint64)
+    for begin in range(0, len(out), STRIP):
+        n = min(STRIP, len(out) - begin)
+        names = mix64(rolling_names(data[begin:begin + n + WINDOW - 1], ANCHOR))
+        names = (names & ~PLACE) | (np.arange(begin, begin + len(names), dtype=np.uint64) & PLACE)
+        low, span = names, 1
+        while 2 * span <= width:
+            low = np.minimum(low[:-span], low[span:])
+            span *= 2
+        np.minimum(low[:n], low[width - span:width - span + n], out=out[begin:begin + n])
+    return out
 
 
 # ---- difference cover -----------------------------------------------------
@@ -125,10 +129,13 @@ def name_triples(names: np.ndarray, at: np.ndarray, offsets: tuple[int, int]) ->
     """Names of the triples (p, p + offsets[0], p + offsets[1]) for the sampled
     positions ``at``; offsets are multiples of three, so all members are sampled.
     ``names`` is indexed by position and 0 where nothing is."""
-    first = ranks((names[at] << 32) | names[at + offsets[0]])
-    third = ranks((first << 32) | names[at + offsets[1]])
+    a, b, c = names[at], names[at + offsets[0]], names[at + offsets[1]]
+    if len(at) and int(a.max()) < 1 << 21:
+        triple = (a << 42) | (b << 21) | c
+    else:
+        triple = (ranks((a << 32) | b) << 32) | c
     out = np.zeros(len(names), np.int64)
-    out[at] = third
+    out[at] = ranks(triple)
     return out
 
 
@@ -157,25 +164,32 @@ def repeats_earlier(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """
     names = sampled_names(text)
     out = np.zeros(len(starts), bool)
+    bits = max(1, int(len(starts)).bit_length())
     for shift in range(3):
         mine = np.flatnonzero((starts + shift) % 3 != 0)
         i = starts[mine]
-        key = names[i + shift] << 16
         rest = [i + j for j in range(shift)] + [i + shift + 98 + j for j in range(2 - shift)]
-        key |= (text[rest[0]].astype(np.int64) << 8) | text[rest[1]]
-        order = np.argsort(key, kind="stable")
-        k = key[order]
-        out[mine[order[1:][k[1:] == k[:-1]]]] = True
+        key = (names[i + shift] << 16) | (text[rest[0]].astype(np.int64) << 8) | text[rest[1]]
+        if len(key) and int(key.max()).bit_length() + bits < 63:
+            # key and place in one number: sorted as a whole, equal keys by place
+            placed = np.sort((key << bits) | mine)
+            out[placed[1:][(placed[1:] >> bits) == (placed[:-1] >> bits)] & ((1 << bits) - 1)] = True
+        else:
+            order = np.argsort(key, kind="stable")
+            k = key[order]
+            out[mine[order[1:][k[1:] == k[:-1]]]] = True
     return out
 
 
-def gathered(valid: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def gathered(valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(positions, index of each window start among them) of the bytes that the windows at ``valid`` cover."""
-    mark = np.zeros(n + 1, np.int32)
-    np.add.at(mark, valid, 1)
-    np.add.at(mark, valid + WINDOW, -1)
-    positions = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
-    return positions, np.searchsorted(positions, valid)
+    cut = np.flatnonzero(np.diff(valid) > WINDOW) + 1
+    begin = valid[np.concatenate([[0], cut])]
+    end = valid[np.concatenate([cut - 1, [len(valid) - 1]])] + WINDOW
+    size = end - begin
+    shift = begin - np.concatenate([[0], np.cumsum(size)[:-1]])
+    per_run = np.diff(np.concatenate([[0], cut, [len(valid)]]))
+    return np.arange(int(size.sum())) + np.repeat(shift, size), valid - np.repeat(shift, per_run)
 
 
 def runs_of(flags: np.ndarray) -> np.ndarray:
@@ -185,10 +199,10 @@ def runs_of(flags: np.ndarray) -> np.ndarray:
 
 
 def flags_of(runs: np.ndarray, n: int) -> np.ndarray:
-    mark = np.zeros(n + 1, np.int32)
-    np.add.at(mark, runs[:, 0], 1)
-    np.add.at(mark, runs[:, 1], -1)
-    return np.cumsum(mark[:n]) > 0
+    mark = np.zeros(n + 1, np.int8)
+    mark[runs[:, 0]] += 1
+    mark[runs[:, 1]] -= 1
+    return np.cumsum(mark[:n], dtype=np.int8).view(bool)
 
 
 def chunk_starts(lengths: np.ndarray) -> np.ndarray:
@@ -209,19 +223,22 @@ def local_repeats(data: np.ndarray, lengths: np.ndarray, anchor: np.ndarray) ->
     run = np.empty(len(a), bool)
     run[0] = True
     run[1:] = (a[1:] != a[:-1]) | (valid[1:] != valid[:-1] + 1)
-    head = a[run] >> np.uint64(24)
-    order = np.argsort(head, kind="stable")
-    h = head[order]
-    same = np.zeros(len(h), bool)
-    same[1:] = h[1:] == h[:-1]
-    same[:-1] |= same[1:]
-    again = np.zeros(len(h), bool)
-    again[order] = same
+    index = np.flatnonzero(run)
+    again = np.zeros(len(index), bool)
+    if len(index) < 1 << 24:
+        # name and run in one number (the name has 40 bits)
+        placed = np.sort((a[index] & ~PLACE) | np.arange(len(index), dtype=np.uint64))
+        same = (placed[1:] >> np.uint64(24)) == (placed[:-1] >> np.uint64(24))
+        placed = (placed & PLACE).astype(np.int64)
+        again[placed[1:][same]] = True
+        again[placed[:-1][same]] = True
+    else:
+        again[:] = True
     wraps = (valid & int(PLACE)) >= int(PLACE) - WINDOW       # where places start anew, the first may not count
-    valid = valid[again[np.cumsum(run) - 1] | wraps]
+    valid = valid[np.repeat(again, np.diff(np.append(index, len(a)))) | wraps]
     if len(valid) < 2:
         return out
-    positions, starts = gathered(valid, len(data))
+    positions, starts = gathered(valid)
     out[valid[repeats_earlier(data[positions], starts)]] = True
     return out
 
@@ -235,8 +252,8 @@ def result_of(raw: bytes, starts: np.ndarray) -> tuple[int, int, int, str]:
     if not len(starts):
         return n, 0, 0, sha256_hex(raw)
     mark = np.zeros(n + 1, np.int32)
-    np.add.at(mark, starts, 1)
-    np.add.at(mark, starts + WINDOW, -1)
+    mark[starts] += 1            # starts are distinct
+    mark[starts + WINDOW] -= 1
     gone = np.cumsum(mark[:n]) > 0
     return n, int(gone.sum()), len(runs_of(gone)), sha256_hex(np.frombuffer(raw, np.uint8)[~gone].tobytes())
 
@@ -318,7 +335,8 @@ def local_pass(chunks: DataFrame, n_buckets: int) -> DataFrame:
                 repeats = local_repeats(data, sizes, anchor)
                 rows = [(chunk, -1, runs_of(repeats).tobytes())]
                 first = np.flatnonzero(chunk_starts(sizes) & ~repeats)
-                names = np.unique(anchor[first] >> np.uint64(24))
+                names = anchor[first] >> np.uint64(24)
+                names = np.unique(names[np.flatnonzero(np.diff(names, prepend=~names[:1]))])
                 for k, part in _dealt(names, n_buckets):
                     rows.append((chunk, k, names[part].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
@@ -378,6 +396,30 @@ OPEN_ARROW = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("doc", pa
 NAMED = np.dtype([("high", "<u8"), ("low", "<u4"), ("doc", "<i4"), ("start", "<i4")])
 
 
+def pack_names(z: zstandard.ZstdCompressor, table: np.ndarray, docs: np.ndarray, mine: np.ndarray) -> bytes:
+    """Names as they are, texts and places column by column and compressed (they ascend)."""
+    steps = np.diff(mine["start"], prepend=mine["start"][:1] * 0).astype(np.int32)
+    side = z.compress(table.tobytes() + docs.astype(np.int32).tobytes() + np.bincount(mine["doc"], minlength=len(docs)).astype(np.int32).tobytes()
+                      + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes())
+    return (np.array([len(docs), len(mine), len(side)], np.int32).tobytes() + side
+            + np.ascontiguousarray(mine["high"]).tobytes() + np.ascontiguousarray(mine["low"]).tobytes())
+
+
+def unpack_names(un: zstandard.ZstdDecompressor, p: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(table of ids, numbers of the texts, names) of a packed payload."""
+    n_docs, n, size = np.frombuffer(p, np.int32, 3)
+    side = un.decompress(p[12:12 + size])
+    table, docs = np.frombuffer(side, np.int64, n_docs), np.frombuffer(side, np.int32, n_docs, 8 * n_docs)
+    counts = np.frombuffer(side, np.int32, n_docs, 12 * n_docs)
+    steps = np.frombuffer(side, np.uint8, 4 * n, 16 * n_docs).reshape(4, n).T
+    out = np.empty(n, NAMED)
+    out["doc"] = np.repeat(np.arange(n_docs), counts)
+    out["start"] = np.cumsum(np.ascontiguousarray(steps).view(np.int32).ravel())
+    out["high"] = np.frombuffer(p, np.uint64, n, 12 + size)
+    out["low"] = np.frombuffer(p, np.uint32, n, 12 + size + 8 * n)
+    return table, docs, out
+
+
 def open_windows(chunks: DataFrame, n_buckets: int) -> DataFrame:
     """Results of texts that no other chunk can change (kind done); the others'
     bodies and runs (kind text), and the names of their open windows by bucket (kind name)."""
@@ -397,11 +439,12 @@ def open_windows(chunks: DataFrame, n_buckets: int) -> DataFrame:
                 if len(shared):
                     first = np.flatnonzero(chunk_starts(sizes) & ~repeats)
                     anchor = anchors(data)[first] >> np.uint64(24)
-                    starts = first[np.isin(anchor, shared)]
+                    head = np.flatnonzero(np.diff(anchor, prepend=~anchor[:1]))
+                    starts = first[np.repeat(np.isin(anchor[head], shared), np.diff(np.append(head, len(anchor))))]
                 rows = []
                 doc_of = np.searchsorted(begin, starts, side="right") - 1
                 if len(starts):
-                    positions, at = gathered(starts, len(data))
+                    positions, at = gathered(starts)
                     text = data[positions]
                     named = np.zeros(len(starts), NAMED)
                     high = mix64(rolling_names(text, WINDOW, 0)[at])
@@ -413,7 +456,7 @@ def open_windows(chunks: DataFrame, n_buckets: int) -> DataFrame:
                         mine["doc"] = where
                         table = np.array([LAST if ids[d] is None else ids[d] for d in docs], np.int64)
                         rows.append({"kind": "name", "chunk": chunk, "bucket": k,
-                                     "payload": np.int32(len(docs)).tobytes() + table.tobytes() + docs.astype(np.int32).tobytes() + mine.tobytes()})
+                                     "payload": pack_names(z, table, docs, mine)})
                 pending = set(doc_of.tolist())
                 for d, (i, size) in enumerate(zip(ids, lengths)):
                     raw = data[begin[d]:begin[d + 1]].tobytes()
@@ -434,13 +477,11 @@ def later_windows(names: DataFrame, n_buckets: int) -> DataFrame:
     """Per text (chunk, doc) the starts of open windows that repeat an earlier one of another chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        un = zstandard.ZstdDecompressor()
         for _, chunks, payloads in _by_bucket(batches):
             parts, ids, numbers, chunk_of = [], [], [], []
             for chunk, p in zip(chunks, payloads):
-                n = int(np.frombuffer(p, np.int32, 1)[0])
-                table = np.frombuffer(p, np.int64, n, 4)
-                docs = np.frombuffer(p, np.int32, n, 4 + 8 * n)
-                part = np.frombuffer(p, NAMED, -1, 4 + 12 * n)
+                table, docs, part = unpack_names(un, p)
                 parts.append(part)
                 ids.append(table[part["doc"]])
                 numbers.append(docs[part["doc"]])
@@ -488,13 +529,18 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUN
     total = chunks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total * ANCHOR_SHARE) // BUCKET_BYTES)
 
+    free_shuffles(spark)
     one_chunk = lambda: spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     one_chunk()
     local = materialize(spark, local_pass(chunks, n_buckets), "local-repeats")
     shared = materialize(spark, shared_anchors(local.filter("bucket >= 0"), n_buckets), "shared-anchors")
     joined = (chunks.join(local.filter("bucket < 0").select("chunk", F.col("payload").alias("runs")), "chunk")
                     .join(shared.groupBy("chunk").agg(F.collect_list("payload").alias("shared")), "chunk", "left"))
+    free_shuffles(spark)
     opened = materialize(spark, open_windows(joined, n_buckets), "open-windows")
+    for used in (chunks, local, shared):
+        discard(used)
+    free_shuffles(spark)
     later = materialize(spark, later_windows(opened.filter("kind = 'name'"), n_buckets), "later-windows")
     small_batches(spark)
     texts = opened.filter("kind = 'text'").select("chunk", "doc", "doc_id", "payload", "runs").join(later, ["chunk", "doc"], "left")
