@@ -11,10 +11,10 @@ capacity come first, so each level is one running sum over a node's children.
 Selection. A leaf whose budget is k times its tokens plus a rest gives k full
 epochs and a prefix of the next: documents in the order of a seeded digest of
 epoch and id, whole, as long as their running token count stays within the
-rest. The running count is taken over digest-prefix buckets first (at most
-``BUCKETS`` rows per leaf) and row by row only in the one bucket of each leaf
-where the prefix ends, so a source with a third of all rows is spread over
-many tasks.
+rest. The running count is taken over digest-prefix buckets first (256 sums
+per leaf, then 256 more inside the bucket where the prefix ends) and row by row
+only in that one bucket of 65,536, so a source with a third of all rows is
+spread over many tasks.
 
 Defined results: a null path label is a label of its own, the empty string; a
 null or empty text has no tokens; rows with the same id share one place in an
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
 
-BUCKETS = 4096          # three hexadecimal digits
+DIGITS, LEVELS = 2, 2   # 256 buckets by two hexadecimal digits, and 256 again inside the one that matters
 WORDS = r"[^\x20\x09-\x0D]+"
 
 PATH = ("__domain", "__language", "__source")
@@ -101,17 +101,21 @@ def epoch_key(seed: str, epoch: Column, doc_id: Column) -> Column:
 
 
 def prefix_ends(narrow: DataFrame, budgets: DataFrame, seed: str) -> DataFrame:
-    """Per leaf the bucket in which the prefix of its partial epoch ends (null:
-    nowhere, all is taken) and the last (key, id) taken in that bucket."""
-    keyed = (narrow.join(budgets, list(PATH)).withColumn("key", epoch_key(seed, F.col("epochs"), F.col("doc_id")))
-                   .withColumn("bucket", F.substring("key", 1, 3)))
-    run = Window.partitionBy(*PATH).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    last = (keyed.groupBy(*PATH, "bucket", "rest").agg(F.sum("__tokens").alias("n"))
-                 .withColumn("upto", F.sum("n").over(run)).filter(F.col("upto") > F.col("rest"))
-                 .groupBy(*PATH).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("b"))
-                 .select(*PATH, F.col("b.bucket").alias("bucket"), F.col("b.before").alias("before")))
+    """Per leaf the key prefix in which the prefix of its partial epoch ends (no
+    row: nowhere, all is taken) and the last key taken there (null: none)."""
+    keyed = narrow.join(budgets, list(PATH)).withColumn("key", epoch_key(seed, F.col("epochs"), F.col("doc_id")))
+    scope = keyed.withColumn("before", F.lit(0).cast("long"))
+    for level in range(1, LEVELS + 1):
+        bucket = F.substring("key", 1, DIGITS * level)
+        run = Window.partitionBy(*PATH).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+        last = (scope.groupBy(*PATH, bucket.alias("bucket"), "rest", "before").agg(F.sum("__tokens").alias("n"))
+                     .withColumn("upto", F.col("before") + F.sum("n").over(run)).filter(F.col("upto") > F.col("rest"))
+                     .groupBy(*PATH).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("b"))
+                     .select(*PATH, F.col("b.bucket").alias("bucket"), F.col("b.before").alias("before")))
+        last = materialize(narrow.sparkSession, last, "mix-buckets")
+        scope = keyed.withColumn("bucket", bucket).join(last, [*PATH, "bucket"])
     order = Window.partitionBy(*PATH).orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    cut = (keyed.join(last, [*PATH, "bucket"]).groupBy(*PATH, "key", "doc_id", "before", "rest").agg(F.sum("__tokens").alias("n"))
+    cut = (scope.groupBy(*PATH, "key", "doc_id", "before", "rest").agg(F.sum("__tokens").alias("n"))
                 .withColumn("upto", F.col("before") + F.sum("n").over(order)).filter(F.col("upto") <= F.col("rest"))
                 .groupBy(*PATH).agg(F.max("key").alias("last_key")))
     return last.select(*PATH, F.col("bucket").alias("last_bucket")).join(cut, list(PATH), "left")
@@ -130,8 +134,10 @@ def mix(spark: SparkSession, docs: DataFrame, domain: Column, budget: Column, we
     ends = materialize(spark, prefix_ends(narrow, budgets.drop("tokens"), seed), "mix-ends")
     leaves = budgets.join(ends, list(PATH), "left").select(
         *PATH, *(F.col(c).alias(f"__{c}") for c in ("epochs", "last_bucket", "last_key")))
+    # written, so that its size is known: a tree of ordinary size is then broadcast and no text is shuffled
+    leaves = materialize(spark, leaves, "mix-leaves")
     key = epoch_key(seed, F.col("__epochs"), F.col("doc_id"))
-    in_prefix = F.col("__last_bucket").isNull() | (F.substring(key, 1, 3) < F.col("__last_bucket")) | (
+    in_prefix = F.col("__last_bucket").isNull() | (F.substring(key, 1, DIGITS * LEVELS) < F.col("__last_bucket")) | (
         F.coalesce(key <= F.col("__last_key"), F.lit(False)))
     none = F.array().cast("array<long>")
     epochs = F.concat(F.when(F.col("__epochs") > 0, F.sequence(F.lit(0).cast("long"), F.col("__epochs") - 1)).otherwise(none),
