@@ -107,7 +107,7 @@ g AS (SELECT digest, min(page_id) AS first_page FROM p WHERE n >= 100 GROUP BY d
 SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
        CASE WHEN first_page IS NOT NULL AND page_id IS DISTINCT FROM first_page THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM first_page THEN first_page END AS refers_to,
-       CAST(NULL AS VARCHAR) AS problem
+       true AS valid
 FROM p LEFT JOIN g ON p.digest = g.digest AND n >= 100
 """
 

@@ -277,4 +277,4 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(spark, pages, path)
     return read_archives(spark, path).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("problem").isNull().alias("valid"))

@@ -66,11 +66,11 @@ def test_nulls_ties_repeats_and_short_payloads(spark):
     rows = [(5, "u", long_), (3, None, long_), (3, "u\r\nX-Evil: 1", long_), (9, "ü", long_), (None, "n", long_),
             (1, "s", "y" * 99), (2, "s", "y" * 99), (7, "e", None), (8, "e", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("html", "page_id", "url", "'z' AS digest")
-    got = sorted(((r.page_id, r.record_type, r.refers_to, r.payload_bytes, r.problem) for r in
+    got = sorted(((r.page_id, r.record_type, r.refers_to, r.payload_bytes, r.valid) for r in
                   W.archive_round_trip(spark, pages).collect()), key=repr)
-    want = [(5, "revisit", 3, 100, None), (3, "response", None, 100, None), (3, "response", None, 100, None),
-            (9, "revisit", 3, 100, None), (None, "revisit", 3, 100, None), (1, "response", None, 99, None),
-            (2, "response", None, 99, None), (7, "response", None, 0, None), (8, "response", None, 0, None)]
+    want = [(5, "revisit", 3, 100, True), (3, "response", None, 100, True), (3, "response", None, 100, True),
+            (9, "revisit", 3, 100, True), (None, "revisit", 3, 100, True), (1, "response", None, 99, True),
+            (2, "response", None, 99, True), (7, "response", None, 0, True), (8, "response", None, 0, True)]
     assert got == sorted(want, key=repr)
     assert W.archive_round_trip(spark, pages.limit(0)).count() == 0
 
