@@ -50,7 +50,7 @@ from .shingles import word_hashes
 WINDOW = 100
 ANCHOR = 48               # bytes of an anchor; every window contains one
 CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 32 << 20   # of anchors or names in a task, about
+BUCKET_BYTES = 4 << 20    # of anchors in a task, about (raise it with CHUNK_BYTES: a chunk writes a row per bucket)
 ANCHOR_SHARE = 0.25       # bytes of packed anchors per byte of text, at most about
 LAST = np.int64(2 ** 63 - 1)
 
@@ -527,7 +527,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUN
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
     chunks = make_chunks(spark, docs, chunk_bytes)
     total = chunks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total * ANCHOR_SHARE) // BUCKET_BYTES)
+    n_buckets = 1 + int(total * ANCHOR_SHARE) // BUCKET_BYTES
 
     free_shuffles(spark)
     one_chunk = lambda: spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
