@@ -49,7 +49,7 @@ from .shingles import word_hashes
 
 WINDOW = 100
 ANCHOR = 48               # bytes of an anchor; every window contains one
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
 BUCKET_BYTES = 4 << 20    # of anchors in a task, about (raise it with CHUNK_BYTES: a chunk writes a row per bucket)
 ANCHOR_SHARE = 0.25       # bytes of packed anchors per byte of text, at most about
 LAST = np.int64(2 ** 63 - 1)
@@ -208,7 +208,9 @@ def flags_of(runs: np.ndarray, n: int) -> np.ndarray:
 def chunk_starts(lengths: np.ndarray) -> np.ndarray:
     """Flags of the window starts that stay inside their text, texts standing one after another."""
     n = int(lengths.sum())
-    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
+    kind = np.int32 if n < 1 << 31 else np.int64
+    left = np.repeat(np.cumsum(lengths).astype(kind), lengths)
+    left -= np.arange(n, dtype=kind)
     return left >= WINDOW
 
 
