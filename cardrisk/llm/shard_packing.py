@@ -7,9 +7,9 @@ as a share of the total) with the shard's residual capacity is highest.
 What is placed is bounded, whatever the input: groups holding less than
 1 / (shards * PIECES) of every measure are combined by hash into at most
 2 * ``bundles`` bundles that are placed as one; larger groups, of which there
-can be at most 3 * shards * PIECES, are placed by themselves, and those above
-that share are cut into pieces of about that size, as no shard could hold a
-group of a third of all rows and stay balanced. A sixteenth of the bundles is
+can be at most 3 * shards * PIECES, are placed by themselves, whole up to a quarter of a shard; those above are cut into
+parts of about that size, as no shard could hold a group of a third of all
+rows and stay balanced. A sixteenth of the bundles is
 dealt into sixteen times finer ones, which are placed last and level the rest.
 So the driver sees sums of at most a few thousand items and sends back one
 shard and one first slot for each; rows are numbered inside their item.
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
 
-PIECES = 64      # pieces of a shard: no group of more than 1/64 of a shard is placed whole
+PIECES = 64      # rows are numbered in pieces of no more than about 1/64 of a shard
+TOGETHER = 16    # pieces of a group that are placed as one: up to a quarter of a shard
 FINE = 16
 
 
@@ -81,7 +82,12 @@ def pack_documents(spark: SparkSession, docs: DataFrame, n_shards: int = 8, bund
 
     items = rows.groupBy("item").agg(*sums).orderBy("item").collect()
     vectors = np.array([[r.b, r.t, r.n] for r in items], float).reshape(-1, 3) / np.array(total, float)
-    shard = place(vectors, n_shards)
+    units: dict[tuple, int] = {}
+    unit = np.array([units.setdefault((r.item.large, r.item.part // TOGETHER if r.item.large > 0 else r.item.part), len(units))
+                     for r in items], np.int64)
+    together = np.zeros((len(units), 3))
+    np.add.at(together, unit, vectors)
+    shard = place(together, n_shards)[unit]
     first = np.zeros(len(items), np.int64)
     for s in range(n_shards):
         at = np.flatnonzero(shard == s)
