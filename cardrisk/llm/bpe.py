@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import mix64, sha256_hex, small_batches, texts_of
+from .common import Shared, mix64, sha256_hex, small_batches, texts_of
 
 MAX_VOCAB_BYTES = 64 << 20
 MEMO_ENTRIES = 1_000_000  # resolved pre-tokens kept per Python worker
@@ -196,22 +196,23 @@ class Codec:
         return b"".join(self.token_bytes[str(i)] for i in ids)
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[tuple, Codec] = {}
 
 
-def codec_of(shared, pattern: str) -> Codec:
-    """The worker's codec for a broadcast vocabulary, built on first use."""
-    key = hash((shared.id if hasattr(shared, "id") else id(shared), pattern))
+def codec_of(shared: Shared, pattern: str) -> Codec:
+    """The worker's codec for a broadcast vocabulary, built on first use; each task starts with an empty memo."""
+    key = (shared.key, pattern)
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = Codec(shared.value, pattern)
+    _CODECS[key].memo.clear()
     return _CODECS[key]
 
 
 def tokenize_documents(spark: SparkSession, docs: DataFrame, vocab_path: str, pattern: str) -> DataFrame:
     """Per document the encoded ids (array of int), their number, and whether they decode to the text again."""
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(read_ranks(vocab_path))
+    shared = Shared(spark, read_ranks(vocab_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared, pattern)
@@ -237,7 +238,7 @@ def tokenize_digests(spark: SparkSession, docs: DataFrame, vocab_path: str, patt
     worker as digests so that the result stays a few bytes per document.
     """
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(read_ranks(vocab_path))
+    shared = Shared(spark, read_ranks(vocab_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared, pattern)

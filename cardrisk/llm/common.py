@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,18 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+class Shared:
+    """A broadcast value with a key by which workers can cache what they build from it."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.key = uuid.uuid4().hex
+        self.broadcast = spark.sparkContext.broadcast(value)
+
+    @property
+    def value(self):
+        return self.broadcast.value
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of an Arrow text column; null counts as the empty text."""
     return [t or "" for t in column.to_pylist()]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import read_ranks
-from .common import sha256_hex, small_batches, texts_of
+from .common import Shared, sha256_hex, small_batches, texts_of
 
 KINDS = ("assign", "access", "hex", "token")  # order among spans with equal starts
 ASSIGN = re.compile(
@@ -103,33 +103,23 @@ def redact(text: str, spans: list[tuple[int, int, int]], mark: str = "[secret]")
     return "".join(out) + text[at:]
 
 
-_ENCODERS: dict[int, tiktoken.Encoding] = {}
+_ENCODERS: dict[tuple, tiktoken.Encoding] = {}
 
 
-def _encoder(shared, pattern: str):
-    if shared.id not in _ENCODERS:
+def _encoder(shared: Shared, pattern: str):
+    """The worker's encoder for a broadcast vocabulary, built on first use."""
+    key = (shared.key, pattern)
+    if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[shared.id] = tiktoken.Encoding("scan", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
-    return _ENCODERS[shared.id].encode_ordinary
-
-
-class _Shared:
-    """A broadcast with an id that survives pickling."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.broadcast = spark.sparkContext.broadcast(read_ranks(path))
-        self.id = id(self.broadcast)
-
-    @property
-    def value(self):
-        return self.broadcast.value
+        _ENCODERS[key] = tiktoken.Encoding("scan", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
+    return _ENCODERS[key].encode_ordinary
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, vocab_path: str, pattern: str,
                  max_ratio: float = MAX_CHARS_PER_TOKEN) -> DataFrame:
     """One row per document: counts of the fixed patterns, digest of their spans, all spans."""
     small_batches(spark)
-    shared = _Shared(spark, vocab_path)
+    shared = Shared(spark, read_ranks(vocab_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(shared, pattern)
@@ -154,7 +144,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, vocab_path: str, patter
     A null text stays null; ``n_chars``, where present, counts the new text.
     """
     small_batches(spark)
-    shared = _Shared(spark, vocab_path)
+    shared = Shared(spark, read_ranks(vocab_path))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
