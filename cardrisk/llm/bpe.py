@@ -200,12 +200,11 @@ _CODECS: dict[tuple, Codec] = {}
 
 
 def codec_of(shared: Shared, pattern: str) -> Codec:
-    """The worker's codec for a broadcast vocabulary, built on first use; each task starts with an empty memo."""
+    """The worker's codec for a broadcast vocabulary, built on first use and kept, with its bounded memo, across tasks."""
     key = (shared.key, pattern)
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = Codec(shared.value, pattern)
-    _CODECS[key].memo.clear()
     return _CODECS[key]
 
 
