@@ -6,14 +6,12 @@ is one order of the signature (it starts at the tree's own place and runs on
 cyclically); classes sorted by it stand beside those with which they share the
 longest prefix.
 
-Candidates. A region is a set of classes that share a prefix in a tree. It
-starts at depth ``WIDTH``; a region of more than ``REGION`` classes is split by
-a longer prefix, and so on, so depth adapts to how crowded a region is, and
-what is left at the last depth (classes that agree in ``DEPTHS[-1]`` minima in
-a row) is linked to its first member. Inside a region all signatures are held
-against each other in one task, bounded by ``REGION``, and a spanning forest
-of the likely pairs is kept, never the pairs. Components of these links over
-all trees are the groups in which links are looked for.
+Candidates. A region is the set of all classes that share a prefix of ``WIDTH``
+minima in a tree. All its signatures are held against each other: in one task
+up to ``REGION`` classes; a more crowded one is dealt into blocks of about that
+size, with a task for every two blocks, so that none of its pairs is left out.
+A spanning forest of the likely pairs is kept, never the pairs. Components of
+these links over all trees are the groups in which links are looked for.
 
 Confirmation. The full shingle sets of a group are counted against each other
 exactly; a group of more than ``BLOCK`` members is dealt into blocks, with a
@@ -50,7 +48,6 @@ from .shingles import set_digest, shingle_set, signature
 
 TREES = 32
 WIDTH = 4
-DEPTHS = (4, 6, 8, 12, 16, 24, 32)
 REGION = 2048
 BLOCK = 1024
 BLOCK_SHINGLES = 1 << 21      # shingles of a block's members, about
@@ -88,68 +85,85 @@ def sign_documents(spark: SparkSession, docs: DataFrame, width: int) -> DataFram
         run, "doc_id long, th long, n_shingles long, cls binary, sig binary")
 
 
-def tree_key(tree, depth: int):
-    """Prefix of ``depth`` minima in the order of ``tree`` (a column), as a binary string."""
-    twice = [F.concat(F.substring("sig", 1 + k * N_HASHES, N_HASHES), F.substring("sig", 1 + k * N_HASHES, N_HASHES)) for k in (0, 1)]
-    return F.concat(*(F.substring(x, tree * WIDTH + 1, F.lit(depth)) for x in twice))
+def tree_key(tree):
+    """Prefix of ``WIDTH`` minima in the order of ``tree`` (a column), as a binary string."""
+    return F.concat(*(F.substring("sig", tree * WIDTH + 1 + k * N_HASHES, F.lit(WIDTH)) for k in (0, 1)))
 
 
-def likely_forest(members: list[bytes], low: np.ndarray, least: int) -> list[tuple[bytes, bytes]]:
-    """Spanning links among the members whose signatures agree in ``least`` places or more."""
-    open_ = np.arange(len(members))
+def likely_forest(members: list[bytes], low: np.ndarray, least: int, side: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """Spanning links among the members whose signatures agree in ``least`` places or
+    more; of members on two sides only pairs across are looked at."""
+    across = bool(side.any() and not side.all())
+    side = side.astype(int) if across else np.zeros(len(members), int)
+    open_ = [np.flatnonzero(side == k) for k in (0, 1)]
     out = []
-    while len(open_):
-        root, open_ = open_[0], open_[1:]
+    while len(open_[0]):
+        root, open_[0] = open_[0][0], open_[0][1:]
         queue = [root]
-        while queue and len(open_):
+        while queue:
             i = queue.pop()
-            near = (low[open_] == low[i]).sum(1) >= least
-            queue += open_[near].tolist()
-            out += [(members[root], members[j]) for j in open_[near]]
-            open_ = open_[~near]
+            to = 1 - side[i] if across else 0
+            near = (low[open_[to]] == low[i]).sum(1) >= least
+            queue += open_[to][near].tolist()
+            out += [(members[root], members[j]) for j in open_[to][near]]
+            open_[to] = open_[to][~near]
     return out
 
 
+def link_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()),
+                                       pa.array([x[1] for x in links], pa.binary())], ["u", "v"])
+
+
 def candidate_links(spark: SparkSession, classes: DataFrame, threshold: float) -> DataFrame:
     """Links (u, v) whose components hold every pair worth confirming."""
     small_batches(spark)
     slack = 6 * (threshold * (1 - threshold) / N_HASHES) ** 0.5
     least = int(max(1, np.floor(N_HASHES * (threshold - slack))))
 
+    def forest(members: list[bytes], low: list[bytes], side: np.ndarray) -> list[tuple[bytes, bytes]]:
+        return likely_forest(members, np.frombuffer(b"".join(low), np.uint8).reshape(len(low), N_HASHES), least, side)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             links = []
             for region in b.column(0).to_pylist():
-                low = np.frombuffer(b"".join(m["low"] for m in region), np.uint8).reshape(len(region), N_HASHES)
-                links += likely_forest([m["cls"] for m in region], low, least)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()),
-                                              pa.array([x[1] for x in links], pa.binary())], ["u", "v"])
+                links += forest([m["cls"] for m in region], [m["low"] for m in region], np.zeros(len(region), bool))
+            yield link_batch(links)
+
+    def run_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, members, low, other = None, [], [], []
+        for batch in batches:
+            for region, a, b, mine, cls, sig in zip(*(c.to_pylist() for c in batch.columns)):
+                if (region, a, b) != now:
+                    if len(members) > 1:
+                        yield link_batch(forest(members, low, np.array(other, bool)))
+                    now, members, low, other = (region, a, b), [], [], []
+                members.append(cls)
+                low.append(sig)
+                other.append(mine != a)
+        if len(members) > 1:
+            yield link_batch(forest(members, low, np.array(other, bool)))
 
     places = classes.select("cls", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
-    found, n_places = None, TREES * classes.count()
-    for depth in DEPTHS:
-        keyed = places.select("cls", "tree", F.xxhash64("tree", tree_key(F.col("tree"), depth)).alias("region"))
-        sizes = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sizes = materialize(spark, task_sized(sizes, n_places), "regions")
-        small = keyed.join(sizes.filter(F.col("n") <= REGION), "region").select("cls", "region")
-        regions = (small.join(classes.select("cls", F.substring("sig", N_HASHES + 1, N_HASHES).alias("low")), "cls")
-                        .groupBy("region").agg(F.collect_list(F.struct("cls", "low")).alias("members")))
-        links = regions.select("members").mapInArrow(run, "u binary, v binary")
-        large = sizes.filter(F.col("n") > REGION)
-        # Few regions are this large; they are at most 1/REGION of the places.
-        n_crowded = large.agg(F.sum("n")).first()[0] or 0
-        if not n_crowded:
-            return links if found is None else found.unionByName(links)
-        crowded = keyed.join(large.select("region"), "region").select("cls", "tree", "region")
-        crowded = materialize(spark, task_sized(crowded, n_places), "crowded")
-        if depth == DEPTHS[-1]:
-            first = crowded.groupBy("region").agg(F.min("cls").alias("v"), F.count(F.lit(1)).alias("n"))
-            links = links.unionByName(join_sized(crowded.select(F.col("cls").alias("u"), "region"), first, "region",
-                                                 n_crowded).select("u", "v"))
-        found = links if found is None else found.unionByName(links)
-        n_places = n_crowded
-        places = crowded.select("cls", "tree").join(classes.select("cls", "sig"), "cls")
-    return found
+    keyed = places.select("cls", F.xxhash64("tree", tree_key(F.col("tree"))).alias("region"))
+    sizes = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = materialize(spark, task_sized(sizes, TREES * classes.count()), "regions")
+    lows = classes.select("cls", F.substring("sig", N_HASHES + 1, N_HASHES).alias("low"))
+    small = keyed.join(sizes.filter(F.col("n") <= REGION), "region").select("cls", "region")
+    regions = small.join(lows, "cls").groupBy("region").agg(F.collect_list(F.struct("cls", "low")).alias("members"))
+    links = regions.select("members").mapInArrow(run, "u binary, v binary")
+    large = sizes.filter(F.col("n") > REGION)
+    if large.isEmpty():
+        return links
+    # Few regions are this large; they are at most 1/REGION of the places.
+    large = large.select("region", F.ceil(F.col("n") / REGION).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    rows = keyed.join(large, "region").join(lows, "cls").select(
+        "region", "cls", "low", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("region", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "cls", "low")
+    rows = rows.repartition("region", "a", "b").sortWithinPartitions("region", "a", "b")
+    return links.unionByName(rows.mapInArrow(run_blocks, "u binary, v binary"))
 
 
 def exact_forest(keys: list[bytes], sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[bytes, bytes]]:
@@ -222,8 +236,7 @@ def confirmed_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, gr
             keys = list(held)
             side = np.array([held[k][0] != now[1] for k in keys], bool)
             links = exact_forest(keys, [held[k][1] for k in keys], side, percent)
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()),
-                                               pa.array([x[1] for x in links], pa.binary())], ["u", "v"])
+            return link_batch(links)
 
         for batch in batches:
             for root, a, b, mine, cls, text in zip(*(c.to_pylist() for c in batch.columns)):

@@ -108,3 +108,28 @@ def test_exact_forest_spans_links():
     keys = [b"a", b"b", b"c", b"d"]
     assert sorted(L.exact_forest(keys, sets, np.zeros(4, bool), 80)) == [(b"a", b"b"), (b"a", b"c")]
     assert L.exact_forest(keys, sets, np.array([False, False, False, True]), 80) == []
+
+
+def test_crowded_regions_lose_no_link(spark, monkeypatch):
+    """A star whose spokes are near the hub only, all in regions far beyond ``REGION``."""
+    monkeypatch.setattr(L, "REGION", 8)
+    rng = np.random.default_rng(3)
+    hub = rng.integers(0, 256, 2 * L.N_HASHES).astype(np.uint8)
+    sigs = [hub]
+    for _ in range(200):
+        s = hub.copy()
+        other = rng.choice(L.N_HASHES, 38, replace=False)
+        for half in (other, other + L.N_HASHES):
+            s[half] += rng.integers(1, 256, 38).astype(np.uint8)
+        sigs.append(s)
+    x = np.array(sigs)
+    keys = [x[:, [k + t * L.WIDTH for k in range(L.WIDTH)] + [k + t * L.WIDTH + L.N_HASHES for k in range(L.WIDTH)]]
+            for t in range(L.TREES)]
+    meets = np.any([(k == k[0]).all(1) for k in keys], axis=0)
+    assert meets.sum() > 195 and max((k == k[0]).all(1).sum() for k in keys) > 4 * L.REGION
+    df = spark.createDataFrame([(i.to_bytes(2, "big"), bytearray(s.tobytes())) for i, s in enumerate(sigs)], "cls binary, sig binary")
+    links = [(int.from_bytes(r.u, "big"), int.from_bytes(r.v, "big")) for r in L.candidate_links(spark, df, 0.8).collect()]
+    reached = {0}
+    while more := {b for link in links for a, b in (link, link[::-1]) if a in reached} - reached:
+        reached |= more
+    assert set(np.flatnonzero(meets).tolist()) <= reached
