@@ -4,7 +4,9 @@ Patterns find assignments, access keys and long hexadecimal runs. The added
 test looks at the remaining long unbroken strings: text a BPE vocabulary was
 made for needs few tokens, so a string whose characters-per-token ratio is low
 is likely random. Strings of known harmless shape (digests, UUIDs, names made
-of word parts) are excluded before the test.
+of word parts) are excluded before the test. Words joined to a random string by
+/ _ + or - would hide it in the ratio of the whole; where the whole passes, the
+runs of its parts with the lowest ratio take the same test by themselves.
 
 A narrow map over the documents. The vocabulary is broadcast after a check of
 its size (see ``bpe.read_ranks``) and applied with the tiktoken library.
@@ -38,6 +40,11 @@ DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}  # hexadecimal characters of the usua
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 WORD_PART = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{2,}(?![a-z])|\d{1,4}(?!\d)")
 
+PART = re.compile(r"[A-Za-z0-9]+={0,2}")
+UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
+
+MIN_CHARS = 20         # of a run of parts, as of a candidate
+DROP = 8               # characters too many for its tokens that end a run of parts
 MAX_CHARS_PER_TOKEN = 2.0
 MIN_KINDS = 2          # of lower case, upper case, digits
 MIN_WORD_SHARE = 0.8   # of an identifier's letters and digits inside word parts
@@ -63,6 +70,40 @@ def is_random(s: str, encode, max_ratio: float = MAX_CHARS_PER_TOKEN) -> bool:
     return len(s) < max_ratio * len(encode(s))
 
 
+def random_spans(s: str, encode, max_ratio: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int]]:
+    """Where a candidate is random: as a whole, or else in runs of the parts between its separators."""
+    known = [m.span() for m in UUID_INSIDE.finditer(s)]
+    if not known and is_random(s, encode, max_ratio):
+        return [(0, len(s))]
+    parts = [m.span() for m in PART.finditer(s)]
+    if parts == [(0, len(s))]:
+        return []
+    weight, at = [], 0
+    for a, b in parts:
+        while at < len(known) and known[at][1] <= a:
+            at += 1
+        harmless = at < len(known) and known[at][0] <= a or DIGEST.fullmatch(s[a:b]) and b - a in DIGEST_LENGTHS
+        weight.append(float("-inf") if harmless else max_ratio * len(encode(s[a:b])) - (b - a))
+    out, i = [], 0
+    while i < len(parts):
+        total = best = 0.0
+        end = i
+        for j in range(i, len(parts)):
+            total += weight[j]
+            if total > best:
+                best, end = total, j + 1
+            if total <= 0 or total < best - DROP:
+                break
+        if end == i:
+            i += 1
+            continue
+        a, b = parts[i][0], parts[end - 1][1]
+        spans = [(a, b)] if is_random(s[a:b], encode, max_ratio) else [p for p in parts[i:end] if is_random(s[p[0]:p[1]], encode, max_ratio)]
+        out += [(a, b) for a, b in spans if b - a >= MIN_CHARS]
+        i = end
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of the fixed patterns."""
     out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
@@ -77,8 +118,8 @@ def all_spans(text: str, encode, max_ratio: float = MAX_CHARS_PER_TOKEN) -> tupl
     extra = []
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if not any(s < b and a < e for s, _, e in base) and is_random(m.group(), encode, max_ratio):
-            extra.append((a, 3, b))
+        if not any(s < b and a < e for s, _, e in base):
+            extra += [(a + x, 3, a + y) for x, y in random_spans(m.group(), encode, max_ratio)]
     return base, sorted(base + extra)
 
 

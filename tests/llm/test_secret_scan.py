@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import duckdb
 import public_tokenizers
@@ -73,3 +75,26 @@ def test_query_equals_brute_force(spark):
         assert [got[i].n_assign, got[i].n_access, got[i].n_hex] == [sum(k == j for _, k, _ in b) for j in range(3)]
         assert got[i].base_sha256 == hashlib.sha256(S.joined(b).encode()).hexdigest()
         assert set(S.joined(b).split(",")) <= set(got[i].spans.split(",")) or not b
+
+
+def test_random_strings_behind_paths_and_names():
+    """Words joined to a random string do not hide it; its span leaves them out."""
+    rnd = random.Random(7)
+    letters = string.ascii_letters + string.digits
+    for prefix in ("api/v1/projects/production/settings/", "my_production_database_connection_string_", "some-long-service-name-"):
+        for alphabet, least in ((letters, 97), (letters + "+/", 90), (letters + "-_", 88)):
+            found = 0
+            for i in range(100):
+                secret = "".join(rnd.choice(alphabet) for _ in range((24, 32, 40)[i % 3]))
+                text = f"see {prefix}{secret} there"
+                spans = [(a, b) for a, k, b in S.all_spans(text, ENCODE)[1] if k == 3]
+                found += bool(spans)
+                if alphabet == letters and len(prefix) > 30 and spans:
+                    assert secret not in S.redact(text, [(a, 3, b) for a, b in spans])
+            assert found >= least, (prefix, alphabet, found)
+    name = "my_production_database_connection_string_for_the_customer_service_"
+    text = name + "xK9vQ2mZr7TbN4wLpD8sYfGh"
+    assert S.all_spans(text, ENCODE)[1] == [(len(name), 3, len(text))]
+    for s in ("api/v2/users/123e4567-e89b-12d3-a456-426614174000/profile", "usr/lib/x86_64-linux-gnu/some/library",
+              "my_long_function_name_for_parsing/and/a_second_long_name", "backup-of-production-2024-01-02-final"):
+        assert S.all_spans(s, ENCODE)[1] == [], s
