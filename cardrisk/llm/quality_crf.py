@@ -12,12 +12,15 @@ transition weights smooth over the exceptions. The field is fitted on at most
 characters each (smallest hashes of the id first), so the driver sees at most
 2 * TRAIN_DOCS * TRAIN_CHARS characters; the fitted weights are a few dozen
 numbers. A shift towards content, the least that keeps ``KEEP_CLEAN`` of the
-sample's clean documents, guards ordinary text. Everything else is a narrow map over whole texts.
+sample's clean documents, guards ordinary text; it never goes so far that less
+than ``REJECT_POOR`` of the sample's poor documents stay rejected. Only documents
+that pass the base rules count for it. Everything else is a narrow map over whole texts.
 
 Defined results: words are runs of characters other than space and U+0009 to
 U+000D; a null or empty text has none and fails the base rules; null ids and
 repeated rows give one output row each; without usable labels of both
-qualities every line counts as content, so the base rules alone decide.
+qualities every line counts as content, so the base rules alone decide; labels of
+both that no shift can tell apart (``MIN_CLEAN``) are an error.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT_SHARE = 0.5
 KEEP_CLEAN = 0.998       # of the clean documents in the sample
+REJECT_POOR = 0.8        # of the poor ones, at least
+MIN_CLEAN = 0.9          # of the clean ones, where wrong labels put KEEP_CLEAN out of reach
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -179,21 +184,45 @@ def fit_chain(sequences: list[tuple[np.ndarray, int]], steps: int = 80, rate: fl
     return Chain(theta[:-4].reshape(N_FEATURES, 2), theta[-4:].reshape(2, 2))
 
 
-def calibrate(chain: Chain, clean: list[list[bytes]], min_share: float = MIN_CONTENT_SHARE, kept: float = KEEP_CLEAN) -> Chain:
+def calibrate(chain: Chain, clean: list[list[bytes]], poor: list[list[bytes]] = (), min_share: float = MIN_CONTENT_SHARE,
+              kept: float = KEEP_CLEAN, rejected: float = REJECT_POOR, least: float = MIN_CLEAN) -> Chain:
     """Raise the chain's inclination to content until the share ``kept`` of clean documents passes.
 
     Ordinary lines also stand in poor documents, whose labels cover all their
     lines; where they are all a text has, the fitted weights alone would turn
-    against them. The least sufficient shift is taken.
+    against them. The least sufficient shift is taken, of those that leave the
+    share ``rejected`` of poor documents out (a negative one where the weights
+    alone do not). Some labels may be wrong: where no such shift suffices, the
+    one that keeps most is taken, if that is ``least``.
     """
-    clean = [lines for lines in clean if lines]
-    for shift in np.arange(0.0, 8.0, 0.25):
+    clean, poor = [x for x in clean if x], [x for x in poor if x]
+
+    def shifted(shift: float) -> Chain:
         emit = chain.emit.copy()
         emit[0, 1] += shift                     # feature 0 is constant
-        moved = Chain(emit, chain.move)
-        if sum(content_share(moved, lines) >= min_share for lines in clean) >= kept * len(clean):
-            return moved
-    return ALL_CONTENT
+        return Chain(emit, chain.move)
+
+    def share(moved: Chain, sample: list[list[bytes]]) -> float:
+        return sum(content_share(moved, x) >= min_share for x in sample) / len(sample) if sample else 1.0
+
+    def rejects(moved: Chain) -> bool:
+        return not poor or 1 - share(moved, poor) >= rejected
+
+    start = next((x for x in np.arange(0.0, -8.0, -0.25) if rejects(shifted(x))), None)
+    best, best_kept = None, -1.0
+    for shift in [] if start is None else np.arange(start, 8.0, 0.25):
+        moved = shifted(shift)
+        if not rejects(moved):                  # and a larger shift leaves no more out
+            break
+        passed = share(moved, clean)
+        if passed > best_kept:
+            best, best_kept = moved, passed
+        if passed >= kept:
+            break
+    if best is None or best_kept < least:
+        raise ValueError(f"the labels cannot be told apart by lines: with {rejected} of {len(poor)} poor documents rejected "
+                         f"at most {max(best_kept, 0):.3f} of {len(clean)} clean ones are kept ({least} asked)")
+    return best
 
 
 def train_chain(spark: SparkSession, docs: DataFrame, labels: DataFrame,
@@ -211,7 +240,10 @@ def train_chain(spark: SparkSession, docs: DataFrame, labels: DataFrame,
     rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * train_docs).collect()
     lines = [(content_lines(r.text), r.quality) for r in rows]
     chain = fit_chain([(line_features(x), q) for x, q in lines])
-    return calibrate(chain, [x for x, q in lines if q == 1])
+    if chain is ALL_CONTENT:
+        return chain
+    passed = [(x, q) for (x, q), r in zip(lines, rows) if not base_failed(base_counts(r.text))]
+    return calibrate(chain, [x for x, q in passed if q == 1], [x for x, q in passed if q == 0])
 
 
 # ---- documents ------------------------------------------------------------
@@ -257,6 +289,10 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
+def base_failed(counts: tuple[int, int, int, int, int]) -> bool:
+    return counts[0] < MIN_WORDS or 100 * counts[4] > MAX_REPEAT_PERCENT * counts[0]
+
+
 def content_share(chain: Chain, lines: list[bytes]) -> float:
     """Share of the words that stand on lines labelled content (0 without words)."""
     if not lines:
@@ -268,7 +304,7 @@ def content_share(chain: Chain, lines: list[bytes]) -> float:
 def judge(text: str, chain: Chain, min_share: float = MIN_CONTENT_SHARE) -> tuple:
     """(the five base counts, base_failed, content share, kept)."""
     counts = base_counts(text)
-    failed = counts[0] < MIN_WORDS or 100 * counts[4] > MAX_REPEAT_PERCENT * counts[0]
+    failed = base_failed(counts)
     share = content_share(chain, content_lines(text))
     return (*counts, failed, share, not failed and share >= min_share)
 

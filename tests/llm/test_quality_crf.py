@@ -3,6 +3,7 @@ import re
 
 import duckdb
 import numpy as np
+import pytest
 
 from cardrisk.llm import quality_crf as Q
 from conftest import SF_ORACLE, SF_SMALL
@@ -79,3 +80,38 @@ def test_query_keeps_clean_documents(spark):
         assert r.base_failed == (c[0] < 50 or 100 * c[4] > 50 * c[0]) and not (r.base_failed and r.kept)
     clean = [got[i] for i, _, q in rows if q == 1 and not got[i].base_failed]
     assert sum(r.kept for r in clean) >= 0.98 * len(clean)
+
+
+def labelled(half):
+    """(lines, quality) of every other labelled document that passes the base rules."""
+    rows = duckdb.sql(f"SELECT text, quality FROM '{SF_ORACLE}/documents.parquet' JOIN '{SF_ORACLE}/labels.parquet' USING (doc_id) "
+                      "ORDER BY doc_id").fetchall()[half::2]
+    return [(Q.content_lines(t), q) for t, q in rows if len(t) <= Q.TRAIN_CHARS and not Q.base_failed(Q.base_counts(t))]
+
+
+def trained(train):
+    chain = Q.fit_chain([(Q.line_features(x), q) for x, q in train])
+    return Q.calibrate(chain, [x for x, q in train if q == 1], [x for x, q in train if q == 0])
+
+
+def test_poor_documents_stay_rejected_whatever_a_few_labels_say():
+    """Held-out poor documents that pass the base rules; then with three of them labelled clean in the sample."""
+    train, held = labelled(0), labelled(1)
+    poor = [x for x, q in held if q == 0]
+    clean = [x for x, q in held if q == 1]
+    wrong = [i for i, (_, q) in enumerate(train) if q == 0][:3]
+    for sample in (train, [(x, 1 if i in wrong else q) for i, (x, q) in enumerate(train)]):
+        chain = trained(sample)
+        keeps = lambda x: Q.content_share(chain, x) >= Q.MIN_CONTENT_SHARE
+        assert len(poor) > 8 and sum(not keeps(x) for x in poor) >= 0.8 * len(poor)
+        assert sum(map(keeps, clean)) >= 0.98 * len(clean)
+
+
+def test_labels_that_mean_nothing_are_an_error(spark):
+    text = "\n".join(" ".join(f"word{i}x{j}" for j in range(10)) for i in range(20))
+    docs = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    with pytest.raises(ValueError, match="told apart"):
+        Q.train_chain(spark, docs, labels)
+    one = Q.train_chain(spark, docs, labels.filter("quality = 0"))
+    assert Q.judge(text, one)[-1]
