@@ -177,6 +177,9 @@ def usable(embedding: str = "embedding", dim: int | None = None) -> Column:
 
 def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int):
     """(query id, row id, distance) of each query's k nearest rows with another id, ties to the smaller id."""
+    order = np.argsort(row_ids, kind="stable")      # the copies of an id stand together
+    rows, row_ids = rows[order], row_ids[order]
+    starts = np.flatnonzero(np.append(True, row_ids[1:] != row_ids[:-1])) if len(row_ids) else np.zeros(0, np.int64)
     norm = (rows * rows).sum(1)
     out_q, out_r, out_d = [], [], []
     for i in range(0, len(queries), 128):
@@ -185,8 +188,8 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_id
         d[query_ids[i:i + 128, None] == row_ids[None, :]] = np.inf
         for j in range(len(q)):
             dj = d[j]
-            if len(dj) > k:     # room for rounding in the expanded form: exact distances decide
-                limit = np.partition(dj, k - 1)[k - 1]
+            if len(starts) > k:     # room for rounding in the expanded form: exact distances decide
+                limit = np.partition(np.minimum.reduceat(dj, starts), k - 1)[k - 1]      # of k ids, not of k rows
                 at = np.flatnonzero(dj <= limit + 1e-9 * (1 + abs(limit) + float((q[j] * q[j]).sum())))
             else:
                 at = np.arange(len(dj))

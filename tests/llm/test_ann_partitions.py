@@ -70,3 +70,28 @@ def test_query_on_the_table(spark):
     got = QUERIES["op7_learned_partition_ann"](spark, SF_SMALL).collect()
     hits = sum((r.query_id, r.vec_id) in {(q, v) for q, w in want.items() for v, _ in w} for r in got)
     assert hits >= 0.9 * sum(map(len, want.values())) and len(got) == sum(map(len, want.values()))
+
+
+def test_repeated_rows_leave_room_for_k_ids():
+    """Copies of an id, equal or not, count once before the cut to k."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 8))
+    for copies, jitter in ((2, 0), (10, 0), (25, 0), (10, 1e-3)):
+        ids = np.repeat(np.arange(60), copies)
+        rows = np.repeat(x, copies, 0) + jitter * rng.normal(size=(60 * copies, 8))
+        at = rng.permutation(len(ids))
+        q, r, d = A.nearest(x[:5], np.arange(5), rows[at], ids[at], 10)
+        for i in range(5):
+            every = np.sqrt(((rows - x[i]) ** 2).sum(1)).reshape(60, copies).min(1)
+            every[i] = np.inf
+            order = np.lexsort((np.arange(60), every))[:10]
+            assert r[q == i].tolist() == order.tolist() and np.allclose(d[q == i], every[order])
+
+
+def test_query_on_repeated_rows_returns_k(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(40, 4)).astype(np.float32)
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(40) for _ in range(12)], "vec_id long, embedding array<float>")
+    got = A.search(spark, df, F.col("vec_id") % 20 == 0).collect()
+    want = brute(np.arange(40), x.astype(float), [0, 20], 10)
+    assert {(r.query_id, r.rank, r.vec_id) for r in got} == {(q, n, v) for q, w in want.items() for n, (v, _) in enumerate(w, 1)}
