@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_partitions, bpe, chat_format, lsh_forest, mixture, quality_crf, secret_scan, shard_packing, suffix_dedup, warc_zstd
+from . import (ann_partitions, bpe, chat_format, line_dedup, lsh_forest, mixture, quality_crf, secret_scan,
+               shard_packing, suffix_dedup, warc_zstd)
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -83,6 +84,10 @@ def op10_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_packing.pack_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digests(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_crf_quality": op1_line_crf_quality,
     "op2_zstd_warc": op2_zstd_warc,
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_hierarchical_mixture": op8_hierarchical_mixture,
     "op9_prefix_target_chat": op9_prefix_target_chat,
     "op10_vector_shards": op10_vector_shards,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 # ---- DuckDB twins ---------------------------------------------------------
@@ -173,8 +179,23 @@ UNION ALL
 SELECT doc_id, domain, lang, source, n_tokens::BIGINT, unnest(range(epochs))::BIGINT FROM o WHERE epochs > 0
 """
 
+_OP12 = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (
+  SELECT doc_id, r, pos, parts[pos] AS line,
+         translate(trim(parts[pos], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, r, parts, unnest(range(1, len(parts) + 1)) AS pos FROM d)),
+t AS (SELECT key, max(doc_id) AS top FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+k AS (SELECT l.*, top IS NULL OR top = doc_id AS stays FROM l LEFT JOIN t USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (NOT stays))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
+FROM k GROUP BY r
+"""
+
 ORACLE: dict[str, str] = {
     "op2_zstd_warc": _OP2,
     "op8_hierarchical_mixture": _OP8,
     "op9_prefix_target_chat": _OP9,
+    "op12_line_dedup": _OP12,
 }
