@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann_partitions, bpe, chat_format, line_dedup, lsh_forest, mixture, quality_crf, secret_scan,
-               shard_packing, suffix_dedup, warc_zstd)
+from . import (ann_partitions, bpe, chat_format, line_dedup, lsh_forest, mixture, periodic_runs, quality_crf,
+               secret_scan, shard_packing, suffix_dedup, warc_zstd)
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -84,6 +84,25 @@ def op10_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_packing.pack_documents(spark, table(spark, sf_dir, "documents"))
 
 
+WORDS = r"[^\x20\x09-\x0D]+"
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by its id's checksum: from some word on, the words that follow there over and over."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.select("doc_id", "text", h.alias("h"), (h / 10).cast("long").alias("g"),
+                       F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORDS), F.lit(0))).alias("words"))
+    docs = docs.withColumn("n", F.coalesce(F.size("words"), F.lit(0))).withColumn("a", F.expr("if(n > 0, g % n, 0)").cast("int"))
+    docs = docs.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)").cast("int"))
+    again = F.expr("flatten(array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) as int)))")
+    planted = F.array_join(F.slice(F.concat(F.expr("slice(words, 1, a)"), again), F.lit(1), F.col("n")), " ")
+    return docs.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(with_planted_periods(table(spark, sf_dir, "documents")))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(spark, table(spark, sf_dir, "documents"))
 
@@ -99,6 +118,7 @@ QUERIES = {
     "op8_hierarchical_mixture": op8_hierarchical_mixture,
     "op9_prefix_target_chat": op9_prefix_target_chat,
     "op10_vector_shards": op10_vector_shards,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_line_dedup": op12_line_dedup,
 }
 
