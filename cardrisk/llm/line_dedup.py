@@ -49,7 +49,7 @@ from .common import sha256_hex
 
 MIN_CHARS = 40
 MIN_DOCS = 5
-ROWS_PER_RANGE = 1_000_000
+ROWS_PER_RANGE = 250_000
 SPACES = "".join(map(chr, [0x20, *range(0x09, 0x0E)]))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -191,9 +191,12 @@ def _kept_digest(text: pd.Series, keep: pd.Series) -> pd.Series:
 
 
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The documents with ``__lines``, ``__dropped`` and ``__keep`` (null where nothing goes)."""
+    """The documents with ``__lines``, ``__dropped`` and ``__keep`` (null where nothing goes).
+
+    Bitmaps are hashed in each partition; the texts, shuffled once, are not sorted.
+    """
     b = bitmaps.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("n_lines").alias("__lines"),
-                       F.col("n_dropped").alias("__dropped"), F.col("keep").alias("__keep"))
+                       F.col("n_dropped").alias("__dropped"), F.col("keep").alias("__keep")).hint("shuffle_hash")
     own = docs.withColumn("__h", F.xxhash64("text"))
     return own.join(b, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left").drop(
         "__id", "__th", "__h")
