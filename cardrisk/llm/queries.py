@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann_partitions, bpe, chat_format, line_dedup, lsh_forest, mixture, periodic_runs, quality_crf,
-               secret_scan, shard_packing, suffix_dedup, warc_zstd)
+from . import (ann_partitions, bpe, chat_format, collocations, line_dedup, lsh_forest, mixture, periodic_runs,
+               quality_crf, secret_scan, shard_packing, suffix_dedup, warc_zstd)
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -107,6 +107,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_crf_quality": op1_line_crf_quality,
     "op2_zstd_warc": op2_zstd_warc,
@@ -120,6 +124,7 @@ QUERIES = {
     "op10_vector_shards": op10_vector_shards,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_line_dedup": op12_line_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 # ---- DuckDB twins ---------------------------------------------------------
@@ -213,9 +218,39 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTE
 FROM k GROUP BY r
 """
 
+_OP13 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\\x20\\x09]+') AS w FROM d),
+c AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, m, count(*)::BIGINT AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS s FROM p), (SELECT unnest([1, 2, 3, 4]) AS m)
+  WHERE s + m - 1 <= len(w) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE m = 1 GROUP BY lang),
+t AS (SELECT * FROM c WHERE f >= 30),
+u AS (SELECT lang, phrase, f AS a, m, string_split(phrase, ' ') AS w FROM t WHERE m > 1),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM u),
+s AS (
+  SELECT k.lang, k.phrase, k.a, k.m, k, x.f AS l, y.f AS r,
+         ((2000000::HUGEINT * k.a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM k JOIN t x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1:k], ' ')
+         JOIN t y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k + 1:k.m], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT lang, array_to_string(w[x:x + y - 1], ' ') AS phrase, max(a) AS longest
+  FROM (SELECT *, unnest(range(1, m)) AS x FROM u WHERE m > 2), (SELECT unnest([2, 3]) AS y)
+  WHERE y < m AND x + y - 1 <= m GROUP BY ALL),
+g AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 80 * a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM g)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_zstd_warc": _OP2,
     "op8_hierarchical_mixture": _OP8,
     "op9_prefix_target_chat": _OP9,
     "op12_line_dedup": _OP12,
+    "op13_collocations": _OP13,
 }
