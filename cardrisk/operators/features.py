@@ -95,44 +95,71 @@ def score_with_user_stats(silver: DataFrame, stats: DataFrame, cfg: ScoringConfi
     return j.withColumn("score_amount_velocity", velocity_score("amount_zscore", cfg))
 
 
-def cross_border_pairs(silver: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_minutes: int | None = None) -> DataFrame:
+def latest_two(rows: DataFrame, *cell: str) -> DataFrame:
+    """Per cell its latest row ``_c1`` and its latest row ``_c2`` of a country other than that one's, as structs
+    (_t, transaction_id, event_timestamp, country).
+
+    The pair is a mergeable aggregate -- of two cells' pairs, the later pair's first row stays first and the
+    second is the latest of the others with another country -- and holds, for any country, the latest row of
+    another one. Here: the latest row per (cell, country), combined map-side, then the two latest of a cell's
+    countries, limited map-side too.
+    """
+    row = F.struct("_t", "transaction_id", "event_timestamp", "country")
+    per_country = rows.groupBy(*cell, "country").agg(F.max(row).alias("_row"))
+    w = Window.partitionBy(*cell).orderBy(F.col("_row").desc())
+    top = per_country.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= 2)
+    nth = lambda n: F.max(F.when(F.col("_n") == n, F.col("_row"))).alias(f"_c{n}")
+    return top.groupBy(*cell).agg(nth(1), nth(2))
+
+
+def _another_country(first: str, second: str) -> Column:
+    """Of a pair the latest row of a country other than the current row's."""
+    return F.when(F.col(f"{first}.country") != F.col("country"), F.col(first)).otherwise(F.col(second))
+
+
+def cross_border_pairs(silver: DataFrame, cfg: ScoringConfig = DEFAULT, bucket_minutes: int = 1) -> DataFrame:
     """For each transaction, its evidence partner -- the card's latest
     earlier transaction (by time, then id) in a different country within the
     window. One partner per row, not every pair.
 
-    The latest earlier row of another country is the row just before the
-    current run of same-country rows, so it comes from ``lag`` and a carried
-    ``last`` over the card's time order; no pairs are materialised. Cards are
-    split into time buckets of one frame (an hour), each with the previous
-    bucket as context (see ``windows.trailing``): the rows here are narrow
-    (card, id, time, country), so copying each once is cheap, and a hot card
-    is spread over one task per hour of its traffic.
+    Cells of one minute keep their ``latest_two``; a window over a card's cells (split into spans of one
+    frame, each with the span before it as context, so at most two frames of cells) merges the pairs of the cells
+    before each. In its own cell a row's partner is the row just before the
+    current run of same-country rows, by ``lag`` and a carried ``last``; where the run began before the cell,
+    the merged pair has it. Rows meet only within a (card, minute), by running windows; no pairs are materialised.
     """
-    frame = cfg.cross_border_window_minutes * MICROS_PER_MINUTE
-    bucket = (bucket_minutes * MICROS_PER_MINUTE) if bucket_minutes else frame
+    frame, cell = cfg.cross_border_window_minutes * MICROS_PER_MINUTE, bucket_minutes * MICROS_PER_MINUTE
+    cells_per_span = -(-frame // cell)
     base = (silver.filter(F.col("country").isNotNull())
                   .select("card_id", "transaction_id", "event_timestamp", "country")
                   .withColumn("_t", epoch_micros("event_timestamp"))
-                  .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket)))
-                  .withColumn("_self", F.lit(True)))
-    ctx = (base.filter(F.col("_t") >= (F.col("_b") + 1) * F.lit(bucket) - F.lit(frame))
-               .withColumn("_b", F.col("_b") + 1).withColumn("_self", F.lit(False)))
-    u = base.unionByName(ctx)
-    w = Window.partitionBy("card_id", "_b").orderBy("_t", "transaction_id")
-    prev_c = F.lag("country").over(w)
-    u = (u.withColumn("_start", prev_c.isNull() | (prev_c != F.col("country")))
-          .withColumn("_pt", F.lag("event_timestamp").over(w))
-          .withColumn("_pid", F.lag("transaction_id").over(w))
-          .withColumn("_pc", prev_c)
-          .withColumn("_pus", F.lag("_t").over(w)))
-    carry = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for c in ("_pt", "_pid", "_pc", "_pus"):
-        u = u.withColumn(c, F.last(F.when(F.col("_start"), F.col(c)), ignorenulls=True).over(carry))
-    # (the first row of a partition has no lag, so its run carries no partner)
-    out = u.filter(F.col("_self") & F.col("_pid").isNotNull() & (F.col("_pus") >= F.col("_t") - F.lit(frame)))
-    return out.select(
+                  .withColumn("_cell", F.floor(F.col("_t") / F.lit(cell))))
+
+    # what the cells before a cell know
+    span = F.floor(F.col("_cell") / F.lit(cells_per_span))
+    pairs = latest_two(base, "card_id", "_cell").withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False))))
+    pairs = pairs.withColumn("_span", F.when(F.col("_own"), span).otherwise(span + 1))
+    by_cell = Window.partitionBy("card_id", "_span").orderBy("_cell")
+    before = by_cell.rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.lag("_c1").over(by_cell)
+    pairs = pairs.withColumn("_other", F.coalesce(
+        "_c2", F.when(previous["country"] != F.col("_c1.country"), previous)))
+    pairs = (pairs.withColumn("_p1", F.lag("_c1").over(by_cell))
+                  .withColumn("_p2", F.last("_other", ignorenulls=True).over(before))
+                  .filter(F.col("_own") & F.col("_p1").isNotNull()).select("card_id", "_cell", "_p1", "_p2"))
+
+    # what a row's own cell knows
+    w = Window.partitionBy("card_id", "_cell").orderBy("_t", "transaction_id")
+    last = F.lag(F.struct("_t", "transaction_id", "event_timestamp", "country")).over(w)
+    u = base.withColumn("_last", last)
+    u = u.withColumn("_start", F.when(F.col("_last.country") != F.col("country"), F.col("_last")))
+    u = u.withColumn("_inner", F.last("_start", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    u = u.join(pairs, ["card_id", "_cell"], "left")
+    u = u.withColumn("_p", F.coalesce("_inner", _another_country("_p1", "_p2")))
+    return u.filter(F.col("_p._t") >= F.col("_t") - F.lit(frame)).select(
         "card_id", "transaction_id", "event_timestamp", "country",
-        F.col("_pid").alias("partner_transaction_id"), F.col("_pt").alias("partner_timestamp"),
-        F.col("_pc").alias("partner_country"),
-        (F.col("_t") - F.col("_pus")).alias("gap_us"),
+        F.col("_p.transaction_id").alias("partner_transaction_id"), F.col("_p.event_timestamp").alias("partner_timestamp"),
+        F.col("_p.country").alias("partner_country"),
+        (F.col("_t") - F.col("_p._t")).alias("gap_us"),
     )

@@ -107,6 +107,70 @@ def test_cross_border_partner_equals_brute_force(spark, bucket_min):
     assert got == want and len(want) > 10
 
 
+def _pairs_by_hand(rows):
+    """id -> (partner id, gap) by looking back over the card's earlier rows."""
+    out = {}
+    for card, i, t, c in rows:
+        earlier = [(t2, i2) for card2, i2, t2, c2 in rows if card2 == card and c2 not in (None, c) and (t2, i2) < (t, i) and t2 >= t - dt.timedelta(hours=1)]
+        if c is not None and earlier:
+            t2, i2 = max(earlier)
+            out[i] = (i2, (t - t2) // dt.timedelta(microseconds=1))
+    return out
+
+
+def test_pairs_of_cells_merge_in_every_order_of_countries(spark):
+    """Short cells, few countries, long same-country runs and gaps: the pair kept per cell has every partner."""
+    import random
+    from cardrisk.operators.features import cross_border_pairs, latest_two
+    rnd = random.Random(3)
+    rows = []
+    for card in ("a", "b", "c"):
+        t, c = T0, "US"
+        for k in range(220):
+            t += dt.timedelta(seconds=rnd.choice([0, 0, 1, 20, 60, 119, 600, 3600 if k % 50 == 49 else 5]))
+            if rnd.random() < {"a": 0.5, "b": 0.05, "c": 0.01}[card]:
+                c = rnd.choice(["US", "CA", "MX", None])
+            rows.append((card, f"{card}{rnd.randrange(10 ** 6):06d}-{k}", t, c))
+    df = spark.createDataFrame(rows, "card_id string, transaction_id string, event_timestamp timestamp_ntz, country string")
+    want = _pairs_by_hand(rows)
+    for minutes in (1, 7, 60, 240):
+        got = {r.transaction_id: (r.partner_transaction_id, r.gap_us) for r in cross_border_pairs(df, bucket_minutes=minutes).collect()}
+        assert got == want and len(want) > 200
+    keyed = df.filter("country is not null").withColumn("_t", epoch_micros("event_timestamp"))
+    for r in latest_two(keyed, "card_id").collect():
+        mine = sorted((x for x in rows if x[0] == r.card_id and x[3]), key=lambda x: (x[2], x[1]))
+        assert r._c1.transaction_id == mine[-1][1]
+        assert r._c2.transaction_id == next(x[1] for x in reversed(mine) if x[3] != mine[-1][3])
+
+
+def test_a_hot_hour_of_one_card_is_spread_over_its_minutes(spark):
+    """50,000 rows in one (card, hour): the rows' windows are per minute, and no task holds the hour."""
+    import contextlib
+    import io
+    import time
+    from cardrisk.operators.features import cross_border_pairs
+    n = 50_000
+    df = spark.range(n).select(
+        F.concat(F.lit("hot"), F.col("id") % 1).alias("card_id"), F.format_string("t%06d", F.col("id")).alias("transaction_id"),
+        F.timestamp_micros((F.col("id") * (3_600_000_000 // n) + 1_700_002_800_000_000).cast("long")).cast("timestamp_ntz").alias("event_timestamp"),
+        F.when(F.col("id") % 9000 == 0, "CA").otherwise("US").alias("country"))
+    out = cross_border_pairs(df)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain("formatted")
+    import re
+    parts = re.findall(r"\(\d+\) Window\s*\nInput [^\n]*\nArguments: \[[^\n]*?\], \[([^\]]*)\], \[[^\]]*\]", buf.getvalue())
+    by = {tuple(c.strip().split("#")[0] for c in p.split(",")) for p in parts}
+    assert by == {("card_id", "_cell"), ("card_id", "_span")}
+    minute = df.groupBy(F.date_trunc("minute", "event_timestamp")).count().agg(F.max("count")).first()[0]
+    assert minute <= n // 60 + 1
+    t = time.time()
+    rows = out.select("transaction_id", "partner_transaction_id").collect()
+    assert time.time() - t < 60
+    got = {int(a[1:]): int(b[1:]) for a, b in rows}
+    assert got == {i: (i - 1 if i % 9000 == 0 else i // 9000 * 9000) for i in range(1, n)}
+
+
 def test_small_spread_around_a_large_mean_is_kept(spark):
     """40 amounts alternating by five cents, then a jump: the spread is real,
     so the jump scores 100; equal amounts have a spread of exactly 0."""
