@@ -43,12 +43,15 @@ def gold_anomalies(silver: DataFrame, scores: DataFrame, cfg: ScoringConfig = DE
                    dedup_scores: bool = True, order: bool = True, loaded_at: Column | None = None) -> DataFrame:
     """Silver INNER JOIN flagged scores on transaction_id.
 
+    The latest score of a transaction decides (D13), so the flag is tested after it is
+    found: a transaction rescored to LOW leaves gold, one rescored to HIGH enters it.
     Both sides are large at scale: a sort-merge join on the key, with the
     strategy left to AQE (broadcast when the flagged side turns out small).
     """
-    s = score_projection(flagged(scores))
+    s = score_projection(scores)
     if dedup_scores:
         s = latest_score(s)
+    s = flagged(s)
     t = silver.select(
         "transaction_id", "card_id", "user_id", "merchant_id", "merchant_name", "merchant_category",
         "amount", "currency", "amount_bucket", "country", "city", "is_international", "is_foreign_country",

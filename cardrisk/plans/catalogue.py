@@ -13,14 +13,14 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT
+from ..config import DEFAULT, MICROS_PER_DAY
 from ..operators import bronze as B
 from ..operators import rules as R
 from ..operators import score as S
 from ..operators import silver as SV
 from ..session import pin_utc
 from ..sources import fixture, storage
-from .oracle import CUT_TS, RUN_ID, RUN_TS
+from .oracle import CUT_TS, RUN_ID, RUN_TS, STREAM_SLICE_DAYS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -454,7 +454,7 @@ def quality_report(spark, sf_dir):
 # time-ordered files in a fresh folder under the shared directory, runs the
 # streaming queries with ``availableNow`` and returns the sink read back.
 
-STREAM_SLICE_DAYS = 5      # a micro-batch is a span of delivery time, so their number grows with the data's span
+# A micro-batch is a span of STREAM_SLICE_DAYS, so their number grows with the data's span.
 STREAM_CONTENT = ["transaction_id", "card_id", "user_id", "merchant_category", "amount", "currency", "country",
                   "event_timestamp", "amount_bucket", "is_high_risk_mcc", "is_off_hours"]
 
@@ -506,16 +506,22 @@ def stream_restart(spark, sf_dir):
     return spark.read.parquet(out).select(*STREAM_CONTENT)
 
 
+def slice_scope():
+    """The slice of a row's event time: the scope of batch-relative scores, so
+    that they do not depend on how a slice is cut into micro-batches' files."""
+    return F.floor(F.unix_micros(F.col("event_timestamp").cast("timestamp")) / F.lit(STREAM_SLICE_DAYS * MICROS_PER_DAY))
+
+
 def _scored_stream_run(spark, sf_dir, name, sink: dict | None = None):
-    """One source query, one foreachBatch fan-out. The source has no rate
-    cap here, so the whole delivery is one micro-batch (batch-relative scores
-    equal a one-batch run); it is staged as one slice."""
+    """One source query, one foreachBatch fan-out, one micro-batch per slice of
+    event time; scores are relative to the slice."""
     from ..streaming import pipeline as P
     from ..streaming import staging
     base, raw, ckpt, out = _stream_dirs(spark, name)
-    staging.stage(_raw(spark, sf_dir), raw, None)
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICE_DAYS, order=staging.event_order(), aligned=True)
     sinks = P.Sinks(out, **(sink or {}))
-    P.start_scoring(_silver_from(spark, raw), sinks, f"{ckpt}/score").awaitTermination()
+    P.start_scoring(_silver_from(spark, raw, max_files=files), sinks, f"{ckpt}/score",
+                    user_scope=slice_scope(), card_scope=slice_scope()).awaitTermination()
     return base, sinks
 
 

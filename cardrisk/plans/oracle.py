@@ -150,8 +150,8 @@ TRIGGERS = ("concat_ws(',', CASE WHEN score_amount_velocity >= 50 THEN 'amount_v
 SCORED_T = f"""
 stats AS (
   SELECT *,
-    avg(amount) OVER (PARTITION BY user_id) AS user_batch_mean,
-    stddev_samp(amount) OVER (PARTITION BY user_id) AS user_batch_std,
+    avg(amount) OVER (PARTITION BY {{user_part}}) AS user_batch_mean,
+    stddev_samp(amount) OVER (PARTITION BY {{user_part}}) AS user_batch_std,
     count(*) OVER (PARTITION BY {{card_part}}) AS tx_count_batch
   FROM silver
 ),
@@ -177,8 +177,12 @@ scored AS (
   FROM comp
 )"""
 
-SCORED = SCORED_T.replace("{card_part}", "card_id, date_trunc('hour', event_timestamp)")
-SCORED_BATCH = SCORED_T.replace("{card_part}", "card_id")   # the whole (micro-)batch is the scope
+SCORED = SCORED_T.replace("{card_part}", "card_id, date_trunc('hour', event_timestamp)").replace("{user_part}", "user_id")
+
+# the streams' scope: a span of whole days, as one micro-batch brings
+STREAM_SLICE_DAYS = 5
+_SLICE = f"epoch_us(event_timestamp) // {STREAM_SLICE_DAYS * 86_400_000_000}"
+SCORED_BATCH = SCORED_T.replace("{card_part}", f"card_id, {_SLICE}").replace("{user_part}", f"user_id, {_SLICE}")
 
 US = "epoch_us(event_timestamp)"
 HISTORY = f"""
@@ -239,12 +243,12 @@ sc AS (
          round(score_cross_border, 2) AS score_cross_border,
          round(score_high_risk_mcc, 2) AS score_high_risk_mcc,
          scored_at
-  FROM scored WHERE risk_level IN ('MEDIUM', 'HIGH')
+  FROM scored
 ),
 sc1 AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY scored_at DESC, anomaly_score DESC) AS rn
-    FROM sc) WHERE rn = 1
+    FROM sc) WHERE rn = 1 AND risk_level IN ('MEDIUM', 'HIGH')
 ),
 gold AS (
   SELECT t.transaction_id, t.card_id, t.user_id, t.merchant_id, t.merchant_name, t.merchant_category,

@@ -4,9 +4,10 @@
   or ``read_kafka_stream`` (``maxOffsetsPerTrigger``; needs the Kafka jar).
 * ST1, ST5   -- event-time watermark, ``dropDuplicatesWithinWatermark``.
 * ST7, ST9   -- ONE source query and ONE ``foreachBatch``: the micro-batch
-  is persisted once, scored once (as-coded rules are batch-relative, D2),
-  and fanned out to every sink; outputs are keyed by ``batch_id`` so a
-  replayed batch overwrites its own partition (idempotent, D20).
+  is written to silver once, scored once (as-coded rules are batch-relative,
+  D2), and fanned out to every sink; outputs are keyed by ``batch_id`` so a
+  replayed batch overwrites its own partition (idempotent, D20), and alerts
+  leave through an outbox that is marked when they are published.
 * ST2, ST3   -- windowed aggregates in append mode over the scored / silver
   streams; windows close when the watermark passes their end.
 * IO11       -- every query has its own checkpoint; restart resumes.
@@ -105,7 +106,8 @@ class Sinks:
 
     ``alert_format`` other than None names a Spark sink for the alert records
     (key, value), e.g. ``kafka`` with ``topic`` and ``kafka.bootstrap.servers``
-    in ``alert_options``; by default alerts are a layer like the others."""
+    in ``alert_options``, and the alerts layer is its outbox; by default the
+    layer is all there is."""
 
     base: str
     alert_format: str | None = None
@@ -132,13 +134,44 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | Non
     return spark.read.parquet(part).withColumn("batch_id", F.lit(batch_id))
 
 
+def published(sinks: Sinks, batch_id: int) -> str:
+    """Path of the record that says a batch's alerts were handed to the sink."""
+    return f"{sinks.path('alerts_published')}/batch_id={batch_id}"
+
+
+def mark_published(spark: SparkSession, sinks: Sinks, batch_id: int) -> None:
+    fs, p = hadoop_path(spark, published(sinks, batch_id))
+    fs.mkdirs(p.getParent())
+    fs.createNewFile(p)
+
+
 def publish(records: DataFrame, sinks: Sinks, batch_id: int) -> None:
-    """IO5: write key/value records to the alert sink; a batch without any writes nothing."""
+    """IO5: hand a batch's key/value records to the alert sink, once.
+
+    The alerts layer is the outbox: the records are first written there as
+    partition ``batch_id=N``, published from there, and the batch is then
+    marked. A replay after the mark publishes nothing; a replay before it
+    publishes what the outbox holds, the same records to the byte (their
+    transaction ids tell a reader so), even if the batch was scored again at
+    another time. What remains: an application that dies after the sink took
+    the records and before the mark repeats them -- at least once, never lost.
+    A batch without alerts writes nothing.
+    """
+    spark, outbox = records.sparkSession, sinks.path("alerts")
     if sinks.alert_format is None:
-        write_batch(records, sinks.path("alerts"), batch_id)
-    elif not records.isEmpty():
-        (records.select("key", "value").write.format(sinks.alert_format).options(**sinks.alert_options)
+        write_batch(records, outbox, batch_id)
+        return
+    fs, mark = hadoop_path(spark, published(sinks, batch_id))
+    if fs.exists(mark):
+        return
+    waiting = read_batch(spark, outbox, batch_id)
+    if waiting is None:
+        write_batch(records, outbox, batch_id)
+        waiting = read_batch(spark, outbox, batch_id)
+    if waiting is not None:
+        (waiting.select("key", "value").write.format(sinks.alert_format).options(**sinks.alert_options)
                 .mode("append").save())
+        mark_published(spark, sinks, batch_id)
 
 
 def stored_user_stats(spark: SparkSession, path: str, batch_id: int, cfg: ScoringConfig) -> DataFrame:

@@ -30,10 +30,15 @@ def _bounds(raw: DataFrame, order=None) -> tuple[int, int]:
     return r["lo"], r["hi"]
 
 
-def slice_count(raw: DataFrame, days: int | None, order=None) -> int:
+def _first(lo: int | None, days: int | None, aligned: bool) -> int | None:
+    """Where the first slice begins: at the first delivery, or at the whole span of days it falls into."""
+    return lo // (days * MICROS_PER_DAY) * days * MICROS_PER_DAY if aligned and days and lo is not None else lo
+
+
+def slice_count(raw: DataFrame, days: int | None, order=None, aligned: bool = False) -> int:
     """Slices of ``days`` each that the deliveries span (one for None)."""
     lo, hi = _bounds(raw, order)
-    return 1 if days is None or lo is None else (hi - lo) // (days * MICROS_PER_DAY) + 1
+    return 1 if days is None or lo is None else (hi - _first(lo, days, aligned)) // (days * MICROS_PER_DAY) + 1
 
 
 def event_order():
@@ -52,9 +57,9 @@ def data_files(spark: SparkSession, path: str) -> int:
 
 
 def stage(raw: DataFrame, path: str, days: int | None, only: range | None = None, order=None,
-          files_per_slice: int | None = None) -> int:
+          files_per_slice: int | None = None, aligned: bool = False) -> int:
     """Append slices of ``days`` each (all, or the ``only`` range; None: one
-    slice of everything) to ``path`` in time order.
+    slice of everything) to ``path`` in time order; ``aligned`` ones begin at whole spans since 1970.
 
     Returns the number of files per slice, the ``maxFilesPerTrigger`` that
     reads one slice per micro-batch. The rows are written once, by slice, and
@@ -63,13 +68,13 @@ def stage(raw: DataFrame, path: str, days: int | None, only: range | None = None
     """
     spark = raw.sparkSession
     f = files_per_slice or spark.sparkContext.defaultParallelism
-    lo, _ = _bounds(raw, order)
+    lo = _first(_bounds(raw, order)[0], days, aligned)
     width = None if days is None else days * MICROS_PER_DAY
     index = F.lit(0) if width is None else F.floor((_time(order) - F.lit(lo)) / F.lit(width)).cast("int")
     by_slice = scratch_path(spark, "slices")
     raw.withColumn("_slice", index).write.partitionBy("_slice").parquet(by_slice)
     rows = spark.read.schema(raw.schema)
-    for i in (only if only is not None else range(slice_count(raw, days, order))):
+    for i in (only if only is not None else range(slice_count(raw, days, order, aligned))):
         before = data_files(spark, path)
         fs, p = hadoop_path(spark, f"{by_slice}/_slice={i}")
         if fs.exists(p):

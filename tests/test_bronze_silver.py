@@ -86,3 +86,24 @@ def test_upsert_is_idempotent(spark):
     twice = SV.upsert(once, inc)
     assert sorted(once.collect()) == sorted(twice.collect())
     assert {r.transaction_id: r.v for r in once.collect()} == {"a": 1, "b": 2, "c": 2}
+
+
+def test_gold_follows_the_latest_score(spark):
+    """The latest score decides -- HIGH then LOW leaves gold, LOW then HIGH enters it."""
+    from conftest import SF_SMALL
+    from cardrisk.operators import gold as G
+    from cardrisk.plans import catalogue as C
+    silver = C.silver_table(spark, SF_SMALL)
+    scored = C.scored_rows(spark, SF_SMALL, silver).withColumn("scored_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    ids = [r.transaction_id for r in silver.orderBy("transaction_id").limit(3).collect()]
+    first = scored.filter(F.col("transaction_id").isin(ids))
+    level = lambda mapping: F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])[F.col("transaction_id")]
+    def at(when, levels):
+        high = level(levels) == "HIGH"
+        return (first.withColumn("risk_level", level(levels)).withColumn("anomaly_score", F.when(high, 80.0).otherwise(10.0))
+                     .withColumn("scored_at", F.lit(when).cast("timestamp_ntz")))
+    falls, rises, stays = ids
+    scores = at("2024-01-01 00:00:00", {falls: "HIGH", rises: "LOW", stays: "HIGH"}).unionByName(
+        at("2024-01-02 00:00:00", {falls: "LOW", rises: "HIGH", stays: "HIGH"}))
+    got = [(r.transaction_id, r.risk_level, r.scored_at.day) for r in G.gold_anomalies(silver, scores).collect()]
+    assert sorted(got) == sorted([(rises, "HIGH", 2), (stays, "HIGH", 2)])

@@ -187,6 +187,49 @@ def test_late_rows_inside_the_watermark_are_scored_as_in_batch(spark):
     assert user["d30"].user_30d_n == stats["d30"] == 2   # days 0 and 1
 
 
+def test_a_replayed_batch_publishes_its_alerts_once(spark, monkeypatch):
+    from cardrisk.sources import storage
+    base = scratch_path(spark, "outbox")
+    sinks = P.Sinks(f"{base}/out", "json", {"path": f"{base}/topic"})
+    alerts = lambda at: spark.createDataFrame([("c1", f"{{\"transaction_id\": \"t1\", \"scored_at\": {at}}}"), ("c2", f"{{\"transaction_id\": \"t2\", \"scored_at\": {at}}}")], "key string, value string")
+    topic = lambda: sorted(tuple(r) for r in spark.read.schema("key string, value string").json(f"{base}/topic").collect())
+    P.publish(alerts(1), sinks, 0)
+    P.publish(alerts(2), sinks, 0)                       # replayed after the mark: nothing goes out
+    assert len(topic()) == 2 and storage.exists(spark, P.published(sinks, 0))
+    # it dies after the outbox was written and before the sink took anything
+    monkeypatch.setitem(sinks.alert_options, "compression", "no such codec")
+    with pytest.raises(Exception):
+        P.publish(alerts(3), sinks, 1)
+    monkeypatch.delitem(sinks.alert_options, "compression")
+    P.publish(alerts(4), sinks, 1)                       # scored again later: the outbox's records leave, once
+    assert [v for _, v in topic() if "3}" in v] and not [v for _, v in topic() if "4}" in v] and len(topic()) == 4
+    # it dies between publishing and the mark: the same records again, to the byte
+    with monkeypatch.context() as m:
+        m.setattr(P, "mark_published", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            P.publish(alerts(5), sinks, 2)
+    P.publish(alerts(6), sinks, 2)
+    P.publish(alerts(7), sinks, 2)
+    assert len(topic()) == 8 and len(set(topic())) == 6
+    outbox = spark.read.parquet(sinks.path("alerts"))
+    assert {r.batch_id for r in outbox.collect()} == {0, 1, 2} and outbox.count() == 6
+
+
+def test_a_replayed_scoring_batch_alerts_once(spark):
+    """The whole fan-out called twice for one batch, as a restart does."""
+    from cardrisk.plans import catalogue as C
+    base = scratch_path(spark, "replay-alerts")
+    sinks = P.Sinks(f"{base}/out", "json", {"path": f"{base}/topic"})
+    silver = C.silver_table(spark, SF_SMALL)
+    run = P.score_and_fan_out(sinks)
+    run(silver, 3)
+    ids = lambda: [r[0] for r in spark.read.schema("key string, value string").json(f"{base}/topic").select(
+        F.get_json_object("value", "$.transaction_id")).collect()]
+    first = ids()
+    run(silver, 3)
+    assert sorted(ids()) == sorted(first) and len(set(first)) == len(first) > 0
+
+
 def test_no_alert_writes_nothing(spark):
     sinks = P.Sinks("unused", "json", {"path": scratch_path(spark, "no-alerts")})
     P.publish(spark.createDataFrame([], "key string, value string"), sinks, 0)
