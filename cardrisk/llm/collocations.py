@@ -13,7 +13,7 @@ it, and no other. The dictionary is the table of distinct chunks of each languag
 with their parse frequencies; all counting reads it instead of the texts.
 
 Counts. A phrase that occurs ``MIN_COUNT`` times has only parts that do. Phrases of
-one word, then two, three and four are counted by 64-bit hashes, each level
+one word, then two, three and four are counted by hashes, each level
 only where both parts of the level before may be frequent. What may be frequent is
 a bitmap of ``BITMAP_BITS`` hashed places, a fixed size at any corpus size: two
 phrases in one place, or with one hash, only let a rare one through. A last pass counts the
@@ -28,13 +28,14 @@ over many tasks before they meet in one.
 
 Defined results: a null text has no words; a null language is ``und``; repeated
 rows and null ids count as documents of their own; an empty table gives an empty
-result; further columns are ignored. A task holds a batch of texts or chunks; a
-chunk is at most one text long.
+result; further columns are ignored. A task works on
+GROUP_BYTES of texts or chunks at a time; a chunk is at most one text long.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 from typing import Iterator
 
 import numpy as np
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .common import Shared, join_sized, mix64
+from .common import Shared, free_shuffles, join_sized, mix64
 
 OVERLAP = 3
 LONGEST = OVERLAP + 1
@@ -53,14 +54,13 @@ COVERED_PERCENT = 80
 TOP = 2000
 SCALE = 2_000_000
 BITMAP_BITS = 1 << 26
-FLUSH_BYTES = 6 << 20      # of chunks whose counts are combined before they leave a task, about
+GROUP_BYTES = 4 << 20      # of texts or chunks that are worked on together in a task, about
 NO_LANG = "und"
 BREAK = b"\n"
 
 # to lower case A-Z; every piece end becomes a break and every tab a space
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
-_VALUE = mix64(np.arange(1, 257, dtype=np.uint64))
-_SECOND = mix64(np.arange(1001, 1257, dtype=np.uint64))
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)      # masks of the first k of eight bytes
 
 # ---- tokens ---------------------------------------------------------------
 
@@ -71,13 +71,6 @@ def tokens_of(text: str) -> bytes:
     return b" ".join([*filter(None, folded.split(b" ")), *[BREAK] * OVERLAP])
 
 
-def powers(n: int) -> np.ndarray:
-    out = np.full(max(1, n), np.uint64(0x9E3779B97F4A7C15))
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(out)
-
-
 class Tokens:
     """Places and hashes of the tokens of texts that are joined by single spaces."""
 
@@ -88,18 +81,22 @@ class Tokens:
         self.starts = np.r_[0, spaces + 1]
         self.ends = np.r_[spaces, len(raw)]
         self.is_break = raw[self.starts] == BREAK[0]
-        sizes = self.ends - self.starts
-        at = np.arange(len(raw)) - np.repeat(self.starts, np.minimum(sizes + 1, len(raw) - self.starts))
-        self._power = powers(int(sizes.max()) + 1)[at]
-        self._power[spaces] = 0
-        self._raw, self._sizes = raw, sizes.astype(np.uint64)
-        self.hashes = self.hashed(_VALUE)
+        self._eight = np.ndarray(len(raw), np.uint64, self.data + bytes(8), strides=(1,))   # the 8 bytes from each place on
         # the last token of each text
         self.last = np.searchsorted(self.starts, np.cumsum([len(t) + 1 for t in texts])) - 1
+        self.hashes = self.hashed(1)
 
-    def hashed(self, values: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mix64(np.add.reduceat(values[self._raw] * self._power, self.starts) + self._sizes)
+    def hashed(self, seed: int) -> np.ndarray:
+        """A 64-bit hash of every token, taken in pieces of eight bytes."""
+        size = self.ends - self.starts
+        h = mix64(size.astype(np.uint64) + np.uint64(seed << 32))
+        rest, done = np.arange(len(size)), 0
+        while len(rest):
+            piece = self._eight[self.starts[rest] + done] & _FIRST[np.minimum(size[rest] - done, 8)]
+            h[rest] = mix64(h[rest] ^ piece)
+            done += 8
+            rest = rest[size[rest] > done]
+        return h
 
 
 def following(hashes: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -108,8 +105,8 @@ def following(hashes: np.ndarray, more: np.ndarray) -> np.ndarray:
         return mix64(hashes * np.uint64(0xC2B2AE3D27D4EB4F) + more)
 
 
-def chunks_of(texts: list[bytes], every: int = TRIGGER) -> list[bytes]:
-    """The chunks of every text (as tokens joined by spaces)."""
+def chunks_of(texts: list[bytes], every: int = TRIGGER) -> tuple[list[bytes], np.ndarray]:
+    """The chunks of every text (as tokens joined by spaces), and the number of words that each owns."""
     tokens = Tokens(texts)
     h = tokens.hashes
     n = len(h) - OVERLAP + 1
@@ -125,24 +122,36 @@ def chunks_of(texts: list[bytes], every: int = TRIGGER) -> list[bytes]:
     at = np.flatnonzero(begins)
     ends = np.r_[at[1:] + OVERLAP - 1, tokens.last[-1]]
     ends = np.minimum(ends, tokens.last[np.searchsorted(tokens.last, at)])
-    return [tokens.data[s:e] for s, e in zip(tokens.starts[at].tolist(), tokens.ends[ends].tolist())]
+    words = np.r_[0, np.cumsum(~tokens.is_break)]
+    return ([tokens.data[s:e] for s, e in zip(tokens.starts[at].tolist(), tokens.ends[ends].tolist())],
+            words[ends + 1 - OVERLAP] - words[at])
 
 
 def parse(spark: SparkSession, docs: DataFrame, trigger: int = TRIGGER) -> DataFrame:
-    """The dictionary: lang, chunk and its parse frequency ``c``."""
+    """The dictionary: lang, chunk, the number of words ``w`` that it owns, and its parse frequency ``c``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[bytes]] = {}
+        size: dict[str, int] = {}
+
+        def finish(lang: str) -> pa.RecordBatch:
+            chunks, words = chunks_of(held.pop(lang), trigger)
+            return pa.RecordBatch.from_arrays([pa.array([lang] * len(chunks)), pa.array(chunks, pa.binary()),
+                                               pa.array(words, pa.int64())], ["lang", "chunk", "w"])
+
         for b in batches:
-            rows = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if text:
-                    rows.setdefault(lang, []).append(tokens_of(text))
-            for lang, texts in rows.items():
-                chunks = chunks_of(texts, trigger)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(chunks)), pa.array(chunks, pa.binary())],
-                                                 ["lang", "chunk"])
+                    if lang not in held:
+                        held[lang], size[lang] = [], 0
+                    held[lang].append(tokens_of(text))
+                    size[lang] += len(text)
+                    if size[lang] >= GROUP_BYTES:
+                        yield finish(lang)
+            for lang in list(held):            # languages are unbounded: none waits for another batch
+                yield finish(lang)
 
-    rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text").mapInArrow(run, "lang string, chunk binary")
-    return rows.groupBy("lang", "chunk").agg(F.count(F.lit(1)).alias("c"))
+    rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text").mapInArrow(run, "lang string, chunk binary, w long")
+    return rows.groupBy("lang", "chunk", "w").agg(F.count(F.lit(1)).alias("c"))
 
 
 # ---- counting -------------------------------------------------------------
@@ -163,36 +172,46 @@ class Chunks:
         seeds = {x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in set(langs)}
         self.seed = np.array([seeds[x] for x in langs], np.uint64)[self.chunk]
 
-    def phrases(self, words: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the owned phrases of so many words whose parts pass the bitmaps, and that pass
-        the bitmap of their own length where there is one. ``hashes`` are the tokens' hashes in use; the bitmaps
-        are always asked by the first ones."""
-        ok, h, g = ~self.tokens.is_break, following(self.seed, self.tokens.hashes), following(self.seed, hashes)
+    @cached_property
+    def second(self) -> np.ndarray:
+        return self.tokens.hashed(2)
+
+    def phrases(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the owned phrases of so many words whose parts pass the bitmaps there are, and
+        which pass the bitmap of their own length if there is one."""
+        ok, h = ~self.tokens.is_break, following(self.seed, self.tokens.hashes)
         for k in range(1, words + 1):
             if k > 1:
                 n = len(h) - 1
                 ok = ok[:n] & ok[1:] & (self.chunk[:n] == self.chunk[k - 1:])
                 h = following(h[:n], self.tokens.hashes[k - 1:])
-                g = following(g[:n], hashes[k - 1:])
             if k <= len(self.bitmaps):
-                ok = ok & in_bitmap(self.bitmaps[k - 1], h)
+                at = np.flatnonzero(ok)
+                ok[at] = in_bitmap(self.bitmaps[k - 1], h[at])
         at = np.flatnonzero(ok & self.owned[:len(ok)])
-        return at, g[at]
+        return at, h[at]
 
-    def hashed_counts(self, words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct hashes of the phrases, with their weighted counts."""
-        at, h = self.phrases(words, self.tokens.hashes)
+    def hashed_counts(self, words: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes (of so many bits) of the phrases, with their weighted counts."""
+        at, h = self.phrases(words)
+        h &= np.uint64((1 << bits) - 1)
         order = np.argsort(h)
         h = h[order]
         new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][:len(h)])
-        return h[new].view(np.int64), np.add.reduceat(self.weight[at][order], new) if len(new) else np.zeros(0, np.int64)
+        return h[new].view(np.int64), np.add.reduceat(self.weight[at[order]], new) if len(new) else np.zeros(0, np.int64)
 
     def exact_counts(self, words: int) -> tuple[list[str], list[str], list[int]]:
-        """lang, phrase and weighted count; phrases are told apart by two hashes, here only (128 bits)."""
-        at, h = self.phrases(words, self.tokens.hashes)
-        _, g = self.phrases(words, self.tokens.hashed(_SECOND))
-        order = np.lexsort((g, h))
-        at, h, g = at[order], h[order], g[order]
+        """lang, phrase and weighted count. Equal phrases of the group are found by two 64-bit hashes."""
+        at, h = self.phrases(words)
+        g = self.seed[at]
+        for k in range(words):
+            g = following(g, self.second[at + k])
+        order = np.argsort(h)
+        h, g = h[order], g[order]
+        if ((h[1:] == h[:-1]) & (g[1:] != g[:-1])).any():
+            order = order[np.lexsort((g, h))]
+            g = g[np.lexsort((g, h))]
+        at = at[order]
         new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])][:len(h)])
         counts = np.add.reduceat(self.weight[at], new).tolist() if len(new) else []
         t, first = self.tokens, at[new]
@@ -200,18 +219,9 @@ class Chunks:
         return ([self.langs[k] for k in self.chunk[first].tolist()],
                 [t.data[s:e].decode("utf-8", "surrogatepass") for s, e in spans], counts)
 
-    def word_totals(self) -> dict[str, int]:
-        """Occurrences of words per language."""
-        of_chunk = np.bincount(self.chunk, self.owned, len(self.langs)).astype(np.int64)
-        weight = self.weight[np.r_[0, self.tokens.last[:-1] + 1]]
-        totals: dict[str, int] = {}
-        for lang, n in zip(self.langs, (of_chunk * weight).tolist()):
-            totals[lang] = totals.get(lang, 0) + n
-        return totals
-
 
 def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = (h & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
+    at = (h & np.uint64(8 * len(bitmap) - 1)).view(np.int64)
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -225,7 +235,7 @@ def groups(batches: Iterator[pa.RecordBatch], bitmaps: list[bytes]) -> Iterator[
             chunks.append(chunk)
             counts.append(c)
             size += len(chunk)
-            if size >= FLUSH_BYTES:
+            if size >= GROUP_BYTES:
                 yield Chunks(langs, chunks, counts, maps)
                 langs, chunks, counts, size = [], [], [], 0
     if chunks:
@@ -233,7 +243,7 @@ def groups(batches: Iterator[pa.RecordBatch], bitmaps: list[bytes]) -> Iterator[
 
 
 def bitmap_of(hashes: DataFrame, bits: int) -> bytes:
-    """The bitmap of a table of hashes ``h``, built over many tasks; so many bits at any table size."""
+    """The bitmap of a table of hashes ``h``, built over many tasks; so many places at any table size."""
     place = F.col("h").bitwiseAND(F.lit(bits - 1)) + 1        # the bitmap functions count from 1
     parts = hashes.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit"))
     parts = parts.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
@@ -245,8 +255,10 @@ def bitmap_of(hashes: DataFrame, bits: int) -> bytes:
 
 def frequent_phrases(spark: SparkSession, dictionary: DataFrame, min_count: int = MIN_COUNT,
                      bits: int = BITMAP_BITS) -> DataFrame:
-    """lang, phrase and count ``f`` of all phrases of 1 to LONGEST words with ``min_count`` occurrences, and under
-    the empty phrase the number of words of each language."""
+    """lang, phrase and count ``f`` of all phrases of 1 to LONGEST words with ``min_count`` occurrences."""
+    total = dictionary.agg(F.sum(F.col("c") * F.col("w"))).first()[0] or 0
+    # sixteen values per word occurrence: rare phrases seldom share one, and rows of the shuffle stay short
+    hash_bits = min(63, max(bits.bit_length() - 1, total.bit_length() + 4))
     dictionary = dictionary.select("lang", "chunk", "c")
     bitmaps: list[bytes] = []
     for words in range(1, LONGEST + 1):
@@ -254,23 +266,22 @@ def frequent_phrases(spark: SparkSession, dictionary: DataFrame, min_count: int
 
         def count(batches: Iterator[pa.RecordBatch], known=known, words=words) -> Iterator[pa.RecordBatch]:
             for chunks in groups(batches, known.value):
-                h, c = chunks.hashed_counts(words)
+                h, c = chunks.hashed_counts(words, hash_bits)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c)], ["h", "c"])
 
         hashed = dictionary.mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
         bitmaps.append(bitmap_of(hashed.filter(F.col("c") >= min_count), bits))
+        free_shuffles(spark)
     known = Shared(spark, bitmaps)
 
     def count_exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunks in groups(batches, known.value):
-            totals = chunks.word_totals()
-            for langs, phrases, counts in (*map(chunks.exact_counts, range(1, LONGEST + 1)),
-                                           (list(totals), [""] * len(totals), list(totals.values()))):
+            for langs, phrases, counts in map(chunks.exact_counts, range(1, LONGEST + 1)):
                 yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()),
                                                   pa.array(counts, pa.int64())], ["lang", "phrase", "c"])
 
     exact = dictionary.mapInArrow(count_exactly, "lang string, phrase string, c long")
-    return exact.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).filter((F.col("f") >= min_count) | (F.col("phrase") == ""))
+    return exact.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= min_count)
 
 
 # ---- scores ---------------------------------------------------------------
@@ -314,9 +325,9 @@ def mine(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT, top:
          bits: int = BITMAP_BITS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of the first ``top`` phrases of each language."""
     dictionary = materialize(spark, parse(spark, docs, trigger), "phrase-dictionary")
+    free_shuffles(spark)
     frequent = materialize(spark, frequent_phrases(spark, dictionary, min_count, bits), "frequent-phrases")
-    total = frequent.filter("phrase = ''").select("lang", F.col("f").alias("n"))
-    frequent = frequent.filter("phrase <> ''")
+    total = dictionary.groupBy("lang").agg(F.sum(F.col("c") * F.col("w")).alias("n"))
     left = scored(spark, frequent).join(covered(frequent), ["lang", "phrase"], "left_anti")
     order = [F.desc("score"), F.desc("a"), F.col("phrase")]
     some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(16))).orderBy(*order)
