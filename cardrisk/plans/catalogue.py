@@ -278,12 +278,14 @@ def silver_upsert(spark, sf_dir):
     the next run merges the rows above the high-water mark on the key. The
     mark filters bronze before the dedup (same rows as dedup-then-mark: a
     key's latest delivery is above the mark whenever any of its deliveries
-    is), so a run shuffles only the new deliveries."""
+    is), so a run shuffles only the new deliveries, and the merge rewrites only
+    the dates they touch."""
+    from ..session import scratch_path
     bt = bronze_typed_rows(spark, sf_dir)
-    target = storage.materialize(spark, SV.to_silver(bt.filter(F.col("ingested_at") < _ts(CUT_TS))), "silver-target")
-    incoming = SV.to_silver(B.incremental_new_rows(bt, target))
-    return SV.upsert(target, incoming).select("transaction_id", "ingested_at", "kafka_offset", "kafka_partition",
-                                              "amount")
+    base = scratch_path(spark, "silver-versions")
+    storage.merge_version(spark, SV.to_silver(bt.filter(F.col("ingested_at") < _ts(CUT_TS))), base)
+    storage.merge_version(spark, SV.to_silver(B.incremental_new_rows(bt, storage.read_current(spark, base))), base)
+    return storage.read_current(spark, base).select("transaction_id", "ingested_at", "kafka_offset", "kafka_partition", "amount")
 
 
 @query

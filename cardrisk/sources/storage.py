@@ -4,11 +4,16 @@
   (IO6); layers with ``tx_date`` are partitioned by it so date filters prune
   files. ``fmt`` names the table format.
 * ``append_new`` -- incremental append above a high-water mark (IO7).
-* ``merge_version`` -- keyed upsert (IO8) without MERGE: the merged table is
-  written as a new version directory and a one-row entry is appended to the
-  layer's version log; readers take the latest committed version. The path
-  being read is never overwritten, and a job that dies mid-write leaves the
-  previous version current.
+* ``merge_version`` -- keyed upsert (IO8) without MERGE. A version of a layer
+  with ``tx_date`` is a manifest: the folder of every date. A merge writes the
+  dates that incoming rows belong to, or replaced rows lived in, into folders
+  of its own and lists the other dates where they are; then a one-row
+  entry is appended to the layer's version log. Readers take the latest
+  version in the log and scan its folders as one table, pruned by date. A
+  folder is never written twice, so the one being read is never overwritten,
+  and a job that dies mid-write leaves the previous version current. Layers
+  without ``tx_date`` are written whole. ``expire_versions`` deletes what only
+  older versions list.
 * schema evolution (IO10) -- files with added columns read together with
   ``mergeSchema``; old rows read NULL in the new columns.
 
@@ -20,6 +25,8 @@ Paths live under the cluster's shared folder (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +36,9 @@ from ..session import hadoop_path
 from .scratch import materialize  # noqa: F401 - part of this module's interface
 
 LOG = "_versions"
+MANIFESTS, DATA = "_manifests", "data"
+DATE, PIECE = "tx_date", "_piece"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"      # fixed: the folder name of a null partition value
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = "auto",
@@ -86,24 +96,109 @@ def current_version(spark: SparkSession, base: str) -> int | None:
     return spark.read.parquet(f"{base}/{LOG}").agg(F.max("version")).first()[0]
 
 
+def manifest(spark: SparkSession, base: str, version: int) -> list[tuple[str, str]] | None:
+    """(date, piece) of every folder of a version; None for a version that was written whole."""
+    path = f"{base}/{MANIFESTS}/v{version:06d}"
+    if not exists(spark, path):
+        return None
+    return sorted(tuple(r) for r in spark.read.schema(f"{DATE} string, {PIECE} string").json(path).collect())
+
+
+def read_version(spark: SparkSession, base: str, version: int, fmt: str = "parquet") -> DataFrame:
+    listed = manifest(spark, base, version)
+    if listed is None:
+        return read_layer(spark, f"{base}/v{version:06d}", fmt=fmt)
+    return _read_pieces(spark, base, listed, fmt)
+
+
+def _read_pieces(spark: SparkSession, base: str, listed: list[tuple[str, str]], fmt: str) -> DataFrame:
+    """One scan over the listed folders; the date stays a partition column, so filters on it prune folders."""
+    root = f"{base}/{DATA}"
+    folders = [f"{root}/{DATE}={d}/{PIECE}={p}" for d, p in listed]
+    rows = spark.read.format(fmt).option("mergeSchema", "true").option("basePath", root).load(folders)
+    return rows.drop(PIECE).withColumn(DATE, F.col(DATE).cast("date"))
+
+
 def read_current(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame | None:
     v = current_version(spark, base)
-    return None if v is None else read_layer(spark, f"{base}/v{v:06d}", fmt=fmt)
+    return None if v is None else read_version(spark, base, v, fmt)
+
+
+def _dates(df: DataFrame) -> set[str]:
+    """The distinct dates of ``df`` as folder names: at most one per day that it spans."""
+    day = F.coalesce(F.col(DATE).cast("string"), F.lit(NO_DATE)).alias("d")
+    return {r.d for r in df.select(day).distinct().collect()}
 
 
 def merge_version(spark: SparkSession, incoming: DataFrame, base: str, key: str = "transaction_id",
                   fmt: str = "parquet") -> int:
     """IO8: merge ``incoming`` into the current version on ``key``; commit a new one.
 
-    Written to the first version number whose directory is not there yet, so
-    what a job that died left behind is never overwritten, nor is a version.
+    Of a layer with dates only the touched ones are read whole, joined and
+    written: those of the incoming rows, and those that hold a row with an
+    incoming key (a key whose date moved leaves its old date), which a
+    semi-join over the target's keys and dates alone finds. One writer at a
+    time; what a writer that died left behind is never read nor written again.
     """
     v = current_version(spark, base)
-    merged = incoming if v is None else upsert(read_layer(spark, f"{base}/v{v:06d}", fmt=fmt), incoming, key)
     nv = 1 if v is None else v + 1
-    while exists(spark, f"{base}/v{nv:06d}"):
+    while exists(spark, f"{base}/v{nv:06d}") or exists(spark, f"{base}/{MANIFESTS}/v{nv:06d}"):
         nv += 1
-    write_layer(merged, f"{base}/v{nv:06d}", mode="errorifexists", fmt=fmt)
+    listed = [] if v is None else manifest(spark, base, v)
+    if DATE not in incoming.columns or listed is None:
+        merged = incoming if v is None else upsert(read_version(spark, base, v, fmt), incoming, key)
+        write_layer(merged, f"{base}/v{nv:06d}", mode="errorifexists", fmt=fmt)
+    else:
+        _write_manifest(spark, _merge_dates(spark, incoming, base, key, listed, nv, fmt), f"{base}/{MANIFESTS}/v{nv:06d}")
     spark.range(1).select(F.lit(nv).alias("version"), F.localtimestamp().alias("committed_at")) \
         .write.mode("append").parquet(f"{base}/{LOG}")
     return nv
+
+
+def _merge_dates(spark: SparkSession, incoming: DataFrame, base: str, key: str, listed: list[tuple[str, str]],
+                 version: int, fmt: str) -> list[tuple[str, str]]:
+    """Write the touched dates of a merge; the new version's (date, piece) list."""
+    incoming = materialize(spark, incoming, "merge-incoming")
+    touched = _dates(incoming)
+    merged = incoming
+    if listed:
+        target = _read_pieces(spark, base, listed, fmt)
+        touched |= _dates(target.select(key, DATE).join(incoming.select(key), key, "left_semi"))
+        old = [x for x in listed if x[0] in touched]
+        if old:
+            merged = upsert(_read_pieces(spark, base, old, fmt), incoming, key)
+    piece = f"{version:06d}-{uuid.uuid4().hex[:8]}"
+    (merged.withColumn(PIECE, F.lit(piece)).hint("rebalance", DATE)
+           .write.format(fmt).mode("append").partitionBy(DATE, PIECE).save(f"{base}/{DATA}"))
+    written = [(d, piece) for d in sorted(touched) if exists(spark, f"{base}/{DATA}/{DATE}={d}/{PIECE}={piece}")]
+    return [x for x in listed if x[0] not in touched] + written
+
+
+def _write_manifest(spark: SparkSession, listed: list[tuple[str, str]], path: str) -> None:
+    """One row per date, as one small file."""
+    spark.createDataFrame(listed, f"{DATE} string, {PIECE} string").coalesce(1).write.mode("errorifexists").json(path)
+
+
+def expire_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete the date folders that none of the latest ``keep`` versions lists, and the older manifests; returns
+    the deleted folders. Readers of an older version must be done, and no merge may be running."""
+    v = current_version(spark, base)
+    fs, manifests = hadoop_path(spark, f"{base}/{MANIFESTS}")
+    if v is None or not fs.exists(manifests):
+        return []
+    numbers = sorted((int(s.getPath().getName()[1:]) for s in fs.listStatus(manifests)), reverse=True)
+    kept = [n for n in numbers if n <= v][:keep]
+    used = {x for n in kept for x in manifest(spark, base, n)}
+    gone = []
+    for day in fs.listStatus(hadoop_path(spark, f"{base}/{DATA}")[1]):
+        date = day.getPath().getName().partition("=")[2]
+        if not day.isDirectory() or not date:
+            continue
+        for folder in fs.listStatus(day.getPath()):
+            if (date, folder.getPath().getName().partition("=")[2]) not in used:
+                fs.delete(folder.getPath(), True)
+                gone.append(folder.getPath().toString())
+    for n in numbers:
+        if n not in kept:
+            fs.delete(hadoop_path(spark, f"{base}/{MANIFESTS}/v{n:06d}")[1], True)
+    return gone

@@ -49,7 +49,7 @@ def test_written_gold_equals_the_catalogue_and_keeps_its_order(spark):
     files = sorted(glob.glob(f"{base}/gold/part-*.parquet"))
     placed = [r for f in files for r in pq.read_table(f, columns=["anomaly_score", "event_timestamp"]).to_pylist()]
     assert placed == sorted(placed, key=lambda r: (r["anomaly_score"], r["event_timestamp"]), reverse=True) and placed
-    silver = spark.read.parquet(f"{base}/silver/v000001")
+    silver = storage.read_version(spark, f"{base}/silver", 1)
     assert "dbt_loaded_at" in silver.columns and "dbt_loaded_at" in gold.columns
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from cardrisk.operators import quality as Q
+from cardrisk.sources import storage
 
 
 def test_report_has_31_checks_and_gate(spark):
@@ -73,3 +74,63 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def _files(base):
+    import os
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(f"{base}/data") for f in names if f.endswith(".parquet")}
+
+
+def _dated(spark, *rows):
+    return spark.createDataFrame(rows, "transaction_id string, v int, d string").withColumn("tx_date", F.to_date("d")).drop("d")
+
+
+def test_a_merge_rewrites_only_the_dates_it_touches(spark, tmp_path):
+    base = str(tmp_path / "silver")
+    days = [f"2024-01-{d:02d}" for d in range(1, 11)]
+    storage.merge_version(spark, _dated(spark, *[(f"{d}-{i}", 1, d) for d in days for i in range(20)]), base)
+    before = _files(base)
+    # one date: a new key and a replaced one
+    assert storage.merge_version(spark, _dated(spark, ("2024-01-03-5", 2, "2024-01-03"), ("new", 2, "2024-01-03")), base) == 2
+    after = _files(base)
+    assert {k: after[k] for k in before} == before                       # nothing is rewritten in place
+    assert {k.split("tx_date=")[1][:10] for k in set(after) - set(before)} == {"2024-01-03"}
+    # a key moves to another date: both dates are written, the others listed as they are
+    storage.merge_version(spark, _dated(spark, ("2024-01-07-1", 3, "2024-01-09")), base)
+    last = _files(base)
+    assert {k.split("tx_date=")[1][:10] for k in set(last) - set(after)} == {"2024-01-07", "2024-01-09"}
+    rows = {(r.transaction_id, r.v, str(r.tx_date)) for r in storage.read_current(spark, base).collect()}
+    want = {(f"{d}-{i}", 1, d) for d in days for i in range(20)} - {("2024-01-03-5", 1, "2024-01-03"), ("2024-01-07-1", 1, "2024-01-07")}
+    assert rows == want | {("2024-01-03-5", 2, "2024-01-03"), ("new", 2, "2024-01-03"), ("2024-01-07-1", 3, "2024-01-09")}
+    assert storage.read_version(spark, base, 1).filter("v = 1").count() == 200
+    # the scan is one, and a date filter reaches its folders
+    plan = storage.read_current(spark, base).filter("tx_date = date'2024-01-03'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(tx_date" in plan
+    gone = storage.expire_versions(spark, base, keep=1)
+    assert len(gone) == 3 and {(r.transaction_id, r.v, str(r.tx_date)) for r in storage.read_current(spark, base).collect()} == \
+        want | {("2024-01-03-5", 2, "2024-01-03"), ("new", 2, "2024-01-03"), ("2024-01-07-1", 3, "2024-01-09")}
+
+
+def test_merges_of_null_dates_emptied_dates_new_columns_and_nothing(spark, tmp_path):
+    base = str(tmp_path / "silver")
+    storage.merge_version(spark, _dated(spark, ("a", 1, None), ("b", 1, "2024-01-01")), base)
+    storage.merge_version(spark, _dated(spark, ("b", 2, "2024-01-02")).withColumn("extra", F.lit("x")), base)   # its old date is empty now
+    storage.merge_version(spark, _dated(spark, ("z", 9, None)).limit(0), base)
+    assert [d for d, _ in storage.manifest(spark, base, 3)] == ["2024-01-02", storage.NO_DATE]
+    got = {(r.transaction_id, r.v, r.tx_date and str(r.tx_date), r.extra) for r in storage.read_current(spark, base).collect()}
+    assert got == {("a", 1, None, None), ("b", 2, "2024-01-02", "x")}
+    storage.merge_version(spark, _dated(spark, ("a", 3, "2024-01-02")), base)
+    assert {(r.transaction_id, r.v) for r in storage.read_current(spark, base).collect()} == {("a", 3), ("b", 2)}
+
+
+def test_a_merge_that_dies_leaves_the_version_before_current(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "silver")
+    storage.merge_version(spark, _dated(spark, ("a", 1, "2024-01-01")), base)
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_write_manifest", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            storage.merge_version(spark, _dated(spark, ("a", 2, "2024-01-01")), base)
+    assert [r.v for r in storage.read_current(spark, base).collect()] == [1]
+    assert storage.merge_version(spark, _dated(spark, ("a", 3, "2024-01-01")), base) == 2
+    assert [r.v for r in storage.read_current(spark, base).collect()] == [3]
