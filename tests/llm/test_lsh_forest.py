@@ -133,3 +133,103 @@ def test_crowded_regions_lose_no_link(spark, monkeypatch):
     while more := {b for link in links for a, b in (link, link[::-1]) if a in reached} - reached:
         reached |= more
     assert set(np.flatnonzero(meets).tolist()) <= reached
+
+
+def signatures_df(spark, sigs):
+    rows = [(i.to_bytes(4, "big"), bytearray(s.tobytes())) for i, s in enumerate(sigs)]
+    return spark.createDataFrame(rows, "cls binary, sig binary")
+
+
+def changed(rng, sig, places):
+    s = sig.copy()
+    for half in (places, places + L.N_HASHES):
+        s[half] += rng.integers(1, 256, len(places)).astype(np.uint8)
+    return s
+
+
+def components_of(n, links):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for u, v in links:
+        root[find(u)] = find(v)
+    return [find(i) for i in range(n)]
+
+
+def test_a_crowded_prefix_of_unrelated_texts_falls_apart_and_keeps_its_pairs(spark, monkeypatch):
+    """600 signatures share the minima of six trees; 60 pairs among them are at 0.8."""
+    monkeypatch.setattr(L, "REGION", 16)
+    monkeypatch.setattr(L, "CROWDED", 64)
+    rng = np.random.default_rng(11)
+    common = rng.integers(0, 256, 2 * L.N_HASHES).astype(np.uint8)
+    crowd = np.concatenate([np.arange(L.WIDTH * t, L.WIDTH * t + L.WIDTH) for t in (0, 5, 10, 15, 20, 25)])
+    sigs = []
+    for i in range(600):
+        s = rng.integers(0, 256, 2 * L.N_HASHES).astype(np.uint8)
+        shared = np.r_[crowd, rng.choice(np.setdiff1d(np.arange(L.N_HASHES), crowd), 15, replace=False)]     # about 0.3 in all
+        for half in (shared, shared + L.N_HASHES):
+            s[half] = common[half]
+        sigs.append(s)
+    for i in range(60):            # 0.8 of all places agree, those of the crowded trees among them at random
+        sigs.append(changed(rng, sigs[i], rng.choice(L.N_HASHES, L.N_HASHES // 5, replace=False)))
+    df = signatures_df(spark, sigs)
+    sizes, members = L.forest_regions(spark, df)
+    n = [r.n for r in sizes.collect()]
+    compared = sum(x * x / 2 for x in n)
+    assert max(n) <= 64 and compared < 0.25 * 6 * 600 ** 2 / 2       # six whole regions would be all pairs six times
+    assert members.join(sizes, "region").groupBy("region").count().join(sizes, "region").filter("count <> n").count() == 0
+    links = [(int.from_bytes(r.u, "big"), int.from_bytes(r.v, "big")) for r in L.candidate_links(spark, df, 0.8).collect()]
+    root = components_of(len(sigs), links)
+    assert all(root[i] == root[600 + i] for i in range(60))
+
+
+def test_the_miss_bound_holds_in_deepened_regions():
+    """Pairs at 0.8: how many that share a tree's region share no part of it after one, two and three steps."""
+    rng = np.random.default_rng(2)
+    n = 4000
+    agree = rng.random((n, L.N_HASHES)) < 0.8
+
+    def meets(tree, path, rows, steps):
+        """Which pairs stay together somewhere below this region."""
+        if not steps:
+            return rows
+        out = np.zeros(n, bool)
+        for r, places in enumerate(L.further_places(tree, path)):
+            out |= meets(tree, f"{path}{r}", rows & agree[:, list(places)].all(1), steps - 1)
+        return out
+    for tree in (0, 17, 31):
+        base = agree[:, list(L.used_places(tree, ""))].all(1)
+        for steps, least in ((1, 0.977), (2, 0.96)):
+            assert meets(tree, "", base, steps).sum() >= least * base.sum()
+    assert (1 - 0.8 ** L.WIDTH * (1 - (1 - 0.8 ** L.WIDTH) ** L.MORE) ** L.STEPS) ** L.TREES < 1.5e-7
+
+
+def test_regions_whose_members_are_alike_are_not_deepened(spark, monkeypatch):
+    monkeypatch.setattr(L, "REGION", 16)
+    monkeypatch.setattr(L, "CROWDED", 64)
+    rng = np.random.default_rng(4)
+    hub = rng.integers(0, 256, 2 * L.N_HASHES).astype(np.uint8)
+    sigs = [changed(rng, hub, rng.choice(L.N_HASHES, 6, replace=False)) for _ in range(300)]
+    df = signatures_df(spark, sigs)
+    sizes, _ = L.forest_regions(spark, df)
+    assert sizes.filter("n > 64").count() >= L.TREES // 2 and sizes.count() < 40 * L.TREES
+    links = [(int.from_bytes(r.u, "big"), int.from_bytes(r.v, "big")) for r in L.candidate_links(spark, df, 0.8).collect()]
+    assert len(set(components_of(300, links))) == 1
+
+
+def test_neighbours_by_prefix_and_all_others_are_linked_in_a_region():
+    rng = np.random.default_rng(6)
+    bases = rng.integers(0, 256, (5, L.N_HASHES)).astype(np.uint8)
+    low = np.array([np.where(rng.random(L.N_HASHES) < 0.1, rng.integers(0, 256, L.N_HASHES), bases[i % 5]) for i in range(80)]).astype(np.uint8)
+    least = 75
+    near = (low[:, None] == low[None]).sum(2) >= least
+    for side in (np.zeros(80, bool), np.arange(80) % 3 == 0):
+        ok = near & (side[:, None] != side[None]) if side.any() else near
+        want = components_of(80, list(zip(*np.nonzero(ok))))
+        got = L.likely_forest(list(range(80)), low, 7, least, side)
+        assert len(got) < 200
+        have = components_of(80, got)
+        assert [[have[i] == have[j] for j in range(80)] for i in range(80)] == [[want[i] == want[j] for j in range(80)] for i in range(80)]
