@@ -54,7 +54,7 @@ COVERED_PERCENT = 80
 TOP = 2000
 SCALE = 2_000_000
 BITMAP_BITS = 1 << 26
-GROUP_BYTES = 4 << 20      # of texts or chunks that are worked on together in a task, about
+GROUP_BYTES = 2 << 20      # of texts or chunks that are worked on together in a task, about
 NO_LANG = "und"
 BREAK = b"\n"
 
