@@ -234,7 +234,8 @@ def search(spark: SparkSession, table: DataFrame, is_query: Column, k: int = 10)
                 f["parts"] = [o[:n].tolist() for o, n in zip(order, probes)]
             yield f
 
-    placed = good.mapInPandas(route, "vec_id long, embedding array<float>, q boolean, parts array<int>")
+    kind = good.schema["embedding"].dataType.simpleString()      # float or double: distances are taken on the vectors as given
+    placed = good.mapInPandas(route, f"vec_id long, embedding {kind}, q boolean, parts array<int>")
     placed = materialize(spark, placed, "vectors")
     rows = placed.select(F.element_at("parts", 1).alias("part"), "vec_id", "embedding", F.lit(False).alias("q"))
     asked = placed.filter("q").select(F.explode("parts").alias("part"), "vec_id", "embedding", "q")

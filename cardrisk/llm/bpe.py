@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import Shared, mix64, sha256_hex, small_batches, texts_of
+from .common import Shared, mix64, pieces, sha256_hex, texts_of
 
 MAX_VOCAB_BYTES = 64 << 20
 MEMO_ENTRIES = 1_000_000  # resolved pre-tokens kept per Python worker
@@ -210,12 +210,11 @@ def codec_of(shared: Shared, pattern: str) -> Codec:
 
 def tokenize_documents(spark: SparkSession, docs: DataFrame, vocab_path: str, pattern: str) -> DataFrame:
     """Per document the encoded ids (array of int), their number, and whether they decode to the text again."""
-    small_batches(spark)
     shared = Shared(spark, read_ranks(vocab_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared, pattern)
-        for b in batches:
+        for b in pieces(batches):
             texts = texts_of(b.column(1))
             joined = codec.encode_texts(texts)
             ids = [np.fromstring(s, np.int32, sep=" ") for s in joined]
@@ -236,12 +235,11 @@ def tokenize_digests(spark: SparkSession, docs: DataFrame, vocab_path: str, patt
     The same encoder and decoder as ``tokenize_documents``; ids leave the
     worker as digests so that the result stays a few bytes per document.
     """
-    small_batches(spark)
     shared = Shared(spark, read_ranks(vocab_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared, pattern)
-        for b in batches:
+        for b in pieces(batches):
             ids = codec.encode_texts(texts_of(b.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([s.count(" ") + 1 if s else 0 for s in ids], pa.int64()),

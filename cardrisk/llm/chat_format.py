@@ -70,11 +70,18 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(example)).alias("examples"))
 
 
-def explode_examples(formatted: DataFrame) -> DataFrame:
-    """One row per assistant turn: conv_id, example (from 0), prefix_chars, loss_start, loss_text (still escaped)."""
-    e = formatted.select("conv_id", "formatted", F.posexplode("examples").alias("example", "e"))
-    return e.select("conv_id", "example", "e.prefix_chars", "e.loss_start",
-                    F.substring("formatted", F.col("e.loss_start").cast("int") + 1, F.col("e.loss_chars")).alias("loss_text"))
+def explode_examples(formatted: DataFrame, *further: str, outer: bool = False) -> DataFrame:
+    """One row per assistant turn: conv_id, the columns ``further``, example (from 0), prefix_chars, loss_start,
+    loss_text (still escaped); with ``outer`` one row without an example for conversations that have none.
+
+    Each example's reply is cut out before the rows part, so that they carry that text only.
+    """
+    cut = F.transform("examples", lambda e: F.struct(
+        e["prefix_chars"].alias("prefix_chars"), e["loss_start"].alias("loss_start"),
+        F.substring(F.col("formatted"), e["loss_start"].cast("int") + 1, e["loss_chars"]).alias("loss_text")))
+    explode = F.posexplode_outer if outer else F.posexplode
+    e = formatted.select("conv_id", *further, explode(cut).alias("example", "e"))
+    return e.select("conv_id", *further, "example", "e.prefix_chars", "e.loss_start", "e.loss_text")
 
 
 def example_texts(formatted: DataFrame) -> DataFrame:
@@ -98,16 +105,15 @@ def read_turns(formatted: Column) -> Column:
 
 
 def conversation_digests(formatted: DataFrame) -> DataFrame:
-    """Per conversation what can be read back: turns, trainable text, size of its examples."""
-    read = formatted.select("conv_id", read_turns(F.col("formatted")).alias("turns"), "examples", "formatted")
-    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    cut = F.transform("examples", lambda e: unescape(F.substring(
-        F.col("formatted"), e["loss_start"].cast("int") + 1, e["loss_chars"])))
-    loss = F.array_join(cut, "")
-    total = F.aggregate("examples", F.lit(0).cast("long"), lambda a, e: a + e["prefix_chars"])
-    return read.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(F.encode(F.array_join(said, ""), "UTF-8"), 256).alias("turns_sha256"),
-        F.char_length(loss).cast("long").alias("loss_chars"),
-        F.sha2(F.encode(loss, "UTF-8"), 256).alias("loss_sha256"),
-        total.alias("formatted_chars"))
+    """Per conversation what can be read back: its turns, and from its exploded examples
+    the trainable text and the size of all of them."""
+    said = F.transform(read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = formatted.select("conv_id", "formatted", "examples", F.size(said).cast("long").alias("n_turns"),
+                            F.sha2(F.encode(F.array_join(said, ""), "UTF-8"), 256).alias("turns_sha256"))
+    rows = explode_examples(read, "n_turns", "turns_sha256", outer=True)
+    parts = F.sort_array(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", unescape(F.col("loss_text")).alias("text")))))
+    loss = rows.groupBy("conv_id", "n_turns", "turns_sha256").agg(
+        F.array_join(F.transform(parts, lambda x: x["text"]), "").alias("loss"),
+        F.coalesce(F.sum("prefix_chars"), F.lit(0)).cast("long").alias("formatted_chars"))
+    return loss.select("conv_id", "n_turns", "turns_sha256", F.char_length("loss").cast("long").alias("loss_chars"),
+                       F.sha2(F.encode("loss", "UTF-8"), 256).alias("loss_sha256"), "formatted_chars")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,14 +15,28 @@ from pyspark.sql import functions as F
 
 from ..session import hadoop_path
 
-# Rows per Arrow batch. Texts may be megabytes long, so the default of 10,000
-# rows would let a batch outgrow a Python worker.
+# Rows of a batch of texts that are worked on together. Spark bounds a batch by
+# bytes (64 MB by default) and rows; what a worker makes of the texts is bounded by this.
 ARROW_ROWS = 256
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows per Arrow batch handed to Python workers in this session."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of so many rows (slices, not copies)."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand Python workers so many rows at a time in the jobs run inside; the setting is the session's again after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -56,7 +56,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .common import join_sized, mix64, small_batches, task_sized, texts_of
+from .common import join_sized, mix64, pieces, task_sized, texts_of
 from .components import components
 from .shingles import set_digest, shingle_set, signature
 
@@ -79,10 +79,9 @@ def sign_documents(spark: SparkSession, docs: DataFrame, width: int) -> DataFram
     The signature holds the high bytes of all minima, then their low bytes, so
     that prefixes of both can be cut out of it as binary strings.
     """
-    small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             n, digests, signatures = [], [], []
             for t in texts_of(b.column(2)):
                 s = shingle_set(t, width)
@@ -311,7 +310,6 @@ def exact_forest(keys: list[bytes], sets: list[np.ndarray], side: np.ndarray, pe
 def confirmed_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, groups: DataFrame,
                     width: int, percent: int) -> DataFrame:
     """Spanning links among the classes of each group, counted on full shingle sets."""
-    small_batches(spark)
     members = groups.withColumnRenamed("node", "cls").join(
         classes.select("cls", "rep_id", "rep_th", "n_shingles"), "cls")
     n_members = groups.count()
@@ -338,7 +336,7 @@ def confirmed_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, gr
             links = exact_forest(keys, [held[k][1] for k in keys], side, percent)
             return link_batch(links)
 
-        for batch in batches:
+        for batch in pieces(batches):
             for root, a, b, mine, cls, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if (root, a, b) != now:
                     if len(held) > 1:

@@ -77,6 +77,8 @@ def leaf_budgets(rows: DataFrame, budget: Column, weights: dict[tuple, float], m
     the total (``all_tokens``), such as ``F.lit(10**9)`` or a share of it.
     """
     leaves = rows.groupBy(*PATH).agg(F.sum("__tokens").alias("tokens"))
+    for level in range(3):      # weight 0 takes a node out with all below it: it has no capacity
+        leaves = leaves.filter(weight_of(level, weights) > 0)
     total = rows.agg(F.coalesce(F.sum("__tokens"), F.lit(0)).alias("all_tokens")).select(
         F.floor(budget).cast("double").alias("budget"))
     shares = total

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import mix64, sha256_hex, texts_of
+from .common import mix64, pieces, sha256_hex, texts_of
 
 MIN_WORDS = 24
 MIN_TIMES = 3
@@ -279,7 +279,7 @@ def runs_array(found: list[Found]) -> pa.Array:
 def find_runs(docs: DataFrame, min_words: int = MIN_WORDS, min_times: int = MIN_TIMES) -> DataFrame:
     """doc_id, n_words and all runs of each row, by start, then period."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             found = list(analyse(texts_of(b.column(1)), min_words, min_times))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(f.words) for f in found], pa.int64()), runs_array(found)],
@@ -294,7 +294,7 @@ def collapse_runs(docs: DataFrame, min_words: int = MIN_WORDS, min_times: int =
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             found = list(analyse(texts_of(b.column(at)), min_words, min_times))
             texts = [" ".join(f.kept()) if len(f.runs) else t for f, t in zip(found, b.column(at).to_pylist())]
             columns = b.columns

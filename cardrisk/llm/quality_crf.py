@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, texts_of
+from .common import pieces, texts_of
 
 TRAIN_DOCS = 600
 TRAIN_CHARS = 10_000
@@ -312,12 +312,11 @@ def judge(text: str, chain: Chain, min_share: float = MIN_CONTENT_SHARE) -> tupl
 def judge_documents(spark: SparkSession, docs: DataFrame, chain: Chain,
                     min_share: float = MIN_CONTENT_SHARE) -> DataFrame:
     """One row per document: base counts, verdict of the base rules, content share, kept."""
-    small_batches(spark)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept"]
     types = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             rows = [judge(t, chain, min_share) for t in texts_of(b.column(1))]
             columns = zip(*rows) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
@@ -331,11 +330,10 @@ def judge_documents(spark: SparkSession, docs: DataFrame, chain: Chain,
 def keep_documents(spark: SparkSession, docs: DataFrame, chain: Chain,
                    min_share: float = MIN_CONTENT_SHARE) -> DataFrame:
     """The documents that the rules keep, all columns as they were."""
-    small_batches(spark)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             yield b.filter(pa.array([judge(t, chain, min_share)[-1] for t in texts_of(b.column(at))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import read_ranks
-from .common import Shared, sha256_hex, small_batches, texts_of
+from .common import Shared, pieces, sha256_hex, texts_of
 
 KINDS = ("assign", "access", "hex", "token")  # order among spans with equal starts
 ASSIGN = re.compile(
@@ -46,7 +46,7 @@ UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
 MIN_CHARS = 20         # of a run of parts, as of a candidate
 DROP = 8               # characters too many for its tokens that end a run of parts
 MAX_CHARS_PER_TOKEN = 2.0
-MIN_KINDS = 2          # of lower case, upper case, digits
+ONE_KIND = 0.9         # stricter by this factor for strings of only lower case, upper case or digits
 MIN_WORD_SHARE = 0.8   # of an identifier's letters and digits inside word parts
 
 
@@ -65,9 +65,9 @@ def is_known_shape(s: str) -> bool:
 
 def is_random(s: str, encode, max_ratio: float = MAX_CHARS_PER_TOKEN) -> bool:
     kinds = (any("a" <= c <= "z" for c in s)) + (any("A" <= c <= "Z" for c in s)) + (any("0" <= c <= "9" for c in s))
-    if kinds < MIN_KINDS or is_known_shape(s):
+    if is_known_shape(s):
         return False
-    return len(s) < max_ratio * len(encode(s))
+    return len(s) < (max_ratio if kinds > 1 else max_ratio * ONE_KIND) * len(encode(s))
 
 
 def random_spans(s: str, encode, max_ratio: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int]]:
@@ -112,14 +112,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def outside(base: list[tuple[int, int, int]], a: int, b: int) -> list[tuple[int, int]]:
+    """The parts of [a, b) that no base span covers (base spans by start)."""
+    out = []
+    for s, _, e in base:
+        if s < b and a < e:
+            if s > a:
+                out.append((a, s))
+            a = max(a, e)
+    return out + [(a, b)] if a < b else out
+
+
 def all_spans(text: str, encode, max_ratio: float = MAX_CHARS_PER_TOKEN) -> tuple[list, list]:
-    """Base spans, and these with the token-efficiency spans that touch none of them."""
+    """Base spans, and these with the token-efficiency spans of what lies outside them."""
     base = base_spans(text)
     extra = []
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        if not any(s < b and a < e for s, _, e in base):
-            extra += [(a + x, 3, a + y) for x, y in random_spans(m.group(), encode, max_ratio)]
+        for a, b in outside(base, *m.span()):
+            if b - a >= MIN_CHARS:
+                extra += [(a + x, 3, a + y) for x, y in random_spans(text[a:b], encode, max_ratio)]
     return base, sorted(base + extra)
 
 
@@ -159,12 +170,11 @@ def _encoder(shared: Shared, pattern: str):
 def scan_secrets(spark: SparkSession, docs: DataFrame, vocab_path: str, pattern: str,
                  max_ratio: float = MAX_CHARS_PER_TOKEN) -> DataFrame:
     """One row per document: counts of the fixed patterns, digest of their spans, all spans."""
-    small_batches(spark)
     shared = Shared(spark, read_ranks(vocab_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(shared, pattern)
-        for b in batches:
+        for b in pieces(batches):
             found = [all_spans(t, encode, max_ratio) for t in texts_of(b.column(1))]
             counts = [[sum(s[1] == k for s in base) for base, _ in found] for k in range(3)]
             yield pa.RecordBatch.from_arrays(
@@ -184,13 +194,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, vocab_path: str, patter
 
     A null text stays null; ``n_chars``, where present, counts the new text.
     """
-    small_batches(spark)
     shared = Shared(spark, read_ranks(vocab_path))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(shared, pattern)
-        for b in batches:
+        for b in pieces(batches):
             new = [t if t is None else redact(t, all_spans(t, encode, max_ratio)[1], mark)
                    for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == at else c for i, c in enumerate(b.columns)],

@@ -44,12 +44,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .common import discard, free_shuffles, mix64, sha256_hex, small_batches, texts_of
+from .common import arrow_rows, discard, free_shuffles, mix64, pieces, sha256_hex, texts_of
 from .shingles import word_hashes
 
 WINDOW = 100
 ANCHOR = 48               # bytes of an anchor; every window contains one
 CHUNK_BYTES = 3 << 20
+CHUNK_TEXTS = 20_000      # so that a chunk of empty texts is bounded too
 BUCKET_BYTES = 4 << 20    # of anchors in a task, about (raise it with CHUNK_BYTES: a chunk writes a row per bucket)
 ANCHOR_SHARE = 0.25       # bytes of packed anchors per byte of text, at most about
 LAST = np.int64(2 ** 63 - 1)
@@ -275,11 +276,10 @@ CHUNK_ARROW = pa.schema([("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.
 
 def make_chunks(spark: SparkSession, docs: DataFrame, chunk_bytes: int) -> DataFrame:
     """Texts that resemble each other, packed into rows of about ``chunk_bytes`` (written, with stable numbers)."""
-    small_batches(spark)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
-        for b in batches:
+        for b in pieces(batches):
             keys, bodies = [], []
             for t in texts_of(b.column(1)):
                 w = word_hashes(t)
@@ -293,10 +293,10 @@ def make_chunks(spark: SparkSession, docs: DataFrame, chunk_bytes: int) -> DataF
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         un, z = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
         ids, raws, size = [], [], 0
-        for b in batches:
+        for b in pieces(batches):
             for i, body in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
                 raw = un.decompress(body)
-                if ids and size + len(raw) > chunk_bytes:
+                if ids and (size + len(raw) > chunk_bytes or len(ids) == CHUNK_TEXTS):
                     yield pa.RecordBatch.from_pylist([_pack(z, ids, raws)], schema=CHUNK_ARROW)
                     ids, raws, size = [], [], 0
                 ids.append(i)
@@ -513,7 +513,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     un = zstandard.ZstdDecompressor()
-    for b in batches:
+    for b in pieces(batches):
         out = []
         for body, runs, starts in zip(*(c.to_pylist() for c in b.columns[1:])):
             raw = un.decompress(body)
@@ -532,19 +532,17 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUN
     n_buckets = 1 + int(total * ANCHOR_SHARE) // BUCKET_BYTES
 
     free_shuffles(spark)
-    one_chunk = lambda: spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
-    one_chunk()
-    local = materialize(spark, local_pass(chunks, n_buckets), "local-repeats")
-    shared = materialize(spark, shared_anchors(local.filter("bucket >= 0"), n_buckets), "shared-anchors")
-    joined = (chunks.join(local.filter("bucket < 0").select("chunk", F.col("payload").alias("runs")), "chunk")
-                    .join(shared.groupBy("chunk").agg(F.collect_list("payload").alias("shared")), "chunk", "left"))
-    free_shuffles(spark)
-    opened = materialize(spark, open_windows(joined, n_buckets), "open-windows")
-    for used in (chunks, local, shared):
-        discard(used)
-    free_shuffles(spark)
-    later = materialize(spark, later_windows(opened.filter("kind = 'name'"), n_buckets), "later-windows")
-    small_batches(spark)
+    with arrow_rows(spark, 2):      # chunks, not texts
+        local = materialize(spark, local_pass(chunks, n_buckets), "local-repeats")
+        shared = materialize(spark, shared_anchors(local.filter("bucket >= 0"), n_buckets), "shared-anchors")
+        joined = (chunks.join(local.filter("bucket < 0").select("chunk", F.col("payload").alias("runs")), "chunk")
+                        .join(shared.groupBy("chunk").agg(F.collect_list("payload").alias("shared")), "chunk", "left"))
+        free_shuffles(spark)
+        opened = materialize(spark, open_windows(joined, n_buckets), "open-windows")
+        for used in (chunks, local, shared):
+            discard(used)
+        free_shuffles(spark)
+        later = materialize(spark, later_windows(opened.filter("kind = 'name'"), n_buckets), "later-windows")
     texts = opened.filter("kind = 'text'").select("chunk", "doc", "doc_id", "payload", "runs").join(later, ["chunk", "doc"], "left")
     finished = texts.select("doc_id", "payload", "runs", "starts").mapInArrow(_finish, RESULT)
     done = opened.filter("kind = 'done'").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -14,12 +14,15 @@ repeated payload comes from an aggregate over digests; payloads that make up
 looked up from a broadcast, the others by a join on the digest, so no key
 gathers an unbounded part of the rows in a task.
 
-Reading. Files are read as bytes by Spark and walked frame by frame: block
-headers give each frame's exact end, the frame is decoded with the archive's
-dictionary, and the record's version line, header fields, Content-Length,
-terminator, payload length and payload digest are checked. What fails is
-reported in ``problem`` for that record (or for the rest of the archive, where
-the next frame cannot be found).
+Reading. Files of any writer are read as bytes by Spark and walked frame by
+frame: block headers give each frame's exact end, the frame, with or without a
+content size, is decoded with the archive's dictionary, and the record's version
+line, header fields, Content-Length, terminator and its block and payload digests, by
+the algorithms that they name, are checked, as is the payload length where it is
+given. All eight record types are returned. What fails is reported in ``problem``
+for that record (or for the rest of the archive, where the next frame cannot be
+found). A payload's digest is returned as hexadecimal SHA-256; a revisit's, which
+has no payload to take it from, as its field has it unless that is SHA-256.
 
 Defined results: a null html is an empty payload; a null url leaves out the
 field; a null page id likewise, and reads back as null; among equal payloads
@@ -30,7 +33,9 @@ and an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import struct
 import urllib.parse
 from typing import Iterator
@@ -41,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import sha256_hex, small_batches
+from .common import pieces, sha256_hex
 
 DICTIONARY_MAGIC = 0x184D2A5D
 SKIPPABLE_FIRST, SKIPPABLE_LAST = 0x184D2A50, 0x184D2A5F
@@ -53,6 +58,13 @@ DICTIONARY_BYTES = 32 << 10
 DICTIONARY_SAMPLES = 256      # records at the head of an archive that its dictionary is made from
 HOT_SHARE = 1024
 DATE = "2024-01-01T00:00:00Z"
+# Fixed: the record types of WARC 1.1, the field it lets repeat, the fields by which a revisit refers.
+RECORD_TYPES = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
+REPEATABLE = ("warc-concurrent-to",)
+REFERENCES = ("warc-refers-to", "warc-refers-to-target-uri", "x-refers-to-page-id")
+DIGESTS = ("md5", "sha1", "sha256", "sha384", "sha512")
+MAX_RECORD = 1 << 30
+RECORD_FIELDS = ("page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload", "url", "record_id", "date")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -82,51 +94,95 @@ def build_record(page_id, url, payload: bytes, digest: str, refers_to, is_revisi
     return head.encode() + block + b"\r\n\r\n"
 
 
-def parse_record(raw: bytes) -> dict:
-    """Fields and payload of one decoded record; raises ValueError on any inconsistency."""
-    end = raw.find(b"\r\n\r\n")
-    if not raw.startswith((b"WARC/1.0\r\n", b"WARC/1.1\r\n")) or end < 0:
-        raise ValueError("no WARC version line or header end")
+def header_fields(head: bytes) -> dict[str, str]:
+    """Named fields of a record's header, names in lower case; lines that begin with a blank go on with the one before."""
     fields: dict[str, str] = {}
-    for line in raw[:end].split(b"\r\n")[1:]:
+    last = None
+    for line in head.split(b"\r\n")[1:]:
+        if line[:1] in (b" ", b"\t") and last:
+            fields[last] += " " + line.strip().decode("utf-8", "replace")
+            continue
         name, colon, value = line.partition(b":")
-        if not colon or not name.strip():
+        last = name.strip().lower().decode("ascii", "replace")
+        if not colon or not last:
             raise ValueError(f"bad header line {line[:80]!r}")
-        if name.strip().lower().decode("ascii", "replace") in fields:
+        if last in fields and last not in REPEATABLE:
             raise ValueError(f"repeated header field {name[:80]!r}")
-        fields[name.strip().lower().decode("ascii", "replace")] = value.strip().decode("utf-8", "replace")
+        text = value.strip().decode("utf-8", "replace")
+        fields[last] = f"{fields[last]} {text}" if last in fields else text
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in fields:
             raise ValueError(f"header field {name} is missing")
+    return fields
+
+
+def check_digest(named: str | None, data: bytes, what: str) -> None:
+    """Hold ``algorithm:value`` (hexadecimal or base 32) against the bytes; an unknown algorithm cannot be held against."""
+    if not named:
+        return
+    algorithm, colon, value = named.partition(":")
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if not colon or not value.strip():
+        raise ValueError(f"the {what} digest names no algorithm")
+    if algorithm in DIGESTS:
+        raw = hashlib.new(algorithm, data, usedforsecurity=False).digest()
+        if value.strip().lower() not in (raw.hex(), base64.b32encode(raw).decode().lower(), base64.b32encode(raw).decode().lower().rstrip("=")):
+            raise ValueError(f"{what} digest differs from its field")
+
+
+def number(fields: dict[str, str], name: str) -> int | None:
+    if name not in fields:
+        return None
+    if not re.fullmatch(r"-?[0-9]{1,18}", fields[name]):
+        raise ValueError(f"{name} is not a number")
+    return int(fields[name])
+
+
+def parse_record(raw: bytes) -> dict:
+    """Fields and payload of one decoded record of any writer; raises ValueError on any inconsistency.
+
+    The payload is what follows the HTTP header of an ``application/http`` block, else the block; of a revisit it
+    is not there. Digests are checked by the algorithm they name. The fields that only this module writes
+    (page id, payload length, referred page) are optional, and checked where they are.
+    """
+    end = raw.find(b"\r\n\r\n")
+    if not raw.startswith((b"WARC/1.0\r\n", b"WARC/1.1\r\n")) or end < 0:
+        raise ValueError("no WARC version line or header end")
+    fields = header_fields(raw[:end])
     if not fields["content-length"].isdigit():
         raise ValueError("Content-Length is not a number")
     length = int(fields["content-length"])
     body = raw[end + 4:]
     if len(body) != length + 4 or body[length:] != b"\r\n\r\n":
         raise ValueError(f"Content-Length is {length}, the block has {len(body) - 4} bytes")
-    head, gap, payload = body[:length].partition(b"\r\n\r\n")
-    if not gap:
-        raise ValueError("the block has no HTTP header end")
-    digest = fields.get("warc-payload-digest", "").partition(":")
-    if digest[0].lower() != "sha256" or not digest[2]:
-        raise ValueError("no sha256 payload digest")
-    if not fields.get("x-payload-length", "").isdigit():
-        raise ValueError("no payload length")
-    kind = fields["warc-type"]
-    if kind == "response":
-        if int(fields["x-payload-length"]) != len(payload):
-            raise ValueError("payload length differs from its field")
-        if sha256_hex(payload) != digest[2]:
-            raise ValueError("payload digest differs from its field")
-    elif kind == "revisit":
-        if payload or "x-refers-to-page-id" not in fields:
+    kind, block = fields["warc-type"].lower(), body[:length]
+    if kind not in RECORD_TYPES:
+        raise ValueError(f"unexpected record type {kind}")
+    payload = block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        _, gap, payload = block.partition(b"\r\n\r\n")
+        if not gap and kind in ("response", "request"):
+            raise ValueError("the block has no HTTP header end")
+    whole = "warc-truncated" not in fields
+    if whole:
+        check_digest(fields.get("warc-block-digest"), block, "block")
+    size, declared = number(fields, "x-payload-length"), fields.get("warc-payload-digest")
+    if kind == "revisit":
+        if payload or not any(f in fields for f in REFERENCES):
             raise ValueError("a revisit record has a payload or refers to nothing")
+        if not declared:
+            raise ValueError("a revisit record has no payload digest")
+        algorithm, _, value = declared.partition(":")
+        digest, payload = value.lower() if algorithm.lower() in ("sha256", "sha-256") else declared, None
     else:
-        raise ValueError(f"unexpected record type {kind}")
-    return {"page_id": int(fields["x-page-id"]) if "x-page-id" in fields else None, "record_type": kind,
-            "payload_bytes": int(fields["x-payload-length"]), "payload_digest": digest[2],
-            "refers_to": int(fields["x-refers-to-page-id"]) if kind == "revisit" else None,
-            "payload": payload if kind == "response" else None, "url": fields.get("warc-target-uri")}
+        if whole:
+            check_digest(declared, payload, "payload")
+            if size is not None and size != len(payload):
+                raise ValueError("payload length differs from its field")
+        digest, size = sha256_hex(payload), len(payload)
+    return {"page_id": number(fields, "x-page-id"), "record_type": kind, "payload_bytes": size, "payload_digest": digest,
+            "refers_to": number(fields, "x-refers-to-page-id") if kind == "revisit" else None, "payload": payload,
+            "url": fields.get("warc-target-uri"), "record_id": fields["warc-record-id"], "date": fields["warc-date"]}
 
 
 # ---- archives -------------------------------------------------------------
@@ -164,11 +220,22 @@ def frame_end(data: memoryview, at: int) -> int:
     return pos
 
 
+def decoded(decoder: zstandard.ZstdDecompressor, frame: memoryview, most: int = MAX_RECORD) -> bytes:
+    """A frame's content, whether or not its header tells the size (streaming writers leave it out)."""
+    out, size = [], 0
+    for part in decoder.read_to_iter(bytes(frame)):
+        size += len(part)
+        if size > most:
+            raise ValueError(f"a record of more than {most} bytes")
+        out.append(part)
+    return b"".join(out)
+
+
 def read_archive(content: bytes) -> Iterator[dict]:
     """Records of one archive; ``problem`` is set for what does not hold."""
     data = memoryview(content)
     decoder, at, first = zstandard.ZstdDecompressor(), 0, True
-    none = dict.fromkeys(("page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload", "url"))
+    none = dict.fromkeys(RECORD_FIELDS)
     while at < len(data):
         try:
             if at + 8 > len(data):
@@ -191,7 +258,7 @@ def read_archive(content: bytes) -> Iterator[dict]:
             yield none | {"problem": str(e)}
             return
         try:
-            record = parse_record(decoder.decompress(data[at:end])) | {"problem": None}
+            record = parse_record(decoded(decoder, data[at:end])) | {"problem": None}
         except (ValueError, zstandard.ZstdError) as e:
             record = none | {"problem": str(e)}
         at, first = end, False
@@ -224,11 +291,10 @@ def plan_records(spark: SparkSession, pages: DataFrame, min_revisit: int = 100)
 def write_archives(spark: SparkSession, pages: DataFrame, path: str, min_revisit: int = 100,
                    archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write one record per row of ``pages`` into ``.warc.zst`` content under ``path``."""
-    small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records, size = [], 0
-        for b in batches:
+        for b in pieces(batches):
             for page_id, url, html, digest, first in zip(*(c.to_pylist() for c in b.columns)):
                 revisit = first is not None and page_id != first
                 records.append(build_record(page_id, url, (html or "").encode(), digest, first, revisit))
@@ -246,14 +312,12 @@ def write_archives(spark: SparkSession, pages: DataFrame, path: str, min_revisit
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """All records of the archives under ``path``: fields, payload and ``problem``."""
-    small_batches(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")   # one archive at a time
 
-    names = ["page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload", "url", "problem"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.string()]
+    names = [*RECORD_FIELDS, "problem"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), *[pa.string()] * 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):        # one archive at a time
             for content in b.column(0):
                 chunk = []
                 for record in read_archive(content.as_py()):
@@ -269,7 +333,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(run, "page_id long, record_type string, payload_bytes long, payload_digest string, "
-                                 "refers_to long, payload binary, url string, problem string")
+                                 "refers_to long, payload binary, url string, record_id string, date string, problem string")
 
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:

@@ -95,3 +95,11 @@ def test_query_on_repeated_rows_returns_k(spark):
     got = A.search(spark, df, F.col("vec_id") % 20 == 0).collect()
     want = brute(np.arange(40), x.astype(float), [0, 20], 10)
     assert {(r.query_id, r.rank, r.vec_id) for r in got} == {(q, n, v) for q, w in want.items() for n, (v, _) in enumerate(w, 1)}
+
+
+def test_scores_of_double_vectors_are_exact(spark):
+    import math
+    rows = [(0, [0.1, 0.2, 1 / 3]), (1, [0.3, 2 / 3, 0.7]), (100, [1e-9, 1.0, 1 / 7])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in A.search(spark, df, F.col("vec_id") == 0, k=2).collect()}
+    assert got == {(0, i): math.sqrt(sum((a - b) ** 2 for a, b in zip(rows[0][1], v))) for i, v in rows[1:]}

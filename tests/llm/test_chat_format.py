@@ -74,3 +74,22 @@ def test_query_equals_its_sql(spark):
     cols = sorted(got.columns)
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE['op9_prefix_target_chat']})").fetchall()
     assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(want)
+
+
+def test_digests_come_from_the_exploded_examples(spark):
+    import contextlib
+    import io
+    turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a<|b"), (1, 2, "assistant", "é&"), (2, 0, "user", "alone")],
+                                  "conv_id long, turn int, role string, text string")
+    formatted = C.format_conversations(turns)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        C.conversation_digests(formatted).explain("formatted")
+    text = buf.getvalue()
+    assert "Generate" in text and "Python" not in text and text.split("\n\n(1)")[0].count("Exchange") <= 2
+    got = {r.conv_id: r for r in C.conversation_digests(formatted).collect()}
+    ex = C.explode_examples(formatted).collect()
+    assert got[1].formatted_chars == sum(r.prefix_chars for r in ex) and got[1].loss_chars == len("a<|bé&")
+    assert got[2].formatted_chars == 0 and got[2].loss_chars == 0 and got[2].n_turns == 1
+    carried = C.explode_examples(formatted, outer=True).filter("conv_id = 2").collect()
+    assert len(carried) == 1 and carried[0].example is None

@@ -109,3 +109,22 @@ def test_query_equals_its_sql(spark):
     cols = sorted(got.columns)
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE['op8_hierarchical_mixture']})").fetchall()
     assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("weights", [{("web",): 0.0}, {("*", "en"): 0.0}, {("*", "*", "a"): 0.0, ("web", "en", "b"): 0.0}])
+def test_weight_zero_leaves_a_node_out_and_its_share_to_its_siblings(spark, weights):
+    rows, i = [], 0
+    for domain in ("web", "books"):
+        for lang in ("en", "de"):
+            for source in ("a", "b"):
+                for k in range(12):
+                    rows.append((i, domain, lang, source, "w " * (10 + k), "", 0))
+                    i += 1
+    df = spark.createDataFrame(rows, "doc_id long, domain string, lang string, source string, text string, bucket string, rest long")
+    gone = {(d, x, s) for d in ("web", "books") for x in ("en", "de") for s in ("a", "b")
+            if 0.0 in (weights.get((d,)), weights.get(("*", x)), weights.get(("*", "*", s)), weights.get((d, x, s)))}
+    left = [r for r in rows if r[1:4] not in gone]
+    got = sorted((r.doc_id, r["__epoch"]) for r in M.mix(spark, df, F.col("domain"), F.lit(300), weights, 1).collect())
+    clean = [(r[0], r[1], r[2], r[3], len(WORD.findall(r[4]))) for r in left]
+    assert got == brute(clean, 300, {k: v for k, v in weights.items() if v}, 1) and got
+    assert M.mix(spark, df, F.col("domain"), F.lit(300), {("web",): 0.0, ("books",): 0.0}, 1).count() == 0

@@ -98,3 +98,19 @@ def test_random_strings_behind_paths_and_names():
     for s in ("api/v2/users/123e4567-e89b-12d3-a456-426614174000/profile", "usr/lib/x86_64-linux-gnu/some/library",
               "my_long_function_name_for_parsing/and/a_second_long_name", "backup-of-production-2024-01-02-final"):
         assert S.all_spans(s, ENCODE)[1] == [], s
+
+
+def test_random_strings_of_one_class_and_rests_beside_fixed_patterns_are_found():
+    rnd = random.Random(8)
+    encode = ENCODE
+    for letters, least in ((string.ascii_lowercase, 0.5), (string.ascii_uppercase, 0.8)):
+        texts = ["see " + "".join(rnd.choice(letters) for _ in range(32)) + " there" for _ in range(200)]
+        assert sum(bool(S.all_spans(t, encode)[1]) for t in texts) >= least * len(texts)
+    key = "AKIA" + "ABCD1234EFGH5678"
+    found = 0
+    for _ in range(50):
+        rest = "".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(40))
+        base, spans = S.all_spans(f"x {key}-{rest} y", encode)
+        assert (2, 1, 22) in base and (2, 1, 22) in spans
+        found += any(a >= 22 and b >= 60 for a, k, b in spans if k == 3)
+    assert found >= 48

@@ -83,3 +83,65 @@ def test_archives_are_cut_by_size_and_read_whole(spark, tmp_path):
     got = {r.page_id: (r.url, r.payload) for r in W.read_archives(spark, str(tmp_path / "a")).collect()}
     want = {i: h.encode() for i, h in duckdb.sql(f"SELECT page_id, html FROM '{SF_SMALL}/pages.parquet'").fetchall()}
     assert {k: bytes(v[1]) for k, v in got.items()} == want
+
+
+def foreign(kind, block, *fields, version=b"WARC/1.0"):
+    head = [b"WARC-Type: " + kind, b"WARC-Record-ID: <urn:uuid:1>", b"WARC-Date: 2020-02-02T00:00:00Z", *fields, b"Content-Length: %d" % len(block)]
+    return version + b"\r\n" + b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def streamed(records):
+    """Frames as streaming writers make them: without a content size, and here without checksums."""
+    out = b""
+    for r in records:
+        c = zstandard.ZstdCompressor(write_content_size=False).compressobj()
+        out += c.compress(r) + c.flush()
+    return out
+
+
+def test_archives_of_other_writers_are_read(spark, tmp_path):
+    import base64
+    page = b"<html>hello</html>"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page
+    kind = b"Content-Type: application/http; msgtype=response"
+    sha1 = base64.b32encode(hashlib.sha1(page).digest())
+    block1 = base64.b32encode(hashlib.sha1(http).digest())
+    records_ = [
+        foreign(b"warcinfo", b"software: other\r\nformat: WARC", b"Content-Type: application/warc-fields"),
+        foreign(b"request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", b"Content-Type: application/http; msgtype=request"),
+        foreign(b"response", http, kind, b"WARC-Payload-Digest: sha1:" + sha1, b"WARC-Block-Digest: sha1:" + block1, b"WARC-Target-URI: http://x/",
+                b"WARC-Concurrent-To: <urn:a>", b"WARC-Concurrent-To: <urn:b>", b"X-Long: one", b" two"),
+        foreign(b"response", http, kind, b"WARC-Payload-Digest: md5:" + hashlib.md5(page).hexdigest().encode(), version=b"WARC/1.1"),
+        foreign(b"response", http, kind, b"WARC-Payload-Digest: blake9:xyz"),
+        foreign(b"response", http, kind),
+        foreign(b"resource", page, b"Content-Type: text/html"),
+        foreign(b"metadata", b"fetchTimeMs: 12", b"Content-Type: application/warc-fields"),
+        foreign(b"conversion", b"hello", b"Content-Type: text/plain"),
+        foreign(b"revisit", http[:-len(page)], kind, b"WARC-Payload-Digest: sha1:" + sha1, b"WARC-Refers-To-Target-URI: http://x/"),
+        foreign(b"response", http[:-5], kind, b"WARC-Payload-Digest: sha1:" + sha1, b"WARC-Truncated: length"),
+        # and what does not hold
+        foreign(b"response", http, kind, b"WARC-Payload-Digest: sha1:" + sha1[::-1]),
+        foreign(b"response", http, kind, b"WARC-Block-Digest: sha256:00"),
+        foreign(b"response", page, kind),
+        foreign(b"revisit", http, kind, b"WARC-Payload-Digest: sha1:" + sha1, b"WARC-Refers-To: <urn:a>"),
+        foreign(b"revisit", b"", kind, b"WARC-Payload-Digest: sha1:" + sha1),
+        foreign(b"response", http, kind, b"WARC-Target-URI: a", b"WARC-Target-URI: b"),
+    ]
+    for data in (streamed(records_), W.build_archive(records_)):
+        got = list(W.read_archive(data))
+        assert [r["problem"] is None for r in got] == [True] * 11 + [False] * 6
+        assert [r["record_type"] for r in got[:11]] == ["warcinfo", "request"] + ["response"] * 4 + ["resource", "metadata", "conversion", "revisit", "response"]
+        assert {r["payload_digest"] for r in got[2:7]} == {hashlib.sha256(page).hexdigest()} and {r["payload"] for r in got[2:7]} == {page}
+        assert got[9]["payload"] is None and got[9]["payload_digest"] == "sha1:" + sha1.decode() and got[9]["payload_bytes"] is None
+        assert got[0]["page_id"] is None and got[2]["url"] == "http://x/" and got[1]["payload"] == b""
+    (tmp_path / "a.warc.zst").write_bytes(streamed(records_))
+    rows = W.read_archives(spark, str(tmp_path)).collect()
+    assert len(rows) == 17 and sum(r.problem is None for r in rows) == 11
+
+
+def test_a_record_beyond_the_bound_is_reported():
+    import zstandard as z
+    frame = streamed([b"x" * 3_000_000])
+    with pytest.raises(ValueError):
+        W.decoded(z.ZstdDecompressor(), memoryview(frame), 1_000_000)
+    assert len(W.decoded(z.ZstdDecompressor(), memoryview(frame), 3_000_000)) == 3_000_000
