@@ -86,7 +86,7 @@ def test_digests_come_from_the_exploded_examples(spark):
     with contextlib.redirect_stdout(buf):
         C.conversation_digests(formatted).explain("formatted")
     text = buf.getvalue()
-    assert "Generate" in text and "Python" not in text and text.split("\n\n(1)")[0].count("Exchange") <= 2
+    assert "Generate" in text and "EvalPython" not in text and "InPandas" not in text and "InArrow" not in text and text.split("\n\n(1)")[0].count("Exchange") <= 2
     got = {r.conv_id: r for r in C.conversation_digests(formatted).collect()}
     ex = C.explode_examples(formatted).collect()
     assert got[1].formatted_chars == sum(r.prefix_chars for r in ex) and got[1].loss_chars == len("a<|bé&")
