@@ -339,7 +339,7 @@ st AS (
 _Z = f"CASE WHEN st.n >= 2 AND st.std > 0 THEN (x.amount - st.mean) / st.std ELSE 0.0{D} END"
 
 # the documented rules, with the velocity of the days before
-sql("stream_stateful_rules", w(TX, WIRE, STREAM_BRONZE, SILVER, HISTORY) + DAILY_STATS + f"""
+_STATEFUL = (w(TX, WIRE, STREAM_BRONZE, SILVER, HISTORY) + DAILY_STATS + f"""
 , z AS (
   SELECT x.* EXCLUDE (user_30d_n, user_30d_mean, user_30d_std, amount_zscore, score_amount_velocity, anomaly_score, risk_level,
                       triggered_rules),
@@ -352,6 +352,8 @@ SELECT transaction_id, tx_count_10min, countries_60min_multi, user_30d_n, round(
        round(score_tx_frequency, 2) AS score_tx_frequency, score_off_hours, score_cross_border, score_high_risk_mcc,
        anomaly_score, {LEVEL} AS risk_level, {TRIGGERS.format(freq_fired='tx_count_10min > 5')} AS triggered_rules
 FROM c""")
+sql("stream_stateful_rules", _STATEFUL)
+sql("stream_warm_start", _STATEFUL + f" WHERE event_timestamp >= TIMESTAMP '{CUT_TS}'")
 
 sql("stream_user_stats", w(TX, WIRE, STREAM_BRONZE, SILVER) + DAILY_STATS + f"""
 , z AS (

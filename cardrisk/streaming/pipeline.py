@@ -249,9 +249,20 @@ def minute_summary_stream(scored: DataFrame, cfg: ScoringConfig = DEFAULT) -> Da
 
 def sliding_stream(silver: DataFrame, length: str = "10 minutes", slide: str = "1 minute") -> DataFrame:
     """ST3: per (card, sliding window, country) partials in append mode; the
-    fold to one row per (card, window) is ``fold_sliding`` on read-back."""
-    out = (silver.groupBy("card_id", F.window(ET, length, slide).alias("window"), "country")
-                 .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"), F.max("amount").alias("m")))
+    fold to one row per (card, window) is ``fold_sliding`` on read-back.
+
+    Two window aggregates follow each other. The first combines rows into cells
+    of one slide, one state row per (card, cell, country); a cell that the
+    watermark has closed goes on, at its ``window_time``, to the windows that
+    cover it. So a row is one update of state instead of length / slide, and
+    only closed cells are copied. A window closes in the batch in which its last
+    cell does, as in one step."""
+    aggregates = [("n", F.sum), ("s", F.sum), ("m", F.max)]
+    cells = (silver.groupBy("card_id", F.window(ET, slide).alias("cell"), "country")
+                   .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"), F.max("amount").alias("m")))
+    cells = cells.select("card_id", "country", "n", "s", "m", F.window_time("cell").alias(ET))
+    out = (cells.groupBy("card_id", F.window(ET, length, slide).alias("window"), "country")
+                .agg(*[f(c).alias(c) for c, f in aggregates]))
     return (out.withColumn("window_start", F.col("window.start").cast("timestamp_ntz"))
                .withColumn("window_end", F.col("window.end").cast("timestamp_ntz")).drop("window"))
 

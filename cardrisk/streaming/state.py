@@ -12,6 +12,9 @@
   ``user_stats`` computes them in batch (A4/J2). Days are kept as long as a
   late row can still refer to them.
 
+A query that starts over, or on a stream that began long ago, is given its state
+(``card_state``, ``user_state``): daily partials and the last 70 minutes of silver.
+
 A row is scored on the rows that arrived before it or with it: on in-order
 input the outputs equal the batch plans, and a late row is scored as in batch
 on all that has arrived by then.
@@ -30,7 +33,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -75,6 +78,26 @@ class CardHistory(StatefulProcessor):
         # minute -> its rows as (time in the minute, country) packed in order
         self.minutes = handle.getMapState("minutes", "minute long", "t array<long>, country array<string>")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Rows (t, country) of the card that the frames of the first batches may reach back to."""
+        cells: dict[int, list] = {}
+        for t, c in zip(initialState["t"].tolist(), initialState["country"].tolist()):
+            cell = cells.setdefault(int(t) // MICROS_PER_MINUTE, [[], []])
+            cell[0].append(int(t))
+            cell[1].append(c if isinstance(c, str) else None)
+        for m, (times, countries) in cells.items():
+            if self.minutes.containsKey((m,)):          # a key's rows may come in several frames
+                held = self.minutes.getValue((m,))
+                times, countries = list(held[0]) + times, list(held[1]) + countries
+            self.minutes.updateValue((m,), (times, countries))
+        newest = max(int(initialState["t"].max()), max((int(k[0]) for k in self.minutes.keys()), default=0) * MICROS_PER_MINUTE)
+        self._expire_after(newest)
+
+    def _expire_after(self, newest: int) -> None:
+        for ts in list(self.handle.listTimers()):
+            self.handle.deleteTimer(ts)
+        self.handle.registerTimer(_ms(newest + self.border_us + self.late_us) + 1)
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "transaction_id"], kind="stable")
         t_new = new["t"].to_numpy(dtype=np.int64)
@@ -117,9 +140,7 @@ class CardHistory(StatefulProcessor):
         for m in stored:
             if m < keep:
                 self.minutes.removeKey((m,))
-        for ts in list(self.handle.listTimers()):
-            self.handle.deleteTimer(ts)
-        self.handle.registerTimer(_ms(newest + self.border_us + self.late_us) + 1)
+        self._expire_after(newest)
         yield pd.DataFrame({"transaction_id": new["transaction_id"].to_numpy(),
                             "tx_count_10min": count.astype("int64"),
                             "countries_60min_multi": multi})
@@ -147,6 +168,23 @@ class UserHistory(StatefulProcessor):
         # whole cents: exact, whatever the order; squares as decimal digits, as they outgrow a long
         self.daily = handle.getMapState("daily", "day int", "n long, s long, ss string")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Rows (day, n, s, ss) of the user's stored partials, or (category, first_t) of high-risk use so far."""
+        newest = None
+        for day, n, total, squares, category, first in zip(*(initialState[c].tolist() for c in ("day", "n", "s", "ss", "category", "first_t"))):
+            if isinstance(category, str):
+                self.seen.updateValue((category,), (int(first),))
+            else:
+                self.daily.updateValue((int(day),), (int(n), int(total), str(squares)))
+                newest = int(day) if newest is None else max(newest, int(day))
+        if newest is not None:
+            self._expire_after(max(newest, max(int(k[0]) for k in self.daily.keys())))
+
+    def _expire_after(self, newest_day: int) -> None:
+        for ts in list(self.handle.listTimers()):
+            self.handle.deleteTimer(ts)
+        self.handle.registerTimer(_ms((newest_day + self.days + self.late_days + 1) * MICROS_PER_DAY))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "transaction_id"], kind="stable")
         new = new.reset_index(drop=True)
@@ -187,9 +225,7 @@ class UserHistory(StatefulProcessor):
         for k in stored:
             if k < keep:
                 self.daily.removeKey((k,))
-        for ts in list(self.handle.listTimers()):
-            self.handle.deleteTimer(ts)
-        self.handle.registerTimer(_ms((newest_day + self.days + self.late_days + 1) * MICROS_PER_DAY))
+        self._expire_after(newest_day)
         yield pd.DataFrame({"transaction_id": new["transaction_id"].to_numpy(), "user_30d_n": n_out,
                             "user_30d_mean": mean_out, "user_30d_std": std_out, "is_first_high_risk": first,
                             "amount": new["amount"].to_numpy(dtype=float), "is_off_hours": new["is_off_hours"].to_numpy(dtype=bool)})
@@ -209,20 +245,44 @@ def ensure_rocksdb(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def card_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
+def card_state(history: DataFrame, cut: Column, cfg: ScoringConfig = DEFAULT) -> DataFrame:
+    """What ``card_history`` starts from: the rows of silver before ``cut`` that a frame of a row from then on,
+    or of one that is as late as the watermark allows, reaches back to (70 minutes, narrow)."""
+    since = epoch_micros(cut) - F.lit(cfg.cross_border_window_minutes * MICROS_PER_MINUTE + watermark_us(cfg))
+    t = epoch_micros("event_timestamp")
+    return history.filter((t >= since) & (t < epoch_micros(cut))).select("card_id", t.alias("t"), "country")
+
+
+def user_state(partials: DataFrame, history: DataFrame, cut: Column, cfg: ScoringConfig = DEFAULT) -> DataFrame:
+    """What ``user_history`` starts from: the stored daily partials (A4) of the days that rows from ``cut`` on
+    look back on, and when each high-risk category was first used; one row per user and day or category."""
+    first_day = F.date_sub(cut.cast("date"), cfg.history_days + -(-watermark_us(cfg) // MICROS_PER_DAY))
+    days = partials.filter(F.col("tx_date") >= first_day).select(
+        "user_id", F.unix_date("tx_date").alias("day"), "n", F.coalesce("s", F.lit(0)).cast("long").alias("s"),
+        F.coalesce("ss", F.lit(0)).cast("string").alias("ss"))
+    used = (history.filter((epoch_micros("event_timestamp") < epoch_micros(cut)) & F.col("merchant_category").isin(*cfg.high_risk_categories))
+                   .groupBy("user_id", F.col("merchant_category").alias("category"))
+                   .agg(F.min(epoch_micros("event_timestamp")).alias("first_t")))
+    return days.unionByName(used, allowMissingColumns=True)
+
+
+def card_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT, start: DataFrame | None = None) -> DataFrame:
+    """R2h and R4h facts online; ``start`` (see ``card_state``) makes a new query go on from stored history."""
     rows = silver.select("card_id", "transaction_id", "country", "event_time_ltz",
                          epoch_micros("event_timestamp").alias("t"))
     return rows.groupBy("card_id").transformWithStateInPandas(
         CardHistory(cfg.freq_window_minutes * MICROS_PER_MINUTE, cfg.cross_border_window_minutes * MICROS_PER_MINUTE,
                     watermark_us(cfg)),
-        CARD_OUT, "append", "EventTime")
+        CARD_OUT, "append", "EventTime", initialState=None if start is None else start.groupBy("card_id"))
 
 
-def user_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
+def user_history(silver: DataFrame, cfg: ScoringConfig = DEFAULT, start: DataFrame | None = None) -> DataFrame:
+    """R5h facts and 30-day statistics online; ``start`` as for ``card_history`` (see ``user_state``)."""
     rows = silver.select("user_id", "transaction_id", "merchant_category", "amount", "is_off_hours", "event_time_ltz",
                          epoch_micros("event_timestamp").alias("t"))
     return rows.groupBy("user_id").transformWithStateInPandas(
-        UserHistory(cfg.history_days, tuple(cfg.high_risk_categories), watermark_us(cfg)), USER_OUT, "append", "EventTime")
+        UserHistory(cfg.history_days, tuple(cfg.high_risk_categories), watermark_us(cfg)), USER_OUT, "append", "EventTime",
+        initialState=None if start is None else start.groupBy("user_id"))
 
 
 def history_scores(card: DataFrame, user: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
