@@ -622,7 +622,8 @@ def stream_user_stats(spark, sf_dir):
     base, raw, ckpt, out = _stream_dirs(spark, "stream-user-stats")
     files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICE_DAYS, order=staging.event_order())
     sinks = P.Sinks(out)
-    P.start_scoring(_silver_from(spark, raw, max_files=files), sinks, f"{ckpt}/score", user_stats=True).awaitTermination()
+    P.start_scoring(_silver_from(spark, raw, max_files=files), sinks, f"{ckpt}/score", user_stats=True,
+                    fold_every=2).awaitTermination()
     return spark.read.parquet(sinks.path("scored")).select(
         "transaction_id", "user_30d_n", r4("user_30d_std"), r4("amount_zscore"), r2("score_amount_velocity"))
 

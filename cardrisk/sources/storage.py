@@ -26,6 +26,7 @@ Paths live under the cluster's shared folder (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,8 +151,7 @@ def merge_version(spark: SparkSession, incoming: DataFrame, base: str, key: str
         write_layer(merged, f"{base}/v{nv:06d}", mode="errorifexists", fmt=fmt)
     else:
         _write_manifest(spark, _merge_dates(spark, incoming, base, key, listed, nv, fmt), f"{base}/{MANIFESTS}/v{nv:06d}")
-    spark.range(1).select(F.lit(nv).alias("version"), F.localtimestamp().alias("committed_at")) \
-        .write.mode("append").parquet(f"{base}/{LOG}")
+    _commit(spark, base, nv)
     return nv
 
 
@@ -167,16 +167,51 @@ def _merge_dates(spark: SparkSession, incoming: DataFrame, base: str, key: str,
         old = [x for x in listed if x[0] in touched]
         if old:
             merged = upsert(_read_pieces(spark, base, old, fmt), incoming, key)
+    return _write_dates(spark, merged, base, listed, touched, version, fmt)
+
+
+def _write_dates(spark: SparkSession, rows: DataFrame, base: str, listed: list[tuple[str, str]], dates: set[str],
+                 version: int, fmt: str) -> list[tuple[str, str]]:
+    """Write ``rows``, all of ``dates``, as folders of their own; the list in which they stand for these dates."""
     piece = f"{version:06d}-{uuid.uuid4().hex[:8]}"
-    (merged.withColumn(PIECE, F.lit(piece)).hint("rebalance", DATE)
-           .write.format(fmt).mode("append").partitionBy(DATE, PIECE).save(f"{base}/{DATA}"))
-    written = [(d, piece) for d in sorted(touched) if exists(spark, f"{base}/{DATA}/{DATE}={d}/{PIECE}={piece}")]
-    return [x for x in listed if x[0] not in touched] + written
+    (rows.withColumn(PIECE, F.lit(piece)).hint("rebalance", DATE)
+         .write.format(fmt).mode("append").partitionBy(DATE, PIECE).save(f"{base}/{DATA}"))
+    written = [(d, piece) for d in sorted(dates) if exists(spark, f"{base}/{DATA}/{DATE}={d}/{PIECE}={piece}")]
+    return [x for x in listed if x[0] not in dates] + written
+
+
+def read_dates(spark: SparkSession, base: str, dates: Callable[[str], bool], fmt: str = "parquet") -> DataFrame | None:
+    """The current version's rows of the dates (ISO text) that are asked for; only their folders are listed or
+    read. None if there are none."""
+    v = current_version(spark, base)
+    listed = [] if v is None else [x for x in manifest(spark, base, v) if dates(x[0])]
+    return _read_pieces(spark, base, listed, fmt) if listed else None
+
+
+def fold_version(spark: SparkSession, rows: DataFrame, base: str, version: int, fold: Callable[[DataFrame], DataFrame],
+                 fmt: str = "parquet") -> None:
+    """Commit ``version``: the current one with ``rows`` folded into their dates (``fold`` of both), the other dates
+    as they are. The caller's number says what has been folded, so a fold that died is simply done again."""
+    v = current_version(spark, base)
+    rows = materialize(spark, rows, "fold")
+    dates = _dates(rows)
+    listed = [] if v is None else manifest(spark, base, v)
+    old = [x for x in listed if x[0] in dates]
+    if old:
+        rows = rows.unionByName(_read_pieces(spark, base, old, fmt).select(*rows.columns))
+    listed = _write_dates(spark, fold(rows), base, listed, dates, version, fmt) if dates else listed
+    _write_manifest(spark, listed, f"{base}/{MANIFESTS}/v{version:06d}", mode="overwrite")
+    _commit(spark, base, version)
+
+
+def _commit(spark: SparkSession, base: str, version: int) -> None:
+    spark.range(1).select(F.lit(version).alias("version"), F.localtimestamp().alias("committed_at")) \
+        .write.mode("append").parquet(f"{base}/{LOG}")
 
 
-def _write_manifest(spark: SparkSession, listed: list[tuple[str, str]], path: str) -> None:
+def _write_manifest(spark: SparkSession, listed: list[tuple[str, str]], path: str, mode: str = "errorifexists") -> None:
     """One row per date, as one small file."""
-    spark.createDataFrame(listed, f"{DATE} string, {PIECE} string").coalesce(1).write.mode("errorifexists").json(path)
+    spark.createDataFrame(listed, f"{DATE} string, {PIECE} string").coalesce(1).write.mode(mode).json(path)
 
 
 def expire_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:

@@ -17,6 +17,7 @@ The same column functions as the batch plans are used throughout.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from ..operators import reports as RP
 from ..operators import score as S
 from ..operators import silver as SV
 from ..session import hadoop_path
+from ..sources import storage
 from ..sources.schema import RAW_SCHEMA
 
 ET = "event_time_ltz"   # zoned copy of the event time: what withWatermark needs
@@ -174,16 +176,57 @@ def publish(records: DataFrame, sinks: Sinks, batch_id: int) -> None:
         mark_published(spark, sinks, batch_id)
 
 
-def stored_user_stats(spark: SparkSession, path: str, batch_id: int, cfg: ScoringConfig) -> DataFrame:
-    """A4 from the stored table: daily partials of all batches up to this one,
-    merged per (user, day), with the statistics of the days before each."""
-    parts = spark.read.parquet(path).filter(F.col("batch_id") <= batch_id)
-    merged = parts.groupBy("user_id", "tx_date").agg(*[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in ("n", "s", "ss")])
-    return FT.user_stats(None, cfg, partials=merged)
+FOLD_EVERY = 8      # micro-batches whose partials wait to be folded into the day table, at most
+
+
+def merged_partials(parts: DataFrame) -> DataFrame:
+    """One partial per (user, day) of partials of the same."""
+    return parts.groupBy("user_id", "tx_date").agg(*[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in ("n", "s", "ss")])
+
+
+def _batches(spark: SparkSession, path: str, first: int, last: int) -> DataFrame | None:
+    """The partitions of a range of batches (by name, no listing of the others); None if none wrote rows."""
+    fs, _ = hadoop_path(spark, path)
+    folders = [f for n in range(first, last + 1) if fs.exists(hadoop_path(spark, f := f"{path}/batch_id={n}")[1])]
+    return spark.read.option("basePath", path).parquet(*folders).drop("batch_id") if folders else None
+
+
+def fold_user_partials(spark: SparkSession, sinks: Sinks, batch_id: int, every: int = FOLD_EVERY) -> None:
+    """Fold the partials of the batches before this one into the day table, ``every`` batches at a time.
+
+    The day table's version is the number of batches it holds, so a fold that
+    was cut short, or a batch that is replayed, counts nothing twice: a batch is
+    folded by a later one only, when it can no longer be replayed. Only the
+    dates of the folded batches are written."""
+    base, path = sinks.path("user_days"), sinks.path("user_partials")
+    done = storage.current_version(spark, base) or 0
+    if batch_id - done < every:
+        return
+    waiting = _batches(spark, path, done, batch_id - 1)
+    if waiting is not None:
+        storage.fold_version(spark, merged_partials(waiting), base, batch_id, merged_partials)
+
+
+def user_partials(spark: SparkSession, sinks: Sinks, batch_id: int, first: dt.date, last: dt.date) -> DataFrame:
+    """A4's daily partials of the days from ``first`` to ``last``, of all batches up to this one: those days of
+    the day table and the few batches that it does not hold yet, however long the stream has run."""
+    base = sinks.path("user_days")
+    done = storage.current_version(spark, base) or 0
+    days = storage.read_dates(spark, base, lambda d: first.isoformat() <= d <= last.isoformat())
+    recent = _batches(spark, sinks.path("user_partials"), done, batch_id)
+    parts = [p for p in (days, recent) if p is not None]
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1].select(*parts[0].columns))
+    return merged_partials(out.filter(F.col("tx_date").between(F.lit(first), F.lit(last))))
+
+
+def stored_user_stats(spark: SparkSession, sinks: Sinks, batch_id: int, rows: DataFrame, cfg: ScoringConfig) -> DataFrame:
+    """A4 from the stored partials: the statistics of the days before each day of ``rows``."""
+    first, last = rows.agg(F.min("tx_date"), F.max("tx_date")).first()
+    return FT.user_stats(None, cfg, partials=user_partials(spark, sinks, batch_id, first - dt.timedelta(days=cfg.history_days), last))
 
 
 def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=None, card_scope=None,
-                      user_stats: bool = False):
+                      user_stats: bool = False, fold_every: int = FOLD_EVERY):
     """The ``foreachBatch`` function: write silver, score it, write every output.
 
     Each step reads the rows the previous step wrote. The micro-batch (and
@@ -197,7 +240,8 @@ def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=Non
 
     With ``user_stats`` the velocity rule reads the stored user statistics
     (A4, J2) instead of the batch's own: the batch's daily partials are stored
-    under its id first, then the statistics of the rows' days are joined.
+    under its id first, then the statistics of the rows' days are joined. Partials
+    of older batches are in a table by day, of which a batch reads the days it needs.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -208,8 +252,9 @@ def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=Non
             return
         silver = silver.drop("batch_id")
         if user_stats:
+            fold_user_partials(spark, sinks, batch_id, fold_every)
             write_batch(FT.user_daily_partials(silver), sinks.path("user_partials"), batch_id)
-            stats = stored_user_stats(spark, sinks.path("user_partials"), batch_id, cfg)
+            stats = stored_user_stats(spark, sinks, batch_id, silver, cfg)
             scored = S.score_with_stats(silver, stats, cfg, card_scope)
         else:
             scored = S.score_as_coded(silver, cfg, user_scope, card_scope)

@@ -3,6 +3,7 @@ idempotent fan-out."""
 
 import datetime as dt
 import json
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -31,7 +32,7 @@ def write_batch(spark, path, rows):
 
 
 @pytest.mark.parametrize("key", ["stream_dedup", "stream_restart", "stream_scored_fanout", "stream_sliding",
-                                 "stream_minute_summary", "stream_stateful_rules", "stream_user_stats", "stream_alerts"])
+                                 "stream_minute_summary", "stream_stateful_rules", "stream_warm_start", "stream_user_stats", "stream_alerts"])
 def test_stream_keys_match_duckdb(spark, key):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[key](spark, SF_SMALL)
@@ -230,6 +231,38 @@ def test_a_replayed_scoring_batch_alerts_once(spark):
     assert sorted(ids()) == sorted(first) and len(set(first)) == len(first) > 0
 
 
+def test_user_partials_fold_into_days_and_a_late_batch_reads_no_more(spark, monkeypatch):
+    """40 batches of like days: what a batch reads does not grow, every row counts once, replays and cut-short folds too."""
+    from cardrisk.sources import storage
+    sinks = P.Sinks(scratch_path(spark, "partials"))
+    day0 = dt.date(2024, 1, 1)
+    rows = lambda n: [(u, day0 + dt.timedelta(days=n // 2 - b), n + 1, 10 * n + b, n * n) for u in ("u", "v") for b in (0, 1)]
+    schema = "user_id string, tx_date date, n long, s long, ss decimal(38,0)"
+    read, want = {}, {}
+    for n in range(40):
+        if n == 16:            # a fold that died before its commit
+            with monkeypatch.context() as m:
+                m.setattr(storage, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+                with pytest.raises(RuntimeError):
+                    P.fold_user_partials(spark, sinks, n, 4)
+        for _ in range(2 if n % 13 == 5 else 1):                       # some batches are delivered twice
+            P.fold_user_partials(spark, sinks, n, 4)
+            P.write_batch(spark.createDataFrame([(u, d, a, b, Decimal(c)) for u, d, a, b, c in rows(n)], schema).coalesce(1), sinks.path("user_partials"), n)
+        for u, d, a, b, c in rows(n):
+            x = want.setdefault((u, d), [0, 0, 0])
+            want[u, d] = [x[0] + a, x[1] + b, x[2] + c]
+        if n in (11, 39):
+            last = day0 + dt.timedelta(days=n // 2)
+            got = P.user_partials(spark, sinks, n, last - dt.timedelta(days=4), last)
+            read[n] = len(got.inputFiles())
+            assert {(r.user_id, r.tx_date): [r.n, r.s, int(r.ss)] for r in got.collect()} == \
+                {k: v for k, v in want.items() if last - dt.timedelta(days=4) <= k[1] <= last}
+    assert read[39] <= read[11]
+    whole = P.user_partials(spark, sinks, 39, day0 - dt.timedelta(days=9), day0 + dt.timedelta(days=99)).collect()
+    assert {(r.user_id, r.tx_date): [r.n, r.s, int(r.ss)] for r in whole} == want
+    assert storage.current_version(spark, sinks.path("user_days")) == 36
+
+
 def test_no_alert_writes_nothing(spark):
     sinks = P.Sinks("unused", "json", {"path": scratch_path(spark, "no-alerts")})
     P.publish(spark.createDataFrame([], "key string, value string"), sinks, 0)
