@@ -4,13 +4,16 @@ The declared column tests of the three layers, as Spark jobs: all
 not-null / accepted-values / range checks of a layer fold into one
 aggregate pass (one scan, partial aggregation); each uniqueness check is one
 grouped count. The report has one row per check.
+
+A layer that is written whole is checked as it is written (``Observed``): the
+pass over its rows is the write, and only uniqueness scans it again.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import ACCEPTED_CURRENCIES, AMOUNT_BUCKET_TOP, AMOUNT_BUCKETS, RISK_LABEL_ANOMALY, \
@@ -94,6 +97,30 @@ def check_layer(df: DataFrame, layer: str, checks: list[Check]) -> DataFrame:
                       (F.col("violations") == 0).alias("passed"))
 
 
+class Observed:
+    """The scalar checks of a layer, counted on the rows that a write puts there.
+
+    ``attach`` goes on the plan right before the write, above every shuffle, so the
+    counts come from the tasks that write: one that is run again counts once.
+    """
+
+    def __init__(self, layer: str, checks: list[Check]):
+        self.layer, self.checks = layer, checks
+        self.scalar = [c for c in checks if c.test != "unique"]
+        self.counts = Observation()
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.counts, *[F.count_if(c.violation()).alias(f"c{i}") for i, c in enumerate(self.scalar)])
+
+    def report(self, written: DataFrame) -> DataFrame:
+        """The rows of ``check_layer``, the scalar ones from the finished write."""
+        spark, got = written.sparkSession, self.counts.get
+        rows = [(self.layer, c.column, c.test, int(got[f"c{i}"]), got[f"c{i}"] == 0) for i, c in enumerate(self.scalar)]
+        out = spark.createDataFrame(rows, "layer string, column_name string, test string, violations bigint, passed boolean")
+        unique = [c for c in self.checks if c.test == "unique"]
+        return out.unionByName(check_layer(written, self.layer, unique)) if unique else out
+
+
 def quality_report(layers: dict[str, DataFrame], bounds: QualityBounds = QualityBounds()) -> DataFrame:
     checks = layer_checks(bounds)
     out = None

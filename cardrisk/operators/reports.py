@@ -118,12 +118,25 @@ def latest(scored: DataFrame, n: int = 100) -> DataFrame:
     return scored.orderBy(F.col("event_timestamp").desc(), F.col("transaction_id").desc()).limit(n)
 
 
-def top_flagged_cards(scored: DataFrame, n: int = 10) -> DataFrame:
-    """Cards with the most flagged transactions."""
-    per_card = scored.groupBy("card_id").agg(
+def card_counts(scored: DataFrame) -> DataFrame:
+    """T3's mergeable part: per card its flagged and all transactions and its highest score."""
+    return scored.groupBy("card_id").agg(
         F.count_if(is_flagged()).alias("flagged_count"),
         F.max("anomaly_score").alias("max_score"),
         F.count(F.lit(1)).alias("tx_count"))
+
+
+def merged_card_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("card_id").agg(F.sum("flagged_count").alias("flagged_count"), F.max("max_score").alias("max_score"),
+                                         F.sum("tx_count").alias("tx_count"))
+
+
+def top_flagged_cards(scored: DataFrame, n: int = 10) -> DataFrame:
+    """Cards with the most flagged transactions."""
+    return top_cards(card_counts(scored), n)
+
+
+def top_cards(per_card: DataFrame, n: int = 10) -> DataFrame:
     return per_card.orderBy(F.col("flagged_count").desc(), F.col("max_score").desc(), F.col("card_id")).limit(n)
 
 

@@ -5,7 +5,9 @@ is written to the shared folder (partitioned by ``tx_date`` where it has
 one) and the next layer reads the written table, which cuts lineage, lets a
 lost executor cost one stage instead of the whole chain, and lets date
 filters prune files. Between layers the declared checks run (Q1-Q4) and the
-gate (Q5) stops the chain when a gated layer fails.
+gate (Q5) stops the chain when a gated layer fails. A layer that a run writes
+whole (gold; bronze and silver the first time) is checked by its write, and
+only the uniqueness of its keys scans it.
 
 Incremental runs: bronze appends above its high-water mark (IO7); silver is
 merged into a new version on ``transaction_id`` (IO8); gold is rebuilt (IO9).
@@ -66,9 +68,11 @@ def run_layers(spark: SparkSession, bronze_rows: DataFrame, base: str | None = N
 
     # bronze: typed projection, appended above the high-water mark
     typed = B.typed_projection(bronze_rows, run_ts=run_ts, run_id=run_id)
-    storage.append_new(spark, typed, bronze_path, exists=storage.exists(spark, bronze_path))
+    known = storage.exists(spark, bronze_path)
+    seen = _observed("bronze")
+    storage.append_new(spark, typed, bronze_path, exists=known, observed=seen.attach)
     bronze = storage.read_layer(spark, bronze_path)
-    reports.append(_check(bronze, "bronze", gated))
+    reports.append(_check(bronze, "bronze", gated, None if known else seen))
 
     # silver: the model dedups all bronze and keeps rows above silver's mark.
     # A key's latest delivery is above the mark whenever any of its
@@ -77,9 +81,10 @@ def run_layers(spark: SparkSession, bronze_rows: DataFrame, base: str | None = N
     # whole history. Merged on the key into a new version.
     current = storage.read_current(spark, silver_base)
     incoming = SV.to_silver(B.incremental_new_rows(bronze, current), cfg, loaded_at=run_ts)
-    version = storage.merge_version(spark, incoming, silver_base)
+    seen = _observed("silver")
+    version = storage.merge_version(spark, incoming, silver_base, observed=seen.attach)
     silver = storage.read_current(spark, silver_base)
-    reports.append(_check(silver, "silver", gated))
+    reports.append(_check(silver, "silver", gated, seen if current is None else None))
 
     # gold: scores joined back to silver, full refresh, written in its order
     if history_rules:
@@ -88,18 +93,27 @@ def run_layers(spark: SparkSession, bronze_rows: DataFrame, base: str | None = N
         scored = S.score_as_coded(silver, cfg, card_scope=card_scope, scored_at=scored_at)
     storage.write_layer(scored, f"{base}/scored")
     scored = storage.read_layer(spark, f"{base}/scored")
-    storage.write_ordered(G.gold_anomalies(silver, scored, cfg, order=False, loaded_at=run_ts), gold_path, *G.gold_order())
+    seen = _observed("gold")
+    storage.write_ordered(G.gold_anomalies(silver, scored, cfg, order=False, loaded_at=run_ts), gold_path, *G.gold_order(),
+                          observed=seen.attach)
     gold = storage.read_layer(spark, gold_path)
-    reports.append(_check(gold, "gold", gated))
+    reports.append(_check(gold, "gold", gated, seen))
 
     storage.write_layer(RP.daily_summary(scored), f"{base}/daily_summary", partition_by=None)
     report = reports[0].unionByName(reports[1]).unionByName(reports[2])
     return BatchResult(base, version, report)
 
 
-def _check(df: DataFrame, layer: str, gated: tuple[str, ...]) -> DataFrame:
-    # written: a check is a scan of the layer, and both the gate and the caller read the result
-    rep = storage.materialize(df.sparkSession, Q.check_layer(df, layer, Q.layer_checks()[layer]), "quality")
+def _observed(layer: str) -> Q.Observed:
+    return Q.Observed(layer, Q.layer_checks()[layer])
+
+
+def _check(df: DataFrame, layer: str, gated: tuple[str, ...], seen: Q.Observed | None) -> DataFrame:
+    """The layer's report: from its write, where that wrote it whole (``seen``), else by a scan.
+
+    Written, as both the gate and the caller read it."""
+    rep = seen.report(df) if seen else Q.check_layer(df, layer, Q.layer_checks()[layer])
+    rep = storage.materialize(df.sparkSession, rep, "quality")
     if layer in gated:
         known = F.lit(False)
         for at, column, test in REPORTED_ONLY:

@@ -451,6 +451,16 @@ def quality_report(spark, sf_dir):
     return Q.quality_report(layers)
 
 
+@query
+def gated_layers(spark, sf_dir):
+    """Q1-Q5 in the chain: the checks counted by the writes of bronze, silver and gold, which passed
+    their gates; the report of the run."""
+    from ..session import scratch_path
+    from . import batch
+    return batch.run_layers(spark, bronze_rows(spark, sf_dir), scratch_path(spark, "gated"), run_id=RUN_ID, run_ts=_ts(RUN_TS),
+                            scored_at=scored_at()).report
+
+
 # -- streams --------------------------------------------------------------------
 # Each stream key stages the raw deliveries derived from ``events`` as
 # time-ordered files in a fresh folder under the shared directory, runs the
@@ -640,3 +650,27 @@ def stream_alerts(spark, sf_dir):
         "key", value("transaction_id").alias("transaction_id"), value("amount").cast("double").alias("amount"),
         value("anomaly_score").cast("double").alias("anomaly_score"), value("risk_level").alias("risk_level"),
         value("triggered_rules").alias("triggered_rules"))
+
+
+@query
+def stream_live_feed(spark, sf_dir):
+    """T2 + T3 online: the live feed and the flagged cards kept up by every micro-batch, over a stop, a restart
+    from the checkpoint and a batch that is scored again."""
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    base, raw, ckpt, out = _stream_dirs(spark, "stream-feed")
+    rows = storage.materialize(spark, _raw(spark, sf_dir), "deliveries")
+    order = staging.event_order()
+    slices = staging.slice_count(rows, STREAM_SLICE_DAYS, order, aligned=True)
+    sinks, files = P.Sinks(out), None
+    scope = {"user_scope": slice_scope(), "card_scope": slice_scope(), "feed_rows": 100}
+    for part in (range(0, slices // 2), range(slices // 2, slices)):
+        files = staging.stage(rows, raw, STREAM_SLICE_DAYS, only=part, order=order, files_per_slice=files, aligned=True)
+        P.start_scoring(_silver_from(spark, raw, max_files=files), sinks, f"{ckpt}/score", **scope).awaitTermination()
+    last = max(r[0] for r in spark.read.parquet(sinks.path("scored")).select("batch_id").distinct().collect())
+    P.keep_live_feed(P.read_batch(spark, sinks.path("scored"), last), sinks, last)      # as a replay does
+    feed = P.live_feed(spark, sinks).select(
+        F.lit("latest").alias("kind"), "card_id", "transaction_id", "event_timestamp", "amount", "anomaly_score", "risk_level")
+    cards = P.flagged_cards(spark, sinks).select(
+        F.lit("cards").alias("kind"), "card_id", "flagged_count", F.col("max_score").alias("anomaly_score"), "tx_count")
+    return feed.unionByName(cards, allowMissingColumns=True)

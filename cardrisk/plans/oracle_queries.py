@@ -397,3 +397,16 @@ SELECT rule_set, count(*) AS tx_count, CAST(count_if(is_label) AS BIGINT) AS lab
   round(CASE WHEN count_if(is_label) > 0 THEN count_if(is_label AND is_flag) / count_if(is_label) END, 6)
     AS flag_recall
 FROM lq GROUP BY rule_set""")
+
+sql("gated_layers", ORACLE["quality_report"])
+
+sql("stream_live_feed", STREAM_SC + """
+, latest AS (
+  SELECT * FROM scored ORDER BY event_timestamp DESC, transaction_id DESC LIMIT 100),
+cards AS (
+  SELECT card_id, CAST(count_if(risk_level IN ('MEDIUM', 'HIGH')) AS BIGINT) AS flagged_count, max(anomaly_score) AS max_score,
+         count(*) AS tx_count FROM scored GROUP BY card_id ORDER BY flagged_count DESC, max_score DESC, card_id LIMIT 10)
+SELECT 'latest' AS kind, card_id, transaction_id, event_timestamp, amount, anomaly_score, risk_level,
+       NULL::BIGINT AS flagged_count, NULL::BIGINT AS tx_count FROM latest
+UNION ALL
+SELECT 'cards', card_id, NULL, NULL, NULL, max_score, NULL, flagged_count, tx_count FROM cards""")

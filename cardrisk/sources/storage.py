@@ -42,9 +42,17 @@ DATE, PIECE = "tx_date", "_piece"
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"      # fixed: the folder name of a null partition value
 
 
+Plan = Callable[[DataFrame], DataFrame]
+
+
+def same(df: DataFrame) -> DataFrame:
+    return df
+
+
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = "auto",
-                fmt: str = "parquet") -> None:
-    """Write a layer; partitioned by ``tx_date`` when it has one.
+                fmt: str = "parquet", observed: Plan = same) -> None:
+    """Write a layer; partitioned by ``tx_date`` when it has one. ``observed`` (here and
+    below) sees the plan last, right before the write, such as ``quality.Observed.attach``.
 
     Rows reach a partitioned write hashed by some other key (transaction,
     user, card), so every task would hold every date and write one small
@@ -56,16 +64,16 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         partition_by = "tx_date" if "tx_date" in df.columns else None
     if partition_by:
         df = df.hint("rebalance", partition_by)
-    w = df.write.format(fmt).mode(mode)
+    w = observed(df).write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.save(path)
 
 
-def write_ordered(df: DataFrame, path: str, *order, fmt: str = "parquet") -> None:
+def write_ordered(df: DataFrame, path: str, *order, fmt: str = "parquet", observed: Plan = same) -> None:
     """Full refresh of a layer that keeps its order (T1): a range sort over all
     tasks, so files, read by name, and the rows in each follow it."""
-    df.orderBy(*order).write.format(fmt).mode("overwrite").save(path)
+    observed(df.orderBy(*order)).write.format(fmt).mode("overwrite").save(path)
 
 
 def read_layer(spark: SparkSession, path: str, merge_schema: bool = True, fmt: str = "parquet") -> DataFrame:
@@ -82,11 +90,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_new(spark: SparkSession, source: DataFrame, target_path: str, exists: bool,
-               col: str = "ingested_at", fmt: str = "parquet") -> DataFrame:
+               col: str = "ingested_at", fmt: str = "parquet", observed: Plan = same) -> DataFrame:
     """IO7: append the source rows newer than the target's mark; returns them."""
     target = read_layer(spark, target_path, fmt=fmt) if exists else None
     new = incremental_new_rows(source, target, col)
-    write_layer(new, target_path, mode="append", fmt=fmt)
+    write_layer(new, target_path, mode="append", fmt=fmt, observed=observed)
     return new
 
 
@@ -132,7 +140,7 @@ def _dates(df: DataFrame) -> set[str]:
 
 
 def merge_version(spark: SparkSession, incoming: DataFrame, base: str, key: str = "transaction_id",
-                  fmt: str = "parquet") -> int:
+                  fmt: str = "parquet", observed: Plan = same) -> int:
     """IO8: merge ``incoming`` into the current version on ``key``; commit a new one.
 
     Of a layer with dates only the touched ones are read whole, joined and
@@ -148,15 +156,15 @@ def merge_version(spark: SparkSession, incoming: DataFrame, base: str, key: str
     listed = [] if v is None else manifest(spark, base, v)
     if DATE not in incoming.columns or listed is None:
         merged = incoming if v is None else upsert(read_version(spark, base, v, fmt), incoming, key)
-        write_layer(merged, f"{base}/v{nv:06d}", mode="errorifexists", fmt=fmt)
+        write_layer(merged, f"{base}/v{nv:06d}", mode="errorifexists", fmt=fmt, observed=observed)
     else:
-        _write_manifest(spark, _merge_dates(spark, incoming, base, key, listed, nv, fmt), f"{base}/{MANIFESTS}/v{nv:06d}")
+        _write_manifest(spark, _merge_dates(spark, incoming, base, key, listed, nv, fmt, observed), f"{base}/{MANIFESTS}/v{nv:06d}")
     _commit(spark, base, nv)
     return nv
 
 
 def _merge_dates(spark: SparkSession, incoming: DataFrame, base: str, key: str, listed: list[tuple[str, str]],
-                 version: int, fmt: str) -> list[tuple[str, str]]:
+                 version: int, fmt: str, observed: Plan) -> list[tuple[str, str]]:
     """Write the touched dates of a merge; the new version's (date, piece) list."""
     incoming = materialize(spark, incoming, "merge-incoming")
     touched = _dates(incoming)
@@ -167,14 +175,14 @@ def _merge_dates(spark: SparkSession, incoming: DataFrame, base: str, key: str,
         old = [x for x in listed if x[0] in touched]
         if old:
             merged = upsert(_read_pieces(spark, base, old, fmt), incoming, key)
-    return _write_dates(spark, merged, base, listed, touched, version, fmt)
+    return _write_dates(spark, merged, base, listed, touched, version, fmt, observed)
 
 
 def _write_dates(spark: SparkSession, rows: DataFrame, base: str, listed: list[tuple[str, str]], dates: set[str],
-                 version: int, fmt: str) -> list[tuple[str, str]]:
+                 version: int, fmt: str, observed: Plan = same) -> list[tuple[str, str]]:
     """Write ``rows``, all of ``dates``, as folders of their own; the list in which they stand for these dates."""
     piece = f"{version:06d}-{uuid.uuid4().hex[:8]}"
-    (rows.withColumn(PIECE, F.lit(piece)).hint("rebalance", DATE)
+    (observed(rows.withColumn(PIECE, F.lit(piece)).hint("rebalance", DATE))
          .write.format(fmt).mode("append").partitionBy(DATE, PIECE).save(f"{base}/{DATA}"))
     written = [(d, piece) for d in sorted(dates) if exists(spark, f"{base}/{DATA}/{DATE}={d}/{PIECE}={piece}")]
     return [x for x in listed if x[0] not in dates] + written

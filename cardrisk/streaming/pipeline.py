@@ -226,7 +226,7 @@ def stored_user_stats(spark: SparkSession, sinks: Sinks, batch_id: int, rows: Da
 
 
 def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=None, card_scope=None,
-                      user_stats: bool = False, fold_every: int = FOLD_EVERY):
+                      user_stats: bool = False, fold_every: int = FOLD_EVERY, feed_rows: int = 0):
     """The ``foreachBatch`` function: write silver, score it, write every output.
 
     Each step reads the rows the previous step wrote. The micro-batch (and
@@ -242,6 +242,7 @@ def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=Non
     (A4, J2) instead of the batch's own: the batch's daily partials are stored
     under its id first, then the statistics of the rows' days are joined. Partials
     of older batches are in a table by day, of which a batch reads the days it needs.
+    With ``feed_rows`` the live feed and the flagged cards are kept up (T2, T3).
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -261,6 +262,8 @@ def score_and_fan_out(sinks: Sinks, cfg: ScoringConfig = DEFAULT, user_scope=Non
         write_batch(scored, sinks.path("scored"), batch_id)
         scored = read_batch(spark, sinks.path("scored"), batch_id)
         write_batch(G.flagged(scored).drop("batch_id"), sinks.path("gold_anomalies"), batch_id)
+        if feed_rows:
+            keep_live_feed(scored, sinks, batch_id, feed_rows)
         publish(RP.alert_payload(scored), sinks, batch_id)
 
     return run
@@ -280,6 +283,61 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
               .trigger(**(trigger or {"availableNow": True})).start())
 
 
+FEED = ("transaction_id", "event_timestamp", "card_id", "amount", "anomaly_score", "risk_level")
+
+
+def _state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """The state that the latest batch before this one left, by folder name; None at the beginning."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    names = [s.getPath().getName().partition("=") for s in fs.listStatus(p) if s.isDirectory()]
+    before = [int(n) for key, _, n in names if key == "batch_id" and n.isdigit() and int(n) < batch_id]
+    return read_batch(spark, path, max(before)).drop("batch_id") if before else None
+
+
+def _drop_before(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Delete states that no replay needs any more: all but the two latest of those before this batch."""
+    fs, p = hadoop_path(spark, path)
+    if fs.exists(p):
+        old = sorted(int(n) for s in fs.listStatus(p) if (n := s.getPath().getName().partition("=")[2]).isdigit() and int(n) < batch_id)
+        for n in old[:-2]:
+            fs.delete(hadoop_path(spark, f"{path}/batch_id={n}")[1], True)
+
+
+def keep_live_feed(scored: DataFrame, sinks: Sinks, batch_id: int, n: int = 100) -> None:
+    """T2 and T3 kept up batch by batch.
+
+    The ``n`` latest rows of a stream are those of (the ``n`` latest so far and
+    the batch's ``n`` latest); the counts per card are sums. A batch reads the state
+    that the one before it left and writes its own under its id, so a replay
+    reads the same state again and replaces what it wrote: every batch counts
+    once. The cost of a batch is its rows, ``n`` rows, and one row per card seen.
+    """
+    spark = scored.sparkSession
+    feed, cards = sinks.path("live_feed"), sinks.path("card_counts")
+    rows, counts = RP.latest(scored.select(*FEED), n), RP.card_counts(scored)
+    held, held_counts = _state_before(spark, feed, batch_id), _state_before(spark, cards, batch_id)
+    if held is not None:
+        rows = RP.latest(held.select(*FEED).unionByName(rows), n)
+    if held_counts is not None:
+        counts = RP.merged_card_counts(held_counts.unionByName(counts))
+    write_batch(rows, feed, batch_id)
+    write_batch(counts, cards, batch_id)
+    _drop_before(spark, feed, batch_id)
+    _drop_before(spark, cards, batch_id)
+
+
+def live_feed(spark: SparkSession, sinks: Sinks, n: int = 100) -> DataFrame:
+    """T2 as of the last batch."""
+    return RP.latest(_state_before(spark, sinks.path("live_feed"), 1 << 62), n)
+
+
+def flagged_cards(spark: SparkSession, sinks: Sinks, n: int = 10) -> DataFrame:
+    """T3 as of the last batch."""
+    return RP.top_cards(_state_before(spark, sinks.path("card_counts"), 1 << 62), n)
+
+
 def minute_summary_stream(scored: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
     """ST2: A2 over a stream of scored rows, append mode behind the watermark.
 

@@ -134,3 +134,28 @@ def test_a_merge_that_dies_leaves_the_version_before_current(spark, tmp_path, mo
     assert [r.v for r in storage.read_current(spark, base).collect()] == [1]
     assert storage.merge_version(spark, _dated(spark, ("a", 3, "2024-01-01")), base) == 2
     assert [r.v for r in storage.read_current(spark, base).collect()] == [3]
+
+
+def test_a_written_layer_is_checked_by_its_write(spark, tmp_path):
+    """The counts of the write equal those of a scan; the report scans for uniqueness only; a second run of the
+    chain, which appends and merges, scans."""
+    import contextlib
+    import io
+    rows = [("a", "c", 1.0, "USD"), ("a", None, 2e6, "USD"), ("b", "c", 0.001, "XXX"), (None, "c", None, None)]
+    df = spark.createDataFrame(rows, "transaction_id string, card_id string, amount double, currency string")
+    checks = Q.layer_checks()["bronze"]
+    seen = Q.Observed("bronze", checks)
+    storage.write_layer(df, str(tmp_path / "bronze"), observed=seen.attach)
+    written = storage.read_layer(spark, str(tmp_path / "bronze"))
+    report = seen.report(written)
+    assert sorted(report.collect()) == sorted(Q.check_layer(written, "bronze", checks).collect())
+    assert {(r.column_name, r.test): r.violations for r in report.collect()}["amount", "accepted_range"] == 2
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        seen.report(written).explain()
+        Q.check_layer(written, "bronze", checks).explain()
+    first, second = buf.getvalue().split("== Physical Plan ==")[1:]
+    assert first.count("FileScan") == 1 and second.count("FileScan") == 2
+    empty = Q.Observed("bronze", checks)
+    storage.write_layer(df.limit(0), str(tmp_path / "empty"), observed=empty.attach)
+    assert empty.report(storage.read_layer(spark, str(tmp_path / "empty"))).filter("violations > 0 or not passed").count() == 0

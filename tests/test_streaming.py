@@ -32,7 +32,7 @@ def write_batch(spark, path, rows):
 
 
 @pytest.mark.parametrize("key", ["stream_dedup", "stream_restart", "stream_scored_fanout", "stream_sliding",
-                                 "stream_minute_summary", "stream_stateful_rules", "stream_warm_start", "stream_user_stats", "stream_alerts"])
+                                 "stream_minute_summary", "stream_stateful_rules", "stream_warm_start", "stream_user_stats", "stream_alerts", "stream_live_feed"])
 def test_stream_keys_match_duckdb(spark, key):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[key](spark, SF_SMALL)
@@ -263,6 +263,26 @@ def test_user_partials_fold_into_days_and_a_late_batch_reads_no_more(spark, monk
     assert storage.current_version(spark, sinks.path("user_days")) == 36
 
 
+def test_live_feed_and_cards_after_replays_equal_the_batch_reports(spark):
+    """Twelve batches, some delivered twice: the kept rows equal the reports over all rows, and old states go."""
+    from cardrisk.operators import reports as RP
+    import random
+    rnd = random.Random(5)
+    sinks = P.Sinks(scratch_path(spark, "feed"))
+    schema = "transaction_id string, event_timestamp timestamp_ntz, card_id string, amount double, anomaly_score double, risk_level string"
+    every = []
+    for n in range(12):
+        rows = [(f"t{n}-{i}", T0 + dt.timedelta(minutes=rnd.randrange(300)), f"c{rnd.randrange(9)}", 1.0, float(rnd.randrange(100)),
+                 rnd.choice(["LOW", "MEDIUM", "HIGH"])) for i in range(rnd.randrange(1, 15))]
+        every += rows
+        for _ in range(2 if n % 4 == 1 else 1):
+            P.keep_live_feed(spark.createDataFrame(rows, schema).coalesce(1), sinks, n, 20)
+    whole = spark.createDataFrame(every, schema)
+    assert P.live_feed(spark, sinks, 20).collect() == RP.latest(whole, 20).select(*P.FEED).collect()
+    assert P.flagged_cards(spark, sinks, 4).collect() == RP.top_flagged_cards(whole, 4).collect()
+    assert spark.read.parquet(sinks.path("live_feed")).select("batch_id").distinct().count() <= 3
+
+
 def test_no_alert_writes_nothing(spark):
     sinks = P.Sinks("unused", "json", {"path": scratch_path(spark, "no-alerts")})
     P.publish(spark.createDataFrame([], "key string, value string"), sinks, 0)
