@@ -674,3 +674,17 @@ def stream_live_feed(spark, sf_dir):
     cards = P.flagged_cards(spark, sinks).select(
         F.lit("cards").alias("kind"), "card_id", "flagged_count", F.col("max_score").alias("anomaly_score"), "tx_count")
     return feed.unionByName(cards, allowMissingColumns=True)
+
+
+@query
+def stream_history_batches(spark, sf_dir):
+    """ST8 by micro-batches: the documented rules from the batch plans over each batch and the history that the
+    batches before it left, with no task per key; the scores of ``stream_stateful_rules``."""
+    from ..streaming import history as H
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    base, raw, ckpt, out = _stream_dirs(spark, "stream-history")
+    files = staging.stage(_raw(spark, sf_dir), raw, STREAM_SLICE_DAYS, order=staging.event_order())
+    sinks = P.Sinks(out)
+    H.start_history(_silver_from(spark, raw, max_files=files), sinks, f"{ckpt}/history", fold_every=2).awaitTermination()
+    return _history_columns(spark.read.parquet(sinks.path("history_scored")))

@@ -410,3 +410,5 @@ SELECT 'latest' AS kind, card_id, transaction_id, event_timestamp, amount, anoma
        NULL::BIGINT AS flagged_count, NULL::BIGINT AS tx_count FROM latest
 UNION ALL
 SELECT 'cards', card_id, NULL, NULL, NULL, max_score, NULL, flagged_count, tx_count FROM cards""")
+
+sql("stream_history_batches", _STATEFUL)

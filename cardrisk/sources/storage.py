@@ -212,6 +212,12 @@ def fold_version(spark: SparkSession, rows: DataFrame, base: str, version: int,
     _commit(spark, base, version)
 
 
+def write_version(spark: SparkSession, rows: DataFrame, base: str, version: int, fmt: str = "parquet") -> None:
+    """Commit ``rows`` as the whole of ``version``; one that was cut short before its commit is written again."""
+    write_layer(rows, f"{base}/v{version:06d}", mode="overwrite", partition_by=None, fmt=fmt)
+    _commit(spark, base, version)
+
+
 def _commit(spark: SparkSession, base: str, version: int) -> None:
     spark.range(1).select(F.lit(version).alias("version"), F.localtimestamp().alias("committed_at")) \
         .write.mode("append").parquet(f"{base}/{LOG}")

@@ -32,7 +32,7 @@ def write_batch(spark, path, rows):
 
 
 @pytest.mark.parametrize("key", ["stream_dedup", "stream_restart", "stream_scored_fanout", "stream_sliding",
-                                 "stream_minute_summary", "stream_stateful_rules", "stream_warm_start", "stream_user_stats", "stream_alerts", "stream_live_feed"])
+                                 "stream_minute_summary", "stream_stateful_rules", "stream_warm_start", "stream_user_stats", "stream_alerts", "stream_live_feed", "stream_history_batches"])
 def test_stream_keys_match_duckdb(spark, key):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[key](spark, SF_SMALL)
@@ -283,6 +283,38 @@ def test_live_feed_and_cards_after_replays_equal_the_batch_reports(spark):
     assert spark.read.parquet(sinks.path("live_feed")).select("batch_id").distinct().count() <= 3
 
 
+def test_a_hot_card_in_every_batch_is_scored_by_minutes_as_in_one_batch(spark):
+    """A card with a third of the rows, batches of twenty minutes, one delivered twice, one late row."""
+    from cardrisk.operators import rules as R
+    from cardrisk.streaming import history as H
+    import random
+    rnd = random.Random(8)
+    sinks, recent, got = P.Sinks(scratch_path(spark, "hot")), None, {}
+    schema = "transaction_id string, card_id string, event_timestamp timestamp_ntz, country string"
+    every = []
+    for n in range(6):
+        rows = [(f"{n}-{i:04d}", "hot" if i % 3 == 0 else f"c{i % 40}", T0 + dt.timedelta(minutes=20 * n, seconds=1200 * rnd.random()),
+                 rnd.choice(["US"] * 40 + ["CA", None])) for i in range(900)]
+        if n == 5:
+            rows.append(("late", "hot", T0 + dt.timedelta(minutes=20 * n - 8), "US"))
+        every += rows
+        df = spark.createDataFrame(rows, schema)
+        for _ in range(2 if n == 3 else 1):
+            recent = P._state_before(spark, sinks.path("recent"), n)
+            got |= {r.transaction_id: (r.tx_count_10min, r.countries_60min_multi) for r in H.card_facts(df, recent).collect()}
+            P.write_batch(H.keep_recent(df, recent), sinks.path("recent"), n)
+    whole = spark.createDataFrame(every, schema)
+    want = {r.transaction_id: (r.tx_count_10min, r.countries_60min_multi) for r in R.card_history(whole).collect()}
+    t = {r[0]: r[2] for r in every}
+    after_late = {i for i, when in t.items() if i != "late" and when >= t["late"] and int(i[0]) < 5}   # scored before it came
+    assert {i: v for i, v in got.items() if i not in after_late} == {i: v for i, v in want.items() if i not in after_late}
+    kept = spark.read.parquet(sinks.path("recent")).filter("batch_id = 5")
+    assert kept.count() < 0.75 * len(every)
+    text = H.card_facts(df, recent)._jdf.queryExecution().optimizedPlan().toString()
+    keys = {x.split("]")[0] for x in text.split("windowspecdefinition(")[1:]}
+    assert all("card_id" in x and "_bkt" in x for x in keys) and "Python" not in text
+
+
 def test_no_alert_writes_nothing(spark):
     sinks = P.Sinks("unused", "json", {"path": scratch_path(spark, "no-alerts")})
     P.publish(spark.createDataFrame([], "key string, value string"), sinks, 0)
