@@ -412,3 +412,8 @@ UNION ALL
 SELECT 'cards', card_id, NULL, NULL, NULL, max_score, NULL, flagged_count, tx_count FROM cards""")
 
 sql("stream_history_batches", _STATEFUL)
+
+sql("gold_bucketed", GO + """
+, times AS (SELECT transaction_id, count(*) AS times_in_silver FROM silver GROUP BY transaction_id)
+SELECT transaction_id, card_id, anomaly_score, risk_level, risk_label, triggered_rules, end_to_end_latency_ms, times_in_silver
+FROM gold JOIN times USING (transaction_id)""")

@@ -83,6 +83,20 @@ def read_layer(spark: SparkSession, path: str, merge_schema: bool = True, fmt: s
     return r.load(path)
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` at ``path`` in buckets of ``key``, sorted by it, and scan it as a bucketed table.
+
+    Tables with the same number of buckets join, deduplicate and count by the key
+    where their files lie: the one shuffle is the write's. ``buckets`` is the
+    layout's size, to be chosen by the layer's bytes (about 128 MB a bucket).
+    The table's name belongs to the session; ``path`` is what stays.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether something was written at ``path``; an error of the file system rises."""
     fs, p = hadoop_path(spark, path)

@@ -125,3 +125,21 @@ def test_sliding_windows_are_expanded_above_the_first_aggregate(spark):
         head = q(spark, key).split("\n\n(1)")[0]
         top = head.index("Generate")
         assert "HashAggregate" in head[top:], key          # the plan's leaves come last
+
+
+def test_bucketed_layers_join_deduplicate_and_count_without_a_shuffle(spark):
+    from cardrisk.operators import quality as Q
+    from cardrisk.operators import silver as SV
+    from cardrisk.plans import catalogue as C
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        silver, scored, gold = C.bucketed_gold(spark, SF_SMALL)
+        plans = [plan(gold), plan(SV.dedup_latest(silver)), plan(SV.upsert(silver, scored.select(silver.columns)))]
+        assert all("Exchange" not in p for p in plans) and "SortMergeJoin" in plans[0] and "LeftAnti" in plans[2]
+        # the uniqueness check exchanges its single total only
+        unique = plan(Q.check_layer(silver, "silver", [Q.Check("transaction_id", "unique")]))
+        assert unique.split("\n\n(1)")[0].count("Exchange") == 1 and "SinglePartition" in unique
+        assert gold.count() == C.gold_rows(spark, SF_SMALL, order=False).count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
