@@ -707,3 +707,27 @@ def stream_history_batches(spark, sf_dir):
     sinks = P.Sinks(out)
     H.start_history(_silver_from(spark, raw, max_files=files), sinks, f"{ckpt}/history", fold_every=2).awaitTermination()
     return _history_columns(spark.read.parquet(sinks.path("history_scored")))
+
+
+def delayed_delivery():
+    """Delivery time, with every fiftieth record held up by six days: what a watermark is for."""
+    held = F.col("kafka_offset") % 50 == 7
+    return F.when(held, F.timestamp_add("DAY", F.lit(6), "kafka_ingest_time")).otherwise(F.col("kafka_ingest_time"))
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """ST4: records delivered behind the watermark, in a table of their own, with whether silver has the
+    transaction from another delivery."""
+    from ..streaming import late as L
+    from ..streaming import pipeline as P
+    from ..streaming import staging
+    base, raw, ckpt, out = _stream_dirs(spark, "stream-late")
+    rows = storage.materialize(spark, _raw(spark, sf_dir), "deliveries")
+    files = staging.stage(rows, raw, STREAM_SLICE_DAYS, order=delayed_delivery(), aligned=True)
+    sinks = P.Sinks(out)
+    L.start_late(P.read_raw_stream(spark, raw, files), sinks, f"{ckpt}/late").awaitTermination()
+    silver = spark.read.parquet(sinks.path("silver")).select("transaction_id", F.lit(True).alias("in_silver"))
+    return spark.read.parquet(sinks.path("late_rows")).join(silver, "transaction_id", "left").select(
+        "transaction_id", "kafka_offset", "kafka_partition", "event_timestamp", "watermark",
+        F.coalesce("in_silver", F.lit(False)).alias("in_silver"))

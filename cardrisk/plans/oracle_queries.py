@@ -417,3 +417,17 @@ sql("gold_bucketed", GO + """
 , times AS (SELECT transaction_id, count(*) AS times_in_silver FROM silver GROUP BY transaction_id)
 SELECT transaction_id, card_id, anomaly_score, risk_level, risk_label, triggered_rules, end_to_end_latency_ms, times_in_silver
 FROM gold JOIN times USING (transaction_id)""")
+
+sql("stream_late_rows", w(TX, WIRE, STREAM_BRONZE) + """
+, d AS (
+  SELECT *, epoch_us(CASE WHEN kafka_offset % 50 = 7 THEN kafka_ingest_time + INTERVAL 6 DAY ELSE kafka_ingest_time END)
+            // 432000000000 AS slice FROM bronze),
+m AS (SELECT slice, max(event_timestamp) AS newest FROM d GROUP BY slice),
+k AS (SELECT slice, max(newest) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS watermark FROM m),
+v AS (
+  SELECT d.*, watermark, coalesce(event_timestamp < watermark, false) AS late FROM d JOIN k USING (slice)
+  WHERE transaction_id IS NOT NULL AND card_id IS NOT NULL AND amount IS NOT NULL AND amount > 0.0 AND amount <= 100000.0
+    AND currency IN ('USD', 'EUR', 'GBP', 'CAD', 'JPY', 'AUD')),
+s AS (SELECT DISTINCT transaction_id FROM v WHERE NOT late)
+SELECT transaction_id, kafka_offset, kafka_partition, event_timestamp, watermark, s.transaction_id IS NOT NULL AS in_silver
+FROM v LEFT JOIN s USING (transaction_id) WHERE late""")

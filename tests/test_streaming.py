@@ -32,7 +32,8 @@ def write_batch(spark, path, rows):
 
 
 @pytest.mark.parametrize("key", ["stream_dedup", "stream_restart", "stream_scored_fanout", "stream_sliding",
-                                 "stream_minute_summary", "stream_stateful_rules", "stream_warm_start", "stream_user_stats", "stream_alerts", "stream_live_feed", "stream_history_batches"])
+                                 "stream_minute_summary", "stream_stateful_rules", "stream_warm_start", "stream_user_stats", "stream_alerts", "stream_live_feed", "stream_history_batches",
+                                 "stream_late_rows"])
 def test_stream_keys_match_duckdb(spark, key):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[key](spark, SF_SMALL)
@@ -315,6 +316,30 @@ def test_a_hot_card_in_every_batch_is_scored_by_minutes_as_in_one_batch(spark):
     assert all("card_id" in x and "_bkt" in x for x in keys) and "Python" not in text
 
 
+def test_late_rows_are_kept_in_a_table_of_their_own(spark):
+    """Behind the watermark: in bronze and late_rows, not in silver; a replayed batch parts its rows the same way."""
+    from cardrisk.streaming import late as L
+    base = scratch_path(spark, "late-rows")
+    raw, sinks = f"{base}/raw", P.Sinks(f"{base}/out")
+    minutes = lambda m: T0 + dt.timedelta(minutes=m)
+    batches = [[(1, minutes(0)), (2, minutes(1)), (2, minutes(1))], [(3, minutes(60)), (1, minutes(0))],
+               [(4, minutes(5)), (5, minutes(51)), (3, minutes(60))], [(4, minutes(5)), (6, minutes(70))]]
+    for b in batches:
+        write_batch(spark, raw, b)
+    L.start_late(P.read_raw_stream(spark, raw, 1), sinks, f"{base}/ck").awaitTermination()
+    L.start_late(P.read_raw_stream(spark, raw, 1), sinks, f"{base}/ck").awaitTermination()
+    read = lambda name: sorted((r.transaction_id, r.batch_id) for r in spark.read.parquet(sinks.path(name)).collect())
+    late = [("t4", 2), ("t4", 3)]
+    assert read("late_rows") == late
+    assert read("silver") == [("t1", 0), ("t2", 0), ("t3", 1), ("t5", 2), ("t6", 3)]
+    assert len(read("bronze")) == sum(map(len, batches))
+    again = spark.read.parquet(raw).filter(F.get_json_object("value", "$.transaction_id").isin("t4", "t6") & (F.col("kafka_ingest_time") >= T0))
+    L.late_fan_out(sinks)(again.dropDuplicates(["value"]), 3)                    # batch 3 delivered again
+    assert read("late_rows") == late and read("silver")[-1] == ("t6", 3)
+    marks = {r.watermark for r in spark.read.parquet(sinks.path("late_rows")).collect()}
+    assert marks == {minutes(50)}
+
+
 def test_no_alert_writes_nothing(spark):
     sinks = P.Sinks("unused", "json", {"path": scratch_path(spark, "no-alerts")})
     P.publish(spark.createDataFrame([], "key string, value string"), sinks, 0)
