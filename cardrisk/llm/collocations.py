@@ -13,8 +13,8 @@ it, and no other. The dictionary is the table of distinct chunks of each languag
 with their parse frequencies; all counting reads it instead of the texts.
 
 Counts. A phrase that occurs ``MIN_COUNT`` times has only parts that do. Phrases of
-one word, then two, three and four are counted by hashes, each level
-only where both parts of the level before may be frequent. What may be frequent is
+one word, then two, then three and four are counted by hashes, each only
+where the shorter parts counted before may be frequent. What may be frequent is
 a bitmap of ``BITMAP_BITS`` hashed places, a fixed size at any corpus size: two
 phrases in one place, or with one hash, only let a rare one through. A last pass counts the
 phrases that came through, exactly, as strings.
@@ -35,11 +35,11 @@ GROUP_BYTES of texts or chunks at a time; a chunk is at most one text long.
 from __future__ import annotations
 
 import hashlib
-from functools import cached_property
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +54,8 @@ COVERED_PERCENT = 80
 TOP = 2000
 SCALE = 2_000_000
 BITMAP_BITS = 1 << 26
+PASSES = ((1,), (2,), (3, 4))      # lengths that are counted together by hashes
+TOTALS = 300_000           # phrases whose exact counts wait in a task, about
 GROUP_BYTES = 2 << 20      # of texts or chunks that are worked on together in a task, about
 NO_LANG = "und"
 BREAK = b"\n"
@@ -66,24 +68,22 @@ _FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)      # masks
 
 
 def tokens_of(text: str) -> bytes:
-    """The text's tokens joined by single spaces, with the closing breaks."""
+    """The text's tokens, with the closing breaks, a space after each."""
     folded = text.encode("utf-8", "surrogatepass").translate(_FOLD).replace(BREAK, b" \n ")
-    return b" ".join([*filter(None, folded.split(b" ")), *[BREAK] * OVERLAP])
+    return b" ".join([*filter(None, folded.split(b" ")), *[BREAK] * OVERLAP, b""])
 
 
 class Tokens:
-    """Places and hashes of the tokens of texts that are joined by single spaces."""
-
-    def __init__(self, texts: list[bytes]):
-        self.data = b" ".join(texts)
-        raw = np.frombuffer(self.data, np.uint8)
-        spaces = np.flatnonzero(raw == 32)
-        self.starts = np.r_[0, spaces + 1]
-        self.ends = np.r_[spaces, len(raw)]
+    """Places and hashes of the tokens of texts, which follow each other in ``data`` and end at ``ends``."""
+
+    def __init__(self, data: bytes, ends: np.ndarray):
+        self.data = data
+        raw = np.frombuffer(data, np.uint8)
+        self.ends = np.flatnonzero(raw == 32)
+        self.starts = np.r_[0, self.ends[:-1] + 1]
         self.is_break = raw[self.starts] == BREAK[0]
-        self._eight = np.ndarray(len(raw), np.uint64, self.data + bytes(8), strides=(1,))   # the 8 bytes from each place on
-        # the last token of each text
-        self.last = np.searchsorted(self.starts, np.cumsum([len(t) + 1 for t in texts])) - 1
+        self._eight = np.ndarray(len(raw), np.uint64, data + bytes(8), strides=(1,))   # the 8 bytes from each place on
+        self.last = np.searchsorted(self.starts, ends) - 1                             # the last token of each text
         self.hashes = self.hashed(1)
 
     def hashed(self, seed: int) -> np.ndarray:
@@ -106,8 +106,8 @@ def following(hashes: np.ndarray, more: np.ndarray) -> np.ndarray:
 
 
 def chunks_of(texts: list[bytes], every: int = TRIGGER) -> tuple[list[bytes], np.ndarray]:
-    """The chunks of every text (as tokens joined by spaces), and the number of words that each owns."""
-    tokens = Tokens(texts)
+    """The chunks of every text (tokens, a space after each), and the number of words that each owns."""
+    tokens = Tokens(b"".join(texts), np.cumsum([len(t) for t in texts]))
     h = tokens.hashes
     n = len(h) - OVERLAP + 1
     trigger = h[:n]
@@ -123,7 +123,7 @@ def chunks_of(texts: list[bytes], every: int = TRIGGER) -> tuple[list[bytes], np
     ends = np.r_[at[1:] + OVERLAP - 1, tokens.last[-1]]
     ends = np.minimum(ends, tokens.last[np.searchsorted(tokens.last, at)])
     words = np.r_[0, np.cumsum(~tokens.is_break)]
-    return ([tokens.data[s:e] for s, e in zip(tokens.starts[at].tolist(), tokens.ends[ends].tolist())],
+    return ([tokens.data[s:e + 1] for s, e in zip(tokens.starts[at].tolist(), tokens.ends[ends].tolist())],
             words[ends + 1 - OVERLAP] - words[at])
 
 
@@ -158,29 +158,28 @@ def parse(spark: SparkSession, docs: DataFrame, trigger: int = TRIGGER) -> DataF
 
 
 class Chunks:
-    """A group of chunks, and the phrases in them that may be frequent."""
+    """A group of dictionary rows (lang, chunk, c), and the phrases in them that may be frequent."""
 
-    def __init__(self, langs: list[str], chunks: list[bytes], counts: list[int], bitmaps: list[np.ndarray]):
-        self.langs, self.bitmaps = langs, bitmaps
-        self.tokens = Tokens(chunks)
+    def __init__(self, rows: pa.Table, bitmaps: list[np.ndarray]):
+        self.bitmaps = bitmaps
+        chunks, langs = rows["chunk"].combine_chunks(), rows["lang"].combine_chunks().dictionary_encode()
+        at = np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset:chunks.offset + len(chunks) + 1]
+        self.tokens = Tokens(chunks.buffers()[2][int(at[0]):int(at[-1])].to_pybytes(), at[1:] - at[0])
         last = self.tokens.last
         self.chunk = np.repeat(np.arange(len(chunks)), np.diff(np.r_[-1, last]))
-        self.weight = np.array(counts, np.int64)[self.chunk]
+        self.weight = rows["c"].to_numpy()[self.chunk]
         self.owned = ~self.tokens.is_break      # words that start phrases of this chunk
         for k in range(OVERLAP):
             self.owned[last - k] = False
-        seeds = {x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in set(langs)}
-        self.seed = np.array([seeds[x] for x in langs], np.uint64)[self.chunk]
-
-    @cached_property
-    def second(self) -> np.ndarray:
-        return self.tokens.hashed(2)
+        self.langs, self.lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()
+        seeds = [int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.langs]
+        self.seed = np.array(seeds, np.uint64)[self.lang][self.chunk]
 
-    def phrases(self, words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the owned phrases of so many words whose parts pass the bitmaps there are, and
+    def phrases(self, *lengths: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """By length the starts and hashes of the owned phrases whose parts pass the bitmaps there are, and
         which pass the bitmap of their own length if there is one."""
         ok, h = ~self.tokens.is_break, following(self.seed, self.tokens.hashes)
-        for k in range(1, words + 1):
+        for k in range(1, max(lengths) + 1):
             if k > 1:
                 n = len(h) - 1
                 ok = ok[:n] & ok[1:] & (self.chunk[:n] == self.chunk[k - 1:])
@@ -188,36 +187,40 @@ class Chunks:
             if k <= len(self.bitmaps):
                 at = np.flatnonzero(ok)
                 ok[at] = in_bitmap(self.bitmaps[k - 1], h[at])
-        at = np.flatnonzero(ok & self.owned[:len(ok)])
-        return at, h[at]
+            if k in lengths:
+                at = np.flatnonzero(ok & self.owned[:len(ok)])
+                yield k, at, h[at]
 
-    def hashed_counts(self, words: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    def hashed_counts(self, lengths: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct hashes (of so many bits) of the phrases, with their weighted counts."""
-        at, h = self.phrases(words)
+        found = [(at, h) for _, at, h in self.phrases(*lengths)]
+        at, h = (np.concatenate(x) for x in zip(*found))
         h &= np.uint64((1 << bits) - 1)
         order = np.argsort(h)
         h = h[order]
         new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][:len(h)])
         return h[new].view(np.int64), np.add.reduceat(self.weight[at[order]], new) if len(new) else np.zeros(0, np.int64)
 
-    def exact_counts(self, words: int) -> tuple[list[str], list[str], list[int]]:
-        """lang, phrase and weighted count. Equal phrases of the group are found by two 64-bit hashes."""
-        at, h = self.phrases(words)
-        g = self.seed[at]
-        for k in range(words):
-            g = following(g, self.second[at + k])
-        order = np.argsort(h)
-        h, g = h[order], g[order]
-        if ((h[1:] == h[:-1]) & (g[1:] != g[:-1])).any():
-            order = order[np.lexsort((g, h))]
-            g = g[np.lexsort((g, h))]
-        at = at[order]
-        new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])][:len(h)])
-        counts = np.add.reduceat(self.weight[at], new).tolist() if len(new) else []
-        t, first = self.tokens, at[new]
-        spans = zip(t.starts[first].tolist(), t.ends[first + words - 1].tolist())
-        return ([self.langs[k] for k in self.chunk[first].tolist()],
-                [t.data[s:e].decode("utf-8", "surrogatepass") for s, e in spans], counts)
+    def add_exact_counts(self, totals: dict[tuple[str, bytes], int]) -> None:
+        """Add the weighted counts of the phrases. Equal phrases of the group are found by two 64-bit hashes."""
+        t, second = self.tokens, self.tokens.hashed(2)
+        for words, at, h in self.phrases(*range(1, LONGEST + 1)):
+            g = self.seed[at]
+            for k in range(words):
+                g = following(g, second[at + k])
+            order = np.argsort(h)
+            if ((h[order[1:]] == h[order[:-1]]) & (g[order[1:]] != g[order[:-1]])).any():
+                order = np.lexsort((g, h))
+            at, h, g = at[order], h[order], g[order]
+            new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])][:len(h)])
+            if not len(new):
+                continue
+            first = at[new]
+            spans = zip(self.lang[self.chunk[first]].tolist(), t.starts[first].tolist(), t.ends[first + words - 1].tolist(),
+                        np.add.reduceat(self.weight[at], new).tolist())
+            for lang, s, e, c in spans:
+                key = self.langs[lang], t.data[s:e]
+                totals[key] = totals.get(key, 0) + c
 
 
 def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -226,20 +229,23 @@ def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def groups(batches: Iterator[pa.RecordBatch], bitmaps: list[bytes]) -> Iterator[Chunks]:
-    """The dictionary rows of a task, grouped up to a bounded size."""
+    """The dictionary rows of a task, grouped up to a bounded size (or one chunk)."""
     maps = [np.frombuffer(b, np.uint8) for b in bitmaps]
-    langs, chunks, counts, size = [], [], [], 0
+    held, size = [], 0
     for b in batches:
-        for lang, chunk, c in zip(*(x.to_pylist() for x in b.columns)):
-            langs.append(lang)
-            chunks.append(chunk)
-            counts.append(c)
-            size += len(chunk)
-            if size >= GROUP_BYTES:
-                yield Chunks(langs, chunks, counts, maps)
-                langs, chunks, counts, size = [], [], [], 0
-    if chunks:
-        yield Chunks(langs, chunks, counts, maps)
+        ends = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + GROUP_BYTES - size, "right")))
+            held.append(b.slice(at, to - at))
+            size += int(ends[to - 1]) - done
+            at = to
+            if size >= GROUP_BYTES or at < b.num_rows:
+                yield Chunks(pa.Table.from_batches(held), maps)
+                held, size = [], 0
+    if held:
+        yield Chunks(pa.Table.from_batches(held), maps)
 
 
 def bitmap_of(hashes: DataFrame, bits: int) -> bytes:
@@ -261,24 +267,34 @@ def frequent_phrases(spark: SparkSession, dictionary: DataFrame, min_count: int
     hash_bits = min(63, max(bits.bit_length() - 1, total.bit_length() + 4))
     dictionary = dictionary.select("lang", "chunk", "c")
     bitmaps: list[bytes] = []
-    for words in range(1, LONGEST + 1):
+    for lengths in PASSES:
         known = Shared(spark, list(bitmaps))
 
-        def count(batches: Iterator[pa.RecordBatch], known=known, words=words) -> Iterator[pa.RecordBatch]:
+        def count(batches: Iterator[pa.RecordBatch], known=known, lengths=lengths) -> Iterator[pa.RecordBatch]:
             for chunks in groups(batches, known.value):
-                h, c = chunks.hashed_counts(words, hash_bits)
+                h, c = chunks.hashed_counts(lengths, hash_bits)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c)], ["h", "c"])
 
         hashed = dictionary.mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-        bitmaps.append(bitmap_of(hashed.filter(F.col("c") >= min_count), bits))
+        bitmaps += [bitmap_of(hashed.filter(F.col("c") >= min_count), bits)] * len(lengths)      # one for all lengths of a pass
         free_shuffles(spark)
     known = Shared(spark, bitmaps)
 
     def count_exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[str, bytes], int] = {}
+
+        def leave() -> pa.RecordBatch:
+            columns = [pa.array([k[0] for k in totals], pa.string()),
+                       pa.array([k[1].decode("utf-8", "surrogatepass") for k in totals], pa.string()),
+                       pa.array(list(totals.values()), pa.int64())]
+            totals.clear()
+            return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "c"])
+
         for chunks in groups(batches, known.value):
-            for langs, phrases, counts in map(chunks.exact_counts, range(1, LONGEST + 1)):
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()),
-                                                  pa.array(counts, pa.int64())], ["lang", "phrase", "c"])
+            chunks.add_exact_counts(totals)
+            if len(totals) >= TOTALS:
+                yield leave()
+        yield leave()
 
     exact = dictionary.mapInArrow(count_exactly, "lang string, phrase string, c long")
     return exact.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= min_count)
