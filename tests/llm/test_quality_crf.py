@@ -115,3 +115,18 @@ def test_labels_that_mean_nothing_are_an_error(spark):
         Q.train_chain(spark, docs, labels)
     one = Q.train_chain(spark, docs, labels.filter("quality = 0"))
     assert Q.judge(text, one)[-1]
+
+
+def test_the_chain_marks_boilerplate_lines_inside_mixed_texts():
+    """Held-out poor lines between held-out clean ones: both labels in one text, in runs."""
+    train, held = labelled(0), labelled(1)
+    chain = trained(train)
+    clean, poor = [x for x, q in held if q == 1], [x for x, q in held if q == 0]
+    marked = {True: [0, 0], False: [0, 0]}
+    for i, p in enumerate(poor):
+        a, b = clean[2 * i], clean[2 * i + 1]
+        labels = chain.viterbi(Q.line_features(a + p + b)).tolist()
+        for is_content, part in ((True, labels[:len(a)] + labels[len(a) + len(p):]), (False, labels[len(a):len(a) + len(p)])):
+            marked[is_content][0] += len(part)
+            marked[is_content][1] += sum(not x for x in part)
+    assert marked[False][1] >= 0.75 * marked[False][0] and marked[True][1] <= 0.1 * marked[True][0]

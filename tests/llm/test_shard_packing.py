@@ -56,3 +56,31 @@ def test_hot_group_is_cut_and_nulls_are_placed(spark):
     load = [sum(r["size"] for r in got if r.shard == s) for s in range(8)]
     assert max(load) <= 1.05 * min(load)
     assert P.pack_documents(spark, df.limit(0)).count() == 0
+
+
+def brute_place(items, n_shards, level):
+    """The rule in plain steps: largest first, to the shard with the highest dot product with what it has room for;
+    the smallest ``level`` of the items to the shard with the most room for bytes."""
+    left = [[1 / n_shards] * 3 for _ in range(n_shards)]
+    out = {}
+    order = sorted(range(len(items)), key=lambda i: -max(items[i]))
+    for rank, i in enumerate(order):
+        if rank < (1 - level) * len(order):
+            best = [sum(r * x for r, x in zip(left[s], items[i])) for s in range(n_shards)]
+        else:
+            best = [left[s][0] for s in range(n_shards)]
+        s = max(range(n_shards), key=lambda k: (best[k], -k))
+        out[i] = s
+        left[s] = [r - x for r, x in zip(left[s], items[i])]
+    return [out[i] for i in range(len(items))]
+
+
+def test_place_equals_the_rule_step_by_step_at_the_level_that_the_query_uses():
+    rng = np.random.default_rng(12)
+    for n, shards in ((1, 8), (40, 3), (500, 8), (1500, 16)):
+        v = rng.pareto(1.5, (n, 3)) + 0.01
+        v[: n // 5] = v[0]                       # ties
+        v /= v.sum(0)
+        for level in (0.125, 0.0, 1.0):
+            assert P.place(v, shards, level).tolist() == brute_place(v.tolist(), shards, level)
+    assert P.place(v, 16).tolist() == brute_place(v.tolist(), 16, 0.125)
