@@ -11,7 +11,8 @@ from conftest import SF_SMALL
 FAST = ["silver_full", "composite_score", "composite_history", "rule_velocity_30d", "rule_first_mcc",
         "cross_border_pairs", "user_stats_30d", "gold_anomalies", "daily_summary", "quality_report",
         "bronze_parse_json", "bronze_dead_letter", "silver_upsert", "card_sliding_features", "alert_payload",
-        "rule_off_hours_local", "label_quality", "top_flagged_cards", "anomaly_rate_5m", "daily_summary_payload", "gold_layer"]
+        "rule_off_hours_local", "label_quality", "top_flagged_cards", "anomaly_rate_5m", "daily_summary_payload", "gold_layer",
+        "gold_bucketed", "gated_layers"]
 
 ARROW = {"string": "string", "bigint": "int64", "int": "int32", "double": "double", "boolean": "bool",
          "timestamp_ntz": "timestamp[us]"}
