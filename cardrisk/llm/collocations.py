@@ -16,8 +16,8 @@ Counts. A phrase that occurs ``MIN_COUNT`` times has only parts that do. Phrases
 one word, then two, then three and four are counted by hashes, each only
 where the shorter parts counted before may be frequent. What may be frequent is
 a bitmap of ``BITMAP_BITS`` hashed places, a fixed size at any corpus size: two
-phrases in one place, or with one hash, only let a rare one through. A last pass counts the
-phrases that came through, exactly, as strings.
+phrases in one place, or with one hash, only let a rare one through. The longer phrases that
+came through are then counted exactly, as strings, and so are the single words in them.
 
 Scores. Cutting a phrase after its first k words gives l and r, the counts of the
 two parts, and ``floor(2000000 * a / (l + r))`` in decimals; the lowest-scoring cut
@@ -35,6 +35,7 @@ GROUP_BYTES of texts or chunks at a time; a chunk is at most one text long.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 from typing import Iterator
 
 import numpy as np
@@ -157,6 +158,12 @@ def parse(spark: SparkSession, docs: DataFrame, trigger: int = TRIGGER) -> DataF
 # ---- counting -------------------------------------------------------------
 
 
+@lru_cache(maxsize=4096)
+def lang_seed(lang: str) -> int:
+    """What tells the hashes of one language's phrases from another's."""
+    return int.from_bytes(hashlib.blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
 class Chunks:
     """A group of dictionary rows (lang, chunk, c), and the phrases in them that may be frequent."""
 
@@ -172,8 +179,7 @@ class Chunks:
         for k in range(OVERLAP):
             self.owned[last - k] = False
         self.langs, self.lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-        seeds = [int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.langs]
-        self.seed = np.array(seeds, np.uint64)[self.lang][self.chunk]
+        self.seed = np.array([lang_seed(x) for x in self.langs], np.uint64)[self.lang][self.chunk]
 
     def phrases(self, *lengths: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """By length the starts and hashes of the owned phrases whose parts pass the bitmaps there are, and
@@ -201,10 +207,10 @@ class Chunks:
         new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][:len(h)])
         return h[new].view(np.int64), np.add.reduceat(self.weight[at[order]], new) if len(new) else np.zeros(0, np.int64)
 
-    def add_exact_counts(self, totals: dict[tuple[str, bytes], int]) -> None:
+    def add_exact_counts(self, lengths: tuple[int, ...], totals: dict[tuple[str, bytes], int]) -> None:
         """Add the weighted counts of the phrases. Equal phrases of the group are found by two 64-bit hashes."""
         t, second = self.tokens, self.tokens.hashed(2)
-        for words, at, h in self.phrases(*range(1, LONGEST + 1)):
+        for words, at, h in self.phrases(*lengths):
             g = self.seed[at]
             for k in range(words):
                 g = following(g, second[at + k])
@@ -261,7 +267,8 @@ def bitmap_of(hashes: DataFrame, bits: int) -> bytes:
 
 def frequent_phrases(spark: SparkSession, dictionary: DataFrame, min_count: int = MIN_COUNT,
                      bits: int = BITMAP_BITS) -> DataFrame:
-    """lang, phrase and count ``f`` of all phrases of 1 to LONGEST words with ``min_count`` occurrences."""
+    """lang, phrase and count ``f`` of all phrases of 2 to LONGEST words with ``min_count`` occurrences, and of
+    all words in them."""
     total = dictionary.agg(F.sum(F.col("c") * F.col("w"))).first()[0] or 0
     # sixteen values per word occurrence: rare phrases seldom share one, and rows of the shuffle stay short
     hash_bits = min(63, max(bits.bit_length() - 1, total.bit_length() + 4))
@@ -278,9 +285,29 @@ def frequent_phrases(spark: SparkSession, dictionary: DataFrame, min_count: int
         hashed = dictionary.mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
         bitmaps += [bitmap_of(hashed.filter(F.col("c") >= min_count), bits)] * len(lengths)      # one for all lengths of a pass
         free_shuffles(spark)
+    longer = materialize(spark, exact_counts(spark, dictionary, bitmaps, tuple(range(2, LONGEST + 1)), min_count), "longer-phrases")
+    # of single words only those in a longer phrase are asked for
+    parts = longer.select("lang", F.explode(F.split("phrase", " ")).alias("word")).distinct()
+    words = exact_counts(spark, dictionary, [bitmap_of(parts.mapInArrow(word_hashes, "h long"), bits)], (1,), min_count)
+    return longer.unionByName(words)
+
+
+def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word) to the hash by which ``Chunks`` asks a bitmap for the word."""
+    for b in batches:
+        words = [w.encode("utf-8", "surrogatepass") + b" " for w in b.column(1).to_pylist()]
+        if words:
+            tokens = Tokens(b"".join(words), np.cumsum([len(w) for w in words]))
+            h = following(np.array([lang_seed(x) for x in b.column(0).to_pylist()], np.uint64), tokens.hashes)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+
+def exact_counts(spark: SparkSession, dictionary: DataFrame, bitmaps: list[bytes], lengths: tuple[int, ...],
+                 min_count: int) -> DataFrame:
+    """lang, phrase and count ``f`` of the phrases of these lengths that pass the bitmaps and occur often enough."""
     known = Shared(spark, bitmaps)
 
-    def count_exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[tuple[str, bytes], int] = {}
 
         def leave() -> pa.RecordBatch:
@@ -291,12 +318,12 @@ def frequent_phrases(spark: SparkSession, dictionary: DataFrame, min_count: int
             return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "c"])
 
         for chunks in groups(batches, known.value):
-            chunks.add_exact_counts(totals)
+            chunks.add_exact_counts(lengths, totals)
             if len(totals) >= TOTALS:
                 yield leave()
         yield leave()
 
-    exact = dictionary.mapInArrow(count_exactly, "lang string, phrase string, c long")
+    exact = dictionary.mapInArrow(count, "lang string, phrase string, c long")
     return exact.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= min_count)
 
 
