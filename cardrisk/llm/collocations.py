@@ -56,7 +56,7 @@ TOP = 2000
 SCALE = 2_000_000
 BITMAP_BITS = 1 << 26
 PASSES = ((1,), (2,), (3, 4))      # lengths that are counted together by hashes
-TOTALS = 300_000           # phrases whose exact counts wait in a task, about
+TOTALS = 100_000           # phrases whose exact counts wait in a task, about
 GROUP_BYTES = 2 << 20      # of texts or chunks that are worked on together in a task, about
 NO_LANG = "und"
 BREAK = b"\n"
