@@ -16,8 +16,8 @@ Counts. A phrase that occurs ``MIN_COUNT`` times has only parts that do. Phrases
 one word, then two, then three and four are counted by hashes, each only
 where the shorter parts counted before may be frequent. What may be frequent is
 a bitmap of ``BITMAP_BITS`` hashed places, a fixed size at any corpus size: two
-phrases in one place, or with one hash, only let a rare one through. The longer phrases that
-came through are then counted exactly, as strings, and so are the single words in them.
+phrases in one place, or with one hash, only let a rare one through. A last pass counts the
+phrases that came through, exactly, as strings.
 
 Scores. Cutting a phrase after its first k words gives l and r, the counts of the
 two parts, and ``floor(2000000 * a / (l + r))`` in decimals; the lowest-scoring cut
@@ -56,7 +56,6 @@ TOP = 2000
 SCALE = 2_000_000
 BITMAP_BITS = 1 << 26
 PASSES = ((1,), (2,), (3, 4))      # lengths that are counted together by hashes
-TOTALS = 100_000           # phrases whose exact counts wait in a task, about
 GROUP_BYTES = 2 << 20      # of texts or chunks that are worked on together in a task, about
 NO_LANG = "und"
 BREAK = b"\n"
@@ -207,10 +206,10 @@ class Chunks:
         new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][:len(h)])
         return h[new].view(np.int64), np.add.reduceat(self.weight[at[order]], new) if len(new) else np.zeros(0, np.int64)
 
-    def add_exact_counts(self, lengths: tuple[int, ...], totals: dict[tuple[str, bytes], int]) -> None:
-        """Add the weighted counts of the phrases. Equal phrases of the group are found by two 64-bit hashes."""
-        t, second = self.tokens, self.tokens.hashed(2)
-        for words, at, h in self.phrases(*lengths):
+    def exact_counts(self) -> Iterator[pa.RecordBatch]:
+        """lang, phrase and weighted count of the phrases. Equal phrases of the group are found by two 64-bit hashes."""
+        t, second, names = self.tokens, self.tokens.hashed(2), pa.array(self.langs, pa.string())
+        for words, at, h in self.phrases(*range(1, LONGEST + 1)):
             g = self.seed[at]
             for k in range(words):
                 g = following(g, second[at + k])
@@ -222,11 +221,10 @@ class Chunks:
             if not len(new):
                 continue
             first = at[new]
-            spans = zip(self.lang[self.chunk[first]].tolist(), t.starts[first].tolist(), t.ends[first + words - 1].tolist(),
-                        np.add.reduceat(self.weight[at], new).tolist())
-            for lang, s, e, c in spans:
-                key = self.langs[lang], t.data[s:e]
-                totals[key] = totals.get(key, 0) + c
+            spans = zip(t.starts[first].tolist(), t.ends[first + words - 1].tolist())
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(self.lang[self.chunk[first]])), pa.array([t.data[s:e].decode("utf-8", "surrogatepass") for s, e in spans]),
+                 pa.array(np.add.reduceat(self.weight[at], new))], ["lang", "phrase", "c"])
 
 
 def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -267,8 +265,7 @@ def bitmap_of(hashes: DataFrame, bits: int) -> bytes:
 
 def frequent_phrases(spark: SparkSession, dictionary: DataFrame, min_count: int = MIN_COUNT,
                      bits: int = BITMAP_BITS) -> DataFrame:
-    """lang, phrase and count ``f`` of all phrases of 2 to LONGEST words with ``min_count`` occurrences, and of
-    all words in them."""
+    """lang, phrase and count ``f`` of all phrases of 1 to LONGEST words with ``min_count`` occurrences."""
     total = dictionary.agg(F.sum(F.col("c") * F.col("w"))).first()[0] or 0
     # sixteen values per word occurrence: rare phrases seldom share one, and rows of the shuffle stay short
     hash_bits = min(63, max(bits.bit_length() - 1, total.bit_length() + 4))
@@ -285,45 +282,13 @@ def frequent_phrases(spark: SparkSession, dictionary: DataFrame, min_count: int
         hashed = dictionary.mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
         bitmaps += [bitmap_of(hashed.filter(F.col("c") >= min_count), bits)] * len(lengths)      # one for all lengths of a pass
         free_shuffles(spark)
-    longer = materialize(spark, exact_counts(spark, dictionary, bitmaps, tuple(range(2, LONGEST + 1)), min_count), "longer-phrases")
-    # of single words only those in a longer phrase are asked for
-    parts = longer.select("lang", F.explode(F.split("phrase", " ")).alias("word")).distinct()
-    words = exact_counts(spark, dictionary, [bitmap_of(parts.mapInArrow(word_hashes, "h long"), bits)], (1,), min_count)
-    return longer.unionByName(words)
-
-
-def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, word) to the hash by which ``Chunks`` asks a bitmap for the word."""
-    for b in batches:
-        words = [w.encode("utf-8", "surrogatepass") + b" " for w in b.column(1).to_pylist()]
-        if words:
-            tokens = Tokens(b"".join(words), np.cumsum([len(w) for w in words]))
-            h = following(np.array([lang_seed(x) for x in b.column(0).to_pylist()], np.uint64), tokens.hashes)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
-
-
-def exact_counts(spark: SparkSession, dictionary: DataFrame, bitmaps: list[bytes], lengths: tuple[int, ...],
-                 min_count: int) -> DataFrame:
-    """lang, phrase and count ``f`` of the phrases of these lengths that pass the bitmaps and occur often enough."""
     known = Shared(spark, bitmaps)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[tuple[str, bytes], int] = {}
-
-        def leave() -> pa.RecordBatch:
-            columns = [pa.array([k[0] for k in totals], pa.string()),
-                       pa.array([k[1].decode("utf-8", "surrogatepass") for k in totals], pa.string()),
-                       pa.array(list(totals.values()), pa.int64())]
-            totals.clear()
-            return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "c"])
-
+    def count_exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunks in groups(batches, known.value):
-            chunks.add_exact_counts(lengths, totals)
-            if len(totals) >= TOTALS:
-                yield leave()
-        yield leave()
+            yield from chunks.exact_counts()
 
-    exact = dictionary.mapInArrow(count, "lang string, phrase string, c long")
+    exact = dictionary.mapInArrow(count_exactly, "lang string, phrase string, c long")
     return exact.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= min_count)
 
 
