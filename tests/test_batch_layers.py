@@ -61,3 +61,23 @@ def test_bronze_gate_stops_the_chain(spark):
     rows = rows.withColumn("amount", F.when(F.col("kafka_offset") == 2, F.lit(5e6)).otherwise(F.col("amount")))
     with pytest.raises(QualityGateError, match="bronze"):
         batch.run_layers(spark, rows, scratch_path(spark, "layers-bad"), scored_at=C.scored_at())
+
+
+def test_amounts_of_nothing_are_reported_and_do_not_stop_the_chain(spark):
+    rows = C.bronze_rows(spark, SF_SMALL)
+    none = (F.col("kafka_offset") % 100 == 2) & (F.col("kafka_partition") == 0)
+    rows = rows.withColumn("amount", F.when(none, F.lit(0.0)).otherwise(F.col("amount")))
+    run = batch.run_layers(spark, rows, scratch_path(spark, "layers-zero"), scored_at=C.scored_at())
+    rep = {(r.layer, r.column_name, r.test): r.violations for r in run.report.collect()}
+    assert rep[("bronze", "amount", "accepted_range")] == rows.filter(none).count() > 0
+    assert rep[("silver", "amount", "accepted_range")] == 0
+    assert spark.read.parquet(f"{run.base}/gold").filter("amount <= 0").count() == 0
+
+
+def test_amounts_above_the_bound_stop_the_chain(spark):
+    import pytest
+    from cardrisk.operators.quality import QualityGateError
+    rows = C.bronze_rows(spark, SF_SMALL)
+    rows = rows.withColumn("amount", F.when(F.col("kafka_offset") == 2, F.lit(5e6)).otherwise(F.col("amount")))
+    with pytest.raises(QualityGateError, match="bronze.amount accepted_range"):
+        batch.run_layers(spark, rows, scratch_path(spark, "layers-high"), scored_at=C.scored_at())
