@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..config import MICROS_PER_DAY
 from ..functions.columns import epoch_micros
@@ -30,6 +31,10 @@ def _bounds(raw: DataFrame, order=None) -> tuple[int, int]:
     return r["lo"], r["hi"]
 
 
+def _slices(lo: int | None, hi: int | None, days: int | None, aligned: bool) -> int:
+    return 1 if days is None or lo is None else (hi - _first(lo, days, aligned)) // (days * MICROS_PER_DAY) + 1
+
+
 def _first(lo: int | None, days: int | None, aligned: bool) -> int | None:
     """Where the first slice begins: at the first delivery, or at the whole span of days it falls into."""
     return lo // (days * MICROS_PER_DAY) * days * MICROS_PER_DAY if aligned and days and lo is not None else lo
@@ -37,8 +42,7 @@ def _first(lo: int | None, days: int | None, aligned: bool) -> int | None:
 
 def slice_count(raw: DataFrame, days: int | None, order=None, aligned: bool = False) -> int:
     """Slices of ``days`` each that the deliveries span (one for None)."""
-    lo, hi = _bounds(raw, order)
-    return 1 if days is None or lo is None else (hi - _first(lo, days, aligned)) // (days * MICROS_PER_DAY) + 1
+    return _slices(*_bounds(raw, order), days, aligned)
 
 
 def event_order():
@@ -62,29 +66,40 @@ def stage(raw: DataFrame, path: str, days: int | None, only: range | None = None
     slice of everything) to ``path`` in time order; ``aligned`` ones begin at whole spans since 1970.
 
     Returns the number of files per slice, the ``maxFilesPerTrigger`` that
-    reads one slice per micro-batch. The rows are written once, by slice, and
-    each slice is copied from its own folder; a slice with fewer rows than
-    files gets the rest as empty files.
+    reads one slice per micro-batch. The records are derived once, by a write
+    with their time into folders of whole spans; the bounds are read off that
+    time, and each slice is copied from the one or two folders that it meets. A
+    slice with fewer rows than files gets the rest as empty files.
     """
     spark = raw.sparkSession
     f = files_per_slice or spark.sparkContext.defaultParallelism
-    lo = _first(_bounds(raw, order)[0], days, aligned)
+    by_span = scratch_path(spark, "slices")
     width = None if days is None else days * MICROS_PER_DAY
-    index = F.lit(0) if width is None else F.floor((_time(order) - F.lit(lo)) / F.lit(width)).cast("int")
-    by_slice = scratch_path(spark, "slices")
-    raw.withColumn("_slice", index).write.partitionBy("_slice").parquet(by_slice)
-    rows = spark.read.schema(raw.schema)
-    for i in (only if only is not None else range(slice_count(raw, days, order, aligned))):
+    span = F.lit(0) if width is None else F.floor(F.col("_t") / F.lit(width))
+    raw.withColumn("_t", _time(order)).withColumn("_span", span.cast("int")).write.partitionBy("_span").parquet(by_span)
+    rows = spark.read.schema(StructType([*raw.schema, StructField("_t", LongType())]))
+    lo, hi = rows.parquet(by_span).agg(F.min("_t"), F.max("_t")).first()
+    first = _first(lo, days, aligned)
+    for i in (only if only is not None else range(_slices(lo, hi, days, aligned))):
         before = data_files(spark, path)
-        fs, p = hadoop_path(spark, f"{by_slice}/_slice={i}")
-        if fs.exists(p):
-            rows.parquet(f"{by_slice}/_slice={i}").repartition(f).write.mode("append").parquet(path)
+        for part in _slice(spark, rows, by_span, None if first is None or width is None else first + i * width, width):
+            part.select(*raw.columns).repartition(f).write.mode("append").parquet(path)
         missing = f - (data_files(spark, path) - before)
         if missing:
             _empty_files(spark, raw, path, missing)
     return f
 
 
+def _slice(spark: SparkSession, rows: DataFrameReader, by_span: str, start: int | None, width: int | None) -> list[DataFrame]:
+    """The staged rows of the slice from ``start`` on (all, without a width), as one frame; none if it has no folder."""
+    spans = [0] if width is None else [] if start is None else sorted({start // width, (start + width - 1) // width})
+    folders = [d for n in spans if (p := hadoop_path(spark, d := f"{by_span}/_span={n}"))[0].exists(p[1])]
+    if not folders:
+        return []
+    part = rows.parquet(*folders)
+    return [part if width is None else part.filter(F.col("_t").between(start, start + width - 1))]
+
+
 def _empty_files(spark: SparkSession, raw: DataFrame, path: str, n: int) -> None:
     """Append ``n`` files without rows: one is written, the others are copies of it."""
     one = scratch_path(spark, "empty")

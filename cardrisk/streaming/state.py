@@ -6,11 +6,11 @@
   late may still come; a batch reads and writes only the minutes it touches
   or looks back on. An event-time timer clears an idle card.
 * ``UserHistory`` (key: user) -- R5h first use of a high-risk category
-  (MapState of categories seen: at most three per user, no expiry) and the
-  30-day amount statistics at day granularity (MapState day -> count, sum,
-  sum of squares in whole cents): the stats of days d-30 .. d-1, as
-  ``user_stats`` computes them in batch (A4/J2). Days are kept as long as a
-  late row can still refer to them.
+  (categories seen: at most three per user, no expiry) and the 30-day amount
+  statistics at day granularity (day -> count, sum, sum of squares in whole
+  cents): the stats of days d-30 .. d-1, as ``user_stats`` computes them in
+  batch (A4/J2). Days are kept as long as a late row can still refer to them.
+  State: one small ValueState, read and written once per batch.
 
 A query that starts over, or on a stream that began long ago, is given its state
 (``card_state``, ``user_state``): daily partials and the last 70 minutes of silver.
@@ -164,75 +164,74 @@ class UserHistory(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "category string", "first_t long")
-        # whole cents: exact, whatever the order; squares as decimal digits, as they outgrow a long
-        self.daily = handle.getMapState("daily", "day int", "n long, s long, ss string")
+        # one value, as every access is a call to the JVM. Whole cents: exact, whatever the order; squares as
+        # decimal digits, as they outgrow a long
+        self.held = handle.getValueState("held", "day array<int>, n array<long>, s array<long>, ss array<string>, "
+                                                 "category array<string>, first_t array<long>, timer long")
+
+    def _get(self) -> tuple[dict, dict, int]:
+        """(partials by day, first use by category, time of the registered timer or 0)."""
+        v = self.held.get()
+        if v is None:
+            return {}, {}, 0
+        return {d: (n, s, int(ss)) for d, n, s, ss in zip(*v[:4])}, dict(zip(v[4], v[5])), v[6]
+
+    def _put(self, parts: dict, seen: dict, timer: int) -> None:
+        """A timer follows the newest day: one that is registered goes off first, and is then set anew."""
+        if parts and not timer:
+            timer = self._expiry(max(parts))
+            self.handle.registerTimer(timer)
+        n, s, ss = ([p[j] for p in parts.values()] for j in range(3))
+        self.held.update((list(parts), n, s, [str(x) for x in ss], list(seen), list(seen.values()), timer))
+
+    def _expiry(self, newest_day: int) -> int:
+        return _ms((newest_day + self.days + self.late_days + 1) * MICROS_PER_DAY)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Rows (day, n, s, ss) of the user's stored partials, or (category, first_t) of high-risk use so far."""
-        newest = None
+        parts, seen, timer = self._get()               # a key's rows may come in several frames
         for day, n, total, squares, category, first in zip(*(initialState[c].tolist() for c in ("day", "n", "s", "ss", "category", "first_t"))):
             if isinstance(category, str):
-                self.seen.updateValue((category,), (int(first),))
+                seen[category] = int(first)
             else:
-                self.daily.updateValue((int(day),), (int(n), int(total), str(squares)))
-                newest = int(day) if newest is None else max(newest, int(day))
-        if newest is not None:
-            self._expire_after(max(newest, max(int(k[0]) for k in self.daily.keys())))
-
-    def _expire_after(self, newest_day: int) -> None:
-        for ts in list(self.handle.listTimers()):
-            self.handle.deleteTimer(ts)
-        self.handle.registerTimer(_ms((newest_day + self.days + self.late_days + 1) * MICROS_PER_DAY))
+                parts[int(day)] = (int(n), int(total), int(squares))
+        self._put(parts, seen, timer)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "transaction_id"], kind="stable")
-        new = new.reset_index(drop=True)
-        # R5h: first row per high-risk category, not seen in earlier batches
-        hr = new["merchant_category"].isin(self.high_risk)
-        first_in_batch = hr & ~new["merchant_category"].duplicated() if hr.any() else hr
-        first = np.zeros(len(new), dtype=bool)
-        for i in np.flatnonzero(first_in_batch.to_numpy()):
-            cat = new.at[i, "merchant_category"]
-            if not self.seen.containsKey((cat,)):
-                first[i] = True
-                self.seen.updateValue((cat,), (int(new.at[i, "t"]),))
+        columns = ("t", "transaction_id", "merchant_category", "amount", "is_off_hours")
+        data = sorted((r for f in rows for r in zip(*(f[c].tolist() for c in columns))), key=lambda r: r[:2])
+        parts, seen, timer = self._get()
+        first, days = [], {}
+        for t, _, category, amount, _ in data:
+            # R5h: first row per high-risk category, not seen in earlier batches
+            new = category in self.high_risk and category not in seen
+            if new:
+                seen[category] = int(t)
+            first.append(new)
+            days.setdefault(t // MICROS_PER_DAY, []).append(amount)
         # 30-day stats at day granularity: partials of days d-30 .. d-1
-        parts = {int(k[0]): (int(v[0]), int(v[1]), int(v[2])) for k, v in self.daily.iterator()} if self.daily.exists() else {}
-        stored = list(parts)
-        day = (new["t"].to_numpy(dtype=np.int64) // MICROS_PER_DAY).astype(np.int64)
-        x = np.rint(new["amount"].to_numpy(dtype=float) * CENTS)
-        n_out = np.zeros(len(new), dtype=np.int64)
-        mean_out = np.full(len(new), np.nan)
-        std_out = np.full(len(new), np.nan)
-        for d in np.unique(day):
-            hist = [parts[k] for k in parts if d - self.days <= k <= d - 1]
+        n_out, mean_out, std_out = [], [], []
+        for d, amounts in days.items():             # in order of time
+            hist = [p for k, p in parts.items() if d - self.days <= k <= d - 1]
             n, s, ss = (sum(p[j] for p in hist) for j in range(3))
-            idx = day == d
-            n_out[idx] = n
-            if n > 0:
-                mean_out[idx] = s / n / CENTS
-            if n >= 2:
-                std_out[idx] = ((n * ss - s * s) / (n * (n - 1))) ** 0.5 / CENTS
-            xs = [int(v) for v in x[idx & ~np.isnan(x)]]
-            p = parts.get(int(d), (0, 0, 0))
-            parts[int(d)] = (p[0] + len(xs), p[1] + sum(xs), p[2] + sum(v * v for v in xs))
-        newest_day = max(max(parts), int(day.max()))
-        keep, now = newest_day - self.days - self.late_days, {int(d) for d in day}
-        for k in now:                           # only days that changed and are still needed are written
-            if k >= keep:
-                self.daily.updateValue((k,), (parts[k][0], parts[k][1], str(parts[k][2])))
-        for k in stored:
-            if k < keep:
-                self.daily.removeKey((k,))
-        self._expire_after(newest_day)
-        yield pd.DataFrame({"transaction_id": new["transaction_id"].to_numpy(), "user_30d_n": n_out,
-                            "user_30d_mean": mean_out, "user_30d_std": std_out, "is_first_high_risk": first,
-                            "amount": new["amount"].to_numpy(dtype=float), "is_off_hours": new["is_off_hours"].to_numpy(dtype=bool)})
+            n_out += [n] * len(amounts)
+            mean_out += [s / n / CENTS if n > 0 else np.nan] * len(amounts)
+            std_out += [((n * ss - s * s) / (n * (n - 1))) ** 0.5 / CENTS if n >= 2 else np.nan] * len(amounts)
+            xs = [round(a * CENTS) for a in amounts if a is not None and a == a]
+            p = parts.get(d, (0, 0, 0))
+            parts[d] = (p[0] + len(xs), p[1] + sum(xs), p[2] + sum(v * v for v in xs))
+        keep = max(parts) - self.days - self.late_days
+        self._put({k: p for k, p in parts.items() if k >= keep}, seen, timer)
+        yield pd.DataFrame({"transaction_id": [r[1] for r in data], "user_30d_n": np.array(n_out, np.int64),
+                            "user_30d_mean": mean_out, "user_30d_std": std_out, "is_first_high_risk": np.array(first, bool),
+                            "amount": np.array([r[3] for r in data], float), "is_off_hours": np.array([r[4] for r in data], bool)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # keep first-use memory (bounded); drop stale day partials
-        self.daily.clear()
+        parts, seen, timer = self._get()
+        if parts and self._expiry(max(parts)) <= timer:
+            parts = {}
+        self._put(parts, seen, 0)
         return iter([])
 
     def close(self) -> None:

@@ -345,3 +345,77 @@ def test_no_alert_writes_nothing(spark):
     P.publish(spark.createDataFrame([], "key string, value string"), sinks, 0)
     from cardrisk.sources import storage
     assert not storage.exists(spark, sinks.alert_options["path"])
+
+
+def test_staging_derives_every_record_once(spark, tmp_path):
+    """One pass over the deliveries gives the bounds, the slices and the files, unaligned slices and a null time included."""
+    from cardrisk.streaming import staging
+    made = spark.sparkContext.accumulator(0)
+
+    def payload(i):
+        made.add(1)
+        return f'{{"id": {i}}}'
+
+    value = F.udf(payload, "string").asNondeterministic()
+    at = F.when(F.col("id") < 50, F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 3600 * 12)).cast("timestamp_ntz")
+    raw = spark.range(0, 51, 1, 2).select(value("id").alias("value"), F.col("id").alias("kafka_offset"), F.lit(0).cast("long").alias("kafka_partition"),
+                                          at.alias("kafka_ingest_time"), at.alias("ingested_at"))
+    order = F.when(F.length("value") > 0, F.col("kafka_ingest_time"))
+    path = str(tmp_path / "raw")
+    files = staging.stage(raw, path, 5, order=order, files_per_slice=2)
+    assert made.value == 51
+    rows = spark.read.parquet(path)
+    assert files == 2 and staging.data_files(spark, path) == 2 * 5             # 24.5 days
+    assert sorted(r.kafka_offset for r in rows.collect()) == list(range(50)) and rows.columns == raw.columns
+    # oldest files first: the slices in order, none across a boundary
+    import glob
+    import os
+    import pyarrow.parquet as pq
+    by_age = sorted(glob.glob(f"{path}/part-*.parquet"), key=os.path.getmtime)
+    held = [[i for f in by_age[k:k + 2] for i in pq.read_table(f)["kafka_offset"].to_pylist()] for k in range(0, 10, 2)]
+    assert [sorted(h) for h in held] == [list(range(k, k + 10)) for k in range(0, 50, 10)]
+
+
+def test_a_user_costs_one_read_and_one_write_of_state_per_batch():
+    """However many days and categories a batch has; the timer is set once and follows the newest day."""
+    import pandas as pd
+    from cardrisk.config import MICROS_PER_DAY
+    from cardrisk.streaming.state import UserHistory
+    calls, timers = [], []
+
+    class Value:
+        held = None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, v):
+            calls.append("update")
+            self.held = v
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, ms):
+            timers.append(ms)
+
+    def batch(*rows):
+        return iter([pd.DataFrame([(int(d * MICROS_PER_DAY), i, c, a, False) for i, d, c, a in rows],
+                                  columns=["t", "transaction_id", "merchant_category", "amount", "is_off_hours"])])
+
+    user = UserHistory(days=30)
+    user.init(Handle())
+    (one,) = user.handleInputRows(("u",), batch(("c", 3.5, "GAMBLING", 4.0), ("a", 1.5, "GAMBLING", 1.0), ("b", 2.5, "X", 2.0)), None)
+    assert calls == ["get", "update"] and len(timers) == 1
+    assert one.transaction_id.tolist() == ["a", "b", "c"] and one.user_30d_n.tolist() == [0, 1, 2]
+    assert one.is_first_high_risk.tolist() == [True, False, False] and one.user_30d_mean.tolist()[1:] == [1.0, 1.5]
+    (two,) = user.handleInputRows(("u",), batch(("d", 40.5, "CRYPTOCURRENCY", 9.0), ("e", 41.5, "GAMBLING", 9.0), ("f", 33.25, "X", 9.0)), None)
+    assert calls == ["get", "update"] * 2 and len(timers) == 1
+    assert two.transaction_id.tolist() == ["f", "d", "e"] and two.user_30d_n.tolist() == [1, 1, 2]      # day 3; day 33; 33 and 40
+    assert two.is_first_high_risk.tolist() == [False, True, False]
+    assert list(user.handleExpiredTimer(("u",), None, None)) == [] and len(timers) == 2 and timers[1] > timers[0]
+    assert user._get()[0].keys() == {33, 40, 41}
+    assert list(user.handleExpiredTimer(("u",), None, None)) == [] and len(timers) == 2                 # nothing newer: days go
+    assert user._get()[0] == {} and user._get()[1].keys() == {"GAMBLING", "CRYPTOCURRENCY"}
