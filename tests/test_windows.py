@@ -222,3 +222,34 @@ def test_no_frame_runs_to_the_end_of_a_partition(spark):
     with contextlib.redirect_stdout(buf):
         out.explain("extended")
     assert "unboundedfollowing" not in buf.getvalue().lower()
+
+
+def plan_text(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    return buf.getvalue()
+
+
+def test_long_frames_cost_no_time_per_bucket_of_the_frame(spark):
+    """The sums over the buckets of a 30-day frame are running ones: a sliding frame adds
+    up its 720 buckets again for each of a key's buckets."""
+    text = plan_text(prior_moments(frame(spark, 9), "k", "ts", "x", 30 * 24 * 60 * MIN, 60 * MIN, prefix="h"))
+    assert "unboundedpreceding" in text and "specifiedwindowframe(RangeFrame, -" not in text
+
+
+@pytest.mark.parametrize("days", [29, 31, 95])
+def test_prior_moments_of_tables_shorter_and_longer_than_the_frame(spark, days):
+    rnd, window = random.Random(days), 30 * 24 * 60 * MIN
+    rows = [(f"id{i}", rnd.choice(["a", "a", "b", None]), T0 + dt.timedelta(hours=rnd.randrange(24 * days), seconds=rnd.choice([0, 0, 7])),
+             rnd.choice([None, 1.25, 30.0, 99.99])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id string, k string, ts timestamp_ntz, x double")
+    got = {r.id: r for r in prior_moments(df, "k", "ts", "x", window, 60 * MIN, prefix="h").collect()}
+    w = Window.partitionBy("k").orderBy(epoch_micros("ts")).rangeBetween(-window, -1)
+    for r in df.select("id", "k", F.count("x").over(w).alias("n"), F.stddev("x").over(w).alias("s")).collect():
+        if r.k is not None:
+            assert got[r.id].h_n == r.n
+            assert got[r.id].h_std == (None if r.s is None else pytest.approx(r.s, rel=1e-7, abs=1e-9))
+    assert len(got) == 600
