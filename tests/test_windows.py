@@ -253,3 +253,11 @@ def test_prior_moments_of_tables_shorter_and_longer_than_the_frame(spark, days):
             assert got[r.id].h_n == r.n
             assert got[r.id].h_std == (None if r.s is None else pytest.approx(r.s, rel=1e-7, abs=1e-9))
     assert len(got) == 600
+
+
+def test_rows_without_a_time_have_no_history(spark):
+    rows = [("a", "k", T0, 1.0), ("b", "k", T0 + dt.timedelta(hours=1), 2.0), ("c", "k", None, 3.0), ("d", "k", None, 4.0)]
+    for some in (rows, rows[2:]):
+        df = spark.createDataFrame(some, "id string, k string, ts timestamp_ntz, x double")
+        out = prior_moments(df, "k", "ts", "x", 30 * 24 * 60 * MIN, 60 * MIN, prefix="h").collect()
+        assert {r.id: r.h_n for r in out} == {r[0]: 1 if r[0] == "b" else 0 for r in some}
